@@ -1,0 +1,44 @@
+"""Combining per-tree votes held in an ``array<double>`` column.
+
+All three are higher-order array expressions evaluated inside the row's own
+task: no explode, no shuffle, no grouping by row id.  A NULL vote (a tree
+that met a NULL feature) is left out of every count.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _col(c: str | Column) -> Column:
+    return F.col(c) if isinstance(c, str) else c
+
+
+def vote_count(votes: str | Column, cls: int) -> Column:
+    return F.size(F.filter(_col(votes), lambda v: v == F.lit(float(cls))))
+
+
+def majority_vote(votes: str | Column, n_classes: int) -> Column:
+    """A10: most frequent class; ties -> lowest class; no votes -> NULL."""
+    v = _col(votes)
+    ranked = F.array(*[F.struct(vote_count(v, k).alias("n"), F.lit(-k).alias("neg"))
+                       for k in range(n_classes)])
+    best = F.array_max(ranked)
+    valid = F.size(F.filter(v, lambda x: x.isNotNull()))
+    return F.when(valid > 0, (-best["neg"]).cast("double"))
+
+
+def average_vote(votes: str | Column) -> Column:
+    """Mean of the non-NULL tree predictions (regression forests)."""
+    v = F.filter(_col(votes), lambda x: x.isNotNull())
+    total = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
+    return F.when(F.size(v) > 0, total / F.size(v))
+
+
+def class_probabilities(votes: str | Column, n_classes: int) -> Column:
+    """Share of the non-NULL votes per class, as ``array<double>``."""
+    v = _col(votes)
+    valid = F.size(F.filter(v, lambda x: x.isNotNull()))
+    return F.when(valid > 0, F.array(*[(vote_count(v, k) / valid).alias(f"p{k}")
+                                       for k in range(n_classes)]))
