@@ -1 +1,388 @@
-ORACLE_SQL = {}
+"""DuckDB SQL for every registered query that has a SQL form.
+
+Written independently of the Spark code: the split scans use a join on
+``value <= threshold`` instead of binned running sums, the trees are
+CASE expressions generated from the fixed model values, and gradient
+descent is a recursive CTE over the moments.  Column names and rounding
+match the Spark queries.  Literals are written as DOUBLE (a bare 0.1 is
+DECIMAL in DuckDB).
+"""
+
+from __future__ import annotations
+
+from canopy.models import iris
+
+KEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
+BUCKET = ("((('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), "
+          "CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR))), 1, 8))::BIGINT) % 1000)")
+FEATS = ["l_quantity", "l_discount", "l_tax"]
+FLAG = "(CASE l_returnflag WHEN 'A' THEN 0.0::DOUBLE WHEN 'N' THEN 1.0::DOUBLE WHEN 'R' THEN 2.0::DOUBLE END)"
+STATUS = "(CASE WHEN l_linestatus = 'O' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+def d(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def train_where(cut: int) -> str:
+    return f"{BUCKET} < {cut}"
+
+
+def fname(col: str = "f") -> str:
+    return "(CASE " + col + " " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(FEATS)) + " END)"
+
+
+def xval(col: str = "f") -> str:
+    return "(CASE " + col + " " + " ".join(f"WHEN {i} THEN x{i}" for i in range(len(FEATS))) + " END)"
+
+
+# ----------------------------------------------------------------- scans
+
+def _scan_ctes(prefix: str, long_src: str, thr: str, task: str, classes: int = 2) -> str:
+    """CTEs ``{prefix}_best`` : best split per (node, f) of ``long_src(node, f, v, label)``."""
+    p = prefix
+    if task == "classification":
+        stats = [f"c{k}" for k in range(classes)]
+        agg = ", ".join(f"sum(CASE WHEN label = {d(k)} THEN 1.0 ELSE 0.0 END)::DOUBLE AS c{k}"
+                        for k in range(classes))
+
+        def imp(vals, n):
+            e = "1.0::DOUBLE"
+            for v in vals:
+                e = f"({e} - ({v} / {n}) * ({v} / {n}))"
+            return e
+
+        def weight(vals):
+            return "(" + " + ".join(vals) + ")"
+    else:
+        stats = ["w", "wy", "wy2"]
+        agg = "count(*)::DOUBLE AS w, sum(label) AS wy, sum(label * label) AS wy2"
+
+        def imp(vals, n):
+            return f"(({vals[2]} - ({vals[1]} * {vals[1]}) / {n}) / {n})"
+
+        def weight(vals):
+            return vals[0]
+    L = [f"L_{s}" for s in stats]
+    T = [f"T_{s}" for s in stats]
+    R = [f"({t} - {l})" for t, l in zip(T, L)]
+    nL, nT = weight(L), weight(T)
+    nR = f"({nT} - {nL})"
+    gain = (f"({imp(T, nT)} - ({nL} / {nT}) * {imp(L, weight(L))} - ({nR} / {nT}) * {imp(R, weight(R))})")
+    return f"""
+{p}_cnt AS (SELECT node, f, v, {agg}, count(*) AS n_raw FROM {long_src} GROUP BY node, f, v),
+{p}_tot AS (SELECT node, f, {", ".join(f"sum({s}) AS T_{s}" for s in stats)}, sum(n_raw) AS T_raw
+            FROM {p}_cnt GROUP BY node, f),
+{p}_cand AS (SELECT c.node, c.f, h.t, {", ".join(f"sum(c.{s}) AS L_{s}" for s in stats)}, sum(c.n_raw) AS L_raw
+             FROM {p}_cnt c JOIN {thr} h ON c.f = h.f AND c.v <= h.t GROUP BY c.node, c.f, h.t),
+{p}_g AS (SELECT a.node, a.f, a.t, {", ".join(L)}, {", ".join(T)}, L_raw, T_raw,
+                 {nL} AS n_left, {nR} AS n_right, {gain} AS gain
+          FROM {p}_cand a JOIN {p}_tot b ON a.node = b.node AND a.f = b.f),
+{p}_valid AS (SELECT * FROM {p}_g WHERE n_left > 0 AND n_right > 0),
+{p}_best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node, f ORDER BY gain DESC, t ASC) AS rk
+                            FROM {p}_valid) WHERE rk = 1),
+{p}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f ASC, t ASC) AS rk2
+                           FROM {p}_best) WHERE rk2 = 1)"""
+
+
+def _thr_ctes(src: str) -> str:
+    """Candidate thresholds: midpoints of consecutive distinct values per feature."""
+    return f"""
+vals AS (SELECT DISTINCT f, v FROM {src} WHERE v IS NOT NULL AND NOT isnan(v)),
+thr AS (SELECT f, t FROM (SELECT f, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2.0::DOUBLE AS t FROM vals)
+        WHERE t IS NOT NULL)"""
+
+
+def _train_input(label_sql: str, cut: int, test: bool = False) -> str:
+    cond = f"NOT ({train_where(cut)})" if test else train_where(cut)
+    return (f"SELECT {KEYS}, {label_sql} AS label, l_quantity AS x0, l_discount AS x1, l_tax AS x2 "
+            f"FROM lineitem WHERE {cond}")
+
+
+LONG = "SELECT node, label, unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM {src}"
+
+
+def split_scan_sql(task: str) -> str:
+    label = STATUS if task == "classification" else "l_extendedprice"
+    digits = 12 if task == "classification" else 4
+    return f"""
+WITH inp AS (SELECT 1 AS node, * FROM ({_train_input(label, 600)})),
+lg AS ({LONG.format(src="inp")}),
+{_thr_ctes("lg")},
+{_scan_ctes("s", "lg", "thr", task)}
+SELECT CAST(f AS INTEGER) AS feature, {fname()} AS feature_name, t AS threshold, round(gain, {digits}) AS gain,
+       CAST(n_left AS BIGINT) AS n_left, CAST(n_right AS BIGINT) AS n_right
+FROM s_best"""
+
+
+def _argmax2(a: str, b: str) -> str:
+    return f"(CASE WHEN {b} > {a} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+STUMP_ERROR = f"""
+WITH inp AS (SELECT 1 AS node, * FROM ({_train_input(STATUS, 600)})),
+lg AS ({LONG.format(src="inp")}),
+{_thr_ctes("lg")},
+{_scan_ctes("s", "lg", "thr", "classification")},
+m AS (SELECT f, t, {_argmax2("L_c0", "L_c1")} AS pl, {_argmax2("(T_c0 - L_c0)", "(T_c1 - L_c1)")} AS pr FROM s_top),
+te AS ({_train_input(STATUS, 600, test=True)}),
+p AS (SELECT te.label, CASE WHEN {xval("m.f")} IS NULL THEN NULL WHEN {xval("m.f")} <= m.t THEN m.pl ELSE m.pr END
+             AS prediction FROM te, m)
+SELECT count(*) AS n_test,
+       CAST(sum(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong,
+       round(avg(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0.0 ELSE 1.0 END), 12) AS error_rate
+FROM p"""
+
+
+def _metrics(src: str) -> str:
+    return f"""
+SELECT count(*) AS n, round(sqrt(avg((prediction - label) * (prediction - label))), 6) AS rmse,
+       round(avg(abs(prediction - label)), 6) AS mae,
+       round(CASE WHEN min(label) = max(label) THEN NULL ELSE regr_r2(label, prediction) END, 9) AS r2_pearson,
+       round(1.0 - sum((prediction - label) * (prediction - label)) / NULLIF(var_pop(label) * count(*), 0), 9)
+           AS r2_sse
+FROM {src}"""
+
+
+STUMP_RMSE = f"""
+WITH inp AS (SELECT 1 AS node, * FROM ({_train_input("l_extendedprice", 600)})),
+lg AS ({LONG.format(src="inp")}),
+{_thr_ctes("lg")},
+{_scan_ctes("s", "lg", "thr", "regression")},
+m AS (SELECT f, t, L_wy / L_w AS pl, (T_wy - L_wy) / (T_w - L_w) AS pr FROM s_top),
+te AS ({_train_input("l_extendedprice", 600, test=True)}),
+p AS (SELECT te.label, CASE WHEN {xval("m.f")} <= m.t THEN m.pl ELSE m.pr END AS prediction FROM te, m)
+{_metrics("p")}"""
+
+
+def _tree_levels_body() -> str:
+    pred = lambda a, b: _argmax2(a, b)
+    return f"""
+WITH inp AS (SELECT 1 AS node, * FROM ({_train_input(STATUS, 600)})),
+lg AS ({LONG.format(src="inp")}),
+{_thr_ctes("lg")},
+{_scan_ctes("a", "lg", "thr", "classification")},
+root AS (SELECT * FROM a_top WHERE gain > 0),
+inp1 AS (SELECT CASE WHEN {xval("r.f")} <= r.t THEN 2 ELSE 3 END AS node, i.label, i.x0, i.x1, i.x2
+         FROM inp i, root r),
+lg1 AS ({LONG.format(src="inp1")}),
+{_scan_ctes("b", "lg1", "thr", "classification")},
+lvl1 AS (SELECT * FROM b_top WHERE gain > 0),
+n0 AS (SELECT 1::BIGINT AS node_id, 0 AS depth, {fname("f")} AS feature_name, t AS threshold,
+              {pred("T_c0", "T_c1")} AS prediction, CAST(T_raw AS BIGINT) AS row_count, gain FROM root),
+n1 AS (SELECT s.node_id, 1 AS depth, {fname("l.f")} AS feature_name, l.t AS threshold,
+              {pred("s.c0", "s.c1")} AS prediction, s.row_count, l.gain
+       FROM (SELECT 2::BIGINT AS node_id, L_c0 AS c0, L_c1 AS c1, CAST(L_raw AS BIGINT) AS row_count FROM root
+             UNION ALL
+             SELECT 3::BIGINT, T_c0 - L_c0, T_c1 - L_c1, CAST(T_raw - L_raw AS BIGINT) FROM root) s
+       LEFT JOIN lvl1 l ON l.node = s.node_id),
+n2 AS (SELECT 2 * node::BIGINT AS node_id, 2 AS depth, NULL AS feature_name, NULL::DOUBLE AS threshold,
+              {pred("L_c0", "L_c1")} AS prediction, CAST(L_raw AS BIGINT) AS row_count, NULL::DOUBLE AS gain
+       FROM lvl1
+       UNION ALL
+       SELECT 2 * node::BIGINT + 1, 2, NULL, NULL::DOUBLE, {pred("(T_c0 - L_c0)", "(T_c1 - L_c1)")},
+              CAST(T_raw - L_raw AS BIGINT), NULL::DOUBLE
+       FROM lvl1),
+nodes AS (SELECT * FROM n0 UNION ALL SELECT * FROM n1 UNION ALL SELECT * FROM n2)"""
+
+
+TREE_LEVELS = _tree_levels_body() + """
+SELECT 0 AS tree_id, node_id, depth, feature_name, threshold, prediction, row_count, round(gain, 12) AS gain
+FROM nodes"""
+
+PMML_NODES = _tree_levels_body() + """
+SELECT 0 AS tree_id, node_id, depth, feature_name, threshold, prediction, row_count FROM nodes"""
+
+
+# ----------------------------------------------------------------- document forests
+
+IRIS_COLS = {
+    iris.SL: f"({d(4.3)} + (l_quantity - {d(1.0)}) / {d(49.0)} * {d(3.6)})",
+    iris.SW: f"({d(2.0)} + l_discount * {d(24.0)})",
+    iris.PL: f"({d(1.0)} + l_tax / {d(0.08)} * {d(5.9)})",
+    iris.PW: f"({d(0.1)} + l_extendedprice / {d(105000.0)} * {d(2.4)})",
+}
+IRIS_ALIAS = {iris.SL: "sl", iris.SW: "sw", iris.PL: "pl", iris.PW: "pw"}
+
+
+def tree_case(node) -> str:
+    if isinstance(node, str):
+        return d(iris.CLASSES.index(node))
+    feat, thr, left, right = node
+    x = IRIS_ALIAS[feat]
+    return f"(CASE WHEN {x} IS NULL THEN NULL WHEN {x} <= {d(thr)} THEN {tree_case(left)} ELSE {tree_case(right)} END)"
+
+
+def _votes(forest) -> str:
+    cols = ", ".join(f"{v} AS {IRIS_ALIAS[k]}" for k, v in IRIS_COLS.items())
+    trees = ", ".join(f"{tree_case(t)} AS v{i}" for i, t in enumerate(forest))
+    return f"""
+WITH base AS (SELECT {KEYS}, {FLAG} AS label, {cols} FROM lineitem),
+vt AS (SELECT {KEYS}, label, {trees} FROM base),
+cnt AS (SELECT *, {", ".join(
+        "(" + " + ".join(f"COALESCE(CAST(v{i} = {d(k)} AS INTEGER), 0)" for i in range(len(forest))) + f") AS c{k}"
+        for k in range(3))},
+        ({" + ".join(f"CAST(v{i} IS NOT NULL AS INTEGER)" for i in range(len(forest)))}) AS nv FROM vt),
+voted AS (SELECT *, CASE WHEN nv = 0 THEN NULL WHEN c0 >= c1 AND c0 >= c2 THEN 0.0::DOUBLE
+                         WHEN c1 >= c2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS prediction FROM cnt)"""
+
+
+SCORE_R = _votes(iris.R_FOREST) + f"\nSELECT {KEYS}, prediction FROM voted"
+SCORE_SPARK = _votes(iris.SPARK_FOREST) + f"\nSELECT {KEYS}, prediction FROM voted"
+VOTE_SHARES = _votes(iris.R_FOREST) + f"""
+SELECT {KEYS}, {", ".join(f"round(CASE WHEN nv > 0 THEN c{k}::DOUBLE / nv END, 12) AS p_{c}"
+                          for k, c in enumerate(iris.CLASSES))} FROM voted"""
+MISPREDICTED = _votes(iris.R_FOREST) + f"""
+SELECT {KEYS}, label, prediction FROM voted WHERE NOT (prediction IS NOT DISTINCT FROM label)"""
+ERROR_RATE = _votes(iris.R_FOREST) + """
+SELECT count(*) AS n_test,
+       CAST(sum(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong,
+       round(avg(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0.0 ELSE 1.0 END), 12) AS error_rate
+FROM voted"""
+POOLED = _votes(iris.R_FOREST) + """,
+pairs AS (SELECT 0 AS tree_id, label, v0 AS prediction FROM voted UNION ALL
+          SELECT 1, label, v1 FROM voted UNION ALL SELECT 2, label, v2 FROM voted)
+SELECT tree_id, count(*) AS n_pairs,
+       CAST(sum(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong,
+       round(avg(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0.0 ELSE 1.0 END), 12) AS error_rate
+FROM pairs GROUP BY ROLLUP (tree_id)"""
+
+
+# ----------------------------------------------------------------- regression ensemble of stumps
+
+STUMP_ENSEMBLE = f"""
+WITH inp AS (SELECT 1 AS node, * FROM ({_train_input("l_extendedprice", 600)})),
+lg AS ({LONG.format(src="inp")}),
+{_thr_ctes("lg")},
+{_scan_ctes("s", "lg", "thr", "regression")},
+m AS (SELECT f, t, L_wy / L_w AS pl, (T_wy - L_wy) / (T_w - L_w) AS pr FROM s_best),
+m0 AS (SELECT * FROM m WHERE f = 0), m1 AS (SELECT * FROM m WHERE f = 1), m2 AS (SELECT * FROM m WHERE f = 2),
+te AS ({_train_input("l_extendedprice", 600, test=True)}),
+p AS (SELECT te.*, (CASE WHEN x0 <= m0.t THEN m0.pl ELSE m0.pr END
+                    + CASE WHEN x1 <= m1.t THEN m1.pl ELSE m1.pr END
+                    + CASE WHEN x2 <= m2.t THEN m2.pl ELSE m2.pr END) / 3.0::DOUBLE AS prediction
+      FROM te, m0, m1, m2)"""
+
+MEAN_PREDICTION = STUMP_ENSEMBLE + f"\nSELECT {KEYS}, label, round(prediction, 4) AS prediction FROM p"
+REGRESSION_METRICS = STUMP_ENSEMBLE + _metrics("p")
+
+
+# ----------------------------------------------------------------- linear model
+
+def _linear_body() -> str:
+    k = len(FEATS)
+    q = {}
+    for i in range(k):
+        for j in range(i, k):
+            q[(i, j)] = q[(j, i)] = f"q{i}{j}"
+    grads = []
+    for j in range(k):
+        acc = "0.0::DOUBLE" + "".join(f" + w{l} * m.{q[(l, j)]}" for l in range(k))
+        grads.append(f"(({acc} + b * m.s{j} - m.y{j}) / m.n)")
+    accb = "0.0::DOUBLE" + "".join(f" + w{l} * m.s{l}" for l in range(k))
+    gb = f"(({accb} + b * m.n - m.sy) / m.n)"
+    eta = "(0.1::DOUBLE / sqrt(CAST(t + 1 AS DOUBLE)))"
+    moments = ", ".join([f"sum(z{i}) AS s{i}" for i in range(k)] + [f"sum(z{i} * y) AS y{i}" for i in range(k)]
+                        + [f"sum(z{i} * z{j}) AS q{i}{j}" for i in range(k) for j in range(i, k)])
+    zs = ", ".join(f"(x{i} - st.m{i}) / st.s{i} AS z{i}" for i in range(k))
+    stats = ", ".join(f"avg(x{i}) AS m{i}, stddev_samp(x{i}) AS s{i}" for i in range(k))
+    return f"""
+WITH RECURSIVE tr AS ({_train_input("l_extendedprice", 900)}),
+te AS ({_train_input("l_extendedprice", 900, test=True)}),
+st AS (SELECT {stats} FROM tr),
+z AS (SELECT label AS y, {zs} FROM tr, st),
+m AS (SELECT count(*)::DOUBLE AS n, sum(y) AS sy, {moments} FROM z),
+it(t, {", ".join(f"w{i}" for i in range(k))}, b) AS (
+  SELECT 0, {", ".join("0.0::DOUBLE" for _ in range(k))}, 1.0::DOUBLE
+  UNION ALL
+  SELECT t + 1, {", ".join(f"w{j} - {eta} * {grads[j]}" for j in range(k))}, b - {eta} * {gb}
+  FROM it, m WHERE t < 100),
+fin AS (SELECT * FROM it WHERE t = 100)"""
+
+
+LINEAR_SGD = _linear_body() + "\n" + "\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS term, round(w{i}, 4) AS weight FROM fin" for i, c in enumerate(FEATS)]
+    + ["SELECT 'intercept' AS term, round(b, 4) AS weight FROM fin"])
+
+PREDICT_LINEAR = _linear_body() + f"""
+SELECT {", ".join("te." + k.strip() for k in KEYS.split(","))}, te.label,
+       round(0.0::DOUBLE {"".join(f" + ((te.x{i} - st.m{i}) / st.s{i}) * fin.w{i}" for i in range(len(FEATS)))} + fin.b, 2)
+           AS prediction
+FROM te, st, fin"""
+
+
+# ----------------------------------------------------------------- points, splits, scaling
+
+PARSE_POINTS = """
+WITH l AS (SELECT concat_ws(',', CAST(p_partkey AS VARCHAR), CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR))
+                  || CASE WHEN p_size > 45 THEN ',' ELSE '' END AS value FROM part),
+s AS (SELECT value, string_split(value, ',') AS fs FROM l),
+p AS (SELECT value, len(fs) AS n, TRY_CAST(trim(fs[1]) AS DOUBLE) AS a, TRY_CAST(trim(fs[2]) AS DOUBLE) AS b,
+             TRY_CAST(trim(fs[3]) AS DOUBLE) AS c FROM s),
+o AS (SELECT *, (n = 3 AND a IS NOT NULL AND b IS NOT NULL AND c IS NOT NULL) AS ok FROM p)
+SELECT CASE WHEN ok THEN c END AS label, CASE WHEN ok THEN a END AS p_partkey, CASE WHEN ok THEN b END AS p_size,
+       CASE WHEN NOT ok THEN value END AS _corrupt_record FROM o"""
+
+LABEL_AT_INDEX = "SELECT l_discount AS label, l_quantity, l_tax, l_extendedprice FROM lineitem"
+
+HASH_SPLIT_COUNTS = f"""
+SELECT CASE WHEN {train_where(600)} THEN 'train' ELSE 'test' END AS side, count(*) AS n_rows
+FROM lineitem GROUP BY 1"""
+
+_VALS = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+HOLDOUT_COMPLEMENT = f"""
+WITH b AS (SELECT {", ".join(_VALS)} FROM lineitem),
+t AS (SELECT DISTINCT {", ".join(_VALS)} FROM lineitem WHERE {train_where(100)})
+SELECT * FROM b WHERE NOT EXISTS (
+  SELECT 1 FROM t WHERE {" AND ".join(f"t.{c} IS NOT DISTINCT FROM b.{c}" for c in _VALS)})"""
+
+STANDARDIZE_STATS = f"""
+WITH tr AS (SELECT * FROM lineitem WHERE {train_where(600)})
+""" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS feature, round(avg({c}), 9) AS mean, round(stddev_samp({c}), 9) AS std, count({c}) AS n FROM tr"
+    for c in FEATS)
+
+STANDARDIZE_ROWS = f"""
+WITH tr AS (SELECT * FROM lineitem WHERE {train_where(600)}),
+st AS (SELECT {", ".join(f"avg({c}) AS m{i}, stddev_samp({c}) AS s{i}" for i, c in enumerate(FEATS))} FROM tr)
+SELECT {KEYS}, l_extendedprice AS label,
+       {", ".join(f"round(CASE WHEN st.s{i} IS NULL OR st.s{i} = 0 THEN 0.0 ELSE ({c} - st.m{i}) / st.s{i} END, 8) AS {c}"
+                  for i, c in enumerate(FEATS))}
+FROM lineitem, st WHERE NOT ({train_where(600)})"""
+
+FEATURE_SUBSET = """
+WITH r AS (
+  SELECT CAST(t AS INTEGER) AS tree_id, CAST(f AS INTEGER) AS feature,
+         CAST(row_number() OVER (PARTITION BY t ORDER BY md5(concat_ws('|', '0', CAST(t AS VARCHAR),
+                                                                       CAST(f AS VARCHAR)))) - 1 AS INTEGER) AS slot
+  FROM range(3) a(t), range(64) b(f))
+SELECT e.vec_id, r.tree_id, r.slot, r.feature, CAST(e.embedding[r.feature + 1] AS DOUBLE) AS value
+FROM embeddings e, r WHERE r.slot < 8"""
+
+
+ORACLE_SQL = {
+    "parse_points": PARSE_POINTS,
+    "label_at_index": LABEL_AT_INDEX,
+    "hash_split_counts": HASH_SPLIT_COUNTS,
+    "holdout_complement": HOLDOUT_COMPLEMENT,
+    "standardize_stats": STANDARDIZE_STATS,
+    "standardize_rows": STANDARDIZE_ROWS,
+    "feature_subset": FEATURE_SUBSET,
+    "gini_split_scan": split_scan_sql("classification"),
+    "variance_split_scan": split_scan_sql("regression"),
+    "stump_error": STUMP_ERROR,
+    "stump_rmse": STUMP_RMSE,
+    "tree_levels": TREE_LEVELS,
+    "score_forest_r": SCORE_R,
+    "score_forest_spark": SCORE_SPARK,
+    "vote_shares": VOTE_SHARES,
+    "mean_prediction": MEAN_PREDICTION,
+    "mispredicted_rows": MISPREDICTED,
+    "error_rate": ERROR_RATE,
+    "pooled_error": POOLED,
+    "regression_metrics": REGRESSION_METRICS,
+    "linear_sgd": LINEAR_SGD,
+    "predict_linear": PREDICT_LINEAR,
+    "pmml_roundtrip": SCORE_R,
+    "pmml_nodes": PMML_NODES,
+}

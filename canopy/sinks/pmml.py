@@ -113,8 +113,10 @@ def node_fragments(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
         score = _xml_attr(F.element_at(names, F.col("prediction").cast("int") + 1))
     count = F.when(F.col("row_count").isNotNull(),
                    F.concat(F.lit(" recordCount=\""), F.col("row_count").cast("string"), F.lit("\"")))
+    # every node carries its score (leaves: the answer; inner nodes: the
+    # fallback when no child predicate is true)
     open_tag = F.concat(F.lit("<Node id=\""), F.col("node_id").cast("string"), F.lit("\""),
-                        F.when(leaf, F.concat(F.lit(" score=\""), score, F.lit("\""))).otherwise(F.lit("")),
+                        F.coalesce(F.concat(F.lit(" score=\""), score, F.lit("\"")), F.lit("")),
                         F.coalesce(count, F.lit("")), F.lit(">"), predicate)
     return joined.select("tree_id", F.bin(F.col("node_id")).alias("key"), "depth", leaf.alias("leaf"),
                          open_tag.alias("frag"))
