@@ -116,7 +116,7 @@ def q_feature_subset(spark: SparkSession, sf: str) -> DataFrame:
     n_attr = mltrees.num_attributes(0, width)
     subsets = mltrees.draw_features(width, SUBSET_TREES, n_attr, SUBSET_SEED)
     entries = [F.struct(F.lit(t).alias("tree_id"), F.lit(slot).alias("slot"), F.lit(f).alias("feature"),
-                        F.col("embedding")[f].cast("double").alias("value"))
+                        F.get("embedding", f).cast("double").alias("value"))
                for t, idx in enumerate(subsets) for slot, f in enumerate(idx)]
     return (emb.select("vec_id", F.explode(F.array(*entries)).alias("e"))
                .select("vec_id", "e.tree_id", "e.slot", "e.feature", "e.value"))
@@ -332,7 +332,7 @@ def _subspace(spark, sf, task):
     width = emb.select(F.size("embedding").alias("w")).where(F.col("w") > 0).limit(1).first()["w"]
     cols = [f"e{i}" for i in range(width)]
     wide = emb.select("vec_id", F.col("label").cast("double").alias("label"),
-                      *[F.col("embedding")[i].cast("double").alias(cols[i]) for i in range(width)])
+                      *[F.get("embedding", i).cast("double").alias(cols[i]) for i in range(width)])
     train, test = hash_split(wide, ["vec_id"], TRAIN_FRAC)
     if task == "classification":
         models, subsets = mltrees.subspace_ensemble(train, cols, "label", task, 3, 0)

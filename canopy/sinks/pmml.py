@@ -110,7 +110,9 @@ def node_fragments(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
         score = F.regexp_replace(F.col("prediction").cast("string"), r"\.0$", "")
     else:
         names = F.array(*[F.lit(c) for c in meta.classes])
-        score = _xml_attr(F.element_at(names, F.col("prediction").cast("int") + 1))
+        # guard: a NULL index must give no score, not an element
+        score = F.when(F.col("prediction").isNotNull(),
+                       _xml_attr(F.element_at(names, F.col("prediction").cast("int") + 1)))
     count = F.when(F.col("row_count").isNotNull(),
                    F.concat(F.lit(" recordCount=\""), F.col("row_count").cast("string"), F.lit("\"")))
     # every node carries its score (leaves: the answer; inner nodes: the

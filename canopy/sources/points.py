@@ -68,7 +68,7 @@ def parse_points(lines: DataFrame, names: Sequence[str], label: str | int | None
 
     line = F.col(text_col)
     fields = _fields(line)
-    parsed = [parse_double(fields.getItem(i)) for i in range(width)]
+    parsed = [parse_double(F.get(fields, i)) for i in range(width)]  # NULL when short
     ok = F.size(fields) == F.lit(width)
     for p in parsed:
         ok = ok & p.isNotNull()
