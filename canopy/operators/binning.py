@@ -8,10 +8,12 @@ Rule (the same one Spark's tree learner uses for continuous features):
 * a feature with more distinct values gets up to ``max_bins - 1`` cut
   points taken from approximate quantiles of its values.
 
-Cost: one aggregate per feature with mergeable sketches (HLL distinct count
-and a quantile sketch; both combine map-side, output is O(features x bins)),
-plus a distinct-value aggregate only over the features that the sketch says
-are low-cardinality.  Nothing grows with the row count on the driver.
+Cost: two GLOBAL aggregates, no shuffle by key:
+  1. per feature an HLL distinct count and a quantile sketch (both merge
+     map-side; the state is bounded by the sketch accuracy, not the rows),
+     plus max(label) for the class count;
+  2. only for the features the sketch calls low-cardinality, ``collect_set``
+     of the values -- bounded by ~2 x max_bins entries per feature.
 NaN never becomes a candidate (it always goes right); NULL rows are ignored.
 """
 
@@ -22,6 +24,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+QUANTILE_ACCURACY = 10000
+
 
 def melt(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
     """Wide feature columns -> rows (feature index, value), NULLs dropped."""
@@ -32,40 +36,44 @@ def melt(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataF
               .where(F.col("value").isNotNull()))
 
 
-def fit_thresholds(df: DataFrame, cols: Sequence[str], max_bins: int = 100,
-                   accuracy: int = 10000) -> list[list[float]]:
-    """Sorted candidate thresholds for each of ``cols`` (list per feature)."""
+def _clean(c: str) -> Column:
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
+def fit_bins(df: DataFrame, cols: Sequence[str], max_bins: int = 100,
+             label: str | None = None) -> tuple[list[list[float]], float | None]:
+    """(sorted thresholds per feature, max label or None)."""
     if max_bins < 2:
         raise ValueError("max_bins must be >= 2")
     cols = list(cols)
-    vals = melt(df, cols).where(~F.isnan("value"))
     qs = [i / max_bins for i in range(1, max_bins)]
-    sketch = (vals.groupBy("feature")
-                  .agg(F.approx_count_distinct("value", 0.01).alias("nd"),
-                       F.percentile_approx("value", qs, accuracy).alias("cuts"))
-                  .collect())
-    est = {r["feature"]: (r["nd"], r["cuts"]) for r in sketch}
-    low = [f for f, (nd, _) in est.items() if nd <= 2 * max_bins]
+    aggs = []
+    for i, c in enumerate(cols):
+        aggs.append(F.approx_count_distinct(_clean(c), 0.01).alias(f"nd{i}"))
+        aggs.append(F.percentile_approx(_clean(c), qs, QUANTILE_ACCURACY).alias(f"q{i}"))
+    if label is not None:
+        aggs.append(F.max(F.col(label).cast("double")).alias("max_label"))
+    sketch = df.agg(*aggs).first()
+    low = [i for i in range(len(cols)) if sketch[f"nd{i}"] <= 2 * max_bins]
     exact: dict[int, list[float]] = {}
     if low:
-        rows = (vals.where(F.col("feature").isin(low))
-                    .select("feature", "value").distinct()
-                    .groupBy("feature")
-                    .agg(F.sort_array(F.collect_list("value")).alias("vs"))
-                    .collect())
-        exact = {r["feature"]: list(r["vs"]) for r in rows}
+        sets = df.agg(*[F.collect_set(_clean(cols[i])).alias(f"s{i}") for i in low]).first()
+        exact = {i: sorted(sets[f"s{i}"]) for i in low}
     out: list[list[float]] = []
-    for f in range(len(cols)):
-        if f not in est:
-            out.append([])  # all NULL / NaN: no split possible
-            continue
-        vs = exact.get(f)
+    for i in range(len(cols)):
+        vs = exact.get(i)
         if vs is not None and len(vs) <= max_bins:
             out.append([(a + b) / 2.0 for a, b in zip(vs[:-1], vs[1:])])
         else:
-            cuts = sorted(set(float(c) for c in est[f][1]))
-            out.append(cuts)
-    return out
+            cuts = sketch[f"q{i}"] or []
+            out.append(sorted(set(float(c) for c in cuts if c is not None)))
+    return out, (sketch["max_label"] if label is not None else None)
+
+
+def fit_thresholds(df: DataFrame, cols: Sequence[str], max_bins: int = 100) -> list[list[float]]:
+    """Sorted candidate thresholds for each of ``cols`` (list per feature)."""
+    return fit_bins(df, cols, max_bins)[0]
 
 
 def bin_index(value: Column, thresholds: Sequence[float]) -> Column:

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from canopy.operators.binning import bin_index, fit_thresholds
+from canopy.operators.binning import bin_index, fit_bins
 from canopy.operators.splitscan import (CLASSIFICATION, REGRESSION, best_per, candidates,
                                         histogram, num_classes)
 
@@ -98,17 +98,19 @@ def _impurity(task: str, stats: Sequence[float]) -> float | None:
     return (wy2 - (wy * wy) / w) / w
 
 
-def route(nodes: dict[int, _Node], tree_id: int, cols: Sequence[str], node_id: int = 1) -> Column:
-    """Nested CASE giving the id of the node a row is at now (NULL = done)."""
+def route(nodes: dict, tree_id: int, node_id: int = 1) -> Column:
+    """Nested CASE over bin columns giving a row's current node (NULL = done)."""
     node = nodes.get((tree_id, node_id))
     if node is None:
         return F.lit(None).cast("long")
     if node.children is None:
         return F.lit(node_id if node.extra.get("frontier") else None).cast("long")
-    x = F.col(cols[node.feature]).cast("double")
-    left = route(nodes, tree_id, cols, node.children[0])
-    right = route(nodes, tree_id, cols, node.children[1])
-    return F.when(x.isNull(), F.lit(None).cast("long")).when(x <= F.lit(node.threshold), left).otherwise(right)
+    b = F.col(f"__b{node.feature}")
+    left = route(nodes, tree_id, node.children[0])
+    right = route(nodes, tree_id, node.children[1])
+    # x <= threshold[j]  <=>  bin <= j ; NULL value -> NULL bin -> no node
+    return (F.when(b.isNull(), F.lit(None).cast("long"))
+             .when(b <= F.lit(node.extra["split_bin"]), left).otherwise(right))
 
 
 def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -122,24 +124,39 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
     ``prune`` merges two leaf children with the same prediction into their
     parent, bottom-up (as Spark's tree learner does); predictions do not
     change.
+
+    The training rows are binned once and persisted as (label, one weight
+    per tree, one small int bin per feature) -- the compact form every
+    level re-reads; raw feature values are not kept.
     """
     spark: SparkSession = df.sparkSession
     cols = list(cols)
     if specs is None:
         specs = [TreeSpec(0, list(range(len(cols))))]
     keep = list(dict.fromkeys([*cols, label, *carry]))
-    data = df.select(*[F.col(c) for c in keep]).persist(StorageLevel.MEMORY_AND_DISK)
+    data = df.select(*[F.col(c) for c in keep])
+    if thresholds is None:
+        want_label = label if task == CLASSIFICATION and n_classes is None else None
+        thresholds, max_label = fit_bins(data, cols, max_bins, want_label)
+        if want_label is not None:
+            n_classes = int(max_label) + 1 if max_label is not None else 1
+    if task == CLASSIFICATION and n_classes is None:
+        n_classes = num_classes(data, label)
+    used_all = sorted({f for s in specs for f in s.features})
+    binned = data.select(
+        F.col(label).cast("double").alias("label"),
+        *[(s.weight if s.weight is not None else F.lit(1.0)).cast("double").alias(f"__w{s.tree_id}")
+          for s in specs],
+        *[F.when(F.col(cols[f]).isNotNull(), bin_index(F.col(cols[f]).cast("double"), thresholds[f]))
+          .cast("int").alias(f"__b{f}") for f in used_all],
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if thresholds is None:
-            thresholds = fit_thresholds(data, cols, max_bins)
-        if task == CLASSIFICATION and n_classes is None:
-            n_classes = num_classes(data, label)
         nodes: dict[tuple[int, int], _Node] = {}
         frontier = {(s.tree_id, 1) for s in specs}
         for s in specs:
             nodes[(s.tree_id, 1)] = _Node(s.tree_id, 1, 0, [], 0, extra={"frontier": True})
         spec_by_id = {s.tree_id: s for s in specs}
-        bins = {i: bin_index(F.col(c).cast("double"), thresholds[i]) for i, c in enumerate(cols)}
+        stat_names = [f"c{k}" for k in range(n_classes)] if task == CLASSIFICATION else ["w", "wy", "wy2"]
 
         for depth in range(max_depth + 1):
             if not frontier:
@@ -147,21 +164,15 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             if depth == max_depth and depth > 0:
                 break  # leaves: statistics already known from the parent's split
             live = sorted({t for t, _ in frontier})
-            # 1) current node per live tree + bins of the used features
-            used = sorted({f for t in live for f in spec_by_id[t].features})
-            routed = data.select(
-                F.col(label).alias("label"),
-                *[route(nodes, t, cols).alias(f"__n{t}") for t in live],
-                *[(spec_by_id[t].weight if spec_by_id[t].weight is not None else F.lit(1.0))
-                  .cast("double").alias(f"__w{t}") for t in live],
-                *[F.when(F.col(cols[f]).isNotNull(), bins[f]).alias(f"__b{f}") for f in used],
-            )
-            # 2) one struct per (tree, feature) plus a totals entry (feature -1)
+            routed = binned.select("label", *[route(nodes, t).alias(f"__n{t}") for t in live],
+                                   *[f"__w{t}" for t in live], *[f"__b{f}" for f in used_all])
+            # one struct per (tree, feature) plus a totals entry (feature -1)
             entries = []
             for t in live:
-                entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
-                                        F.col(f"__w{t}").alias("weight"), F.lit(-1).alias("feature"),
-                                        F.lit(0).alias("bin")))
+                if depth == 0:
+                    entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
+                                            F.col(f"__w{t}").alias("weight"), F.lit(-1).alias("feature"),
+                                            F.lit(0).alias("bin")))
                 if depth < max_depth:
                     for f in spec_by_id[t].features:
                         entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
@@ -171,17 +182,21 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                           .select("e.tree_id", "e.node_id", "e.feature", "e.bin", "label", "e.weight")
                           .where(F.col("node_id").isNotNull() & F.col("bin").isNotNull()
                                  & (F.col("weight") > 0)))
-            hist = histogram(long, ["tree_id", "node_id"], task, n_classes).persist(StorageLevel.MEMORY_AND_DISK)
-            stat_names = [f"c{k}" for k in range(n_classes)] if task == CLASSIFICATION else ["w", "wy", "wy2"]
-            totals = (hist.where(F.col("feature") == -1)
-                          .select("tree_id", "node_id", F.array(*stat_names).alias("stats"), "n_raw")
-                          .collect())
+            hist = histogram(long, ["tree_id", "node_id"], task, n_classes)
+            totals = []
+            if depth == 0:
+                # root statistics; deeper nodes inherit theirs from the parent's split
+                hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
+                totals = (hist.where(F.col("feature") == -1)
+                              .select("tree_id", "node_id", F.array(*stat_names).alias("stats"), "n_raw")
+                              .collect())
             best_rows = []
             if depth < max_depth:
                 cands = candidates(hist.where(F.col("feature") >= 0), ["tree_id", "node_id"], task,
                                    n_classes, thresholds)
                 best_rows = best_per(cands, ["tree_id", "node_id"]).collect()
-            hist.unpersist()
+            if depth == 0:
+                hist.unpersist()
             best = {(r["tree_id"], r["node_id"]): r for r in best_rows}
             for r in totals:
                 n = nodes[(r["tree_id"], r["node_id"])]
@@ -196,6 +211,7 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                 if b is None or b["gain"] is None or not b["gain"] > min_gain or not imp:
                     continue
                 n.feature, n.threshold, n.gain = int(b["feature"]), float(b["threshold"]), float(b["gain"])
+                n.extra["split_bin"] = int(b["bin"])
                 lid, rid = 2 * n.node_id, 2 * n.node_id + 1
                 n.children = (lid, rid)
                 for cid, side, raw in ((lid, "left_stats", "raw_left"), (rid, "right_stats", "raw_right")):
@@ -204,13 +220,12 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                                                     extra={"frontier": True, "is_left": cid == lid,
                                                            "parent": n.node_id})
                     new_frontier.add((n.tree_id, cid))
-            # nodes that never got rows (e.g. all weight zero) keep empty stats
             frontier = new_frontier
         if prune:
             _prune(nodes, task)
         return _node_table(spark, nodes, cols, task)
     finally:
-        data.unpersist()
+        binned.unpersist()
 
 
 def _prune(nodes: dict, task: str) -> None:

@@ -26,8 +26,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.functions.votes import average_vote, class_probabilities, majority_vote
-
 CASE_LIMIT = 4096        # nodes per tree up to which the CASE form is used
 MAX_NODES = 2_000_000    # refuse to inline models larger than this
 
@@ -124,18 +122,55 @@ def score_nodes(df: DataFrame, nodes: DataFrame, method: str = "auto",
     return df.withColumn(votes, F.array(*tree_columns(trees, method)))
 
 
+def _tree_frame(df: DataFrame, nodes: DataFrame, method: str, max_nodes: int):
+    trees = collect_trees(nodes, max_nodes)
+    cols = tree_columns(trees, method)
+    names = [f"__v{t}" for t in range(len(cols))]
+    # the per-tree CASE trees are projected once; the vote below reads them
+    return df.select("*", *[c.alias(n) for c, n in zip(cols, names)]), [F.col(n) for n in names], names
+
+
+def _int_sum(terms: list[Column]) -> Column:
+    out = terms[0]
+    for t in terms[1:]:
+        out = out + t
+    return out
+
+
 def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str = "auto",
-                    keep_votes: bool = False) -> DataFrame:
-    """I2 + A10 (+ I5): hard majority vote and vote shares."""
-    scored = score_nodes(df, nodes, method)
-    out = scored.withColumn("prediction", majority_vote("votes", n_classes)) \
-                .withColumn("probability", class_probabilities("votes", n_classes))
-    return out if keep_votes else out.drop("votes")
+                    keep_votes: bool = False, max_nodes: int = MAX_NODES) -> DataFrame:
+    """I2 + A10 + I5: hard majority vote (ties -> lowest class) and vote shares.
+
+    Counts per class are plain CASE sums over the per-tree columns, so the
+    whole vote stays in whole-stage codegen (no lambda functions).
+    """
+    scored, v, names = _tree_frame(df, nodes, method, max_nodes)
+    one, zero = F.lit(1), F.lit(0)
+    counts = [_int_sum([F.when(x == F.lit(float(k)), one).otherwise(zero) for x in v])
+              for k in range(n_classes)]
+    valid = _int_sum([F.when(x.isNotNull(), one).otherwise(zero) for x in v])
+    if n_classes == 1:
+        pred = F.when(valid > 0, F.lit(0.0))
+    else:
+        best = F.greatest(*[F.struct(counts[k].alias("n"), F.lit(-k).alias("neg")) for k in range(n_classes)])
+        pred = F.when(valid > 0, (-best["neg"]).cast("double"))
+    prob = F.when(valid > 0, F.array(*[counts[k] / valid for k in range(n_classes)]))
+    out = scored.withColumn("prediction", pred).withColumn("probability", prob)
+    if keep_votes:
+        out = out.withColumn("votes", F.array(*v))
+    return out.drop(*names)
 
 
 def predict_mean(df: DataFrame, nodes: DataFrame, method: str = "auto",
-                 keep_votes: bool = False) -> DataFrame:
-    """I2 + A11: mean of the tree predictions."""
-    scored = score_nodes(df, nodes, method)
-    out = scored.withColumn("prediction", average_vote("votes"))
-    return out if keep_votes else out.drop("votes")
+                 keep_votes: bool = False, max_nodes: int = MAX_NODES) -> DataFrame:
+    """I2 + A11: mean of the non-NULL tree predictions."""
+    scored, v, names = _tree_frame(df, nodes, method, max_nodes)
+    one, zero = F.lit(1), F.lit(0)
+    valid = _int_sum([F.when(x.isNotNull(), one).otherwise(zero) for x in v])
+    total = F.lit(0.0)
+    for x in v:
+        total = total + F.coalesce(x, F.lit(0.0))
+    out = scored.withColumn("prediction", F.when(valid > 0, total / valid))
+    if keep_votes:
+        out = out.withColumn("votes", F.array(*v))
+    return out.drop(*names)

@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.operators.binning import bin_index, fit_thresholds
+from canopy.operators.binning import bin_index, fit_bins
 
 CLASSIFICATION = "classification"
 REGRESSION = "regression"
@@ -148,7 +148,10 @@ def split_scan(df: DataFrame, cols: Sequence[str], label: str = "label", task: s
     """
     cols = list(cols)
     if thresholds is None:
-        thresholds = fit_thresholds(df, cols, max_bins)
+        want = label if task == CLASSIFICATION and n_classes is None else None
+        thresholds, max_label = fit_bins(df, cols, max_bins, want)
+        if want is not None:
+            n_classes = int(max_label) + 1 if max_label is not None else 1
     if task == CLASSIFICATION and n_classes is None:
         n_classes = num_classes(df, label)
     long = long_rows(df, cols, thresholds, label)

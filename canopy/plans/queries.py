@@ -13,12 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.functions.metrics import error_rate, mispredicted, pooled_error_rate, regression_metrics
-from canopy.functions.votes import class_probabilities, majority_vote
 from canopy.models import iris
 from canopy.operators import mltrees
 from canopy.operators.growth import TreeSpec, grow_trees
 from canopy.operators.linear import describe_linear, linear_sgd, predict_linear
-from canopy.operators.nodes import predict_classes, predict_mean, score_nodes
+from canopy.operators.nodes import predict_classes, predict_mean
 from canopy.operators.scaling import fit_standardizer, standardize, standardize_stats
 from canopy.operators.splits import (bernoulli_sample, hash_split, hash_split_counts,
                                      holdout_complement, random_split, union_predictions)
@@ -177,47 +176,43 @@ def q_tree_levels(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------ document forests
 
-def _iris_scored(spark, sf, forest):
+def _iris_voted(spark, sf, forest, keep_votes=False):
     data = iris_like(spark, sf)
-    return score_nodes(data, iris.forest_table(spark, forest))
+    return predict_classes(data, iris.forest_table(spark, forest), 3, keep_votes=keep_votes)
 
 
 def q_score_forest_r(spark: SparkSession, sf: str) -> DataFrame:
     """I4 + A10: hard majority vote of the R-built forest."""
-    s = _iris_scored(spark, sf, iris.R_FOREST)
-    return s.select(*KEYS, majority_vote("votes", 3).alias("prediction"))
+    return _iris_voted(spark, sf, iris.R_FOREST).select(*KEYS, "prediction")
 
 
 def q_score_forest_spark(spark: SparkSession, sf: str) -> DataFrame:
     """I4 + A10: hard majority vote of the Spark-exported forest."""
-    s = _iris_scored(spark, sf, iris.SPARK_FOREST)
-    return s.select(*KEYS, majority_vote("votes", 3).alias("prediction"))
+    return _iris_voted(spark, sf, iris.SPARK_FOREST).select(*KEYS, "prediction")
 
 
 def q_vote_shares(spark: SparkSession, sf: str) -> DataFrame:
     """Share of tree votes per class (R-built forest)."""
-    s = _iris_scored(spark, sf, iris.R_FOREST)
-    p = class_probabilities("votes", 3)
-    return s.select(*KEYS, *[F.round(p[i], 12).alias(f"p_{c}") for i, c in enumerate(iris.CLASSES)])
+    p = F.col("probability")
+    return _iris_voted(spark, sf, iris.R_FOREST).select(
+        *KEYS, *[F.round(p[i], 12).alias(f"p_{c}") for i, c in enumerate(iris.CLASSES)])
 
 
 def _per_tree(spark, sf):
-    s = _iris_scored(spark, sf, iris.R_FOREST)
+    s = _iris_voted(spark, sf, iris.R_FOREST, keep_votes=True)
     parts = [(t, s.select(*KEYS, "label", F.col("votes")[t].alias("prediction"))) for t in range(3)]
     return union_predictions(parts)
 
 
 def q_mispredicted_rows(spark: SparkSession, sf: str) -> DataFrame:
     """rows whose voted class differs from the return-flag class."""
-    s = _iris_scored(spark, sf, iris.R_FOREST)
-    v = s.select(*KEYS, "label", majority_vote("votes", 3).alias("prediction"))
+    v = _iris_voted(spark, sf, iris.R_FOREST).select(*KEYS, "label", "prediction")
     return mispredicted(v)
 
 
 def q_error_rate(spark: SparkSession, sf: str) -> DataFrame:
     """A1 + A7: error of the voted class over all rows."""
-    s = _iris_scored(spark, sf, iris.R_FOREST)
-    v = s.select("label", majority_vote("votes", 3).alias("prediction"))
+    v = _iris_voted(spark, sf, iris.R_FOREST).select("label", "prediction")
     return error_rate(v).select("n_test", "n_wrong", _r("error_rate", 12))
 
 
@@ -277,8 +272,7 @@ def q_pmml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "pmml")
     write_pmml(forest_to_pmml(iris.forest_table(spark, iris.R_FOREST), meta), path)
     nodes, meta2 = forest_from_pmml(spark, path)
-    s = score_nodes(iris_like(spark, sf), nodes)
-    return s.select(*KEYS, majority_vote("votes", len(meta2.classes)).alias("prediction"))
+    return predict_classes(iris_like(spark, sf), nodes, len(meta2.classes)).select(*KEYS, "prediction")
 
 
 def q_pmml_nodes(spark: SparkSession, sf: str) -> DataFrame:
