@@ -56,7 +56,11 @@ def lineitem_price(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def iris_like(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
+    return iris_frame(table(spark, sf_dir, "lineitem"))
+
+
+def iris_frame(li: DataFrame) -> DataFrame:
+    """lineitem rows (batch or stream) -> Iris-range features + flag label."""
     lit = F.lit
     return li.select(
         *KEYS,

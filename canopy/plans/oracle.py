@@ -385,4 +385,5 @@ ORACLE_SQL = {
     "predict_linear": PREDICT_LINEAR,
     "pmml_roundtrip": SCORE_R,
     "pmml_nodes": PMML_NODES,
+    "stream_scores": SCORE_R,
 }

@@ -22,7 +22,7 @@ from canopy.operators.scaling import fit_standardizer, standardize, standardize_
 from canopy.operators.splits import (bernoulli_sample, hash_split, hash_split_counts,
                                      holdout_complement, random_split, union_predictions)
 from canopy.operators.splitscan import gini_split_scan, variance_split_scan
-from canopy.plans.inputs import (FEATURES, KEYS, LINEAR_TRAIN_FRAC, TRAIN_FRAC, iris_like,
+from canopy.plans.inputs import (FEATURES, KEYS, LINEAR_TRAIN_FRAC, TRAIN_FRAC, iris_frame, iris_like,
                                  lineitem_binary, lineitem_flags, lineitem_price, table)
 from canopy.session import scratch_path
 from canopy.sinks.pmml import ModelMeta, forest_to_pmml, write_pmml
@@ -286,6 +286,16 @@ def q_pmml_nodes(spark: SparkSession, sf: str) -> DataFrame:
                        "row_count")
 
 
+def q_stream_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """I4 + A10 on a stream: lineitem files as a file stream, scored per
+    micro-batch, drained into a parquet sink with a checkpoint."""
+    from canopy.streaming.scoring import read_stream, run_to_table, score_stream
+    li = table(spark, sf, "lineitem")
+    stream = iris_frame(read_stream(spark, f"{sf.rstrip('/')}/lineitem.parquet", li))
+    scored = score_stream(stream, iris.forest_table(spark, iris.R_FOREST), 3)
+    return run_to_table(spark, scored.select(*KEYS, "prediction"))
+
+
 # ------------------------------------------------------------ ml learners (M1-M6 M14), rows-only
 
 def _flags_split(spark, sf):
@@ -384,6 +394,7 @@ QUERIES = {
     "predict_linear": q_predict_linear,
     "pmml_roundtrip": q_pmml_roundtrip,
     "pmml_nodes": q_pmml_nodes,
+    "stream_scores": q_stream_scores,
     # no SQL form: rows-only
     "random_split_counts": q_random_split_counts,
     "tree_classify": q_tree_classify,
