@@ -2,7 +2,8 @@
 
 Each job: read labelled rows -> reproducible split -> fit -> node table ->
 score the hold-out part -> ONE aggregate for the report.  Reports are
-one-row DataFrames (K2) and can be written with ``write_report``.
+one-row DataFrames (K2) and can be written with
+``canopy.sinks.reports.write_report``.
 """
 
 from __future__ import annotations
@@ -126,7 +127,3 @@ def linear_regression_job(df: DataFrame, cols: Sequence[str], label: str = "labe
     pred = predict_linear(standardize(test, stats), model)
     return JobResult(None, pred, regression_metrics(pred, "prediction", label))
 
-
-def write_report(report: DataFrame, path: str) -> None:
-    """K2: persist a one-row report as parquet."""
-    report.coalesce(1).write.mode("overwrite").parquet(path)

@@ -190,6 +190,20 @@ TREE_LEVELS = _tree_levels_body() + """
 SELECT 0 AS tree_id, node_id, depth, feature_name, threshold, prediction, row_count, round(gain, 12) AS gain
 FROM nodes"""
 
+DESCRIBE_TREE = _tree_levels_body() + """,
+kids AS (SELECT DISTINCT node_id // 2 AS pid FROM nodes WHERE node_id > 1),
+lines AS (
+  SELECT bin(node_id) AS k,
+         repeat(' ', depth + 1) || CASE WHEN node_id IN (SELECT pid FROM kids)
+              THEN 'If (' || feature_name || ' <= ' || CAST(threshold AS VARCHAR) || ')'
+              ELSE 'Predict: ' || CAST(prediction AS VARCHAR) END AS line
+  FROM nodes
+  UNION ALL
+  SELECT bin(node_id) || '0~', repeat(' ', depth + 1) || 'Else (' || feature_name || ' > '
+         || CAST(threshold AS VARCHAR) || ')'
+  FROM nodes WHERE node_id IN (SELECT pid FROM kids))
+SELECT 0 AS tree_id, CAST(row_number() OVER (ORDER BY k) AS INTEGER) AS line_no, line FROM lines"""
+
 PMML_NODES = _tree_levels_body() + """
 SELECT 0 AS tree_id, node_id, depth, feature_name, threshold, prediction, row_count FROM nodes"""
 
@@ -386,4 +400,5 @@ ORACLE_SQL = {
     "pmml_roundtrip": SCORE_R,
     "pmml_nodes": PMML_NODES,
     "stream_scores": SCORE_R,
+    "describe_tree": DESCRIBE_TREE,
 }

@@ -286,6 +286,12 @@ def q_pmml_nodes(spark: SparkSession, sf: str) -> DataFrame:
                        "row_count")
 
 
+def q_describe_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """K3: indented If / Else / Predict text of the depth-2 tree."""
+    from canopy.sinks.reports import describe_forest
+    return describe_forest(tree_levels_nodes(spark, sf))
+
+
 def q_stream_scores(spark: SparkSession, sf: str) -> DataFrame:
     """I4 + A10 on a stream: lineitem files as a file stream, scored per
     micro-batch, drained into a parquet sink with a checkpoint."""
@@ -395,6 +401,7 @@ QUERIES = {
     "pmml_roundtrip": q_pmml_roundtrip,
     "pmml_nodes": q_pmml_nodes,
     "stream_scores": q_stream_scores,
+    "describe_tree": q_describe_tree,
     # no SQL form: rows-only
     "random_split_counts": q_random_split_counts,
     "tree_classify": q_tree_classify,
