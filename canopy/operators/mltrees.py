@@ -63,20 +63,28 @@ def draw_features(n_features: int, n_trees: int, n_attributes: int, seed: int =
     return out
 
 
-def _vec(df: DataFrame, cols: Sequence[str], label: str, carry: Sequence[str] = ()) -> DataFrame:
-    base = df.select(F.col(label).cast("double").alias("label"), *[F.col(c) for c in cols],
-                     *[F.col(c) for c in carry])
+def _vec(df: DataFrame, cols: Sequence[str], label: str, carry: Sequence[str] = (),
+         n_classes: int | None = None) -> DataFrame:
+    y = F.col(label).cast("double")
+    if n_classes:
+        # nominal label metadata: the learner takes the class count from it
+        # instead of running its own pass over the data for max(label)
+        y = y.alias("label", metadata={"ml_attr": {"type": "nominal", "num_vals": int(n_classes)}})
+    else:
+        y = y.alias("label")
+    base = df.select(y, *[F.col(c) for c in cols], *[F.col(c) for c in carry])
     return assemble(base, cols).select("label", "features", *carry)
 
 
 def tree_classify(df: DataFrame, cols: Sequence[str], label: str = "label",
                   max_depth: int = DEFAULT_DEPTH, max_bins: int = DEFAULT_BINS,
-                  impurity: str = "gini", weight_col: str | None = None):
-    """M1: one classification tree (classes = distinct label values 0..k-1)."""
+                  impurity: str = "gini", weight_col: str | None = None,
+                  n_classes: int | None = None):
+    """M1: one classification tree (classes 0..k-1; k from the data unless given)."""
     est = DecisionTreeClassifier(maxDepth=max_depth, maxBins=max_bins, impurity=impurity)
     if weight_col:
         est.setWeightCol(weight_col)
-    return est.fit(_vec(df, cols, label, [weight_col] if weight_col else []))
+    return est.fit(_vec(df, cols, label, [weight_col] if weight_col else [], n_classes))
 
 
 def tree_regress(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -89,11 +97,11 @@ def tree_regress(df: DataFrame, cols: Sequence[str], label: str = "label",
 def forest_classify(df: DataFrame, cols: Sequence[str], label: str = "label",
                     trees: int = DEFAULT_TREES, subset: str = "sqrt",
                     max_depth: int = DEFAULT_DEPTH, max_bins: int = DEFAULT_BINS,
-                    seed: int = FOREST_SEED):
+                    seed: int = FOREST_SEED, n_classes: int | None = None):
     """M3: random forest classifier (bootstrap + per-node feature subsets)."""
     return RandomForestClassifier(numTrees=num_trees(trees), featureSubsetStrategy=subset,
                                   impurity="gini", maxDepth=max_depth, maxBins=max_bins,
-                                  seed=seed).fit(_vec(df, cols, label))
+                                  seed=seed).fit(_vec(df, cols, label, (), n_classes))
 
 
 def forest_regress(df: DataFrame, cols: Sequence[str], label: str = "label",

@@ -311,7 +311,7 @@ def _flags_split(spark, sf):
 def q_tree_classify(spark: SparkSession, sf: str) -> DataFrame:
     """M1 + I1 + A1: Spark decision tree (gini, depth 5, 100 bins), hold-out error."""
     train, test = hash_split(lineitem_binary(spark, sf), KEYS, TRAIN_FRAC)
-    model = mltrees.tree_classify(train, FEATURES)
+    model = mltrees.tree_classify(train, FEATURES, n_classes=2)
     nodes = mltrees.forest_nodes(model, FEATURES)
     return error_rate(predict_classes(test, nodes, 2))
 
@@ -326,7 +326,7 @@ def q_tree_regress(spark: SparkSession, sf: str) -> DataFrame:
 def q_forest_classify(spark: SparkSession, sf: str) -> DataFrame:
     """M3 + E1 + I4 + A10: Spark random forest, hard majority vote per hold-out row."""
     train, test = _flags_split(spark, sf)
-    nodes = mltrees.forest_nodes(mltrees.forest_classify(train, FEATURES), FEATURES)
+    nodes = mltrees.forest_nodes(mltrees.forest_classify(train, FEATURES, n_classes=3), FEATURES)
     return predict_classes(test, nodes, 3).select(*KEYS, "label", "prediction")
 
 
