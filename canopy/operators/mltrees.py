@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.operators.growth import NODE_SCHEMA
-from canopy.session import scratch_path
+from canopy.session import scratch_path, ship_package
 from canopy.sources.points import assemble
 
 # Fixed settings of the original jobs.
@@ -163,6 +163,7 @@ def forest_nodes(model, cols: Sequence[str], tree_id: int = 0,
     (for trees fitted on a slice of the features).
     """
     spark = SparkSession.active()
+    ship_package(spark)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
     raw = spark.read.parquet(f"{path}/data")

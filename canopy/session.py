@@ -49,6 +49,39 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``canopy`` importable in Python workers (pandas UDF steps).
+
+    Zips the package the driver imported and registers it with
+    ``addPyFile`` once per SparkContext -- the same as ``--py-files``; Spark
+    copies it to every executor, so nothing depends on the executors'
+    working directory or a shared local path.
+    """
+    import zipfile
+
+    import canopy
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(canopy.__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="canopy-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as zf:
+        for base, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    _SHIPPED.add(app)
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh path below the shared checkpoint folder (model saves, tables)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -24,6 +24,8 @@ from xml.sax.saxutils import quoteattr
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canopy.session import ship_package
+
 NS = "http://www.dmg.org/PMML-4_2"
 
 # ---- fixed values --------------------------------------------------------
@@ -137,6 +139,7 @@ def forest_to_pmml(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
     (one group = one tree = bounded number of nodes) and joined in tree
     order; the final document is one row.
     """
+    ship_package(nodes.sparkSession)
     frags = node_fragments(nodes, meta)
     function = "regression" if meta.regression else "classification"
     method = "average" if meta.regression else "majorityVote"

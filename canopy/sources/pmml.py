@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.operators.growth import NODE_SCHEMA
+from canopy.session import ship_package
 from canopy.sinks.pmml import ModelMeta
 
 META_SCHEMA = T.StructType([
@@ -147,6 +148,7 @@ def pmml_nodes(docs: DataFrame, text_col: str = "value") -> DataFrame:
                 out.extend(parse_document(text, p)[1])
             yield pd.DataFrame(out, columns=DOC_SCHEMA.fieldNames())
 
+    ship_package(docs.sparkSession)
     src = docs if "path" in docs.columns else docs.withColumn("path", F.lit(""))
     return src.select("path", text_col).mapInPandas(parse, DOC_SCHEMA)
 
@@ -163,6 +165,7 @@ def pmml_meta(docs: DataFrame, text_col: str = "value") -> DataFrame:
                 out.append((p, m["features"], m["label"], m["classes"], m["regression"]))
             yield pd.DataFrame(out, columns=META_SCHEMA.fieldNames())
 
+    ship_package(docs.sparkSession)
     return docs.select("path", text_col).mapInPandas(parse, META_SCHEMA)
 
 
