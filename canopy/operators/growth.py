@@ -28,8 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.operators.binning import bin_index, fit_bins
-from canopy.operators.splitscan import (CLASSIFICATION, REGRESSION, best_per, candidates,
-                                        histogram, num_classes)
+from canopy.operators.splitscan import CLASSIFICATION, best_per, candidates, histogram, num_classes
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType(), False),
@@ -113,6 +112,37 @@ def route(nodes: dict, tree_id: int, node_id: int = 1) -> Column:
              .when(b <= F.lit(node.extra["split_bin"]), left).otherwise(right))
 
 
+ROUTE_CASE_LIMIT = 1024   # nodes per tree up to which routing is a nested CASE
+
+
+def route_walk(nodes: dict, tree_id: int, depth: int, used: Sequence[int]) -> Column:
+    """Routing for large partial trees: walk ``depth`` steps from the root
+    with the splits held in map literals (expression size linear in nodes)."""
+    splits = [(nid, n.feature, n.extra["split_bin"]) for (t, nid), n in nodes.items()
+              if t == tree_id and n.children is not None]
+    live = [nid for (t, nid), n in nodes.items()
+            if t == tree_id and n.children is None and n.extra.get("frontier")]
+    slot = {f: i for i, f in enumerate(used)}
+    empty = "CAST(map() AS map<bigint,int>)"
+    fmap = F.expr("map(" + ", ".join(f"{nid}L, {slot[f]}" for nid, f, _ in splits) + ")" if splits else empty)
+    bmap = F.expr("map(" + ", ".join(f"{nid}L, {b}" for nid, _, b in splits) + ")" if splits else empty)
+    bins = F.array(*[F.col(f"__b{f}") for f in used])
+    frontier = F.expr("array(" + ", ".join(f"{nid}L" for nid in live) + ")") if live \
+        else F.expr("array(-1L)")
+
+    def step(n, _):
+        f = F.element_at(fmap, n)
+        b = F.get(bins, f)
+        return (F.when(n.isNull(), F.lit(None).cast("long"))
+                 .when(f.isNull(), n)
+                 .when(b.isNull(), F.lit(None).cast("long"))
+                 .when(b <= F.element_at(bmap, n), n * 2)
+                 .otherwise(n * 2 + 1))
+
+    end = F.aggregate(F.sequence(F.lit(1), F.lit(max(depth, 1))), F.lit(1).cast("long"), step)
+    return F.when(F.array_contains(frontier, end), end)
+
+
 def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                task: str = CLASSIFICATION, specs: Sequence[TreeSpec] | None = None,
                max_depth: int = 5, max_bins: int = 100, n_classes: int | None = None,
@@ -164,7 +194,10 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             if depth == max_depth and depth > 0:
                 break  # leaves: statistics already known from the parent's split
             live = sorted({t for t, _ in frontier})
-            routed = binned.select("label", *[route(nodes, t).alias(f"__n{t}") for t in live],
+            size = {t: sum(1 for (tt, _) in nodes if tt == t) for t in live}
+            routes = [(route(nodes, t) if size[t] <= ROUTE_CASE_LIMIT
+                       else route_walk(nodes, t, depth, used_all)).alias(f"__n{t}") for t in live]
+            routed = binned.select("label", *routes,
                                    *[f"__w{t}" for t in live], *[f"__b{f}" for f in used_all])
             # one struct per (tree, feature) plus a totals entry (feature -1)
             entries = []

@@ -19,8 +19,7 @@ import pandas as pd
 from pyspark.ml.classification import (DecisionTreeClassificationModel, DecisionTreeClassifier,
                                        RandomForestClassificationModel, RandomForestClassifier)
 from pyspark.ml.feature import VectorSlicer
-from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegressor,
-                                   RandomForestRegressionModel, RandomForestRegressor)
+from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

@@ -88,7 +88,6 @@ def walk_expr(tree: dict[int, dict]) -> Column:
     right = _arr([pos[tree[i]["right_id"]] if tree[i]["right_id"] is not None else -1 for i in ids], "int")
     pred = _arr([tree[i]["prediction"] for i in ids], "double")
     x = F.array(*[_c(nm).cast("double") for nm in names]) if names else F.array().cast("array<double>")
-    depth = 0
     # depth of the tree from heap ids when available, else node count bound
     depth = max(int(i).bit_length() for i in ids) if all(i >= 1 for i in ids) else len(ids)
     start = F.lit(pos[_root(tree)])

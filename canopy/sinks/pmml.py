@@ -50,11 +50,6 @@ def _q(s: str) -> str:
     return quoteattr(str(s))
 
 
-def _num(x: float) -> str:
-    r = repr(float(x))
-    return r[:-2] if r.endswith(".0") else r
-
-
 def _header(meta: ModelMeta) -> str:
     fields = [f"<DataField name={_q(f)} optype=\"continuous\" dataType=\"double\"/>" for f in meta.features]
     if meta.regression:
@@ -126,10 +121,9 @@ def node_fragments(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
                          open_tag.alias("frag"))
 
 
-def _close_tags(prev_depth: int, depth: int, prev_leaf: bool) -> str:
-    # close the previous node and every ancestor deeper than or at `depth`
-    n = (prev_depth - depth + 1)
-    return "</Node>" * max(n, 0)
+def _close_tags(prev_depth: int, depth: int) -> str:
+    # close the previous node and every ancestor at or below `depth`
+    return "</Node>" * max(prev_depth - depth + 1, 0)
 
 
 def forest_to_pmml(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
@@ -152,7 +146,7 @@ def forest_to_pmml(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
         prev = None
         for r in pdf.itertuples(index=False):
             if prev is not None:
-                parts.append(_close_tags(prev, int(r.depth), False))
+                parts.append(_close_tags(prev, int(r.depth)))
             parts.append(r.frag)
             prev = int(r.depth)
         if prev is not None:

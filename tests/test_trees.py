@@ -84,3 +84,13 @@ def test_sizing_rules():
     assert mltrees.num_attributes(5, 50) == 5 and mltrees.num_attributes(9, 4) == 4
     subs = mltrees.draw_features(10, 3, 4, seed=7)
     assert all(len(set(s)) == 4 for s in subs) and subs == mltrees.draw_features(10, 3, 4, seed=7)
+
+
+def test_walk_routing_equals_case_routing(spark, monkeypatch):
+    import canopy.operators.growth as G
+    df = lineitem_flags(spark, SF_SMALL)
+    cols = ["tree_id", "node_id", "feature_name", "threshold", "prediction", "row_count"]
+    a = G.grow_trees(df, FEATURES, max_depth=4).select(*cols).collect()
+    monkeypatch.setattr(G, "ROUTE_CASE_LIMIT", 0)
+    b = G.grow_trees(df, FEATURES, max_depth=4).select(*cols).collect()
+    assert sorted(a) == sorted(b) and len(a) > 7
