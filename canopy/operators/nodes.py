@@ -36,12 +36,13 @@ def _c(name: str) -> Column:
 
 def collect_trees(nodes: DataFrame, max_nodes: int = MAX_NODES) -> dict[int, dict[int, dict]]:
     """Node table -> {tree_id: {node_id: row-dict}} after a size check."""
-    n = nodes.count()
-    if n > max_nodes:
-        raise ValueError(f"model has {n} nodes; more than max_nodes={max_nodes}")
+    # one bounded job: at most max_nodes + 1 rows ever reach the driver
+    rows = (nodes.select("tree_id", "node_id", "feature_name", "threshold", "left_id",
+                         "right_id", "prediction").limit(max_nodes + 1).collect())
+    if len(rows) > max_nodes:
+        raise ValueError(f"model has more than max_nodes={max_nodes} nodes")
     trees: dict[int, dict[int, dict]] = {}
-    for r in nodes.select("tree_id", "node_id", "feature_name", "threshold", "left_id",
-                          "right_id", "prediction").collect():
+    for r in rows:
         trees.setdefault(int(r["tree_id"]), {})[int(r["node_id"])] = r.asDict()
     return trees
 
