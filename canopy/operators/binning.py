@@ -21,6 +21,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -95,3 +98,34 @@ def bin_index(value: Column, thresholds: Sequence[float]) -> Column:
         return F.when(F.lit(thr[mid]) < value, search(mid + 1, hi)).otherwise(search(lo, mid))
 
     return search(0, len(thr))
+
+
+def add_bins(df: DataFrame, cols: Sequence[str], thresholds: Sequence[Sequence[float]],
+             names: Sequence[str], keep: Sequence[str]) -> DataFrame:
+    """``keep`` columns + one INT bin column per feature (``names``).
+
+    Same bins as ``bin_index`` (number of thresholds below the value; NaN in
+    the last bin; NULL stays NULL), computed by ``Bucketizer`` -- a binary
+    search inside the JVM whose plan size does not grow with the number of
+    thresholds, so hundreds of features x bins stay cheap to plan and run.
+    Bucket boundaries are the next double above each threshold, so the
+    half-open buckets [s_i, s_i+1) hold exactly the values x with
+    thresholds[i-1] < x <= thresholds[i].
+    """
+    xs = [f"__x{i}" for i in range(len(cols))]
+    base = df.select(*keep, *[F.col(c).cast("double").alias(x) for c, x in zip(cols, xs)])
+    split_idx = [i for i, th in enumerate(thresholds) if th]
+    if split_idx:
+        splits = [[-math.inf] + [math.nextafter(float(t), math.inf) for t in thresholds[i]] + [math.inf]
+                  for i in split_idx]
+        base = Bucketizer(splitsArray=splits, inputCols=[xs[i] for i in split_idx],
+                          outputCols=[f"__k{i}" for i in split_idx], handleInvalid="keep").transform(base)
+    bins = []
+    for i in range(len(cols)):
+        if thresholds[i]:
+            # NaN lands in Bucketizer's extra bucket; fold it into the last bin
+            b = F.least(F.col(f"__k{i}").cast("int"), F.lit(len(thresholds[i])))
+        else:
+            b = F.when(F.col(xs[i]).isNotNull(), F.lit(0))
+        bins.append(b.alias(names[i]))
+    return base.select(*keep, *bins)

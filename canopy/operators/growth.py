@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from canopy.operators.binning import bin_index, fit_bins
+from canopy.operators.binning import add_bins, fit_bins
 from canopy.operators.splitscan import CLASSIFICATION, best_per, candidates, histogram, num_classes
 
 NODE_SCHEMA = T.StructType([
@@ -97,19 +97,26 @@ def _impurity(task: str, stats: Sequence[float]) -> float | None:
     return (wy2 - (wy * wy) / w) / w
 
 
-def route(nodes: dict, tree_id: int, node_id: int = 1) -> Column:
-    """Nested CASE over bin columns giving a row's current node (NULL = done)."""
+def _route_sql(nodes: dict, tree_id: int, node_id: int) -> str:
     node = nodes.get((tree_id, node_id))
-    if node is None:
-        return F.lit(None).cast("long")
+    if node is None or (node.children is None and not node.extra.get("frontier")):
+        return "CAST(NULL AS BIGINT)"
     if node.children is None:
-        return F.lit(node_id if node.extra.get("frontier") else None).cast("long")
-    b = F.col(f"__b{node.feature}")
-    left = route(nodes, tree_id, node.children[0])
-    right = route(nodes, tree_id, node.children[1])
+        return f"{node_id}L"
+    b = f"__b{node.feature}"
+    left = _route_sql(nodes, tree_id, node.children[0])
+    right = _route_sql(nodes, tree_id, node.children[1])
     # x <= threshold[j]  <=>  bin <= j ; NULL value -> NULL bin -> no node
-    return (F.when(b.isNull(), F.lit(None).cast("long"))
-             .when(b <= F.lit(node.extra["split_bin"]), left).otherwise(right))
+    return (f"CASE WHEN {b} IS NULL THEN CAST(NULL AS BIGINT) "
+            f"WHEN {b} <= {node.extra['split_bin']} THEN {left} ELSE {right} END")
+
+
+def route(nodes: dict, tree_id: int, node_id: int = 1) -> Column:
+    """Nested CASE over bin columns giving a row's current node (NULL = done).
+
+    Built as SQL text: one expression object per tree, however many nodes.
+    """
+    return F.expr(_route_sql(nodes, tree_id, node_id))
 
 
 ROUTE_CASE_LIMIT = 1024   # nodes per tree up to which routing is a nested CASE
@@ -173,13 +180,15 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
     if task == CLASSIFICATION and n_classes is None:
         n_classes = num_classes(data, label)
     used_all = sorted({f for s in specs for f in s.features})
-    binned = data.select(
+    weights = [f"__w{s.tree_id}" for s in specs]
+    pre = data.select(
         F.col(label).cast("double").alias("label"),
         *[(s.weight if s.weight is not None else F.lit(1.0)).cast("double").alias(f"__w{s.tree_id}")
           for s in specs],
-        *[F.when(F.col(cols[f]).isNotNull(), bin_index(F.col(cols[f]).cast("double"), thresholds[f]))
-          .cast("int").alias(f"__b{f}") for f in used_all],
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+        *[F.col(cols[f]) for f in used_all])
+    binned = add_bins(pre, [cols[f] for f in used_all], [thresholds[f] for f in used_all],
+                      [f"__b{f}" for f in used_all], ["label", *weights]
+                      ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         nodes: dict[tuple[int, int], _Node] = {}
         frontier = {(s.tree_id, 1) for s in specs}
@@ -243,7 +252,8 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                 imp = _impurity(task, n.stats) if n.stats else None
                 if b is None or b["gain"] is None or not b["gain"] > min_gain or not imp:
                     continue
-                n.feature, n.threshold, n.gain = int(b["feature"]), float(b["threshold"]), float(b["gain"])
+                n.feature, n.gain = int(b["feature"]), float(b["gain"])
+                n.threshold = float(thresholds[n.feature][int(b["bin"])])
                 n.extra["split_bin"] = int(b["bin"])
                 lid, rid = 2 * n.node_id, 2 * n.node_id + 1
                 n.children = (lid, rid)

@@ -31,7 +31,7 @@ MAX_NODES = 2_000_000    # refuse to inline models larger than this
 
 
 def _c(name: str) -> Column:
-    return F.col(f"`{name}`")
+    return F.col("`" + name.replace("`", "``") + "`")
 
 
 def collect_trees(nodes: DataFrame, max_nodes: int = MAX_NODES) -> dict[int, dict[int, dict]]:
@@ -55,18 +55,27 @@ def _root(tree: dict[int, dict]) -> int:
     return roots[0]
 
 
-def case_expr(tree: dict[int, dict], node_id: int | None = None) -> Column:
-    """I4 (case): nested CASE for one tree; NULL feature -> NULL."""
-    if node_id is None:
-        node_id = _root(tree)
+def _lit_double(v) -> str:
+    return "CAST(NULL AS DOUBLE)" if v is None else f"{float(v)!r}D"
+
+
+def _case_sql(tree: dict[int, dict], node_id: int) -> str:
     n = tree[node_id]
     if n["left_id"] is None:
-        p = n["prediction"]
-        return F.lit(None if p is None else float(p)).cast("double")
-    x = _c(n["feature_name"]).cast("double")
-    return (F.when(x.isNull(), F.lit(None).cast("double"))
-             .when(x <= F.lit(float(n["threshold"])), case_expr(tree, n["left_id"]))
-             .otherwise(case_expr(tree, n["right_id"])))
+        return _lit_double(n["prediction"])
+    name = n["feature_name"].replace("`", "``")
+    x = f"CAST(`{name}` AS DOUBLE)"
+    return (f"CASE WHEN {x} IS NULL THEN CAST(NULL AS DOUBLE) "
+            f"WHEN {x} <= {_lit_double(n['threshold'])} THEN {_case_sql(tree, n['left_id'])} "
+            f"ELSE {_case_sql(tree, n['right_id'])} END")
+
+
+def case_expr(tree: dict[int, dict], node_id: int | None = None) -> Column:
+    """I4 (case): nested CASE for one tree; NULL feature -> NULL.
+
+    Written as SQL text so a tree costs one expression object to build.
+    """
+    return F.expr(_case_sql(tree, _root(tree) if node_id is None else node_id))
 
 
 def _arr(values: Sequence, kind: str) -> Column:
@@ -130,13 +139,6 @@ def _tree_frame(df: DataFrame, nodes: DataFrame, method: str, max_nodes: int):
     return df.select("*", *[c.alias(n) for c, n in zip(cols, names)]), [F.col(n) for n in names], names
 
 
-def _int_sum(terms: list[Column]) -> Column:
-    out = terms[0]
-    for t in terms[1:]:
-        out = out + t
-    return out
-
-
 def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str = "auto",
                     keep_votes: bool = False, max_nodes: int = MAX_NODES) -> DataFrame:
     """I2 + A10 + I5: hard majority vote (ties -> lowest class) and vote shares.
@@ -145,32 +147,29 @@ def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str
     whole vote stays in whole-stage codegen (no lambda functions).
     """
     scored, v, names = _tree_frame(df, nodes, method, max_nodes)
-    one, zero = F.lit(1), F.lit(0)
-    counts = [_int_sum([F.when(x == F.lit(float(k)), one).otherwise(zero) for x in v])
+    counts = ["(" + " + ".join(f"CASE WHEN {n} = {float(k)!r}D THEN 1 ELSE 0 END" for n in names) + ")"
               for k in range(n_classes)]
-    valid = _int_sum([F.when(x.isNotNull(), one).otherwise(zero) for x in v])
+    valid = "(" + " + ".join(f"CASE WHEN {n} IS NOT NULL THEN 1 ELSE 0 END" for n in names) + ")"
     if n_classes == 1:
-        pred = F.when(valid > 0, F.lit(0.0))
+        pred = f"CASE WHEN {valid} > 0 THEN 0.0D END"
     else:
-        best = F.greatest(*[F.struct(counts[k].alias("n"), F.lit(-k).alias("neg")) for k in range(n_classes)])
-        pred = F.when(valid > 0, (-best["neg"]).cast("double"))
-    prob = F.when(valid > 0, F.array(*[counts[k] / valid for k in range(n_classes)]))
-    out = scored.withColumn("prediction", pred).withColumn("probability", prob)
+        best = "greatest(" + ", ".join(f"named_struct('n', {c}, 'neg', {-k})" for k, c in enumerate(counts)) + ")"
+        pred = f"CASE WHEN {valid} > 0 THEN CAST(-({best}).neg AS DOUBLE) END"
+    prob = f"CASE WHEN {valid} > 0 THEN array({', '.join(f'{c} / {valid}' for c in counts)}) END"
+    cols = [_c(c) for c in df.columns] + [F.expr(pred).alias("prediction"), F.expr(prob).alias("probability")]
     if keep_votes:
-        out = out.withColumn("votes", F.array(*v))
-    return out.drop(*names)
+        cols.append(F.array(*v).alias("votes"))
+    return scored.select(*cols)
 
 
 def predict_mean(df: DataFrame, nodes: DataFrame, method: str = "auto",
                  keep_votes: bool = False, max_nodes: int = MAX_NODES) -> DataFrame:
     """I2 + A11: mean of the non-NULL tree predictions."""
     scored, v, names = _tree_frame(df, nodes, method, max_nodes)
-    one, zero = F.lit(1), F.lit(0)
-    valid = _int_sum([F.when(x.isNotNull(), one).otherwise(zero) for x in v])
-    total = F.lit(0.0)
-    for x in v:
-        total = total + F.coalesce(x, F.lit(0.0))
-    out = scored.withColumn("prediction", F.when(valid > 0, total / valid))
+    valid = "(" + " + ".join(f"CASE WHEN {n} IS NOT NULL THEN 1 ELSE 0 END" for n in names) + ")"
+    total = "(0.0D" + "".join(f" + coalesce({n}, 0.0D)" for n in names) + ")"
+    cols = [_c(c) for c in df.columns] + [F.expr(f"CASE WHEN {valid} > 0 THEN {total} / {valid} END")
+                                             .alias("prediction")]
     if keep_votes:
-        out = out.withColumn("votes", F.array(*v))
-    return out.drop(*names)
+        cols.append(F.array(*v).alias("votes"))
+    return scored.select(*cols)

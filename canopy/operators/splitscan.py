@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.operators.binning import bin_index, fit_bins
+from canopy.operators.binning import add_bins, fit_bins
 
 CLASSIFICATION = "classification"
 REGRESSION = "regression"
@@ -83,37 +83,54 @@ def impurity_of(task: str, cols: Sequence[Column]) -> Column:
     return variance(cols[1], cols[2], n)
 
 
+def _sql_weight(task: str, xs: Sequence[str]) -> str:
+    return "(" + " + ".join(xs) + ")" if task == CLASSIFICATION else xs[0]
+
+
+def _sql_impurity(task: str, xs: Sequence[str]) -> str:
+    n = _sql_weight(task, xs)
+    if task == CLASSIFICATION:
+        e = "1.0D"
+        for x in xs:
+            e = f"({e} - ({x} / {n}) * ({x} / {n}))"
+        return e
+    return f"(({xs[2]} - ({xs[1]} * {xs[1]}) / {n}) / {n})"
+
+
 def candidates(hist: DataFrame, keys: Sequence[str], task: str,
                n_classes: int | None, thresholds: Sequence[Sequence[float]]) -> DataFrame:
-    """Every (keys, feature, bin) split candidate with its gain and side stats."""
+    """Every (keys, feature, bin) split candidate with its gain and side stats.
+
+    The per-candidate arithmetic is written as SQL text (one expression per
+    output column), so planning cost does not grow with classes x features.
+    """
     stats = stat_columns(task, n_classes)
     part = Window.partitionBy(*keys, "feature")
     run = part.orderBy("bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    df = hist
-    for s in stats:
-        df = df.withColumn(f"L_{s}", F.sum(s).over(run)).withColumn(f"T_{s}", F.sum(s).over(part))
-    df = df.withColumn("L_n_raw", F.sum("n_raw").over(run)).withColumn("T_n_raw", F.sum("n_raw").over(part))
-    left = [F.col(f"L_{s}") for s in stats]
-    total = [F.col(f"T_{s}") for s in stats]
-    right = [t - l for t, l in zip(total, left)]
-    n_l, n_t = _weight(task, left), _weight(task, total)
-    n_r = n_t - n_l
-    gain = (impurity_of(task, total)
-            - (n_l / n_t) * impurity_of(task, left)
-            - (n_r / n_t) * impurity_of(task, right))
-    thr_arr = F.array(*[F.array(*[F.lit(float(t)) for t in th]) if th
-                        else F.array().cast("array<double>") for th in thresholds])
-    threshold = F.element_at(F.element_at(thr_arr, F.col("feature") + 1), F.col("bin") + 1)
-    n_bins = F.size(F.element_at(thr_arr, F.col("feature") + 1))
-    valid = (F.col("bin") < n_bins) & (n_l > 0) & (n_r > 0)
-    out = df.where(valid).select(
+    # all running / total sums in ONE projection (one window pass per frame)
+    df = hist.select(*keys, "feature", "bin",
+                     *[F.sum(s).over(run).alias(f"L_{s}") for s in [*stats, "n_raw"]],
+                     *[F.sum(s).over(part).alias(f"T_{s}") for s in [*stats, "n_raw"]])
+    L = [f"L_{s}" for s in stats]
+    T = [f"T_{s}" for s in stats]
+    R = [f"(T_{s} - L_{s})" for s in stats]
+    n_l, n_t = _sql_weight(task, L), _sql_weight(task, T)
+    n_r = f"({n_t} - {n_l})"
+    gain = (f"({_sql_impurity(task, T)} - ({n_l} / {n_t}) * {_sql_impurity(task, L)}"
+            f" - ({n_r} / {n_t}) * {_sql_impurity(task, R)})")
+    # the last bin (values above every threshold, and NaN) always has an
+    # empty right side, so "both sides non-empty" also rules it out
+    return df.where(f"{n_l} > 0 AND {n_r} > 0").selectExpr(
         *keys, "feature", "bin",
-        threshold.alias("threshold"), gain.alias("gain"),
-        n_l.alias("n_left"), n_r.alias("n_right"),
-        F.col("L_n_raw").alias("raw_left"), (F.col("T_n_raw") - F.col("L_n_raw")).alias("raw_right"),
-        F.array(*left).alias("left_stats"), F.array(*right).alias("right_stats"),
-    )
-    return out
+        f"{gain} AS gain", f"{n_l} AS n_left", f"{n_r} AS n_right",
+        "L_n_raw AS raw_left", "T_n_raw - L_n_raw AS raw_right",
+        f"array({', '.join(L)}) AS left_stats", f"array({', '.join(R)}) AS right_stats")
+
+
+def threshold_table(spark, thresholds: Sequence[Sequence[float]], names: Sequence[str]) -> DataFrame:
+    """(feature, bin, threshold, feature_name): features x bins rows at most."""
+    rows = [(i, j, float(t), names[i]) for i, th in enumerate(thresholds) for j, t in enumerate(th)]
+    return spark.createDataFrame(rows, "feature int, bin int, threshold double, feature_name string")
 
 
 def best_per(cands: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -129,9 +146,9 @@ def long_rows(df: DataFrame, cols: Sequence[str], thresholds: Sequence[Sequence[
               keys: Sequence[str] = ()) -> DataFrame:
     """Wide rows -> (keys, feature, bin, label, weight); NULL features dropped."""
     w = weight if weight is not None else F.lit(1.0)
-    binned = df.select(*keys, F.col(label).alias("label"), w.alias("weight"),
-                       *[F.when(F.col(c).isNotNull(), bin_index(F.col(c).cast("double"), thresholds[i]))
-                         .alias(f"__b{i}") for i, c in enumerate(cols)])
+    pre = df.select(*keys, F.col(label).alias("label"), w.alias("weight"), *[F.col(c) for c in cols])
+    binned = add_bins(pre, cols, thresholds, [f"__b{i}" for i in range(len(cols))],
+                      [*keys, "label", "weight"])
     pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"__b{i}").alias("bin"))
                       for i in range(len(cols))])
     return (binned.select(*keys, "label", "weight", F.explode(pairs).alias("p"))
@@ -157,9 +174,10 @@ def split_scan(df: DataFrame, cols: Sequence[str], label: str = "label", task: s
     long = long_rows(df, cols, thresholds, label)
     hist = histogram(long, [], task, n_classes)
     best = best_per(candidates(hist, [], task, n_classes, thresholds), ["feature"])
-    names = F.element_at(F.array(*[F.lit(c) for c in cols]), F.col("feature") + 1)
-    return best.select("feature", names.alias("feature_name"), "threshold", "gain",
-                       "n_left", "n_right")
+    # the threshold table is bounded by features x max_bins rows: broadcast
+    thr = F.broadcast(threshold_table(df.sparkSession, thresholds, cols))
+    return best.join(thr, ["feature", "bin"]).select("feature", "feature_name", "threshold", "gain",
+                                                     "n_left", "n_right")
 
 
 def gini_split_scan(df: DataFrame, cols: Sequence[str], label: str = "label",

@@ -60,6 +60,21 @@ def bagged_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
                       max_bins=max_bins, carry=[k for k in keys if k not in cols and k != label])
 
 
+def subspace_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
+                    task: str = "classification", trees: int = 0, attributes: int = 0,
+                    seed: int = 0, max_depth: int = 5, max_bins: int = 100) -> tuple[DataFrame, list]:
+    """M5 / M6 with the level-wise grower: every tree sees all train rows and
+    only its drawn features; all trees grow in the same pass per level
+    (instead of one full training run per tree).  Returns (nodes, subsets)."""
+    cols = list(cols)
+    n_t = mltrees.num_trees(trees)
+    n_a = mltrees.num_attributes(attributes, len(cols))
+    subsets = mltrees.draw_features(len(cols), n_t, n_a, seed)
+    specs = [TreeSpec(t, subsets[t]) for t in range(n_t)]
+    nodes = grow_trees(train, cols, label, task, specs=specs, max_depth=max_depth, max_bins=max_bins)
+    return nodes, subsets
+
+
 @dataclass
 class JobResult:
     nodes: DataFrame | None
@@ -92,14 +107,21 @@ def forest_regression_job(df: DataFrame, cols: Sequence[str], label: str = "labe
 def subspace_ensemble_job(df: DataFrame, cols: Sequence[str], label: str = "label",
                           task: str = "classification", key_cols: Sequence[str] | None = None,
                           train_frac: float = 0.6, trees: int = 0, attributes: int = 0,
-                          seed: int = 0) -> JobResult:
-    """Hand-made ensemble: per-tree, pooled and voted error (or metrics)."""
+                          seed: int = 0, engine: str = "level") -> JobResult:
+    """Hand-made ensemble: per-tree, pooled and voted error (or metrics).
+
+    ``engine='level'`` grows all trees together (one pass per level);
+    ``engine='ml'`` fits one Spark tree per subset, one after another.
+    """
     keys = list(key_cols) if key_cols else [*cols, label]
     train, test = hash_split(df, keys, train_frac)
-    models, subsets = mltrees.subspace_ensemble(train, cols, label, task, trees, attributes, seed)
-    nodes = mltrees.ensemble_nodes(models, subsets, cols)
+    if engine == "ml":
+        models, subsets = mltrees.subspace_ensemble(train, cols, label, task, trees, attributes, seed)
+        nodes = mltrees.ensemble_nodes(models, subsets, cols)
+    else:
+        nodes, subsets = subspace_forest(train, cols, label, task, trees, attributes, seed)
     scored = score_nodes(test, nodes)
-    n_t = len(models)
+    n_t = len(subsets)
     if task == "classification":
         k = num_classes(df, label)
         per_tree = union_predictions([(t, scored.select(F.col(label).alias("label"),

@@ -338,20 +338,18 @@ def q_forest_regress(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _subspace(spark, sf, task):
+    from canopy.plans.jobs import subspace_forest
     emb = table(spark, sf, "embeddings")
     width = emb.select(F.size("embedding").alias("w")).where(F.col("w") > 0).limit(1).first()["w"]
     cols = [f"e{i}" for i in range(width)]
     wide = emb.select("vec_id", F.col("label").cast("double").alias("label"),
                       *[F.get("embedding", i).cast("double").alias(cols[i]) for i in range(width)])
-    train, test = hash_split(wide, ["vec_id"], TRAIN_FRAC)
-    if task == "classification":
-        models, subsets = mltrees.subspace_ensemble(train, cols, "label", task, 3, 0)
-    else:
-        train = train.withColumn("label", F.col(cols[0]))
-        test = test.withColumn("label", F.col(cols[0]))
-        models, subsets = mltrees.subspace_ensemble(train, cols[1:], "label", task, 3, 0)
+    if task == "regression":
+        # target: first embedding slot, features: the others
+        wide = wide.withColumn("label", F.col(cols[0]))
         cols = cols[1:]
-    nodes = mltrees.ensemble_nodes(models, subsets, cols)
+    train, test = hash_split(wide, ["vec_id"], TRAIN_FRAC)
+    nodes, _ = subspace_forest(train, cols, "label", task, 3, 0)
     return nodes, test
 
 
@@ -367,6 +365,13 @@ def q_subspace_regress(spark: SparkSession, sf: str) -> DataFrame:
     return predict_mean(test, nodes).select("vec_id", "label", "prediction")
 
 
+def q_subspace_report(spark: SparkSession, sf: str) -> DataFrame:
+    """T6 as intended: per-tree and pooled hold-out error of the subspace
+    ensemble (trees fed only their own features), lineitem return flags."""
+    from canopy.plans.jobs import subspace_ensemble_job
+    return subspace_ensemble_job(lineitem_flags(spark, sf), FEATURES, key_cols=KEYS, attributes=2).report
+
+
 def q_bagged_forest(spark: SparkSession, sf: str) -> DataFrame:
     """Poisson(1) hash weights + md5 feature draws, grown level-wise."""
     from canopy.plans.jobs import bagged_forest
@@ -411,4 +416,5 @@ QUERIES = {
     "subspace_classify": q_subspace_classify,
     "subspace_regress": q_subspace_regress,
     "bagged_forest": q_bagged_forest,
+    "subspace_report": q_subspace_report,
 }
