@@ -8,12 +8,12 @@ Rule (the same one Spark's tree learner uses for continuous features):
 * a feature with more distinct values gets up to ``max_bins - 1`` cut
   points taken from approximate quantiles of its values.
 
-Cost: two GLOBAL aggregates, no shuffle by key:
+Cost: two aggregates grouped by feature (one reduce task per feature):
   1. per feature an HLL distinct count and a quantile sketch (both merge
      map-side; the state is bounded by the sketch accuracy, not the rows),
      plus max(label) for the class count;
-  2. only for the features the sketch calls low-cardinality, ``collect_set``
-     of the values -- bounded by ~2 x max_bins entries per feature.
+  2. only for the features the sketch calls low-cardinality, their distinct
+     values -- bounded by ~2 x max_bins entries per feature.
 NaN never becomes a candidate (it always goes right); NULL rows are ignored.
 """
 
@@ -39,40 +39,46 @@ def melt(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataF
               .where(F.col("value").isNotNull()))
 
 
-def _clean(c: str) -> Column:
-    x = F.col(c).cast("double")
-    return F.when(~F.isnan(x), x)
-
-
 def fit_bins(df: DataFrame, cols: Sequence[str], max_bins: int = 100,
              label: str | None = None) -> tuple[list[list[float]], float | None]:
-    """(sorted thresholds per feature, max label or None)."""
+    """(sorted thresholds per feature, max label or None).
+
+    Values are melted to (feature, value) rows (a streaming explode feeding
+    the partial aggregate, nothing materialised), so every feature's sketch
+    merges in its own reduce task instead of all in one.
+    """
     if max_bins < 2:
         raise ValueError("max_bins must be >= 2")
     cols = list(cols)
     qs = [i / max_bins for i in range(1, max_bins)]
-    aggs = []
-    for i, c in enumerate(cols):
-        # 5% HLL error is plenty: the test below only separates <= max_bins from > 2 x max_bins
-        aggs.append(F.approx_count_distinct(_clean(c), 0.05).alias(f"nd{i}"))
-        aggs.append(F.percentile_approx(_clean(c), qs, QUANTILE_ACCURACY).alias(f"q{i}"))
+    extra = [F.col(label).cast("double").alias("__label")] if label is not None else []
+    vals = melt(df.select(*[F.col(c) for c in cols], *extra), cols,
+                ["__label"] if label is not None else []).where(~F.isnan("value"))
+    aggs = [F.approx_count_distinct("value", 0.05).alias("nd"),  # 5% is plenty: separates <= max_bins
+            F.percentile_approx("value", qs, QUANTILE_ACCURACY).alias("cuts")]  # from > 2 x max_bins
     if label is not None:
-        aggs.append(F.max(F.col(label).cast("double")).alias("max_label"))
-    sketch = df.agg(*aggs).first()
-    low = [i for i in range(len(cols)) if sketch[f"nd{i}"] <= 2 * max_bins]
+        aggs.append(F.max("__label").alias("max_label"))
+    sketch = {r["feature"]: r for r in vals.groupBy("feature").agg(*aggs).collect()}
+    low = [f for f, r in sketch.items() if r["nd"] <= 2 * max_bins]
     exact: dict[int, list[float]] = {}
     if low:
-        sets = df.agg(*[F.collect_set(_clean(cols[i])).alias(f"s{i}") for i in low]).first()
-        exact = {i: sorted(sets[f"s{i}"]) for i in low}
+        rows = (vals.where(F.col("feature").isin(low)).select("feature", "value").distinct()
+                    .groupBy("feature").agg(F.sort_array(F.collect_list("value")).alias("vs")).collect())
+        exact = {r["feature"]: list(r["vs"]) for r in rows}
     out: list[list[float]] = []
     for i in range(len(cols)):
         vs = exact.get(i)
         if vs is not None and len(vs) <= max_bins:
             out.append([(a + b) / 2.0 for a, b in zip(vs[:-1], vs[1:])])
+        elif i in sketch:
+            out.append(sorted(set(float(c) for c in (sketch[i]["cuts"] or []) if c is not None)))
         else:
-            cuts = sketch[f"q{i}"] or []
-            out.append(sorted(set(float(c) for c in cuts if c is not None)))
-    return out, (sketch["max_label"] if label is not None else None)
+            out.append([])  # all NULL / NaN: no split possible
+    max_label = None
+    if label is not None:
+        labels = [r["max_label"] for r in sketch.values() if r["max_label"] is not None]
+        max_label = max(labels) if labels else None
+    return out, max_label
 
 
 def fit_thresholds(df: DataFrame, cols: Sequence[str], max_bins: int = 100) -> list[list[float]]:
