@@ -37,6 +37,11 @@ STATUS_CLASSES = ["F", "O"]
 # ---------------------------------------------------------------------------
 
 
+def _vector_width(emb: DataFrame) -> int:
+    """Widest embedding (one global max aggregate); shorter vectors read NULL."""
+    return int(emb.agg(F.max(F.size("embedding"))).first()[0] or 0)
+
+
 def _r(c, n):
     return F.round(F.col(c), n).alias(c) if isinstance(c, str) else F.round(c, n)
 
@@ -111,7 +116,7 @@ def q_standardize_rows(spark: SparkSession, sf: str) -> DataFrame:
 def q_feature_subset(spark: SparkSession, sf: str) -> DataFrame:
     """P6 + M9 + M10: md5-drawn feature positions per tree over embeddings."""
     emb = table(spark, sf, "embeddings")
-    width = emb.select(F.size("embedding").alias("w")).where(F.col("w") > 0).limit(1).first()["w"]
+    width = _vector_width(emb)
     n_attr = mltrees.num_attributes(0, width)
     subsets = mltrees.draw_features(width, SUBSET_TREES, n_attr, SUBSET_SEED)
     entries = [F.struct(F.lit(t).alias("tree_id"), F.lit(slot).alias("slot"), F.lit(f).alias("feature"),
@@ -340,7 +345,7 @@ def q_forest_regress(spark: SparkSession, sf: str) -> DataFrame:
 def _subspace(spark, sf, task):
     from canopy.plans.jobs import subspace_forest
     emb = table(spark, sf, "embeddings")
-    width = emb.select(F.size("embedding").alias("w")).where(F.col("w") > 0).limit(1).first()["w"]
+    width = _vector_width(emb)
     cols = [f"e{i}" for i in range(width)]
     wide = emb.select("vec_id", F.col("label").cast("double").alias("label"),
                       *[F.get("embedding", i).cast("double").alias(cols[i]) for i in range(width)])
