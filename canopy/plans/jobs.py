@@ -82,6 +82,25 @@ class JobResult:
     report: DataFrame
 
 
+def tree_job(df: DataFrame, cols: Sequence[str], label: str = "label", task: str = "classification",
+             key_cols: Sequence[str] | None = None, train_frac: float = 0.6, max_depth: int = 5,
+             max_bins: int = 100) -> JobResult:
+    """Single tree: train on a hash sample, test on its value complement
+    (rows whose exact value is also in train are not tested)."""
+    keys = list(key_cols) if key_cols else [*cols, label]
+    train, _ = hash_split(df, keys, train_frac)
+    test = holdout_complement(df, train)
+    if task == "classification":
+        model = mltrees.tree_classify(train, cols, label, max_depth, max_bins)
+        nodes = mltrees.forest_nodes(model, cols)
+        pred = predict_classes(test.withColumnRenamed(label, "label") if label != "label" else test,
+                               nodes, num_classes(df, label))
+        return JobResult(nodes, pred, error_rate(pred))
+    nodes = mltrees.forest_nodes(mltrees.tree_regress(train, cols, label, max_depth, max_bins), cols)
+    pred = predict_mean(test, nodes)
+    return JobResult(nodes, pred, regression_metrics(pred, "prediction", label))
+
+
 def forest_classification_job(df: DataFrame, cols: Sequence[str], label: str = "label",
                               key_cols: Sequence[str] | None = None, train_frac: float = 0.6,
                               trees: int = 3, seed: int = mltrees.FOREST_SEED) -> JobResult:

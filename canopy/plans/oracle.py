@@ -399,6 +399,7 @@ ORACLE_SQL = {
     "predict_linear": PREDICT_LINEAR,
     "pmml_roundtrip": SCORE_R,
     "pmml_nodes": PMML_NODES,
+    "pmml_regression": MEAN_PREDICTION,
     "stream_scores": SCORE_R,
     "describe_tree": DESCRIBE_TREE,
 }

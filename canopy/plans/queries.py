@@ -280,6 +280,19 @@ def q_pmml_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return predict_classes(iris_like(spark, sf), nodes, len(meta2.classes)).select(*KEYS, "prediction")
 
 
+def q_pmml_regression(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 (regression form) + S3: the three price stumps exported with
+    functionName=regression / average, read back, mean vote per hold-out row."""
+    train, test = _price_split(spark, sf, TRAIN_FRAC)
+    specs = [TreeSpec(t, [t]) for t in range(len(FEATURES))]
+    nodes = grow_trees(train, FEATURES, "label", "regression", specs=specs, max_depth=1, prune=False)
+    path = scratch_path(spark, "pmml")
+    write_pmml(forest_to_pmml(nodes, ModelMeta(tuple(FEATURES), "l_extendedprice", None)), path)
+    back, meta = forest_from_pmml(spark, path)
+    assert meta.regression
+    return predict_mean(test, back).select(*KEYS, "label", _r("prediction", 4))
+
+
 def q_pmml_nodes(spark: SparkSession, sf: str) -> DataFrame:
     """A tree grown from lineitem, exported and read back."""
     nodes = tree_levels_nodes(spark, sf)
@@ -410,6 +423,7 @@ QUERIES = {
     "predict_linear": q_predict_linear,
     "pmml_roundtrip": q_pmml_roundtrip,
     "pmml_nodes": q_pmml_nodes,
+    "pmml_regression": q_pmml_regression,
     "stream_scores": q_stream_scores,
     "describe_tree": q_describe_tree,
     # no SQL form: rows-only

@@ -64,3 +64,24 @@ def test_stream_error_counts_is_streaming(spark):
     q.awaitTermination()
     r = spark.table("err_counts").first()
     assert r["n_test"] == li.count()
+
+
+def test_cli_jobs_end_to_end(spark):
+    from canopy.plans.cli import run
+    from canopy.session import scratch_path
+    li = table(spark, SF_SMALL, "lineitem")
+    path = scratch_path(spark, "cli-csv")
+    flag = F.when(F.col("l_returnflag") == "A", 0).when(F.col("l_returnflag") == "N", 1).otherwise(2)
+    li.select(F.concat_ws(",", *[F.col(c).cast("string") for c in FEATURES],
+                          F.col("l_extendedprice").cast("string"), flag.cast("double").cast("string"))) \
+      .write.text(path)
+    names = ",".join([*FEATURES, "price", "flag"])
+    out = run(["forest-classify", "--input", path, "--names", names, "--classes", "A,N,R",
+               "--pmml", scratch_path(spark, "cli-pmml")], spark)
+    assert out["report"][0]["n_test"] > 0
+    out = run(["linear", "--input", path, "--names", names, "--label", "price"], spark)
+    assert out["report"][0]["n"] > 0
+    out = run(["tree-regress", "--input", path, "--names", names, "--label", "3"], spark)
+    assert out["report"][0]["rmse"] > 0
+    out = run(["ensemble-classify", "--input", path, "--names", names, "--attributes", "2"], spark)
+    assert any(r["tree_id"] is None for r in out["report"])
