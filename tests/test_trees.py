@@ -94,3 +94,35 @@ def test_walk_routing_equals_case_routing(spark, monkeypatch):
     monkeypatch.setattr(G, "ROUTE_CASE_LIMIT", 0)
     b = G.grow_trees(df, FEATURES, max_depth=4).select(*cols).collect()
     assert sorted(a) == sorted(b) and len(a) > 7
+
+
+def test_hard_vote_differs_from_ml_soft_vote(spark):
+    """T4: Spark's forest sums leaf probabilities; the model contract is a
+    hard majority vote.  Both come from the same trees, so wherever they
+    differ the hard vote must equal the most frequent per-tree class."""
+    df = lineitem_flags(spark, SF_MID)
+    model = mltrees.forest_classify(df, FEATURES, trees=3, n_classes=3)
+    nodes = mltrees.forest_nodes(model, FEATURES)
+    ours = predict_classes(df, nodes, 3, keep_votes=True).select(*KEYS, "prediction", "votes")
+    ml = model.transform(assemble(df, FEATURES)).select(*KEYS, F.col("prediction").alias("soft"))
+    j = ours.join(ml, KEYS)
+    diff = j.where(F.col("prediction") != F.col("soft"))
+    assert diff.count() > 0
+    for r in diff.limit(50).collect():
+        v = [x for x in r["votes"] if x is not None]
+        counts = {c: v.count(c) for c in set(v)}
+        top = max(counts.values())
+        assert r["prediction"] == min(c for c, n in counts.items() if n == top)
+
+
+def test_gradient_descent_approaches_closed_form(spark):
+    from pyspark.ml.regression import LinearRegression
+    from canopy.operators.linear import descend, moments
+    from canopy.operators.scaling import fit_standardizer, standardize
+    df = lineitem_price(spark, SF_SMALL)
+    z = standardize(df, fit_standardizer(df, FEATURES))
+    w, b = descend(moments(z, FEATURES, "label"), steps=20000, step=1.0)
+    ols = LinearRegression(regParam=0.0, standardization=False, solver="normal").fit(assemble(z, FEATURES))
+    for a, c in zip(w, ols.coefficients):
+        assert abs(a - c) <= 1e-3 * max(1.0, abs(c))
+    assert abs(b - ols.intercept) <= 1e-3 * abs(ols.intercept)
