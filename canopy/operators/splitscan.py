@@ -35,18 +35,6 @@ CLASSIFICATION = "classification"
 REGRESSION = "regression"
 
 
-def gini(counts: Sequence[Column], n: Column) -> Column:
-    imp = F.lit(1.0)
-    for c in counts:
-        f = c / n
-        imp = imp - f * f
-    return imp
-
-
-def variance(s: Column, s2: Column, n: Column) -> Column:
-    return (s2 - (s * s) / n) / n
-
-
 def stat_columns(task: str, n_classes: int | None) -> list[str]:
     if task == CLASSIFICATION:
         return [f"c{k}" for k in range(n_classes)]
@@ -67,22 +55,6 @@ def histogram(long: DataFrame, keys: Sequence[str], task: str,
     return long.groupBy(*keys, "feature", "bin").agg(*aggs, F.count(F.lit(1)).alias("n_raw"))
 
 
-def _weight(task: str, cols: Sequence[Column]) -> Column:
-    if task == CLASSIFICATION:
-        total = cols[0]
-        for c in cols[1:]:
-            total = total + c
-        return total
-    return cols[0]
-
-
-def impurity_of(task: str, cols: Sequence[Column]) -> Column:
-    n = _weight(task, cols)
-    if task == CLASSIFICATION:
-        return gini(cols, n)
-    return variance(cols[1], cols[2], n)
-
-
 def _sql_weight(task: str, xs: Sequence[str]) -> str:
     return "(" + " + ".join(xs) + ")" if task == CLASSIFICATION else xs[0]
 
