@@ -147,7 +147,14 @@ def subspace_ensemble_job(df: DataFrame, cols: Sequence[str], label: str = "labe
                                                         F.col("votes")[t].alias("prediction")))
                                       for t in range(n_t)])
         pred = predict_classes(test, nodes, k)
-        return JobResult(nodes, pred, pooled_error_rate(per_tree))
+        # per-tree and pooled error (one ROLLUP) next to the error of the vote
+        pooled = pooled_error_rate(per_tree).select(
+            F.when(F.col("tree_id").isNull(), F.lit("pooled")).otherwise(F.lit("tree")).alias("kind"),
+            "tree_id", "n_pairs", "n_wrong", "error_rate")
+        voted = error_rate(pred, "prediction", label).select(
+            F.lit("voted").alias("kind"), F.lit(None).cast("int").alias("tree_id"),
+            F.col("n_test").alias("n_pairs"), "n_wrong", "error_rate")
+        return JobResult(nodes, pred, pooled.unionByName(voted))
     pred = predict_mean(test, nodes)
     return JobResult(nodes, pred, regression_metrics(pred, "prediction", label))
 

@@ -19,9 +19,10 @@ def test_forest_job_report(spark):
 
 def test_subspace_job_reports_per_tree_and_pooled(spark):
     res = subspace_ensemble_job(lineitem_flags(spark, SF_SMALL), FEATURES, key_cols=KEYS, attributes=2)
-    rows = {r["tree_id"]: r for r in res.report.collect()}
-    assert set(rows) == {None, 0, 1, 2}
-    assert rows[None]["n_pairs"] == sum(rows[t]["n_pairs"] for t in (0, 1, 2))
+    rows = {(r["kind"], r["tree_id"]): r for r in res.report.collect()}
+    assert set(rows) == {("pooled", None), ("tree", 0), ("tree", 1), ("tree", 2), ("voted", None)}
+    assert rows[("pooled", None)]["n_pairs"] == sum(rows[("tree", t)]["n_pairs"] for t in (0, 1, 2))
+    assert rows[("voted", None)]["n_pairs"] == rows[("tree", 0)]["n_pairs"]
 
 
 def test_linear_job(spark):
