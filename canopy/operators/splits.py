@@ -16,18 +16,21 @@ from pyspark.sql import functions as F
 from canopy.functions.columns import HASH_BUCKETS, hash_bucket
 
 
-def train_predicate(cols: Sequence[str], frac: float, salt: str = ""):
+def train_predicate(cols: Sequence[str], frac: float, salt: str = "", method: str = "md5"):
     """Column: True for rows that fall in the train part."""
     cut = int(round(frac * HASH_BUCKETS))
-    return hash_bucket(cols, salt) < F.lit(cut)
+    return hash_bucket(cols, salt, method) < F.lit(cut)
 
 
 def hash_split(df: DataFrame, cols: Sequence[str], frac: float = 0.6,
-               salt: str = "") -> tuple[DataFrame, DataFrame]:
-    """D3: (train, test) by md5 bucket of ``cols``; equal keys share a side."""
+               salt: str = "", method: str = "md5") -> tuple[DataFrame, DataFrame]:
+    """D3: (train, test) by hash bucket of ``cols``; equal keys share a side.
+
+    ``method='md5'`` is reproducible outside Spark; ``'xxhash64'`` is cheaper.
+    """
     if not 0.0 <= frac <= 1.0:
         raise ValueError("frac must be in [0, 1]")
-    pred = train_predicate(cols, frac, salt)
+    pred = train_predicate(cols, frac, salt, method)
     return df.where(pred), df.where(~pred)
 
 

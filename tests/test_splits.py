@@ -35,3 +35,11 @@ def test_complement_disjoint_from_train(spark):
     train = train.select("l_quantity", "l_discount", "l_tax")
     comp = holdout_complement(li, train)
     assert comp.join(train.distinct(), ["l_quantity", "l_discount", "l_tax"], "inner").count() == 0
+
+
+def test_xxhash_split_partition_independent(spark):
+    li = table(spark, SF_SMALL, "lineitem").select(*KEYS)
+    a, _ = hash_split(li, KEYS, 0.3, method="xxhash64")
+    b, _ = hash_split(li.repartition(5), KEYS, 0.3, method="xxhash64")
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert abs(a.count() / li.count() - 0.3) < 0.05
