@@ -180,11 +180,12 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
     if task == CLASSIFICATION and n_classes is None:
         n_classes = num_classes(data, label)
     used_all = sorted({f for s in specs for f in s.features})
-    weights = [f"__w{s.tree_id}" for s in specs]
+    # only trees with a per-row weight keep a weight column; the rest use 1.0
+    weighted = [s for s in specs if s.weight is not None]
+    weights = [f"__w{s.tree_id}" for s in weighted]
     pre = data.select(
         F.col(label).cast("double").alias("label"),
-        *[(s.weight if s.weight is not None else F.lit(1.0)).cast("double").alias(f"__w{s.tree_id}")
-          for s in specs],
+        *[s.weight.cast("double").alias(f"__w{s.tree_id}") for s in weighted],
         *[F.col(cols[f]) for f in used_all])
     binned = add_bins(pre, [cols[f] for f in used_all], [thresholds[f] for f in used_all],
                       [f"__b{f}" for f in used_all], ["label", *weights]
@@ -207,18 +208,21 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             routes = [(route(nodes, t) if size[t] <= ROUTE_CASE_LIMIT
                        else route_walk(nodes, t, depth, used_all)).alias(f"__n{t}") for t in live]
             routed = binned.select("label", *routes,
-                                   *[f"__w{t}" for t in live], *[f"__b{f}" for f in used_all])
+                                   *[f"__w{t}" for t in live if f"__w{t}" in weights],
+                                   *[f"__b{f}" for f in used_all])
             # one struct per (tree, feature) plus a totals entry (feature -1)
+            def wcol(t):
+                return F.col(f"__w{t}") if f"__w{t}" in weights else F.lit(1.0)
             entries = []
             for t in live:
                 if depth == 0:
                     entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
-                                            F.col(f"__w{t}").alias("weight"), F.lit(-1).alias("feature"),
+                                            wcol(t).alias("weight"), F.lit(-1).alias("feature"),
                                             F.lit(0).alias("bin")))
                 if depth < max_depth:
                     for f in spec_by_id[t].features:
                         entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
-                                                F.col(f"__w{t}").alias("weight"), F.lit(f).alias("feature"),
+                                                wcol(t).alias("weight"), F.lit(f).alias("feature"),
                                                 F.col(f"__b{f}").alias("bin")))
             long = (routed.select("label", F.explode(F.array(*entries)).alias("e"))
                           .select("e.tree_id", "e.node_id", "e.feature", "e.bin", "label", "e.weight")
