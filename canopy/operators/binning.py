@@ -129,8 +129,10 @@ def add_bins(df: DataFrame, cols: Sequence[str], thresholds: Sequence[Sequence[f
     bins = []
     for i in range(len(cols)):
         if thresholds[i]:
-            # NaN lands in Bucketizer's extra bucket; fold it into the last bin
-            b = F.least(F.col(f"__k{i}").cast("int"), F.lit(len(thresholds[i])))
+            # NaN lands in Bucketizer's extra bucket; fold it into the last bin.
+            # (least() skips NULLs, so NULL must be kept NULL explicitly)
+            b = F.when(F.col(xs[i]).isNotNull(),
+                       F.least(F.col(f"__k{i}").cast("int"), F.lit(len(thresholds[i]))))
         else:
             b = F.when(F.col(xs[i]).isNotNull(), F.lit(0))
         bins.append(b.alias(names[i]))

@@ -76,3 +76,11 @@ def test_csv_file_end_to_end(spark):
 def test_empty_holdout(spark):
     df = spark.createDataFrame([(1.0, 1.0)], "prediction double, label double").where("false")
     assert error_rate(df).first()["error_rate"] is None
+
+
+def test_null_rows_left_out_of_a_features_scan(spark):
+    rows = [(float(i % 2), float(i % 7), None if i % 4 == 0 else float(i % 5)) for i in range(400)]
+    df = spark.createDataFrame(rows, "label double, a double, b double")
+    scan = {r["feature_name"]: r for r in gini_split_scan(df, ["a", "b"]).collect()}
+    assert scan["a"]["n_left"] + scan["a"]["n_right"] == 400
+    assert scan["b"]["n_left"] + scan["b"]["n_right"] == 300
