@@ -84,3 +84,17 @@ def test_null_rows_left_out_of_a_features_scan(spark):
     scan = {r["feature_name"]: r for r in gini_split_scan(df, ["a", "b"]).collect()}
     assert scan["a"]["n_left"] + scan["a"]["n_right"] == 400
     assert scan["b"]["n_left"] + scan["b"]["n_right"] == 300
+
+
+def test_settings_object():
+    import pytest as _pt
+    from canopy.plans.params import EnsembleSettings
+    s = EnsembleSettings.from_mapping({"NUM_OF_TREES": "0", "NUM_OF_ATTRIBUTES_PER_TREE": "5",
+                                       "CLASS_LABEL_INDEX": "4",
+                                       "ATTRIBUTE_NAMES": "Sepal.Length,Sepal.Width,Petal.Length,Petal.Width",
+                                       "CLASS_LABEL_VALUES": "setosa,versicolor,virginica",
+                                       "CLASS_LABEL_NAME": "Species"})
+    assert s.trees() == 3 and s.attributes(4) == 4
+    assert s.field_names(5) == ["Sepal.Length", "Sepal.Width", "Petal.Length", "Petal.Width", "Species"]
+    with _pt.raises(ValueError):
+        EnsembleSettings(label_index=50, attribute_names=("a", "b", "c", "d")).validate(5)
