@@ -70,3 +70,69 @@ def test_bins_match_bisect(spark, thresholds, values):
             assert out[i] == len(thr)           # NaN: last bin, always right
         else:
             assert out[i] == bisect.bisect_left(thr, v)   # number of thresholds < v
+
+
+VAL = st.one_of(st.none(), st.just(math.nan), st.integers(0, 3).map(float))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(VAL, st.sampled_from(["a", "b", None])), min_size=0, max_size=40),
+       st.lists(st.tuples(VAL, st.sampled_from(["a", "b", None])), min_size=0, max_size=20))
+def test_complement_matches_brute_force(spark, left, right):
+    from canopy.operators.splits import holdout_complement
+
+    def key(r):  # value equality with NULL = NULL and NaN = NaN (Spark's null-safe, NaN-aware =)
+        return tuple("nan" if isinstance(x, float) and math.isnan(x) else x for x in r)
+
+    schema = "x double, s string"
+    out = holdout_complement(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema))
+    expect = sorted((key(r) for r in left if key(r) not in {key(t) for t in right}), key=repr)
+    assert sorted((key(tuple(r)) for r in out.collect()), key=repr) == expect
+
+
+def _random_tree(draw_split, depth, node=1, rows=None):
+    """Random heap-id tree rows for NODE_SCHEMA (tree 0)."""
+    rows = [] if rows is None else rows
+    split = draw_split(depth)
+    if split is None:
+        rows.append((0, node, node // 2 if node > 1 else None, (node % 2 == 0) if node > 1 else None,
+                     node.bit_length() - 1, None, None, None, None, None, float(node % 3), None, 1, None, None))
+        return rows
+    f, t = split
+    rows.append((0, node, node // 2 if node > 1 else None, (node % 2 == 0) if node > 1 else None,
+                 node.bit_length() - 1, f, iris.FEATURES[f], t, 2 * node, 2 * node + 1, float(node % 3),
+                 None, 1, None, None))
+    _random_tree(draw_split, depth - 1, 2 * node, rows)
+    _random_tree(draw_split, depth - 1, 2 * node + 1, rows)
+    return rows
+
+
+@SETTINGS
+@given(st.data())
+def test_random_trees_roundtrip_and_score_alike(spark, data):
+    from canopy.operators.growth import NODE_SCHEMA
+    from canopy.operators.nodes import collect_trees, tree_columns
+    from canopy.session import scratch_path
+    from canopy.sinks.pmml import ModelMeta, forest_to_pmml, write_pmml
+    from canopy.sources.pmml import forest_from_pmml
+
+    def draw_split(depth):
+        if depth == 0 or data.draw(st.booleans()):
+            return None
+        return data.draw(st.integers(0, 3)), data.draw(st.sampled_from([0.5, 1.0, 2.25, 3.0, 4.75, 6.5]))
+
+    rows = _random_tree(draw_split, 4)
+    nodes = spark.createDataFrame(rows, NODE_SCHEMA)
+    pts = [(a, b, c, d) for a in (0.0, 1.0, 3.0, 5.0, 7.0) for b in (0.5, 2.25, 4.0)
+           for c in (1.0, 4.75, 6.9) for d in (None, 0.5, 3.0)]
+    df = spark.createDataFrame(pts, ", ".join(f"`{f}` double" for f in iris.FEATURES))
+    trees = collect_trees(nodes)
+    a = df.select(*tree_columns(trees, "case")).collect()
+    b = df.select(*tree_columns(trees, "walk")).collect()
+    assert [tuple(r) for r in a] == [tuple(r) for r in b]
+    path = scratch_path(spark, "pmml-prop")
+    write_pmml(forest_to_pmml(nodes, ModelMeta(tuple(iris.FEATURES), iris.LABEL, tuple(iris.CLASSES))), path)
+    back, _ = forest_from_pmml(spark, path)
+    cols = ["tree_id", "node_id", "parent_id", "is_left", "depth", "feature_name", "threshold",
+            "left_id", "right_id", "prediction"]
+    assert sorted(back.select(*cols).collect()) == sorted(nodes.select(*cols).collect())
