@@ -208,6 +208,40 @@ PMML_NODES = _tree_levels_body() + """
 SELECT 0 AS tree_id, node_id, depth, feature_name, threshold, prediction, row_count FROM nodes"""
 
 
+def grown_tree_sql(depth: int) -> str:
+    """Level-wise gini tree of the given depth on the status label (no pruning):
+    each level scans every open node, splits the nodes with positive gain
+    and routes their rows to 2i / 2i+1; rows of nodes that stop drop out."""
+    pred = _argmax2
+    ctes = [f"in0 AS (SELECT 1::BIGINT AS node, * FROM ({_train_input(STATUS, 600)}))",
+            f"lg0 AS ({LONG.format(src='in0')})",
+            _thr_ctes("lg0").strip()]
+    node_rows = []
+    for k in range(depth):
+        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", "classification").strip())
+        ctes.append(f"sp{k} AS (SELECT * FROM s{k}_top WHERE gain > 0)")
+        ctes.append(f"st{k} AS (SELECT node, T_c0, T_c1, T_raw FROM s{k}_tot WHERE f = 0)")
+        node_rows.append(
+            f"SELECT st.node AS node_id, {k} AS depth, {fname('sp.f')} AS feature_name, sp.t AS threshold, "
+            f"{pred('st.T_c0', 'st.T_c1')} AS prediction, CAST(st.T_raw AS BIGINT) AS row_count, sp.gain AS gain "
+            f"FROM st{k} st LEFT JOIN sp{k} sp ON sp.node = st.node")
+        if k + 1 < depth:
+            ctes.append(
+                f"in{k + 1} AS (SELECT CASE WHEN {xval('sp.f')} <= sp.t THEN 2 * i.node ELSE 2 * i.node + 1 END "
+                f"AS node, i.label, i.x0, i.x1, i.x2 FROM in{k} i JOIN sp{k} sp ON sp.node = i.node)")
+            ctes.append(f"lg{k + 1} AS ({LONG.format(src=f'in{k + 1}')})")
+    last = depth - 1
+    node_rows.append(
+        f"SELECT 2 * node AS node_id, {depth} AS depth, NULL AS feature_name, NULL::DOUBLE AS threshold, "
+        f"{pred('L_c0', 'L_c1')} AS prediction, CAST(L_raw AS BIGINT) AS row_count, NULL::DOUBLE AS gain "
+        f"FROM sp{last} UNION ALL "
+        f"SELECT 2 * node + 1, {depth}, NULL, NULL::DOUBLE, {pred('(T_c0 - L_c0)', '(T_c1 - L_c1)')}, "
+        f"CAST(T_raw - L_raw AS BIGINT), NULL::DOUBLE FROM sp{last}")
+    return ("WITH " + ",\n".join(ctes) + ",\nnodes AS (" + "\nUNION ALL\n".join(node_rows) + ")\n"
+            "SELECT 0 AS tree_id, node_id, depth, feature_name, threshold, prediction, row_count, "
+            "round(gain, 12) AS gain FROM nodes")
+
+
 # ----------------------------------------------------------------- document forests
 
 IRIS_COLS = {
@@ -402,4 +436,5 @@ ORACLE_SQL = {
     "pmml_regression": MEAN_PREDICTION,
     "stream_scores": SCORE_R,
     "describe_tree": DESCRIBE_TREE,
+    "tree_depth5": grown_tree_sql(5),
 }

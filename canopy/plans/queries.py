@@ -304,6 +304,15 @@ def q_pmml_nodes(spark: SparkSession, sf: str) -> DataFrame:
                        "row_count")
 
 
+def q_tree_depth5(spark: SparkSession, sf: str) -> DataFrame:
+    """M1 at the original depth: gini tree of depth 5 grown level-wise
+    (every node's split from the histogram scan), unpruned node table."""
+    train, _ = hash_split(lineitem_binary(spark, sf), KEYS, TRAIN_FRAC)
+    n = grow_trees(train, FEATURES, "label", "classification", max_depth=5, prune=False)
+    return n.select("tree_id", "node_id", "depth", "feature_name", "threshold", "prediction",
+                    "row_count", _r("gain", 12))
+
+
 def q_describe_tree(spark: SparkSession, sf: str) -> DataFrame:
     """K3: indented If / Else / Predict text of the depth-2 tree."""
     from canopy.sinks.reports import describe_forest
@@ -426,6 +435,7 @@ QUERIES = {
     "pmml_regression": q_pmml_regression,
     "stream_scores": q_stream_scores,
     "describe_tree": q_describe_tree,
+    "tree_depth5": q_tree_depth5,
     # no SQL form: rows-only
     "random_split_counts": q_random_split_counts,
     "tree_classify": q_tree_classify,
