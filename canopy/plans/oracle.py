@@ -11,6 +11,7 @@ DECIMAL in DuckDB).
 from __future__ import annotations
 
 from canopy.models import iris
+from canopy.operators.mltrees import draw_features
 
 KEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 BUCKET = ("((('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), "
@@ -242,6 +243,67 @@ def grown_tree_sql(depth: int) -> str:
             "round(gain, 12) AS gain FROM nodes")
 
 
+def _argmax3(c0: str, c1: str, c2: str) -> str:
+    return (f"(CASE WHEN {c0} >= {c1} AND {c0} >= {c2} THEN 0.0::DOUBLE "
+            f"WHEN {c1} >= {c2} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END)")
+
+
+def subspace_vote_sql(depth: int, subsets: list[list[int]]) -> str:
+    """Trees on feature subsets (return-flag classes), grown level-wise with a
+    (tree, node) key = tree * 1e6 + node; hold-out rows walk the same splits
+    level by level; hard vote over the trees (ties -> lowest class)."""
+    n_t = len(subsets)
+    trees = ", ".join(f"({t})" for t in range(n_t))
+    feats = "CASE tree " + " ".join(f"WHEN {t} THEN {list(sub)}" for t, sub in enumerate(subsets)) + " END"
+    vals = "CASE tree " + " ".join(f"WHEN {t} THEN [{', '.join(f'x{f}' for f in sub)}]"
+                                   for t, sub in enumerate(subsets)) + " END"
+    keyed = "SELECT key, label, unnest({feats}) AS f, unnest({vals}) AS v FROM (SELECT key, key // 1000000 AS tree, label, x0, x1, x2 FROM {src})"
+    ctes = [f"tr AS ({_train_input(FLAG, 600)})",
+            f"allv AS (SELECT 1 AS node, label, unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM tr)",
+            _thr_ctes("allv").strip(),
+            f"in0 AS (SELECT t.tree * 1000000 + 1 AS key, r.label, r.x0, r.x1, r.x2 FROM tr r, (VALUES {trees}) t(tree))",
+            f"lg0 AS (SELECT key AS node, label, f, v FROM ({keyed.format(feats=feats, vals=vals, src='in0')}))"]
+    stats = []
+    for k in range(depth):
+        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", "classification", 3).strip())
+        ctes.append(f"sp{k} AS (SELECT * FROM s{k}_top WHERE gain > 0)")
+        ctes.append(f"st{k} AS (SELECT node AS key, T_c0, T_c1, T_c2 FROM s{k}_tot "
+                    f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY f) = 1)")
+        stats.append(f"SELECT key, {_argmax3('T_c0', 'T_c1', 'T_c2')} AS p FROM st{k}")
+        if k + 1 < depth:
+            ctes.append(f"in{k + 1} AS (SELECT CASE WHEN {xval('sp.f')} <= sp.t "
+                        f"THEN (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) "
+                        f"ELSE (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) + 1 END AS key, "
+                        f"i.label, i.x0, i.x1, i.x2 FROM in{k} i JOIN sp{k} sp ON sp.node = i.key)")
+            ctes.append(f"lg{k + 1} AS (SELECT key AS node, label, f, v FROM "
+                        f"({keyed.format(feats=feats, vals=vals, src=f'in{k + 1}')}))")
+    last = depth - 1
+    stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000), "
+                 f"{_argmax3('L_c0', 'L_c1', 'L_c2')} FROM sp{last}")
+    stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000) + 1, "
+                 f"{_argmax3('(T_c0 - L_c0)', '(T_c1 - L_c1)', '(T_c2 - L_c2)')} FROM sp{last}")
+    ctes.append("leafp AS (" + " UNION ALL ".join(stats) + ")")
+    # hold-out rows walk the splits
+    ctes.append(f"te AS (SELECT row_number() OVER () AS rid, * FROM ({_train_input(FLAG, 600, test=True)}))")
+    ctes.append(f"w0 AS (SELECT te.rid, t.tree * 1000000 + 1 AS key, te.x0, te.x1, te.x2 "
+                f"FROM te, (VALUES {trees}) t(tree))")
+    ends = []
+    for k in range(depth):
+        ends.append(f"SELECT w.rid, w.key FROM w{k} w ANTI JOIN sp{k} sp ON sp.node = w.key")
+        nxt = (f"SELECT w.rid, CASE WHEN {xval('sp.f').replace('x', 'w.x')} <= sp.t "
+               f"THEN (w.key // 1000000) * 1000000 + 2 * (w.key % 1000000) "
+               f"ELSE (w.key // 1000000) * 1000000 + 2 * (w.key % 1000000) + 1 END AS key, w.x0, w.x1, w.x2 "
+               f"FROM w{k} w JOIN sp{k} sp ON sp.node = w.key")
+        ctes.append(f"w{k + 1} AS ({nxt})")
+    ends.append(f"SELECT rid, key FROM w{depth}")
+    ctes.append("leaf AS (" + " UNION ALL ".join(ends) + ")")
+    ctes.append("votes AS (SELECT l.rid, sum(CASE WHEN p.p = 0.0 THEN 1 ELSE 0 END) AS c0, "
+                "sum(CASE WHEN p.p = 1.0 THEN 1 ELSE 0 END) AS c1, sum(CASE WHEN p.p = 2.0 THEN 1 ELSE 0 END) AS c2 "
+                "FROM leaf l JOIN leafp p ON p.key = l.key GROUP BY l.rid)")
+    return ("WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join('te.' + k.strip() for k in KEYS.split(','))}, "
+            f"te.label, {_argmax3('v.c0', 'v.c1', 'v.c2')} AS prediction FROM te JOIN votes v ON v.rid = te.rid")
+
+
 # ----------------------------------------------------------------- document forests
 
 IRIS_COLS = {
@@ -437,4 +499,5 @@ ORACLE_SQL = {
     "stream_scores": SCORE_R,
     "describe_tree": DESCRIBE_TREE,
     "tree_depth5": grown_tree_sql(5),
+    "subspace_vote": subspace_vote_sql(5, draw_features(3, 3, 2, 0)),
 }

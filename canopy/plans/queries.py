@@ -313,6 +313,15 @@ def q_tree_depth5(spark: SparkSession, sf: str) -> DataFrame:
                     "row_count", _r("gain", 12))
 
 
+def q_subspace_vote(spark: SparkSession, sf: str) -> DataFrame:
+    """M5 + I4 + A10: three depth-5 trees on md5-drawn pairs of lineitem
+    features, grown together, hard vote on every hold-out row."""
+    from canopy.plans.jobs import subspace_forest
+    train, test = _flags_split(spark, sf)
+    nodes, _ = subspace_forest(train, FEATURES, "label", "classification", 3, 2, seed=0)
+    return predict_classes(test, nodes, 3).select(*KEYS, "label", "prediction")
+
+
 def q_describe_tree(spark: SparkSession, sf: str) -> DataFrame:
     """K3: indented If / Else / Predict text of the depth-2 tree."""
     from canopy.sinks.reports import describe_forest
@@ -436,6 +445,7 @@ QUERIES = {
     "stream_scores": q_stream_scores,
     "describe_tree": q_describe_tree,
     "tree_depth5": q_tree_depth5,
+    "subspace_vote": q_subspace_vote,
     # no SQL form: rows-only
     "random_split_counts": q_random_split_counts,
     "tree_classify": q_tree_classify,
