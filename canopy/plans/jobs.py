@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.functions.columns import hash_unit
+from canopy.functions.columns import hash_unit, md5_unit
 from canopy.functions.metrics import error_rate, pooled_error_rate, regression_metrics
 from canopy.operators import mltrees
 from canopy.operators.growth import TreeSpec, grow_trees
@@ -39,13 +39,25 @@ def poisson_weight(u: Column) -> Column:
     return expr
 
 
+def bootstrap_weight(keys: Sequence[str], seed: int, tree: int, method: str = "md5") -> Column:
+    """Poisson(1) bootstrap count of a row for one tree, from its key.
+
+    ``md5``: uniform = 32 bits (slot tree % 4) of md5('<seed>|<tree // 4>|<key>'),
+    so one md5 serves four trees and any SQL engine reproduces the draw;
+    ``xxhash64``: one cheaper hash per tree, Spark only.
+    """
+    if method == "xxhash64":
+        return poisson_weight(hash_unit(keys, f"{seed}|{tree}"))
+    return poisson_weight(md5_unit(keys, f"{seed}|{tree // 4}", tree % 4))
+
+
 def bagged_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
                   key_cols: Sequence[str] | None = None, trees: int = 3, attributes: int = 0,
                   seed: int = 0, task: str = "classification", max_depth: int = 5,
-                  max_bins: int = 100) -> DataFrame:
+                  max_bins: int = 100, hash_method: str = "md5") -> DataFrame:
     """Forest with Poisson(1) bootstrap weights from a row hash.
 
-    Tree t weights row r by PoissonInvCDF(xxhash64(seed, t, key of r)); its
+    Tree t weights row r by its bootstrap count (``bootstrap_weight``); its
     features are the md5-drawn subset of tree t.  All trees grow together,
     one aggregation per level.  Result does not depend on partitioning.
     """
@@ -54,8 +66,7 @@ def bagged_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
     n_t = mltrees.num_trees(trees)
     n_a = mltrees.num_attributes(attributes, len(cols))
     subsets = mltrees.draw_features(len(cols), n_t, n_a, seed)
-    specs = [TreeSpec(t, subsets[t], poisson_weight(hash_unit(keys, f"{seed}|{t}")))
-             for t in range(n_t)]
+    specs = [TreeSpec(t, subsets[t], bootstrap_weight(keys, seed, t, hash_method)) for t in range(n_t)]
     return grow_trees(train, cols, label, task, specs=specs, max_depth=max_depth,
                       max_bins=max_bins, carry=[k for k in keys if k not in cols and k != label])
 

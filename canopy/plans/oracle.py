@@ -39,12 +39,14 @@ def xval(col: str = "f") -> str:
 
 # ----------------------------------------------------------------- scans
 
-def _scan_ctes(prefix: str, long_src: str, thr: str, task: str, classes: int = 2) -> str:
-    """CTEs ``{prefix}_best`` : best split per (node, f) of ``long_src(node, f, v, label)``."""
+def _scan_ctes(prefix: str, long_src: str, thr: str, task: str, classes: int = 2,
+               weighted: bool = False) -> str:
+    """CTEs ``{prefix}_best`` : best split per (node, f) of ``long_src(node, f, v, label[, w])``."""
     p = prefix
+    one = "w" if weighted else "1.0"
     if task == "classification":
         stats = [f"c{k}" for k in range(classes)]
-        agg = ", ".join(f"sum(CASE WHEN label = {d(k)} THEN 1.0 ELSE 0.0 END)::DOUBLE AS c{k}"
+        agg = ", ".join(f"sum(CASE WHEN label = {d(k)} THEN {one} ELSE 0.0 END)::DOUBLE AS c{k}"
                         for k in range(classes))
 
         def imp(vals, n):
@@ -248,24 +250,45 @@ def _argmax3(c0: str, c1: str, c2: str) -> str:
             f"WHEN {c1} >= {c2} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END)")
 
 
-def subspace_vote_sql(depth: int, subsets: list[list[int]]) -> str:
+def _poisson_sql(u: str) -> str:
+    from canopy.plans.jobs import _POISSON1_CDF
+    return ("CASE " + " ".join(f"WHEN {u} < {c!r} THEN {float(k)!r}" for k, c in enumerate(_POISSON1_CDF))
+            + f" ELSE {float(len(_POISSON1_CDF))!r} END")
+
+
+def _bootstrap_sql(seed: int, tree: int) -> str:
+    """Poisson(1) count from 32 bits (slot tree % 4) of md5('<seed>|<tree // 4>|<keys>')."""
+    key = "concat_ws('|', " + f"'{seed}|{tree // 4}', " + ", ".join(
+        f"CAST({k.strip()} AS VARCHAR)" for k in KEYS.split(",")) + ")"
+    u = f"(CAST(('0x' || substr(md5({key}), {8 * (tree % 4) + 1}, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE)"
+    return _poisson_sql(u)
+
+
+def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = None) -> str:
     """Trees on feature subsets (return-flag classes), grown level-wise with a
     (tree, node) key = tree * 1e6 + node; hold-out rows walk the same splits
-    level by level; hard vote over the trees (ties -> lowest class)."""
+    level by level; hard vote over the trees (ties -> lowest class).  With
+    ``seed`` every (row, tree) carries its md5 bootstrap weight (bagging)."""
     n_t = len(subsets)
+    weighted = seed is not None
     trees = ", ".join(f"({t})" for t in range(n_t))
     feats = "CASE tree " + " ".join(f"WHEN {t} THEN {list(sub)}" for t, sub in enumerate(subsets)) + " END"
     vals = "CASE tree " + " ".join(f"WHEN {t} THEN [{', '.join(f'x{f}' for f in sub)}]"
                                    for t, sub in enumerate(subsets)) + " END"
-    keyed = "SELECT key, label, unnest({feats}) AS f, unnest({vals}) AS v FROM (SELECT key, key // 1000000 AS tree, label, x0, x1, x2 FROM {src})"
+    wsel = ", w" if weighted else ""
+    keyed = ("SELECT key, label" + wsel + ", unnest({feats}) AS f, unnest({vals}) AS v FROM "
+             "(SELECT key, key // 1000000 AS tree, label" + wsel + ", x0, x1, x2 FROM {src})")
+    wcol = (", CASE t.tree " + " ".join(f"WHEN {t} THEN {_bootstrap_sql(seed, t)}" for t in range(n_t))
+            + " END AS w") if weighted else ""
     ctes = [f"tr AS ({_train_input(FLAG, 600)})",
             f"allv AS (SELECT 1 AS node, label, unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM tr)",
             _thr_ctes("allv").strip(),
-            f"in0 AS (SELECT t.tree * 1000000 + 1 AS key, r.label, r.x0, r.x1, r.x2 FROM tr r, (VALUES {trees}) t(tree))",
-            f"lg0 AS (SELECT key AS node, label, f, v FROM ({keyed.format(feats=feats, vals=vals, src='in0')}))"]
+            f"in0 AS (SELECT * FROM (SELECT t.tree * 1000000 + 1 AS key, r.label, r.x0, r.x1, r.x2{wcol} "
+            f"FROM tr r, (VALUES {trees}) t(tree)){' WHERE w > 0' if weighted else ''})",
+            f"lg0 AS (SELECT key AS node, label{wsel}, f, v FROM ({keyed.format(feats=feats, vals=vals, src='in0')}))"]
     stats = []
     for k in range(depth):
-        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", "classification", 3).strip())
+        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", "classification", 3, weighted).strip())
         ctes.append(f"sp{k} AS (SELECT * FROM s{k}_top WHERE gain > 0)")
         ctes.append(f"st{k} AS (SELECT node AS key, T_c0, T_c1, T_c2 FROM s{k}_tot "
                     f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY f) = 1)")
@@ -274,8 +297,9 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]]) -> str:
             ctes.append(f"in{k + 1} AS (SELECT CASE WHEN {xval('sp.f')} <= sp.t "
                         f"THEN (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) "
                         f"ELSE (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) + 1 END AS key, "
-                        f"i.label, i.x0, i.x1, i.x2 FROM in{k} i JOIN sp{k} sp ON sp.node = i.key)")
-            ctes.append(f"lg{k + 1} AS (SELECT key AS node, label, f, v FROM "
+                        f"i.label, i.x0, i.x1, i.x2{', i.w' if weighted else ''} "
+                        f"FROM in{k} i JOIN sp{k} sp ON sp.node = i.key)")
+            ctes.append(f"lg{k + 1} AS (SELECT key AS node, label{wsel}, f, v FROM "
                         f"({keyed.format(feats=feats, vals=vals, src=f'in{k + 1}')}))")
     last = depth - 1
     stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000), "
@@ -500,4 +524,5 @@ ORACLE_SQL = {
     "describe_tree": DESCRIBE_TREE,
     "tree_depth5": grown_tree_sql(5),
     "subspace_vote": subspace_vote_sql(5, draw_features(3, 3, 2, 0)),
+    "bagged_forest": subspace_vote_sql(5, draw_features(3, 3, 2, 0), seed=0),
 }
