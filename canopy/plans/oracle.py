@@ -245,9 +245,17 @@ def grown_tree_sql(depth: int) -> str:
             "round(gain, 12) AS gain FROM nodes")
 
 
+def _argmax(cs: list[str]) -> str:
+    """First index of the largest value (ties -> lowest class)."""
+    parts = []
+    for k in range(len(cs) - 1):
+        cond = " AND ".join(f"{cs[k]} >= {cs[j]}" for j in range(k + 1, len(cs)))
+        parts.append(f"WHEN {cond} THEN {float(k)!r}::DOUBLE")
+    return f"(CASE {' '.join(parts)} ELSE {float(len(cs) - 1)!r}::DOUBLE END)"
+
+
 def _argmax3(c0: str, c1: str, c2: str) -> str:
-    return (f"(CASE WHEN {c0} >= {c1} AND {c0} >= {c2} THEN 0.0::DOUBLE "
-            f"WHEN {c1} >= {c2} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END)")
+    return _argmax([c0, c1, c2])
 
 
 def _poisson_sql(u: str) -> str:
@@ -264,7 +272,8 @@ def _bootstrap_sql(seed: int, tree: int) -> str:
     return _poisson_sql(u)
 
 
-def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = None) -> str:
+def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = None,
+                      label_sql: str = FLAG, classes: int = 3, final: bool = True) -> str:
     """Trees on feature subsets (return-flag classes), grown level-wise with a
     (tree, node) key = tree * 1e6 + node; hold-out rows walk the same splits
     level by level; hard vote over the trees (ties -> lowest class).  With
@@ -280,7 +289,8 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
              "(SELECT key, key // 1000000 AS tree, label" + wsel + ", x0, x1, x2 FROM {src})")
     wcol = (", CASE t.tree " + " ".join(f"WHEN {t} THEN {_bootstrap_sql(seed, t)}" for t in range(n_t))
             + " END AS w") if weighted else ""
-    ctes = [f"tr AS ({_train_input(FLAG, 600)})",
+    cls = list(range(classes))
+    ctes = [f"tr AS ({_train_input(label_sql, 600)})",
             f"allv AS (SELECT 1 AS node, label, unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM tr)",
             _thr_ctes("allv").strip(),
             f"in0 AS (SELECT * FROM (SELECT t.tree * 1000000 + 1 AS key, r.label, r.x0, r.x1, r.x2{wcol} "
@@ -288,11 +298,11 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
             f"lg0 AS (SELECT key AS node, label{wsel}, f, v FROM ({keyed.format(feats=feats, vals=vals, src='in0')}))"]
     stats = []
     for k in range(depth):
-        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", "classification", 3, weighted).strip())
+        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", "classification", classes, weighted).strip())
         ctes.append(f"sp{k} AS (SELECT * FROM s{k}_top WHERE gain > 0)")
-        ctes.append(f"st{k} AS (SELECT node AS key, T_c0, T_c1, T_c2 FROM s{k}_tot "
+        ctes.append(f"st{k} AS (SELECT node AS key, {', '.join(f'T_c{c}' for c in cls)} FROM s{k}_tot "
                     f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY f) = 1)")
-        stats.append(f"SELECT key, {_argmax3('T_c0', 'T_c1', 'T_c2')} AS p FROM st{k}")
+        stats.append(f"SELECT key, {_argmax([f'T_c{c}' for c in cls])} AS p FROM st{k}")
         if k + 1 < depth:
             ctes.append(f"in{k + 1} AS (SELECT CASE WHEN {xval('sp.f')} <= sp.t "
                         f"THEN (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) "
@@ -303,12 +313,12 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
                         f"({keyed.format(feats=feats, vals=vals, src=f'in{k + 1}')}))")
     last = depth - 1
     stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000), "
-                 f"{_argmax3('L_c0', 'L_c1', 'L_c2')} FROM sp{last}")
+                 f"{_argmax([f'L_c{c}' for c in cls])} FROM sp{last}")
     stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000) + 1, "
-                 f"{_argmax3('(T_c0 - L_c0)', '(T_c1 - L_c1)', '(T_c2 - L_c2)')} FROM sp{last}")
+                 f"{_argmax([f'(T_c{c} - L_c{c})' for c in cls])} FROM sp{last}")
     ctes.append("leafp AS (" + " UNION ALL ".join(stats) + ")")
     # hold-out rows walk the splits
-    ctes.append(f"te AS (SELECT row_number() OVER () AS rid, * FROM ({_train_input(FLAG, 600, test=True)}))")
+    ctes.append(f"te AS (SELECT row_number() OVER () AS rid, * FROM ({_train_input(label_sql, 600, test=True)}))")
     ctes.append(f"w0 AS (SELECT te.rid, t.tree * 1000000 + 1 AS key, te.x0, te.x1, te.x2 "
                 f"FROM te, (VALUES {trees}) t(tree))")
     ends = []
@@ -321,11 +331,13 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
         ctes.append(f"w{k + 1} AS ({nxt})")
     ends.append(f"SELECT rid, key FROM w{depth}")
     ctes.append("leaf AS (" + " UNION ALL ".join(ends) + ")")
-    ctes.append("votes AS (SELECT l.rid, sum(CASE WHEN p.p = 0.0 THEN 1 ELSE 0 END) AS c0, "
-                "sum(CASE WHEN p.p = 1.0 THEN 1 ELSE 0 END) AS c1, sum(CASE WHEN p.p = 2.0 THEN 1 ELSE 0 END) AS c2 "
-                "FROM leaf l JOIN leafp p ON p.key = l.key GROUP BY l.rid)")
-    return ("WITH " + ",\n".join(ctes) + f"\nSELECT {', '.join('te.' + k.strip() for k in KEYS.split(','))}, "
-            f"te.label, {_argmax3('v.c0', 'v.c1', 'v.c2')} AS prediction FROM te JOIN votes v ON v.rid = te.rid")
+    ctes.append("votes AS (SELECT l.rid, " + ", ".join(
+        f"sum(CASE WHEN p.p = {float(c)!r} THEN 1 ELSE 0 END) AS c{c}" for c in cls)
+        + " FROM leaf l JOIN leafp p ON p.key = l.key GROUP BY l.rid)")
+    ctes.append(f"pred AS (SELECT {', '.join('te.' + k.strip() for k in KEYS.split(','))}, te.label, "
+                f"{_argmax([f'v.c{c}' for c in cls])} AS prediction FROM te JOIN votes v ON v.rid = te.rid)")
+    body = "WITH " + ",\n".join(ctes)
+    return body + f"\nSELECT {KEYS}, label, prediction FROM pred" if final else body
 
 
 # ----------------------------------------------------------------- document forests
@@ -525,4 +537,10 @@ ORACLE_SQL = {
     "tree_depth5": grown_tree_sql(5),
     "subspace_vote": subspace_vote_sql(5, draw_features(3, 3, 2, 0)),
     "bagged_forest": subspace_vote_sql(5, draw_features(3, 3, 2, 0), seed=0),
+    # Spark's own tree learner grows the same tree (same candidates, gains and ties)
+    "tree_classify": subspace_vote_sql(5, [[0, 1, 2]], None, STATUS, 2, final=False) + """
+SELECT count(*) AS n_test,
+       CAST(sum(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong,
+       avg(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0.0 ELSE 1.0 END) AS error_rate
+FROM pred""",
 }
