@@ -273,7 +273,8 @@ def _bootstrap_sql(seed: int, tree: int) -> str:
 
 
 def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = None,
-                      label_sql: str = FLAG, classes: int = 3, final: bool = True) -> str:
+                      label_sql: str = FLAG, classes: int = 3, final: bool = True,
+                      task: str = "classification") -> str:
     """Trees on feature subsets (return-flag classes), grown level-wise with a
     (tree, node) key = tree * 1e6 + node; hold-out rows walk the same splits
     level by level; hard vote over the trees (ties -> lowest class).  With
@@ -290,6 +291,7 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
     wcol = (", CASE t.tree " + " ".join(f"WHEN {t} THEN {_bootstrap_sql(seed, t)}" for t in range(n_t))
             + " END AS w") if weighted else ""
     cls = list(range(classes))
+    reg = task == "regression"
     ctes = [f"tr AS ({_train_input(label_sql, 600)})",
             f"allv AS (SELECT 1 AS node, label, unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM tr)",
             _thr_ctes("allv").strip(),
@@ -298,11 +300,13 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
             f"lg0 AS (SELECT key AS node, label{wsel}, f, v FROM ({keyed.format(feats=feats, vals=vals, src='in0')}))"]
     stats = []
     for k in range(depth):
-        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", "classification", classes, weighted).strip())
+        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", task, classes, weighted).strip())
         ctes.append(f"sp{k} AS (SELECT * FROM s{k}_top WHERE gain > 0)")
-        ctes.append(f"st{k} AS (SELECT node AS key, {', '.join(f'T_c{c}' for c in cls)} FROM s{k}_tot "
+        tcols = "T_w, T_wy" if reg else ", ".join(f"T_c{c}" for c in cls)
+        ctes.append(f"st{k} AS (SELECT node AS key, {tcols} FROM s{k}_tot "
                     f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY f) = 1)")
-        stats.append(f"SELECT key, {_argmax([f'T_c{c}' for c in cls])} AS p FROM st{k}")
+        tp = "T_wy / T_w" if reg else _argmax([f"T_c{c}" for c in cls])
+        stats.append(f"SELECT key, {tp} AS p FROM st{k}")
         if k + 1 < depth:
             ctes.append(f"in{k + 1} AS (SELECT CASE WHEN {xval('sp.f')} <= sp.t "
                         f"THEN (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) "
@@ -312,10 +316,10 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
             ctes.append(f"lg{k + 1} AS (SELECT key AS node, label{wsel}, f, v FROM "
                         f"({keyed.format(feats=feats, vals=vals, src=f'in{k + 1}')}))")
     last = depth - 1
-    stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000), "
-                 f"{_argmax([f'L_c{c}' for c in cls])} FROM sp{last}")
-    stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000) + 1, "
-                 f"{_argmax([f'(T_c{c} - L_c{c})' for c in cls])} FROM sp{last}")
+    lp = "L_wy / L_w" if reg else _argmax([f"L_c{c}" for c in cls])
+    rp = "(T_wy - L_wy) / (T_w - L_w)" if reg else _argmax([f"(T_c{c} - L_c{c})" for c in cls])
+    stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000), {lp} FROM sp{last}")
+    stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000) + 1, {rp} FROM sp{last}")
     ctes.append("leafp AS (" + " UNION ALL ".join(stats) + ")")
     # hold-out rows walk the splits
     ctes.append(f"te AS (SELECT row_number() OVER () AS rid, * FROM ({_train_input(label_sql, 600, test=True)}))")
@@ -331,11 +335,16 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
         ctes.append(f"w{k + 1} AS ({nxt})")
     ends.append(f"SELECT rid, key FROM w{depth}")
     ctes.append("leaf AS (" + " UNION ALL ".join(ends) + ")")
-    ctes.append("votes AS (SELECT l.rid, " + ", ".join(
-        f"sum(CASE WHEN p.p = {float(c)!r} THEN 1 ELSE 0 END) AS c{c}" for c in cls)
-        + " FROM leaf l JOIN leafp p ON p.key = l.key GROUP BY l.rid)")
+    if reg:
+        ctes.append("votes AS (SELECT l.rid, avg(p.p) AS m FROM leaf l JOIN leafp p ON p.key = l.key GROUP BY l.rid)")
+        vote = "v.m"
+    else:
+        ctes.append("votes AS (SELECT l.rid, " + ", ".join(
+            f"sum(CASE WHEN p.p = {float(c)!r} THEN 1 ELSE 0 END) AS c{c}" for c in cls)
+            + " FROM leaf l JOIN leafp p ON p.key = l.key GROUP BY l.rid)")
+        vote = _argmax([f"v.c{c}" for c in cls])
     ctes.append(f"pred AS (SELECT {', '.join('te.' + k.strip() for k in KEYS.split(','))}, te.label, "
-                f"{_argmax([f'v.c{c}' for c in cls])} AS prediction FROM te JOIN votes v ON v.rid = te.rid)")
+                f"{vote} AS prediction FROM te JOIN votes v ON v.rid = te.rid)")
     body = "WITH " + ",\n".join(ctes)
     return body + f"\nSELECT {KEYS}, label, prediction FROM pred" if final else body
 
@@ -543,4 +552,6 @@ SELECT count(*) AS n_test,
        CAST(sum(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong,
        avg(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0.0 ELSE 1.0 END) AS error_rate
 FROM pred""",
+    "tree_regress": subspace_vote_sql(5, [[0, 1, 2]], None, "l_extendedprice", 0, final=False,
+                                      task="regression") + _metrics("pred"),
 }

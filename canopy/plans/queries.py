@@ -356,7 +356,8 @@ def q_tree_regress(spark: SparkSession, sf: str) -> DataFrame:
     """M2 + I1 + A3-A6: Spark regression tree, hold-out metrics."""
     train, test = _price_split(spark, sf, TRAIN_FRAC)
     nodes = mltrees.forest_nodes(mltrees.tree_regress(train, FEATURES), FEATURES)
-    return regression_metrics(predict_mean(test, nodes))
+    m = regression_metrics(predict_mean(test, nodes))
+    return m.select("n", _r("rmse", 6), _r("mae", 6), _r("r2_pearson", 9), _r("r2_sse", 9))
 
 
 def q_forest_classify(spark: SparkSession, sf: str) -> DataFrame:
