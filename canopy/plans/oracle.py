@@ -552,6 +552,15 @@ SELECT count(*) AS n_test,
        CAST(sum(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong,
        avg(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0.0 ELSE 1.0 END) AS error_rate
 FROM pred""",
+    "subspace_report": subspace_vote_sql(5, draw_features(3, 3, 2, 0), final=False) + """,
+pt AS (SELECT CAST(l.key // 1000000 AS INTEGER) AS tree_id, te.label, p.p AS prediction
+       FROM leaf l JOIN leafp p ON p.key = l.key JOIN te ON te.rid = l.rid),
+w AS (SELECT tree_id, CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END AS bad FROM pt),
+v AS (SELECT CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END AS bad FROM pred)
+SELECT 'tree' AS kind, tree_id, count(*) AS n_pairs, CAST(sum(bad) AS BIGINT) AS n_wrong,
+       avg(bad::DOUBLE) AS error_rate FROM w GROUP BY tree_id
+UNION ALL SELECT 'pooled', NULL::INTEGER, count(*), CAST(sum(bad) AS BIGINT), avg(bad::DOUBLE) FROM w
+UNION ALL SELECT 'voted', NULL::INTEGER, count(*), CAST(sum(bad) AS BIGINT), avg(bad::DOUBLE) FROM v""",
     "tree_regress": subspace_vote_sql(5, [[0, 1, 2]], None, "l_extendedprice", 0, final=False,
                                       task="regression") + _metrics("pred"),
 }
