@@ -561,6 +561,9 @@ SELECT 'tree' AS kind, tree_id, count(*) AS n_pairs, CAST(sum(bad) AS BIGINT) AS
        avg(bad::DOUBLE) AS error_rate FROM w GROUP BY tree_id
 UNION ALL SELECT 'pooled', NULL::INTEGER, count(*), CAST(sum(bad) AS BIGINT), avg(bad::DOUBLE) FROM w
 UNION ALL SELECT 'voted', NULL::INTEGER, count(*), CAST(sum(bad) AS BIGINT), avg(bad::DOUBLE) FROM v""",
+    "subspace_mean": subspace_vote_sql(5, draw_features(3, 3, 2, 0), None, "l_extendedprice", 0,
+                                       final=False, task="regression")
+    + f"\nSELECT {KEYS}, label, round(prediction, 4) AS prediction FROM pred",
     "tree_regress": subspace_vote_sql(5, [[0, 1, 2]], None, "l_extendedprice", 0, final=False,
                                       task="regression") + _metrics("pred"),
 }

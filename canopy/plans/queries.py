@@ -322,6 +322,15 @@ def q_subspace_vote(spark: SparkSession, sf: str) -> DataFrame:
     return predict_classes(test, nodes, 3).select(*KEYS, "label", "prediction")
 
 
+def q_subspace_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """M6 + A11: three depth-5 variance trees on md5-drawn pairs of lineitem
+    features, grown together, mean of the tree predictions per hold-out row."""
+    from canopy.plans.jobs import subspace_forest
+    train, test = _price_split(spark, sf, TRAIN_FRAC)
+    nodes, _ = subspace_forest(train, FEATURES, "label", "regression", 3, 2, seed=0)
+    return predict_mean(test, nodes).select(*KEYS, "label", _r("prediction", 4))
+
+
 def q_describe_tree(spark: SparkSession, sf: str) -> DataFrame:
     """K3: indented If / Else / Predict text of the depth-2 tree."""
     from canopy.sinks.reports import describe_forest
@@ -447,6 +456,7 @@ QUERIES = {
     "describe_tree": q_describe_tree,
     "tree_depth5": q_tree_depth5,
     "subspace_vote": q_subspace_vote,
+    "subspace_mean": q_subspace_mean,
     # no SQL form: rows-only
     "random_split_counts": q_random_split_counts,
     "tree_classify": q_tree_classify,
