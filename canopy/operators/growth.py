@@ -238,8 +238,10 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                               .collect())
             best_rows = []
             if depth < max_depth:
-                cands = candidates(hist.where(F.col("feature") >= 0), ["tree_id", "node_id"], task,
-                                   n_classes, thresholds)
+                # one small shuffle by (tree, node) serves both the per-feature
+                # running sums and the best-per-node pick (no third exchange)
+                cands = candidates(hist.where(F.col("feature") >= 0).repartition("tree_id", "node_id"),
+                                   ["tree_id", "node_id"], task, n_classes, thresholds)
                 best_rows = best_per(cands, ["tree_id", "node_id"]).collect()
             if depth == 0:
                 hist.unpersist()

@@ -145,7 +145,8 @@ def split_scan(df: DataFrame, cols: Sequence[str], label: str = "label", task: s
         n_classes = num_classes(df, label)
     long = long_rows(df, cols, thresholds, label)
     hist = histogram(long, [], task, n_classes)
-    best = best_per(candidates(hist, [], task, n_classes, thresholds), ["feature"])
+    # one small shuffle by feature serves the running sums and the best pick
+    best = best_per(candidates(hist.repartition("feature"), [], task, n_classes, thresholds), ["feature"])
     # the threshold table is bounded by features x max_bins rows: broadcast
     thr = F.broadcast(threshold_table(df.sparkSession, thresholds, cols))
     return best.join(thr, ["feature", "bin"]).select("feature", "feature_name", "threshold", "gain",
