@@ -102,3 +102,18 @@ def test_scores_after_roundtrip_equal(spark):
     a = score_nodes(data, nodes).select("votes").collect()
     b = score_nodes(data, back).select("votes").collect()
     assert a == b
+
+
+def test_spark_regression_forest_roundtrip(spark):
+    from canopy.operators import mltrees
+    from canopy.operators.nodes import predict_mean
+    from canopy.plans.inputs import FEATURES, lineitem_price
+    df = lineitem_price(spark, SF_SMALL)
+    nodes = mltrees.forest_nodes(mltrees.forest_regress(df, FEATURES), FEATURES)
+    path = scratch_path(spark, "pmml-test")
+    write_pmml(forest_to_pmml(nodes, ModelMeta(tuple(FEATURES), "price", None)), path)
+    back, meta = forest_from_pmml(spark, path)
+    assert meta.regression and meta.features == tuple(FEATURES)
+    a = predict_mean(df, nodes).select("prediction").collect()
+    b = predict_mean(df, back).select("prediction").collect()
+    assert a == b
