@@ -10,6 +10,8 @@ DECIMAL in DuckDB).
 
 from __future__ import annotations
 
+from math import isqrt
+
 from canopy.models import iris
 from canopy.operators.mltrees import draw_features
 
@@ -272,30 +274,57 @@ def _bootstrap_sql(seed: int, tree: int) -> str:
     return _poisson_sql(u)
 
 
-def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = None,
-                      label_sql: str = FLAG, classes: int = 3, final: bool = True,
-                      task: str = "classification") -> str:
-    """Trees on feature subsets (return-flag classes), grown level-wise with a
-    (tree, node) key = tree * 1e6 + node; hold-out rows walk the same splits
-    level by level; hard vote over the trees (ties -> lowest class).  With
-    ``seed`` every (row, tree) carries its md5 bootstrap weight (bagging)."""
+def _thr_rule_ctes(src: str, max_bins: int = 100) -> str:
+    """Candidate thresholds by the full rule: midpoints when a feature has at
+    most ``max_bins`` distinct values, else the distinct values at 1-based
+    rank ceil(q * n), q = 1/max_bins .. (max_bins-1)/max_bins (the exact form
+    of the quantile sketch on data this small)."""
+    qs = "[" + ", ".join(f"{i / max_bins!r}" for i in range(1, max_bins)) + "]"
+    return f"""
+vals AS (SELECT DISTINCT f, v FROM {src} WHERE v IS NOT NULL AND NOT isnan(v)),
+nd AS (SELECT f, count(*) AS n FROM vals GROUP BY f),
+mids AS (SELECT f, (v + lead(v) OVER (PARTITION BY f ORDER BY v)) / 2.0::DOUBLE AS t FROM vals
+         WHERE f IN (SELECT f FROM nd WHERE n <= {max_bins})),
+ranked AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) AS rn,
+                  count(*) OVER (PARTITION BY f) AS n FROM {src}
+           WHERE v IS NOT NULL AND NOT isnan(v) AND f IN (SELECT f FROM nd WHERE n > {max_bins})),
+cuts AS (SELECT r.f, r.v AS t FROM ranked r JOIN (SELECT unnest({qs}) AS q) qq
+         ON r.rn = CAST(ceil(qq.q * CAST(r.n AS DOUBLE)) AS BIGINT)),
+thr AS (SELECT f, t FROM mids WHERE t IS NOT NULL UNION SELECT DISTINCT f, t FROM cuts)"""
+
+
+def ensemble_sql(depth: int, subsets: list[list[int]], train_sql: str, test_sql: str, keys: list[str],
+                 n_feat: int, classes: int = 3, task: str = "classification",
+                 seed: int | None = None, full_rule: bool = False) -> str:
+    """Trees on feature subsets, grown level-wise with a (tree, node) key =
+    tree * 1e6 + node; hold-out rows walk the same splits level by level;
+    hard vote (ties -> lowest class) or mean over the trees.  With ``seed``
+    every (row, tree) carries its md5 bootstrap weight (bagging).  Ends with
+    a ``pred`` CTE (keys, label, prediction)."""
     n_t = len(subsets)
     weighted = seed is not None
+    xs = [f"x{i}" for i in range(n_feat)]
+
+    def xv(col: str, prefix: str = "") -> str:
+        return "(CASE " + col + " " + " ".join(f"WHEN {i} THEN {prefix}x{i}" for i in range(n_feat)) + " END)"
+
     trees = ", ".join(f"({t})" for t in range(n_t))
     feats = "CASE tree " + " ".join(f"WHEN {t} THEN {list(sub)}" for t, sub in enumerate(subsets)) + " END"
     vals = "CASE tree " + " ".join(f"WHEN {t} THEN [{', '.join(f'x{f}' for f in sub)}]"
                                    for t, sub in enumerate(subsets)) + " END"
     wsel = ", w" if weighted else ""
     keyed = ("SELECT key, label" + wsel + ", unnest({feats}) AS f, unnest({vals}) AS v FROM "
-             "(SELECT key, key // 1000000 AS tree, label" + wsel + ", x0, x1, x2 FROM {src})")
+             "(SELECT key, key // 1000000 AS tree, label" + wsel + ", " + ", ".join(xs) + " FROM {src})")
     wcol = (", CASE t.tree " + " ".join(f"WHEN {t} THEN {_bootstrap_sql(seed, t)}" for t in range(n_t))
             + " END AS w") if weighted else ""
     cls = list(range(classes))
     reg = task == "regression"
-    ctes = [f"tr AS ({_train_input(label_sql, 600)})",
-            f"allv AS (SELECT 1 AS node, label, unnest([0, 1, 2]) AS f, unnest([x0, x1, x2]) AS v FROM tr)",
-            _thr_ctes("allv").strip(),
-            f"in0 AS (SELECT * FROM (SELECT t.tree * 1000000 + 1 AS key, r.label, r.x0, r.x1, r.x2{wcol} "
+    ctes = [f"tr AS ({train_sql})",
+            f"allv AS (SELECT 1 AS node, label, unnest({list(range(n_feat))}) AS f, "
+            f"unnest([{', '.join(xs)}]) AS v FROM tr)",
+            (_thr_rule_ctes("allv") if full_rule else _thr_ctes("allv")).strip(),
+            f"in0 AS (SELECT * FROM (SELECT t.tree * 1000000 + 1 AS key, r.label, "
+            f"{', '.join('r.' + x for x in xs)}{wcol} "
             f"FROM tr r, (VALUES {trees}) t(tree)){' WHERE w > 0' if weighted else ''})",
             f"lg0 AS (SELECT key AS node, label{wsel}, f, v FROM ({keyed.format(feats=feats, vals=vals, src='in0')}))"]
     stats = []
@@ -308,10 +337,10 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
         tp = "T_wy / T_w" if reg else _argmax([f"T_c{c}" for c in cls])
         stats.append(f"SELECT key, {tp} AS p FROM st{k}")
         if k + 1 < depth:
-            ctes.append(f"in{k + 1} AS (SELECT CASE WHEN {xval('sp.f')} <= sp.t "
+            ctes.append(f"in{k + 1} AS (SELECT CASE WHEN {xv('sp.f', 'i.')} <= sp.t "
                         f"THEN (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) "
                         f"ELSE (i.key // 1000000) * 1000000 + 2 * (i.key % 1000000) + 1 END AS key, "
-                        f"i.label, i.x0, i.x1, i.x2{', i.w' if weighted else ''} "
+                        f"i.label, {', '.join('i.' + x for x in xs)}{', i.w' if weighted else ''} "
                         f"FROM in{k} i JOIN sp{k} sp ON sp.node = i.key)")
             ctes.append(f"lg{k + 1} AS (SELECT key AS node, label{wsel}, f, v FROM "
                         f"({keyed.format(feats=feats, vals=vals, src=f'in{k + 1}')}))")
@@ -322,16 +351,16 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
     stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000) + 1, {rp} FROM sp{last}")
     ctes.append("leafp AS (" + " UNION ALL ".join(stats) + ")")
     # hold-out rows walk the splits
-    ctes.append(f"te AS (SELECT row_number() OVER () AS rid, * FROM ({_train_input(label_sql, 600, test=True)}))")
-    ctes.append(f"w0 AS (SELECT te.rid, t.tree * 1000000 + 1 AS key, te.x0, te.x1, te.x2 "
+    ctes.append(f"te AS (SELECT row_number() OVER () AS rid, * FROM ({test_sql}))")
+    ctes.append(f"w0 AS (SELECT te.rid, t.tree * 1000000 + 1 AS key, {', '.join('te.' + x for x in xs)} "
                 f"FROM te, (VALUES {trees}) t(tree))")
     ends = []
     for k in range(depth):
         ends.append(f"SELECT w.rid, w.key FROM w{k} w ANTI JOIN sp{k} sp ON sp.node = w.key")
-        nxt = (f"SELECT w.rid, CASE WHEN {xval('sp.f').replace('x', 'w.x')} <= sp.t "
+        nxt = (f"SELECT w.rid, CASE WHEN {xv('sp.f', 'w.')} <= sp.t "
                f"THEN (w.key // 1000000) * 1000000 + 2 * (w.key % 1000000) "
-               f"ELSE (w.key // 1000000) * 1000000 + 2 * (w.key % 1000000) + 1 END AS key, w.x0, w.x1, w.x2 "
-               f"FROM w{k} w JOIN sp{k} sp ON sp.node = w.key")
+               f"ELSE (w.key // 1000000) * 1000000 + 2 * (w.key % 1000000) + 1 END AS key, "
+               f"{', '.join('w.' + x for x in xs)} FROM w{k} w JOIN sp{k} sp ON sp.node = w.key")
         ctes.append(f"w{k + 1} AS ({nxt})")
     ends.append(f"SELECT rid, key FROM w{depth}")
     ctes.append("leaf AS (" + " UNION ALL ".join(ends) + ")")
@@ -343,12 +372,42 @@ def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = N
             f"sum(CASE WHEN p.p = {float(c)!r} THEN 1 ELSE 0 END) AS c{c}" for c in cls)
             + " FROM leaf l JOIN leafp p ON p.key = l.key GROUP BY l.rid)")
         vote = _argmax([f"v.c{c}" for c in cls])
-    ctes.append(f"pred AS (SELECT {', '.join('te.' + k.strip() for k in KEYS.split(','))}, te.label, "
+    ctes.append(f"pred AS (SELECT {', '.join('te.' + k for k in keys)}, te.label, "
                 f"{vote} AS prediction FROM te JOIN votes v ON v.rid = te.rid)")
-    body = "WITH " + ",\n".join(ctes)
+    return "WITH " + ",\n".join(ctes)
+
+
+def subspace_vote_sql(depth: int, subsets: list[list[int]], seed: int | None = None,
+                      label_sql: str = FLAG, classes: int = 3, final: bool = True,
+                      task: str = "classification") -> str:
+    """The lineitem ensembles (keys, three features, 60 % md5 train part)."""
+    body = ensemble_sql(depth, subsets, _train_input(label_sql, 600), _train_input(label_sql, 600, test=True),
+                        [k.strip() for k in KEYS.split(",")], 3, classes, task, seed)
     return body + f"\nSELECT {KEYS}, label, prediction FROM pred" if final else body
 
 
+def _embedding_input(test: bool, target_slot: int | None, width: int = 64) -> str:
+    bucket = ("((('0x' || substr(md5(concat_ws('|', CAST(vec_id AS VARCHAR))), 1, 8))::BIGINT) % 1000)")
+    cond = f"NOT ({bucket} < 600)" if test else f"{bucket} < 600"
+    slots = [i for i in range(width) if i != target_slot]
+    label = "CAST(label AS DOUBLE)" if target_slot is None else f"CAST(embedding[{target_slot + 1}] AS DOUBLE)"
+    xs = ", ".join(f"CAST(embedding[{s + 1}] AS DOUBLE) AS x{j}" for j, s in enumerate(slots))
+    return f"SELECT vec_id, {label} AS label, {xs} FROM embeddings WHERE {cond}"
+
+
+def embedding_ensemble_sql(task: str) -> str:
+    """M5 / M6 over the 64-wide embeddings: classes = the 10 labels, or the
+    first slot as regression target over the other 63."""
+    reg = task == "regression"
+    n = 63 if reg else 64
+    subsets = draw_features(n, 3, isqrt(n), 0)
+    body = ensemble_sql(5, subsets, _embedding_input(False, 0 if reg else None),
+                        _embedding_input(True, 0 if reg else None), ["vec_id"], n,
+                        0 if reg else 10, task, None, full_rule=True)
+    pred = "round(prediction, 4)" if reg else "prediction"
+    return body + f"\nSELECT vec_id, label, {pred} AS prediction FROM pred"
+
+
 # ----------------------------------------------------------------- document forests
 
 IRIS_COLS = {
@@ -564,6 +623,8 @@ UNION ALL SELECT 'voted', NULL::INTEGER, count(*), CAST(sum(bad) AS BIGINT), avg
     "subspace_mean": subspace_vote_sql(5, draw_features(3, 3, 2, 0), None, "l_extendedprice", 0,
                                        final=False, task="regression")
     + f"\nSELECT {KEYS}, label, round(prediction, 4) AS prediction FROM pred",
+    "subspace_classify": embedding_ensemble_sql("classification"),
+    "subspace_regress": embedding_ensemble_sql("regression"),
     "tree_regress": subspace_vote_sql(5, [[0, 1, 2]], None, "l_extendedprice", 0, final=False,
                                       task="regression") + _metrics("pred"),
 }

@@ -408,7 +408,7 @@ def q_subspace_classify(spark: SparkSession, sf: str) -> DataFrame:
 def q_subspace_regress(spark: SparkSession, sf: str) -> DataFrame:
     """M6: regression trees on feature subsets (target: first embedding slot)."""
     nodes, test = _subspace(spark, sf, "regression")
-    return predict_mean(test, nodes).select("vec_id", "label", "prediction")
+    return predict_mean(test, nodes).select("vec_id", "label", _r("prediction", 4))
 
 
 def q_subspace_report(spark: SparkSession, sf: str) -> DataFrame:
