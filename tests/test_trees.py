@@ -126,3 +126,16 @@ def test_gradient_descent_approaches_closed_form(spark):
     for a, c in zip(w, ols.coefficients):
         assert abs(a - c) <= 1e-3 * max(1.0, abs(c))
     assert abs(b - ols.intercept) <= 1e-3 * abs(ols.intercept)
+
+
+def test_regression_forest_mean_equals_spark(spark):
+    """The mean vote over the node table equals Spark's forest prediction."""
+    df = lineitem_price(spark, SF_MID)
+    model = mltrees.forest_regress(df, FEATURES)
+    nodes = mltrees.forest_nodes(model, FEATURES)
+    ours = predict_mean(df, nodes).select(*KEYS, "l_quantity", "l_discount", "l_tax", "prediction")
+    theirs = model.transform(assemble(df, FEATURES)).select(*KEYS, "l_quantity", "l_discount", "l_tax",
+                                                            F.col("prediction").alias("ml"))
+    j = ours.join(theirs, [*KEYS, "l_quantity", "l_discount", "l_tax"])
+    assert j.count() > 0
+    assert j.where(F.abs(F.col("prediction") - F.col("ml")) > 1e-6 * F.abs(F.col("ml"))).count() == 0
