@@ -1,7 +1,6 @@
 """Every registered query with a SQL form equals its DuckDB oracle (sf0.001)."""
 
 import math
-import os
 
 import duckdb
 import pytest

@@ -1,6 +1,5 @@
 import xml.etree.ElementTree as ET
 
-from pyspark.sql import functions as F
 
 from canopy.models import iris
 from canopy.operators.nodes import score_nodes

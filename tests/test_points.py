@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from canopy.sources.points import assemble, label_at, label_last, parse_points
 

@@ -6,7 +6,6 @@ import math
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from canopy.functions.votes import majority_vote
 from canopy.models import iris

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from canopy.operators.splits import hash_split, hash_split_counts, holdout_complement
 from canopy.plans.inputs import KEYS, table
