@@ -229,22 +229,26 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                           .where(F.col("node_id").isNotNull() & F.col("bin").isNotNull()
                                  & (F.col("weight") > 0)))
             hist = histogram(long, ["tree_id", "node_id"], task, n_classes)
-            totals = []
-            if depth == 0:
-                # root statistics; deeper nodes inherit theirs from the parent's split
-                hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
-                totals = (hist.where(F.col("feature") == -1)
-                              .select("tree_id", "node_id", F.array(*stat_names).alias("stats"), "n_raw")
-                              .collect())
-            best_rows = []
+            parts = []
             if depth < max_depth:
                 # one small shuffle by (tree, node) serves both the per-feature
                 # running sums and the best-per-node pick (no third exchange)
                 cands = candidates(hist.where(F.col("feature") >= 0).repartition("tree_id", "node_id"),
                                    ["tree_id", "node_id"], task, n_classes, thresholds)
-                best_rows = best_per(cands, ["tree_id", "node_id"]).collect()
+                parts.append(best_per(cands, ["tree_id", "node_id"])
+                             .withColumn("stats", F.lit(None).cast("array<double>"))
+                             .withColumn("n_raw", F.lit(None).cast("long")))
             if depth == 0:
-                hist.unpersist()
+                # root statistics ride in the same job (the histogram exchange
+                # is reused); deeper nodes inherit theirs from the parent's split
+                tot = hist.where(F.col("feature") == -1).select(
+                    "tree_id", "node_id", F.array(*stat_names).alias("stats"), "n_raw")
+                parts.append(tot if not parts else
+                             tot.select(*[F.col(c) if c in tot.columns else F.lit(None).cast(t).alias(c)
+                                          for c, t in parts[0].dtypes]))
+            rows = parts[0].unionByName(parts[1]).collect() if len(parts) == 2 else parts[0].collect()
+            totals = [r for r in rows if r["stats"] is not None]
+            best_rows = [r for r in rows if r["stats"] is None]
             best = {(r["tree_id"], r["node_id"]): r for r in best_rows}
             for r in totals:
                 n = nodes[(r["tree_id"], r["node_id"])]
