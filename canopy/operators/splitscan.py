@@ -94,7 +94,13 @@ def candidates(hist: DataFrame, keys: Sequence[str], task: str,
     # empty right side, so "both sides non-empty" also rules it out
     return df.where(f"{n_l} > 0 AND {n_r} > 0").selectExpr(
         *keys, "feature", "bin",
-        f"{gain} AS gain", f"{n_l} AS n_left", f"{n_r} AS n_right",
+        f"{gain} AS gain",
+        # ranking key: classification gains come from exact counts; regression
+        # gains come from sums whose last bits depend on summation order, so
+        # they are ranked at float precision and equal splits tie exactly
+        # (then: lowest feature, lowest threshold) on any partitioning
+        f"{'CAST(' + gain + ' AS FLOAT)' if task != CLASSIFICATION else gain} AS rank_gain",
+        f"{n_l} AS n_left", f"{n_r} AS n_right",
         "L_n_raw AS raw_left", "T_n_raw - L_n_raw AS raw_right",
         f"array({', '.join(L)}) AS left_stats", f"array({', '.join(R)}) AS right_stats")
 
@@ -107,8 +113,8 @@ def threshold_table(spark, thresholds: Sequence[Sequence[float]], names: Sequenc
 
 def best_per(cands: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Highest gain per ``keys``; ties -> lowest feature, then lowest bin."""
-    order = F.struct(F.col("gain"), -F.col("feature"), -F.col("bin"))
-    fields = [c for c in cands.columns if c not in keys]
+    order = F.struct(F.col("rank_gain"), -F.col("feature"), -F.col("bin"))
+    fields = [c for c in cands.columns if c not in keys and c != "rank_gain"]
     best = F.max_by(F.struct(*fields), order)
     return cands.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 

@@ -74,6 +74,8 @@ def _scan_ctes(prefix: str, long_src: str, thr: str, task: str, classes: int = 2
     nL, nT = weight(L), weight(T)
     nR = f"({nT} - {nL})"
     gain = (f"({imp(T, nT)} - ({nL} / {nT}) * {imp(L, weight(L))} - ({nR} / {nT}) * {imp(R, weight(R))})")
+    # regression gains rank at float precision (sums differ in the last bits)
+    rank = "gain" if task == "classification" else "CAST(gain AS FLOAT)"
     return f"""
 {p}_cnt AS (SELECT node, f, v, {agg}, count(*) AS n_raw FROM {long_src} GROUP BY node, f, v),
 {p}_tot AS (SELECT node, f, {", ".join(f"sum({s}) AS T_{s}" for s in stats)}, sum(n_raw) AS T_raw
@@ -84,9 +86,9 @@ def _scan_ctes(prefix: str, long_src: str, thr: str, task: str, classes: int = 2
                  {nL} AS n_left, {nR} AS n_right, {gain} AS gain
           FROM {p}_cand a JOIN {p}_tot b ON a.node = b.node AND a.f = b.f),
 {p}_valid AS (SELECT * FROM {p}_g WHERE n_left > 0 AND n_right > 0),
-{p}_best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node, f ORDER BY gain DESC, t ASC) AS rk
+{p}_best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node, f ORDER BY {rank} DESC, t ASC) AS rk
                             FROM {p}_valid) WHERE rk = 1),
-{p}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f ASC, t ASC) AS rk2
+{p}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY {rank} DESC, f ASC, t ASC) AS rk2
                            FROM {p}_best) WHERE rk2 = 1)"""
 
 
