@@ -224,7 +224,9 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                         entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
                                                 wcol(t).alias("weight"), F.lit(f).alias("feature"),
                                                 F.col(f"__b{f}").alias("bin")))
-            long = (routed.select("label", F.explode(F.array(*entries)).alias("e"))
+            # rows that already sit in a finished leaf of every live tree add nothing
+            live_rows = routed.where(F.coalesce(*[F.col(f"__n{t}") for t in live]).isNotNull())
+            long = (live_rows.select("label", F.explode(F.array(*entries)).alias("e"))
                           .select("e.tree_id", "e.node_id", "e.feature", "e.bin", "label", "e.weight")
                           .where(F.col("node_id").isNotNull() & F.col("bin").isNotNull()
                                  & (F.col("weight") > 0)))
