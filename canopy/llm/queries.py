@@ -3,21 +3,26 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import bpe, exact_dedup, packing, simhash
-from canopy.llm.common import documents
+from canopy.llm import bpe, chat, exact_dedup, itq, langid, linededup, mixing, packing, pii, simhash
+from canopy.llm.common import crc_mod, documents
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: The same vocabulary as byte_bpe_50k.json, as ranks.
 PACK_RANKS = "byte_bpe_50k.tiktoken"
 
 
-def _hex(c: str, digits: int) -> F.Column:
+def _hex(c: str, digits: int) -> Column:
     return F.lower(F.lpad(F.hex(c), digits, "0"))
 
 
+def op1_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score of every document under the model learned from those not held out."""
+    return mixing.scores(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     docs = documents(spark, sf_dir)
@@ -33,6 +38,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "doc_tokens", "sequence_id", "offset")
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: counts and digest of the base spans, and all spans."""
+    found = pii.find(documents(spark, sf_dir), keep=["doc_id"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the bytes they decode to, as digests."""
     ranks, pattern = public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN
@@ -40,6 +56,37 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(encoded, ranks, pattern).withColumnRenamed("id", "doc_id")
 
 
+def op6_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector."""
+    found = itq.near_duplicates(documents(spark, sf_dir, "embeddings"), threshold=0.98)
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines whose template recurs in an earlier one."""
+    return linededup.drop_recurring(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every transcript of the conversations with the roles recovered and the turns rendered.
+
+    The roles of conversations whose crc32(conv_id as text) mod 5 is 1 are not learned from.
+    """
+    table = chat.transcripts(documents(spark, sf_dir, "conversations")).withColumn("held_out", crc_mod("conv_id", 5) == 1)
+    model = chat.fit(table.where("known and not held_out"))
+    parsed = chat.parse(table, model, ["conv_id", "part", "extra", "held_out", "known", "states"])
+    truth = F.transform("states", lambda s: F.get(F.array(*[F.lit(r) for r, _ in chat.STATES]), s))
+    right = F.aggregate(F.zip_with("roles", truth, lambda a, b: (a == b).cast("long")), F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return parsed.select("conv_id", "part", "extra", "held_out", F.size("roles").cast("long").alias("n_lines"),
+                         F.when(F.col("known"), right).alias("n_right"), "n_turns", "rendered")
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language and calibrated probability of every document."""
+    docs = documents(spark, sf_dir).withColumn("held_out", langid.held_out())
+    return langid.identify(docs, keep=["held_out"]).withColumnRenamed("id", "doc_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which row of equal texts stays."""
     return exact_dedup.exact_groups(documents(spark, sf_dir)).select(
@@ -47,9 +94,15 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_context_mixing": op1_context_mixing,
     "op2_simhash": op2_simhash,
     "op3_packing": op3_packing,
+    "op4_pii": op4_pii,
     "op5_byte_bpe": op5_byte_bpe,
+    "op6_itq": op6_itq,
+    "op7_line_dedup": op7_line_dedup,
+    "op8_chat_format": op8_chat_format,
+    "op9_language_id": op9_language_id,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

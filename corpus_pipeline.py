@@ -11,7 +11,10 @@ from canopy.llm.common import documents, written
 
 #: (name, function) in order; a function takes (spark, docs, sf_dir).
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", stages.language_id),
+    ("line_dedup", stages.line_dedup),
     ("simhash_near_dedup", stages.simhash_near_dedup),
+    ("pii", stages.pii),
     ("packing", stages.packing),
 ]
 
