@@ -1,6 +1,6 @@
 """SimHash near-duplicates through segment popcounts.
 
-A 64-bit fingerprint is mapped to the bit counts of its segments.  The
+A 64-bit fingerprint is mapped to the bit counts of its 32 segments.  The
 Manhattan distance of two such vectors is at most the Hamming distance of the
 fingerprints, so a grid range-join on the vectors finds every pair that can
 link: each vector is placed into all lattice cells within half the distance,
@@ -27,7 +27,6 @@ from canopy.llm.common import text_or_empty, workers_ready, written
 from canopy.llm.components import connected_components
 
 SEED = 42
-SEGMENTS = 16
 
 _BYTE_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _LANES = (np.arange(8, dtype=np.uint16) * 256)[None, :]
@@ -70,21 +69,33 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, f"id {kind}, fp bigint")
 
 
-def segment_cells(fp: Column, radius: int, segments: int = SEGMENTS) -> Column:
-    """All lattice cells within Manhattan ``radius`` of the segment bit counts of ``fp``, each as one long.
+def segment_counts(fp: Column) -> Column:
+    """The bit counts of the 32 two-bit segments of ``fp``, each in its segment's place."""
+    low, high = F.lit(0x5555555555555555), F.shiftrightunsigned(fp, 1)
+    return F.shiftleft(high.bitwiseAND(fp).bitwiseAND(low), 1).bitwiseOR(high.bitwiseXOR(fp).bitwiseAND(low))
 
-    A cell packs one field per segment, wide enough that counts from
-    -radius to width + radius do not overflow into the next field.
+
+def _one_step(cell: Column) -> Column:
+    """``cell`` and the cells one step from it: one segment's count one more or less.
+
+    Counts are taken modulo 4 (-1 and 3 are one), which only puts more
+    vectors into a cell.
     """
-    width = 64 // segments
-    cell = F.lit(0).cast("long")
-    for s in range(segments):
-        part = F.shiftrightunsigned(fp, width * s).bitwiseAND(F.lit((1 << width) - 1))
-        cell = cell + F.shiftleft((F.bit_count(part) + radius).cast("long"), width * s)
-    steps = {0}
+    def moved(at: Column, by: int) -> Column:
+        count = F.call_function("shiftrightunsigned", cell, at).bitwiseAND(F.lit(3).cast("long"))
+        change = count.bitwiseXOR((count + by).bitwiseAND(F.lit(3).cast("long")))
+        return cell.bitwiseXOR(F.call_function("shiftleft", change, at))
+
+    at = F.sequence(F.lit(0), F.lit(62), F.lit(2))
+    return F.concat(F.array(cell), F.transform(at, lambda i: moved(i, 1)), F.transform(at, lambda i: moved(i, 3)))
+
+
+def segment_cells(fp: Column, radius: int) -> Column:
+    """All lattice cells within Manhattan ``radius`` of the segment bit counts of ``fp``, each as one long."""
+    cells = F.array(segment_counts(fp))
     for _ in range(radius):
-        steps |= {x + sign * (1 << (width * s)) for x in steps for s in range(segments) for sign in (1, -1)}
-    return F.transform(F.array(*[F.lit(x).cast("long") for x in sorted(steps)]), lambda x: x + cell)
+        cells = F.array_distinct(F.flatten(F.transform(cells, _one_step)))
+    return cells
 
 
 def flipped_words(fp: Column, radius: int) -> Column:
@@ -95,29 +106,31 @@ def flipped_words(fp: Column, radius: int) -> Column:
 
 
 def _sharing(keys: DataFrame) -> DataFrame:
-    """Of ``keys`` (key, fp): rows whose key has another fp too, with the key's smallest fp as ``hub``."""
+    """Of ``keys`` (key, fp): rows whose key has another fp too, with the key's smallest fp as ``hub``.
+
+    ``keys`` holds many rows per fingerprint, which size estimates miss; the
+    hint keeps the join from broadcasting them.
+    """
     hubs = (keys.groupBy("key").agg(F.min("fp").alias("hub"), F.max("fp").alias("top"))
             .where("hub <> top").select("key", "hub"))
-    return keys.join(hubs, "key")
+    return keys.join(hubs.hint("merge"), "key")
 
 
-def linked(distinct: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFrame:
+def linked(distinct: DataFrame, max_bits: int = 2) -> DataFrame:
     """Star edges (src, dst) whose components are those of the graph 'Hamming distance <= max_bits' on ``distinct`` (fp)."""
     if max_bits % 2 or not 0 <= max_bits <= 4:
         raise ValueError("max_bits must be 0, 2 or 4")
-    if segments not in (8, 16):
-        raise ValueError("segments must be 8 or 16")
     half = max_bits // 2
     if not half:
         return distinct.select(F.col("fp").alias("src"), F.col("fp").alias("dst")).where("false")
-    cells = distinct.select("fp", F.explode(segment_cells(F.col("fp"), half, segments)).alias("key"))
+    cells = distinct.select("fp", F.explode(segment_cells(F.col("fp"), half)).alias("key"))
     near = written(_sharing(cells).select("fp").distinct(), "near")
     words = near.select("fp", F.explode(flipped_words(F.col("fp"), half)).alias("key"))
     return _sharing(words).where("fp <> hub").select(F.col("fp").alias("src"), F.col("hub").alias("dst")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                    max_bits: int = 2, segments: int = SEGMENTS) -> DataFrame:
+                    max_bits: int = 2) -> DataFrame:
     """(id, fp, component_id) per row of ``docs``.
 
     Fingerprints link at ``max_bits`` or fewer differing bits; component_id
@@ -127,8 +140,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     fps = written(fingerprints(docs, id_col, text_col, shingle), "fps")
     reps = written(fps.groupBy("fp").agg(F.min("id").alias("rep")), "reps")
-    comps = connected_components(linked(reps.select("fp"), max_bits, segments)).select(F.col("node").alias("fp"), "component")
+    comps = connected_components(linked(reps.select("fp"), max_bits)).select(F.col("node").alias("fp"), "component")
     joined = reps.join(comps, "fp", "left").select("fp", "rep", F.coalesce("component", "fp").alias("component"))
-    best = joined.groupBy("component").agg(F.min("rep").alias("component_id"))
-    member = joined.select("fp", "component").join(best, "component").select("fp", "component_id")
+    joined = written(joined, "members")
+    best = written(joined.groupBy("component").agg(F.min("rep").alias("component_id")), "components")
+    member = written(joined.select("fp", "component").join(best, "component").select("fp", "component_id"), "members")
     return fps.join(member, "fp").select("id", "fp", "component_id")
