@@ -19,6 +19,7 @@ from functools import lru_cache
 from itertools import groupby
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -41,10 +42,14 @@ def encoding(ranks: str, pattern: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
 
 
+def encode_ids(text: str, ranks: str, pattern: str) -> np.ndarray:
+    """Ids of ``text``; the encoding has no special tokens, so none is looked for."""
+    return encoding(ranks, pattern).encode_to_numpy(text, disallowed_special=())
+
+
 def encode_text(text: str, ranks: str, pattern: str) -> bytes:
     """Ids of ``text`` as little-endian unsigned 32-bit integers."""
-    ids = array("I", encoding(ranks, pattern).encode_ordinary(text))
-    return ids.tobytes()
+    return encode_ids(text, ranks, pattern).astype("<u4").tobytes()
 
 
 def boundaries(text: str, pattern: str) -> list[int]:
