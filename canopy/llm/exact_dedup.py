@@ -70,7 +70,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     marked = written(with_candidates(rows, "h", bits_per_row).select("id", "sha", "candidate"), "marked")
     alone = marked.where("not candidate").select("id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
     maybe = marked.where("candidate").select("id", "sha")
-    groups = maybe.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    # written, so that the join below deals both sides itself and can split the rows of a large group
+    groups = written(maybe.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "groups")
     found = maybe.join(groups, "sha").select("id", "keep_id", "group_size", "sha")
     return alone.union(found).withColumn("kept", F.col("id").eqNullSafe(F.col("keep_id")))
 
@@ -81,6 +82,6 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.struct("*").alias("_row")).withColumn("_h", F.xxhash64(text))
     marked = with_candidates(rows, "_h")
     maybe = marked.where("candidate").select("_row", F.sha2(text, 256).alias("_sha"), F.col(f"_row.{id_col}").alias("_id"))
-    best = maybe.groupBy("_sha").agg(F.max("_id").alias("_keep"))
+    best = written(maybe.groupBy("_sha").agg(F.max("_id").alias("_keep")), "groups")
     stay = maybe.join(best, "_sha").where(F.col("_id").eqNullSafe(F.col("_keep"))).select("_row.*")
     return marked.where("not candidate").select("_row.*").union(stay)
