@@ -16,15 +16,16 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, kind: str) -> DataFrame:
+def written(df: DataFrame, kind: str, row_group_mb: int = 0) -> DataFrame:
     """``df`` written below the shared checkpoint folder and read again.
 
     Cuts the lineage: a lost executor costs no earlier stage, and later
-    stages do not compute ``df`` again.
+    stages do not compute ``df`` again.  ``row_group_mb`` bounds what the
+    writer buffers (for rows of several megabytes).
     """
     spark = df.sparkSession
     path = scratch_path(spark, kind)
-    df.write.parquet(path)
+    (df.write.option("parquet.block.size", row_group_mb << 20) if row_group_mb else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -96,7 +96,7 @@ def base_spans(docs: DataFrame, text_col: str = "text", keep: list[str] | None =
 
     base: array<struct<kind,start,end>>, sorted.  candidates: identifier-like
     tokens with their offsets, the lower-cased words before them and the kind
-    of the base span that begins in them (null: none does).
+    and text of the base span that begins in them (kind null: none does).
     """
     keep = keep or []
     t = F.col("_text")
@@ -111,18 +111,19 @@ def base_spans(docs: DataFrame, text_col: str = "text", keep: list[str] | None =
 
     def spans(kind: str) -> Column:
         good = F.filter(F.col(f"_l_{kind}"), lambda m: valid(kind, m["value"]))
-        return F.transform(good, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end")))
+        return F.transform(good, lambda m: F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value")))
 
-    step = step.select(*keep, _sorted_spans(F.concat(*[spans(k) for k in KINDS])).alias("base"), F.col("_l_token").alias("_tokens"))
+    step = step.select(*keep, F.concat(*[spans(k) for k in KINDS]).alias("_found"), F.col("_l_token").alias("_tokens"))
+    step = step.select(*keep, _sorted_spans(F.col("_found")).alias("base"), "_found", "_tokens")
 
     def candidate(m: Column) -> Column:
         words = F.split(F.trim(F.lower(F.regexp_replace(m["before"], r"\s+", " "))), " ")
         # a span that begins inside the token names its kind; one that covers the token's start makes it no candidate
-        inside = F.filter(F.col("base"), lambda s: (s["start"] >= m["start"]) & (s["start"] < m["end"]))
+        inside = F.get(F.filter(F.col("_found"), lambda s: (s["start"] >= m["start"]) & (s["start"] < m["end"])), F.lit(0))
         covered = F.exists(F.col("base"), lambda s: (s["start"] < m["start"]) & (s["end"] > m["start"]))
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lower(m["value"]).alias("value"),
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), F.lower(F.coalesce(inside["value"], m["value"])).alias("value"),
                         F.element_at(words, -1).alias("one"), F.array_join(F.slice(words, -F.least(F.size(words), F.lit(2)), 2), " ").alias("two"),
-                        F.get(inside, F.lit(0))["kind"].alias("kind"), covered.alias("covered"))
+                        inside["kind"].alias("kind"), covered.alias("covered"))
 
     return step.select(F.monotonically_increasing_id().alias("row"), *keep, "base",
                        F.filter(F.transform("_tokens", candidate), lambda c: ~c["covered"]).alias("candidates"))
