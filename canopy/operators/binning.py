@@ -1,20 +1,21 @@
 """Split candidates per feature (the bins every tree is grown on).
 
-Rule (the same one Spark's tree learner uses for continuous features):
+Rule:
 
 * a feature with at most ``max_bins`` distinct values gets every midpoint
   between consecutive distinct values as a candidate threshold, so the split
   search on it is exact;
-* a feature with more distinct values gets up to ``max_bins - 1`` cut
-  points taken from approximate quantiles of its values.
-
-Cost: two aggregates grouped by feature (one reduce task per feature):
-  1. per feature an HLL distinct count and a quantile sketch (both merge
-     map-side; the state is bounded by the sketch accuracy, not the rows),
-     plus max(label) for the class count;
-  2. only for the features the sketch calls low-cardinality, their distinct
-     values -- bounded by ~2 x max_bins entries per feature.
-NaN never becomes a candidate (it always goes right); NULL rows are ignored.
+* a feature with more distinct values gets up to ``max_bins - 1`` cut points:
+  its values at the ranks ceil(i n / max_bins), exactly.
+
+Both come from additive counts, so the candidates are the same on any
+partitioning.  The ranks are found by refinement: values are counted in a
+bounded number of equal intervals, only the intervals that hold a wanted rank
+are divided further, until each holds one value; a few passes suffice.  A
+distinct-count sketch only tells which features may be low-cardinality (up to
+twice ``max_bins``, twenty times its error); their distinct values decide.
+NaN never becomes a candidate (it always goes right); NULL rows are ignored;
+infinite values count as the largest finite ones.
 """
 
 from __future__ import annotations
@@ -24,10 +25,12 @@ from collections.abc import Sequence
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-QUANTILE_ACCURACY = 10000
+#: Intervals per pass of the refinement.
+INTERVALS = 1024
+_LARGEST = 1.7976931348623157e308
 
 
 def melt(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
@@ -39,44 +42,82 @@ def melt(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataF
               .where(F.col("value").isNotNull()))
 
 
+def exact_ranks(vals: DataFrame, wanted: dict[int, list[int]], ends: dict[int, tuple[float, float]]) -> dict[int, dict[int, float]]:
+    """The values at the ``wanted`` ranks (from 1) of each feature of ``vals`` (feature, value).
+
+    ends: least and largest value per feature.  What reaches the driver, and
+    what is broadcast, has at most one row per wanted rank.
+    """
+    spark = vals.sparkSession
+    found: dict[int, dict[int, float]] = {f: {} for f in wanted}
+    # an open part: (feature, least, largest, rows before it, ranks in it)
+    parts = {f: (f, *ends[f], 0, ranks) for f, ranks in wanted.items()}
+    rows = vals.select(F.col("feature").alias("part"), "value")
+    while True:
+        for part in [p for p, (_, lo, hi, _, _) in parts.items() if lo == hi]:
+            f, lo, _, _, ranks = parts.pop(part)
+            found[f].update(dict.fromkeys(ranks, lo))
+        if not parts:
+            return found
+        table = spark.createDataFrame([(p, lo, hi) for p, (_, lo, hi, _, _) in parts.items()], "part int, lo double, hi double")
+        share = F.try_divide(F.col("value") / 2 - F.col("lo") / 2, F.col("hi") / 2 - F.col("lo") / 2)
+        place = F.coalesce(F.floor(share * INTERVALS), F.when(F.col("value") > F.col("lo"), INTERVALS).otherwise(0))
+        rows = rows.join(F.broadcast(table), "part").select("part", F.least(place, F.lit(INTERVALS - 1)).cast("int").alias("place"), "value")
+        held = rows.groupBy("part", "place").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        order = Window.partitionBy("part").orderBy("place")
+        held = held.withColumn("upto", F.sum("n").over(order))
+        ranks = spark.createDataFrame([(p, r - before) for p, (_, _, _, before, rs) in parts.items() for r in rs], "part int, rank long")
+        hit = (held.join(F.broadcast(ranks), "part").where((F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
+               .groupBy("part", "place", "lo", "hi").agg(F.max(F.col("upto") - F.col("n")).alias("before"), F.collect_list("rank").alias("ranks")).collect())
+        new = {}
+        for k, r in enumerate(sorted(hit, key=lambda r: (r.part, r.place))):
+            f, _, _, before, _ = parts[r.part]
+            new[k] = (r.part, r.place, (f, r.lo, r.hi, before + r.before, [before + x for x in r.ranks]))
+        parts = {k: v for k, (_, _, v) in new.items()}
+        steps = spark.createDataFrame([(p, q, k) for k, (p, q, _) in new.items()], "part int, place int, next int")
+        rows = rows.join(F.broadcast(steps), ["part", "place"]).select(F.col("next").alias("part"), "value")
+
+
 def fit_bins(df: DataFrame, cols: Sequence[str], max_bins: int = 100,
              label: str | None = None) -> tuple[list[list[float]], float | None]:
     """(sorted thresholds per feature, max label or None).
 
     Values are melted to (feature, value) rows (a streaming explode feeding
-    the partial aggregate, nothing materialised), so every feature's sketch
-    merges in its own reduce task instead of all in one.
+    the partial aggregate, nothing materialised), so every feature's counts
+    merge in their own reduce tasks instead of all in one.
     """
     if max_bins < 2:
         raise ValueError("max_bins must be >= 2")
     cols = list(cols)
-    qs = [i / max_bins for i in range(1, max_bins)]
     extra = [F.col(label).cast("double").alias("__label")] if label is not None else []
     vals = melt(df.select(*[F.col(c) for c in cols], *extra), cols,
                 ["__label"] if label is not None else []).where(~F.isnan("value"))
-    aggs = [F.approx_count_distinct("value", 0.05).alias("nd"),  # 5% is plenty: separates <= max_bins
-            F.percentile_approx("value", qs, QUANTILE_ACCURACY).alias("cuts")]  # from > 2 x max_bins
+    vals = vals.withColumn("value", F.greatest(F.least("value", F.lit(_LARGEST)), F.lit(-_LARGEST)))
+    aggs = [F.approx_count_distinct("value", 0.05).alias("nd"), F.count(F.lit(1)).alias("n"),
+            F.min("value").alias("lo"), F.max("value").alias("hi")]
     if label is not None:
         aggs.append(F.max("__label").alias("max_label"))
-    sketch = {r["feature"]: r for r in vals.groupBy("feature").agg(*aggs).collect()}
-    low = [f for f, r in sketch.items() if r["nd"] <= 2 * max_bins]
+    about = {r["feature"]: r for r in vals.groupBy("feature").agg(*aggs).collect()}
+    vals = vals.select("feature", "value")
+    low = [f for f, r in about.items() if r["nd"] <= 2 * max_bins]
     exact: dict[int, list[float]] = {}
     if low:
-        rows = (vals.where(F.col("feature").isin(low)).select("feature", "value").distinct()
+        rows = (vals.where(F.col("feature").isin(low)).distinct()
                     .groupBy("feature").agg(F.sort_array(F.collect_list("value")).alias("vs")).collect())
         exact = {r["feature"]: list(r["vs"]) for r in rows}
+    many = [f for f in about if len(exact.get(f, ())) > max_bins or f not in exact]
+    ranks = {f: sorted({-(-i * about[f]["n"] // max_bins) for i in range(1, max_bins)}) for f in many}
+    cuts = exact_ranks(vals.where(F.col("feature").isin(many)), ranks, {f: (about[f]["lo"], about[f]["hi"]) for f in many}) if many else {}
     out: list[list[float]] = []
     for i in range(len(cols)):
-        vs = exact.get(i)
-        if vs is not None and len(vs) <= max_bins:
-            out.append([(a + b) / 2.0 for a, b in zip(vs[:-1], vs[1:])])
-        elif i in sketch:
-            out.append(sorted(set(float(c) for c in (sketch[i]["cuts"] or []) if c is not None)))
+        if i in cuts:
+            out.append(sorted(set(cuts[i].values())))
         else:
-            out.append([])  # all NULL / NaN: no split possible
+            vs = exact.get(i, [])  # none: all NULL / NaN, no split possible
+            out.append([a / 2.0 + b / 2.0 if abs(a + b) == math.inf else (a + b) / 2.0 for a, b in zip(vs[:-1], vs[1:])])
     max_label = None
     if label is not None:
-        labels = [r["max_label"] for r in sketch.values() if r["max_label"] is not None]
+        labels = [r["max_label"] for r in about.values() if r["max_label"] is not None]
         max_label = max(labels) if labels else None
     return out, max_label
 
@@ -86,32 +127,12 @@ def fit_thresholds(df: DataFrame, cols: Sequence[str], max_bins: int = 100) -> l
     return fit_bins(df, cols, max_bins)[0]
 
 
-def bin_index(value: Column, thresholds: Sequence[float]) -> Column:
-    """Number of thresholds strictly below ``value`` (binary search).
-
-    ``value <= thresholds[j]``  <=>  ``bin_index <= j``, so a split at
-    threshold j sends bins 0..j left.  NaN compares above every number in
-    Spark, so it lands in the last bin and always goes right.  The search is
-    a nested CASE of depth log2(bins): plain codegen'd comparisons per row.
-    """
-    thr = [float(t) for t in thresholds]
-
-    def search(lo: int, hi: int) -> Column:
-        # answer lies in [lo, hi]
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(F.lit(thr[mid]) < value, search(mid + 1, hi)).otherwise(search(lo, mid))
-
-    return search(0, len(thr))
-
-
 def add_bins(df: DataFrame, cols: Sequence[str], thresholds: Sequence[Sequence[float]],
              names: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """``keep`` columns + one INT bin column per feature (``names``).
 
-    Same bins as ``bin_index`` (number of thresholds below the value; NaN in
-    the last bin; NULL stays NULL), computed by ``Bucketizer`` -- a binary
+    A bin is the number of thresholds below the value (NaN in the last bin;
+    NULL stays NULL), computed by ``Bucketizer`` -- a binary
     search inside the JVM whose plan size does not grow with the number of
     thresholds, so hundreds of features x bins stay cheap to plan and run.
     Bucket boundaries are the next double above each threshold, so the

@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.operators.binning import add_bins, fit_bins
-from canopy.operators.splitscan import CLASSIFICATION, best_per, candidates, histogram, num_classes
+from canopy.operators.splitscan import (CLASSIFICATION, LABEL_DIGITS, STATS, best_per, candidates, collapsed, histogram,
+                                         num_classes, stat_columns, stat_values)
 
 NODE_SCHEMA = T.StructType([
     T.StructField("tree_id", T.IntegerType(), False),
@@ -54,7 +55,9 @@ class TreeSpec:
     """What makes one tree of an ensemble different from the others."""
     tree_id: int
     features: list[int]                 # indices into the feature list
-    weight: Column | None = None        # per-row weight (bootstrap); None = 1.0
+    weight: Column | None = None        # per-row count (bootstrap); None = 1
+    node_features: int | None = None    # features drawn anew for every node; None = all of the tree's
+    seed: int = 0                       # of the drawing per node
 
 
 @dataclass
@@ -150,6 +153,23 @@ def route_walk(nodes: dict, tree_id: int, depth: int, used: Sequence[int]) -> Co
     return F.when(F.array_contains(frontier, end), end)
 
 
+#: Deepest tree the grower takes: the driver holds at most trees x 2^depth nodes.
+MAX_DEPTH = 16
+
+
+def drawn_for_node(spec: TreeSpec) -> Column:
+    """Is a histogram's feature among those drawn for its node?
+
+    The features of the tree are ranked by md5('<seed>|<tree>|<node>|<feature>')
+    and the first ``node_features`` count, so any SQL engine draws the same.
+    """
+    def rank(f: Column) -> Column:
+        return F.md5(F.concat_ws("|", F.lit(str(spec.seed)), F.lit(str(spec.tree_id)), F.col("node_id").cast("string"), f.cast("string")))
+
+    ranked = F.array_sort(F.transform(F.array(*[F.lit(f) for f in spec.features]), lambda f: F.struct(rank(f).alias("h"), f.alias("f"))))
+    return F.array_contains(F.transform(F.slice(ranked, 1, spec.node_features), lambda x: x["f"]), F.col("feature"))
+
+
 def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                task: str = CLASSIFICATION, specs: Sequence[TreeSpec] | None = None,
                max_depth: int = 5, max_bins: int = 100, n_classes: int | None = None,
@@ -162,41 +182,50 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
     parent, bottom-up (as Spark's tree learner does); predictions do not
     change.
 
-    The training rows are binned once and persisted as (label, one weight
-    per tree, one small int bin per feature) -- the compact form every
-    level re-reads; raw feature values are not kept.
+    The training rows are read and persisted once, binned, and collapsed to
+    the distinct combinations of bins (and class) with their summed
+    statistics -- the compact form every level re-reads.  Rows without a
+    label are left out.
     """
     spark: SparkSession = df.sparkSession
     cols = list(cols)
+    if not 0 <= max_depth <= MAX_DEPTH:
+        raise ValueError(f"max_depth must be in 0..{MAX_DEPTH}")
     if specs is None:
         specs = [TreeSpec(0, list(range(len(cols))))]
     keep = list(dict.fromkeys([*cols, label, *carry]))
-    data = df.select(*[F.col(c) for c in keep])
-    if thresholds is None:
-        want_label = label if task == CLASSIFICATION and n_classes is None else None
-        thresholds, max_label = fit_bins(data, cols, max_bins, want_label)
-        if want_label is not None:
-            n_classes = int(max_label) + 1 if max_label is not None else 1
-    if task == CLASSIFICATION and n_classes is None:
-        n_classes = num_classes(data, label)
-    used_all = sorted({f for s in specs for f in s.features})
-    # only trees with a per-row weight keep a weight column; the rest use 1.0
-    weighted = [s for s in specs if s.weight is not None]
-    weights = [f"__w{s.tree_id}" for s in weighted]
-    pre = data.select(
-        F.col(label).cast("double").alias("label"),
-        *[s.weight.cast("double").alias(f"__w{s.tree_id}") for s in weighted],
-        *[F.col(cols[f]) for f in used_all])
-    binned = add_bins(pre, [cols[f] for f in used_all], [thresholds[f] for f in used_all],
-                      [f"__b{f}" for f in used_all], ["label", *weights]
-                      ).persist(StorageLevel.MEMORY_AND_DISK)
+    # read (and split, where a filter decides the train part) once for all fitting passes
+    data = df.select(*[F.col(c) for c in keep]).where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double"))).persist(StorageLevel.MEMORY_AND_DISK)
+    binned = None
     try:
+        if thresholds is None:
+            want_label = label if task == CLASSIFICATION and n_classes is None else None
+            thresholds, max_label = fit_bins(data, cols, max_bins, want_label)
+            if want_label is not None:
+                n_classes = int(max_label) + 1 if max_label is not None else 1
+        if task == CLASSIFICATION and n_classes is None:
+            n_classes = num_classes(data, label)
+        used_all = sorted({f for s in specs for f in s.features})
+        bins = [f"__b{f}" for f in used_all]
+        # trees without a row weight share one set of statistics
+        group = {s.tree_id: f"t{s.tree_id}" if s.weight is not None else "all" for s in specs}
+        weights = {group[s.tree_id]: s.weight for s in specs}
+        weighted = {g: f"__w_{g}" for g, w in weights.items() if w is not None}
+        pre = data.select(
+            F.col(label).cast("double").alias("label"),
+            *[weights[g].alias(name) for g, name in weighted.items()],
+            *[F.col(cols[f]) for f in used_all])
+        rows = add_bins(pre, [cols[f] for f in used_all], [thresholds[f] for f in used_all], bins, ["label", *weighted.values()])
+        binned = collapsed(rows, bins, task, {g: F.col(weighted[g]) if g in weighted else None for g in weights}
+                           ).persist(StorageLevel.MEMORY_AND_DISK)
+        names = STATS[:2] if task == CLASSIFICATION else STATS
+        kept = ["label"] if task == CLASSIFICATION else []
         nodes: dict[tuple[int, int], _Node] = {}
         frontier = {(s.tree_id, 1) for s in specs}
         for s in specs:
             nodes[(s.tree_id, 1)] = _Node(s.tree_id, 1, 0, [], 0, extra={"frontier": True})
         spec_by_id = {s.tree_id: s for s in specs}
-        stat_names = [f"c{k}" for k in range(n_classes)] if task == CLASSIFICATION else ["w", "wy", "wy2"]
+        root_stats = [F.expr(x) for x in stat_values(task, n_classes, "T", LABEL_DIGITS)]
 
         for depth in range(max_depth + 1):
             if not frontier:
@@ -207,44 +236,42 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             size = {t: sum(1 for (tt, _) in nodes if tt == t) for t in live}
             routes = [(route(nodes, t) if size[t] <= ROUTE_CASE_LIMIT
                        else route_walk(nodes, t, depth, used_all)).alias(f"__n{t}") for t in live]
-            routed = binned.select("label", *routes,
-                                   *[f"__w{t}" for t in live if f"__w{t}" in weights],
-                                   *[f"__b{f}" for f in used_all])
+            routed = binned.select(*kept, *routes, *[F.col(f"{g}_{k}") for g in sorted({group[t] for t in live}) for k in names], *bins)
+
             # one struct per (tree, feature) plus a totals entry (feature -1)
-            def wcol(t):
-                return F.col(f"__w{t}") if f"__w{t}" in weights else F.lit(1.0)
+            def entry(t, feature, bin_col):
+                return F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"), F.lit(feature).alias("feature"), bin_col.alias("bin"),
+                                *[F.col(f"{group[t]}_{k}").alias(k) for k in names])
+
             entries = []
             for t in live:
                 if depth == 0:
-                    entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
-                                            wcol(t).alias("weight"), F.lit(-1).alias("feature"),
-                                            F.lit(0).alias("bin")))
+                    entries.append(entry(t, -1, F.lit(0)))
                 if depth < max_depth:
-                    for f in spec_by_id[t].features:
-                        entries.append(F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"),
-                                                wcol(t).alias("weight"), F.lit(f).alias("feature"),
-                                                F.col(f"__b{f}").alias("bin")))
+                    entries += [entry(t, f, F.col(f"__b{f}")) for f in spec_by_id[t].features]
             # rows that already sit in a finished leaf of every live tree add nothing
             live_rows = routed.where(F.coalesce(*[F.col(f"__n{t}") for t in live]).isNotNull())
-            long = (live_rows.select("label", F.explode(F.array(*entries)).alias("e"))
-                          .select("e.tree_id", "e.node_id", "e.feature", "e.bin", "label", "e.weight")
-                          .where(F.col("node_id").isNotNull() & F.col("bin").isNotNull()
-                                 & (F.col("weight") > 0)))
+            long = (live_rows.select(*kept, F.explode(F.array(*entries)).alias("e")).select(*kept, "e.*")
+                    .where(F.col("node_id").isNotNull() & F.col("bin").isNotNull() & (F.col("w") > 0)))
             hist = histogram(long, ["tree_id", "node_id"], task, n_classes)
             parts = []
             if depth < max_depth:
-                # one small shuffle by (tree, node) serves both the per-feature
-                # running sums and the best-per-node pick (no third exchange)
-                cands = candidates(hist.where(F.col("feature") >= 0).repartition("tree_id", "node_id"),
-                                   ["tree_id", "node_id"], task, n_classes, thresholds)
+                # running sums per (tree, node, feature); the best per node then merges partial maxima
+                drawn = hist.where(F.col("feature") >= 0)
+                for t in live:
+                    if spec_by_id[t].node_features is not None:
+                        drawn = drawn.where((F.col("tree_id") != t) | drawn_for_node(spec_by_id[t]))
+                cands = candidates(drawn.repartition("tree_id", "node_id", "feature"),
+                                   ["tree_id", "node_id"], task, n_classes)
                 parts.append(best_per(cands, ["tree_id", "node_id"])
                              .withColumn("stats", F.lit(None).cast("array<double>"))
                              .withColumn("n_raw", F.lit(None).cast("long")))
             if depth == 0:
                 # root statistics ride in the same job (the histogram exchange
                 # is reused); deeper nodes inherit theirs from the parent's split
-                tot = hist.where(F.col("feature") == -1).select(
-                    "tree_id", "node_id", F.array(*stat_names).alias("stats"), "n_raw")
+                tot = hist.where(F.col("feature") == -1)
+                tot = tot.select("tree_id", "node_id", *[F.col(s).alias(f"T_{s}") for s in stat_columns(task, n_classes)], "n_raw")
+                tot = tot.select("tree_id", "node_id", F.array(*root_stats).alias("stats"), "n_raw")
                 parts.append(tot if not parts else
                              tot.select(*[F.col(c) if c in tot.columns else F.lit(None).cast(t).alias(c)
                                           for c, t in parts[0].dtypes]))
@@ -280,7 +307,9 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             _prune(nodes, task)
         return _node_table(spark, nodes, cols, task)
     finally:
-        binned.unpersist()
+        data.unpersist()
+        if binned is not None:
+            binned.unpersist()
 
 
 def _prune(nodes: dict, task: str) -> None:

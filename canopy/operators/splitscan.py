@@ -3,10 +3,12 @@
 Shape of the computation (the same for one node or for every frontier node
 of every tree at once):
 
-1. ``long`` rows: group keys (e.g. tree_id, node_id), feature index, bin,
-   label, weight -- one row per (input row, feature).
+1. ``long`` rows: group keys (e.g. tree_id, node_id), feature index, bin and
+   statistics -- one row per (collapsed input row, feature).
 2. histogram: ``groupBy(keys, feature, bin)`` with per-class weight sums
-   (classification) or sum w, sum w*y, sum w*y^2 (regression).  Partial
+   (classification) or sum w, sum w*y, sum w*y^2 (regression).  Labels of a
+   regression are rounded to ``label_digits`` decimals and summed as exact
+   integers, so the sums do not depend on the order of the rows.  Partial
    aggregation runs map-side, so the shuffle carries at most
    partitions x keys x features x bins rows, independent of the row count.
 3. running sums over bins with a window partitioned by (keys, feature):
@@ -38,21 +40,52 @@ REGRESSION = "regression"
 def stat_columns(task: str, n_classes: int | None) -> list[str]:
     if task == CLASSIFICATION:
         return [f"c{k}" for k in range(n_classes)]
-    return ["w", "wy", "wy2"]
+    return ["w", "s1", "s2"]
 
 
-def histogram(long: DataFrame, keys: Sequence[str], task: str,
-              n_classes: int | None = None, label: str = "label",
-              weight: str = "weight") -> DataFrame:
-    """(keys, feature, bin) -> weighted statistics, plus raw row count ``n_raw``."""
-    w = F.col(weight).cast("double")
-    y = F.col(label).cast("double")
+def stat_values(task: str, n_classes: int | None, side: str, label_digits: int) -> list[str]:
+    """SQL of the statistics of a side ('L' running, 'T' total, 'R' the rest): class counts, or w, sum w*y, sum w*y^2.
+
+    The sums of a regression are whole numbers until here, so the same rows
+    give the same doubles in any order.
+    """
+    def one(s: str) -> str:
+        return f"(T_{s} - L_{s})" if side == "R" else f"{side}_{s}"
+
+    if task == CLASSIFICATION:
+        return [one(s) for s in stat_columns(task, n_classes)]
+    unit = f"{10.0 ** label_digits!r}D"
+    return [one("w"), f"(CAST({one('s1')} AS DOUBLE) / {unit})", f"(CAST({one('s2')} AS DOUBLE) / {unit} / {unit})"]
+
+
+#: Decimals of a regression label that the sums keep.
+LABEL_DIGITS = 6
+
+
+def row_stats(task: str, weight: Column | None, label: Column, label_digits: int = LABEL_DIGITS) -> list[Column]:
+    """Aggregates that collapse rows of equal bins (and class): w, n and, for a regression, exact s1 and s2.
+
+    ``weight`` must be whole-numbered (bootstrap counts); rows of weight 0 do
+    not count in n.  s1 and s2 are the sums of w*q and w*q*q for
+    q = round(label * 10^label_digits) (a label beyond 9e18 of these units fails).
+    """
+    w = F.lit(1).cast("long") if weight is None else weight.cast("long")
+    out = [F.sum(w).cast("double").alias("w"), F.sum((w > 0).cast("long")).alias("n")]
+    if task != CLASSIFICATION:
+        q = F.round(label * F.lit(10.0 ** label_digits)).cast("long")
+        wq = (w * q).cast("decimal(19,0)")
+        out += [F.sum(wq).cast("decimal(38,0)").alias("s1"), F.sum(wq * q.cast("decimal(19,0)")).cast("decimal(38,0)").alias("s2")]
+    return out
+
+
+def histogram(long: DataFrame, keys: Sequence[str], task: str, n_classes: int | None = None) -> DataFrame:
+    """(keys, feature, bin) -> weighted statistics, plus raw row count ``n_raw``, from rows with w, n and label or s1, s2."""
     if task == CLASSIFICATION:
-        aggs = [F.sum(F.when(y == F.lit(float(k)), w).otherwise(F.lit(0.0))).alias(f"c{k}")
+        aggs = [F.sum(F.when(F.col("label") == F.lit(float(k)), F.col("w")).otherwise(F.lit(0.0))).alias(f"c{k}")
                 for k in range(n_classes)]
     else:
-        aggs = [F.sum(w).alias("w"), F.sum(w * y).alias("wy"), F.sum(w * y * y).alias("wy2")]
-    return long.groupBy(*keys, "feature", "bin").agg(*aggs, F.count(F.lit(1)).alias("n_raw"))
+        aggs = [F.sum("w").alias("w"), *[F.sum(s).cast("decimal(38,0)").alias(s) for s in ("s1", "s2")]]
+    return long.groupBy(*keys, "feature", "bin").agg(*aggs, F.sum("n").alias("n_raw"))
 
 
 def _sql_weight(task: str, xs: Sequence[str]) -> str:
@@ -70,7 +103,7 @@ def _sql_impurity(task: str, xs: Sequence[str]) -> str:
 
 
 def candidates(hist: DataFrame, keys: Sequence[str], task: str,
-               n_classes: int | None, thresholds: Sequence[Sequence[float]]) -> DataFrame:
+               n_classes: int | None, label_digits: int = LABEL_DIGITS) -> DataFrame:
     """Every (keys, feature, bin) split candidate with its gain and side stats.
 
     The per-candidate arithmetic is written as SQL text (one expression per
@@ -83,9 +116,7 @@ def candidates(hist: DataFrame, keys: Sequence[str], task: str,
     df = hist.select(*keys, "feature", "bin",
                      *[F.sum(s).over(run).alias(f"L_{s}") for s in [*stats, "n_raw"]],
                      *[F.sum(s).over(part).alias(f"T_{s}") for s in [*stats, "n_raw"]])
-    L = [f"L_{s}" for s in stats]
-    T = [f"T_{s}" for s in stats]
-    R = [f"(T_{s} - L_{s})" for s in stats]
+    L, T, R = (stat_values(task, n_classes, side, label_digits) for side in "LTR")
     n_l, n_t = _sql_weight(task, L), _sql_weight(task, T)
     n_r = f"({n_t} - {n_l})"
     gain = (f"({_sql_impurity(task, T)} - ({n_l} / {n_t}) * {_sql_impurity(task, L)}"
@@ -95,11 +126,6 @@ def candidates(hist: DataFrame, keys: Sequence[str], task: str,
     return df.where(f"{n_l} > 0 AND {n_r} > 0").selectExpr(
         *keys, "feature", "bin",
         f"{gain} AS gain",
-        # ranking key: classification gains come from exact counts; regression
-        # gains come from sums whose last bits depend on summation order, so
-        # they are ranked at float precision and equal splits tie exactly
-        # (then: lowest feature, lowest threshold) on any partitioning
-        f"{'CAST(' + gain + ' AS FLOAT)' if task != CLASSIFICATION else gain} AS rank_gain",
         f"{n_l} AS n_left", f"{n_r} AS n_right",
         "L_n_raw AS raw_left", "T_n_raw - L_n_raw AS raw_right",
         f"array({', '.join(L)}) AS left_stats", f"array({', '.join(R)}) AS right_stats")
@@ -113,25 +139,31 @@ def threshold_table(spark, thresholds: Sequence[Sequence[float]], names: Sequenc
 
 def best_per(cands: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Highest gain per ``keys``; ties -> lowest feature, then lowest bin."""
-    order = F.struct(F.col("rank_gain"), -F.col("feature"), -F.col("bin"))
-    fields = [c for c in cands.columns if c not in keys and c != "rank_gain"]
+    order = F.struct(F.col("gain"), -F.col("feature"), -F.col("bin"))
+    fields = [c for c in cands.columns if c not in keys]
     best = F.max_by(F.struct(*fields), order)
     return cands.groupBy(*keys).agg(best.alias("b")).select(*keys, "b.*")
 
 
-def long_rows(df: DataFrame, cols: Sequence[str], thresholds: Sequence[Sequence[float]],
-              label: str = "label", weight: Column | None = None,
-              keys: Sequence[str] = ()) -> DataFrame:
-    """Wide rows -> (keys, feature, bin, label, weight); NULL features dropped."""
-    w = weight if weight is not None else F.lit(1.0)
-    pre = df.select(*keys, F.col(label).alias("label"), w.alias("weight"), *[F.col(c) for c in cols])
-    binned = add_bins(pre, cols, thresholds, [f"__b{i}" for i in range(len(cols))],
-                      [*keys, "label", "weight"])
-    pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"__b{i}").alias("bin"))
-                      for i in range(len(cols))])
-    return (binned.select(*keys, "label", "weight", F.explode(pairs).alias("p"))
-                  .select(*keys, "p.feature", "p.bin", "label", "weight")
-                  .where(F.col("bin").isNotNull()))
+def collapsed(df: DataFrame, bins: Sequence[str], task: str, weights: dict[str, Column | None], label: str = "label",
+              label_digits: int = LABEL_DIGITS) -> DataFrame:
+    """Rows of equal bins (and class) as one row, with the statistics of every weight: <name>_w, <name>_n, ... per name of ``weights``.
+
+    Histograms of the collapsed rows are those of the rows; partial
+    aggregation keeps a frequent combination to one row per task.  Rows
+    without a label take no part.
+    """
+    rows = df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double")))
+    keys = [*bins, *([label] if task == CLASSIFICATION else [])]
+    aggs = []
+    for name, weight in weights.items():
+        stats = row_stats(task, weight, F.col(label).cast("double"), label_digits)
+        aggs += [s.alias(f"{name}_{k}") for s, k in zip(stats, STATS)]
+    return rows.groupBy(*keys).agg(*aggs)
+
+
+#: Names of the statistics of a collapsed row (a classification has the first two).
+STATS = ["w", "n", "s1", "s2"]
 
 
 def split_scan(df: DataFrame, cols: Sequence[str], label: str = "label", task: str = CLASSIFICATION,
@@ -149,12 +181,18 @@ def split_scan(df: DataFrame, cols: Sequence[str], label: str = "label", task: s
             n_classes = int(max_label) + 1 if max_label is not None else 1
     if task == CLASSIFICATION and n_classes is None:
         n_classes = num_classes(df, label)
-    long = long_rows(df, cols, thresholds, label)
+    bins = [f"__b{i}" for i in range(len(cols))]
+    rows = collapsed(add_bins(df.withColumn("label", F.col(label).cast("double")), cols, thresholds, bins, ["label"]), bins, task, {"x": None})
+    stats = STATS[:2] if task == CLASSIFICATION else STATS
+    kept = [F.col("label")] if task == CLASSIFICATION else []
+    pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(b).alias("bin")) for i, b in enumerate(bins)])
+    long = (rows.select(*kept, *[F.col(f"x_{k}").alias(k) for k in stats], F.explode(pairs).alias("p"))
+            .select(*kept, *stats, "p.feature", "p.bin").where(F.col("bin").isNotNull()))
     hist = histogram(long, [], task, n_classes)
     # one small shuffle by feature serves the running sums and the best pick
-    best = best_per(candidates(hist.repartition("feature"), [], task, n_classes, thresholds), ["feature"])
-    # the threshold table is bounded by features x max_bins rows: broadcast
-    thr = F.broadcast(threshold_table(df.sparkSession, thresholds, cols))
+    best = best_per(candidates(hist.repartition("feature"), [], task, n_classes), ["feature"])
+    # features x max_bins rows at most: Spark broadcasts it when its size allows
+    thr = threshold_table(df.sparkSession, thresholds, cols)
     return best.join(thr, ["feature", "bin"]).select("feature", "feature_name", "threshold", "gain",
                                                      "n_left", "n_right")
 
