@@ -66,8 +66,3 @@ def parse_double(field: Column) -> Column:
     Accepts surrounding blanks, NaN and Infinity like Double.parseDouble.
     """
     return F.trim(field).try_cast("double")
-
-
-def same_value(a: Column, b: Column) -> Column:
-    """Null-safe equality (NaN equals NaN, as Spark SQL orders NaN)."""
-    return a.eqNullSafe(b)

@@ -53,27 +53,33 @@ def pooled_error_rate(df: DataFrame, prediction: str = "prediction", label: str
     )
 
 
-def regression_metrics(df: DataFrame, prediction: str = "prediction",
-                       label: str = "label") -> DataFrame:
-    """N, rmse, mae, r2_pearson, r2_sse in one pass.
+def regression_aggregates(prediction: str = "prediction", label: str = "label") -> list[Column]:
+    """A3-A6 as aggregate columns: n, n_missing, rmse, mae, r2_pearson, r2_sse.
+
+    All figures are over the pairs whose prediction and label are both
+    present (``n`` counts them); ``n_missing`` counts the other rows.
 
     * r2_pearson = squared Pearson correlation (``regr_r2``), NULL when the
       label is constant; ``regr_r2`` needs no ANSI-unsafe division.
     * r2_sse = 1 - SSE/SST with SST = n * var_pop(label) (Spark's var_pop
       merges partial moments stably, so no second pass for the mean).
     """
-    p = F.col(prediction).cast("double")
-    y = F.col(label).cast("double")
+    both = F.col(prediction).isNotNull() & F.col(label).isNotNull()
+    p = F.when(both, F.col(prediction).cast("double"))
+    y = F.when(both, F.col(label).cast("double"))
     d = p - y
-    n = F.count(F.lit(1))
-    sse = F.sum(d * d)
+    n = F.count(d)
     sst = F.var_pop(y) * n
-    const_label = F.min(y) == F.max(y)
-    return df.agg(
+    return [
         n.alias("n"),
+        F.count_if(~both).alias("n_missing"),
         F.sqrt(F.avg(d * d)).alias("rmse"),
         F.avg(F.abs(d)).alias("mae"),
-        F.when(const_label, F.lit(None).cast("double"))
-         .otherwise(F.regr_r2(y, p)).alias("r2_pearson"),
-        (F.lit(1.0) - F.try_divide(sse, F.when(sst != 0, sst))).alias("r2_sse"),
-    )
+        F.when(F.min(y) != F.max(y), F.regr_r2(y, p)).alias("r2_pearson"),
+        (F.lit(1.0) - F.try_divide(F.sum(d * d), F.when(sst != 0, sst))).alias("r2_sse"),
+    ]
+
+
+def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
+    """K2 for a regression: ``regression_aggregates`` over all rows, in one pass."""
+    return df.agg(*regression_aggregates(prediction, label))

@@ -2,7 +2,7 @@
 
 For squared loss the full-batch gradient depends on the data only through
 the moments  n, sum z, sum y, sum z z^T, sum z y.  So training is ONE
-distributed aggregate (partial sums combine map-side; the result is
+distributed Gramian (partial sums combine in the tasks; the result is
 k^2 + 2k + 2 numbers) followed by ``steps`` updates on those k x k numbers
 on the driver -- instead of one pass over the data per iteration.
 
@@ -19,6 +19,9 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,27 +32,29 @@ class LinearModel:
     cols: tuple[str, ...]
     weights: tuple[float, ...]
     intercept: float
+    dropped: int = 0        # training rows without a value or a label
 
 
 def moments(df: DataFrame, cols: Sequence[str], label: str = "label") -> dict:
-    """One aggregate: n, sum z_i, sum y, sum z_i z_j (i <= j), sum z_i y."""
+    """n, sum z_i, sum y, sum z_i z_j, sum z_i y, from one distributed Gramian.
+
+    Rows with a missing feature or label take no part; ``dropped`` counts
+    them.  A row is the vector (z, y, 1); its outer products are summed in
+    the JVM per task and merged in a tree, so the plan has one column however
+    many features there are, and k^2 numbers reach the driver.
+    """
     cols = list(cols)
     k = len(cols)
-    z = [F.col(c).cast("double") for c in cols]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy")]
-    aggs += [F.sum(z[i]).alias(f"sz{i}") for i in range(k)]
-    aggs += [F.sum(z[i] * y).alias(f"szy{i}") for i in range(k)]
-    aggs += [F.sum(z[i] * z[j]).alias(f"szz{i}_{j}") for i in range(k) for j in range(i, k)]
-    r = df.agg(*aggs).first().asDict()
-    m = {"n": r["n"], "sy": r["sy"] or 0.0,
-         "sz": [r[f"sz{i}"] or 0.0 for i in range(k)],
-         "szy": [r[f"szy{i}"] or 0.0 for i in range(k)],
-         "szz": [[0.0] * k for _ in range(k)]}
-    for i in range(k):
-        for j in range(i, k):
-            m["szz"][i][j] = m["szz"][j][i] = r[f"szz{i}_{j}"] or 0.0
-    return m
+    names = [f"__m{i}" for i in range(k + 1)]
+    rows = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip([*cols, label], names)])
+    whole = rows.where(" AND ".join(f"{n} IS NOT NULL" for n in names)).withColumn("__one", F.lit(1.0))
+    g = [[0.0] * (k + 2) for _ in range(k + 2)]
+    if not whole.isEmpty():
+        vectors = VectorAssembler(inputCols=[*names, "__one"], outputCol="v", handleInvalid="keep").transform(whole).select("v")
+        g = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v")).computeGramianMatrix().toArray().tolist()
+    n = round(g[k + 1][k + 1])
+    return {"n": n, "dropped": df.count() - n, "sy": g[k][k + 1], "sz": g[k + 1][:k], "szy": g[k][:k],
+            "szz": [row[:k] for row in g[:k]]}
 
 
 def descend(m: dict, steps: int = 100, step: float = 0.1, intercept: bool = True,
@@ -90,8 +95,9 @@ def descend(m: dict, steps: int = 100, step: float = 0.1, intercept: bool = True
 def linear_sgd(df: DataFrame, cols: Sequence[str], label: str = "label", steps: int = 100,
                step: float = 0.1, intercept: bool = True, tol: float = 0.0) -> LinearModel:
     """M7: fit on (already standardised) features."""
-    w, b = descend(moments(df, cols, label), steps, step, intercept, tol)
-    return LinearModel(tuple(cols), tuple(w), b)
+    m = moments(df, cols, label)
+    w, b = descend(m, steps, step, intercept, tol)
+    return LinearModel(tuple(cols), tuple(w), b, m["dropped"])
 
 
 def predict_linear(df: DataFrame, model: LinearModel, output: str = "prediction") -> Column | DataFrame:

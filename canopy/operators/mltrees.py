@@ -24,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from canopy.operators.growth import NODE_SCHEMA
-from canopy.session import scratch_path, ship_package
-from canopy.sources.points import assemble
+from canopy.operators.nodes import MAX_NODES
+from canopy.session import drop_scratch, scratch_path, ship_package
+from canopy.sources.points import assemble, features_of
 
 # Fixed settings of the original jobs.
 DEFAULT_TREES = 3
@@ -36,12 +37,19 @@ FOREST_SEED = 12345
 
 
 def num_trees(requested: int | None) -> int:
-    """M8: 0 / unset -> 3 (the default); below 3 -> 3; otherwise as given."""
+    """M8, the rule of the subspace ensembles alone: 0 / unset or below 3 -> 3; otherwise as given."""
     if not requested or requested < MIN_TREES:
         return DEFAULT_TREES
     return int(requested)
 
 
+def forest_size(requested: int) -> int:
+    """Trees of a forest: the number asked for, at least one."""
+    if requested < 1:
+        raise ValueError("a forest needs at least one tree")
+    return int(requested)
+
+
 def num_attributes(requested: int | None, n_features: int) -> int:
     """M9: 0 / unset -> floor(sqrt(n)); clamped to 1..n."""
     a = int(requested) if requested else math.isqrt(n_features)
@@ -72,7 +80,16 @@ def _vec(df: DataFrame, cols: Sequence[str], label: str, carry: Sequence[str] =
     else:
         y = y.alias("label")
     base = df.select(y, *[F.col(c) for c in cols], *[F.col(c) for c in carry])
-    return assemble(base, cols).select("label", "features", *carry)
+    return features_of(base, cols, ["label", *carry])
+
+
+def _fitted(est, data: DataFrame):
+    """Fit on persisted input: the learner reads its rows several times."""
+    data.persist()
+    try:
+        return est.fit(data)
+    finally:
+        data.unpersist()
 
 
 def tree_classify(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -83,14 +100,13 @@ def tree_classify(df: DataFrame, cols: Sequence[str], label: str = "label",
     est = DecisionTreeClassifier(maxDepth=max_depth, maxBins=max_bins, impurity=impurity)
     if weight_col:
         est.setWeightCol(weight_col)
-    return est.fit(_vec(df, cols, label, [weight_col] if weight_col else [], n_classes))
+    return _fitted(est, _vec(df, cols, label, [weight_col] if weight_col else [], n_classes))
 
 
 def tree_regress(df: DataFrame, cols: Sequence[str], label: str = "label",
                  max_depth: int = DEFAULT_DEPTH, max_bins: int = DEFAULT_BINS):
     """M2: one regression tree (variance impurity)."""
-    return DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins,
-                                 impurity="variance").fit(_vec(df, cols, label))
+    return _fitted(DecisionTreeRegressor(maxDepth=max_depth, maxBins=max_bins, impurity="variance"), _vec(df, cols, label))
 
 
 def forest_classify(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -98,9 +114,9 @@ def forest_classify(df: DataFrame, cols: Sequence[str], label: str = "label",
                     max_depth: int = DEFAULT_DEPTH, max_bins: int = DEFAULT_BINS,
                     seed: int = FOREST_SEED, n_classes: int | None = None):
     """M3: random forest classifier (bootstrap + per-node feature subsets)."""
-    return RandomForestClassifier(numTrees=num_trees(trees), featureSubsetStrategy=subset,
-                                  impurity="gini", maxDepth=max_depth, maxBins=max_bins,
-                                  seed=seed).fit(_vec(df, cols, label, (), n_classes))
+    est = RandomForestClassifier(numTrees=forest_size(trees), featureSubsetStrategy=subset, impurity="gini",
+                                 maxDepth=max_depth, maxBins=max_bins, seed=seed)
+    return _fitted(est, _vec(df, cols, label, (), n_classes))
 
 
 def forest_regress(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -108,9 +124,9 @@ def forest_regress(df: DataFrame, cols: Sequence[str], label: str = "label",
                    max_depth: int = DEFAULT_DEPTH, max_bins: int = DEFAULT_BINS,
                    seed: int = FOREST_SEED):
     """M4: random forest regressor (variance impurity)."""
-    return RandomForestRegressor(numTrees=num_trees(trees), featureSubsetStrategy=subset,
-                                 impurity="variance", maxDepth=max_depth, maxBins=max_bins,
-                                 seed=seed).fit(_vec(df, cols, label))
+    est = RandomForestRegressor(numTrees=forest_size(trees), featureSubsetStrategy=subset, impurity="variance",
+                                maxDepth=max_depth, maxBins=max_bins, seed=seed)
+    return _fitted(est, _vec(df, cols, label))
 
 
 def subspace_ensemble(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -222,7 +238,13 @@ def forest_nodes(model, cols: Sequence[str], tree_id: int = 0,
         return out.astype({"node_id": "int64", "depth": "int32", "tree_id": "int32",
                            "row_count": "int64"})
 
-    return flat.groupBy("tree_id").applyInPandas(to_heap, NODE_SCHEMA)
+    # the model is on the driver already; its node table is as large, read once, and the saved files go
+    size = flat.limit(MAX_NODES + 1).count()
+    if size > MAX_NODES:
+        raise ValueError(f"the model has more than {MAX_NODES} nodes")
+    rows = flat.groupBy("tree_id").applyInPandas(to_heap, NODE_SCHEMA).collect()
+    drop_scratch(spark, path)
+    return spark.createDataFrame(rows, NODE_SCHEMA)
 
 
 def ensemble_nodes(models: Sequence, subsets: Sequence[Sequence[int]], cols: Sequence[str]) -> DataFrame:

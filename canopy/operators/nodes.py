@@ -136,7 +136,8 @@ def _tree_frame(df: DataFrame, nodes: DataFrame, method: str, max_nodes: int):
     cols = tree_columns(trees, method)
     names = [f"__v{t}" for t in range(len(cols))]
     # the per-tree CASE trees are projected once; the vote below reads them
-    return df.select("*", *[c.alias(n) for c, n in zip(cols, names)]), [F.col(n) for n in names], names
+    leaves = [n["prediction"] for tree in trees.values() for n in tree.values() if n["left_id"] is None]
+    return df.select("*", *[c.alias(n) for c, n in zip(cols, names)]), [F.col(n) for n in names], names, leaves
 
 
 def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str = "auto",
@@ -144,9 +145,13 @@ def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str
     """I2 + A10 + I5: hard majority vote (ties -> lowest class) and vote shares.
 
     Counts per class are plain CASE sums over the per-tree columns, so the
-    whole vote stays in whole-stage codegen (no lambda functions).
+    whole vote stays in whole-stage codegen (no lambda functions).  A model
+    that votes for anything but 0..n_classes-1 is refused.
     """
-    scored, v, names = _tree_frame(df, nodes, method, max_nodes)
+    scored, v, names, leaves = _tree_frame(df, nodes, method, max_nodes)
+    odd = sorted({p for p in leaves if p is not None and not (0 <= p < n_classes and p == int(p))})
+    if odd:
+        raise ValueError(f"the model votes for {odd[:5]}, outside the classes 0..{n_classes - 1}")
     counts = ["(" + " + ".join(f"CASE WHEN {n} = {float(k)!r}D THEN 1 ELSE 0 END" for n in names) + ")"
               for k in range(n_classes)]
     valid = "(" + " + ".join(f"CASE WHEN {n} IS NOT NULL THEN 1 ELSE 0 END" for n in names) + ")"
@@ -165,7 +170,7 @@ def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str
 def predict_mean(df: DataFrame, nodes: DataFrame, method: str = "auto",
                  keep_votes: bool = False, max_nodes: int = MAX_NODES) -> DataFrame:
     """I2 + A11: mean of the non-NULL tree predictions."""
-    scored, v, names = _tree_frame(df, nodes, method, max_nodes)
+    scored, v, names, _ = _tree_frame(df, nodes, method, max_nodes)
     valid = "(" + " + ".join(f"CASE WHEN {n} IS NOT NULL THEN 1 ELSE 0 END" for n in names) + ")"
     total = "(0.0D" + "".join(f" + coalesce({n}, 0.0D)" for n in names) + ")"
     cols = [_c(c) for c in df.columns] + [F.expr(f"CASE WHEN {valid} > 0 THEN {total} / {valid} END")

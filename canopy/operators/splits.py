@@ -16,10 +16,19 @@ from pyspark.sql import functions as F
 from canopy.functions.columns import HASH_BUCKETS, hash_bucket
 
 
+def bucket_cut(frac: float) -> int:
+    """Number of train buckets; a fraction that is no whole number of buckets is rejected."""
+    if not 0.0 <= frac <= 1.0:
+        raise ValueError("frac must be in [0, 1]")
+    cut = round(frac * HASH_BUCKETS)
+    if abs(frac * HASH_BUCKETS - cut) > 1e-9:
+        raise ValueError(f"frac must be a multiple of 1/{HASH_BUCKETS}: {frac}")
+    return cut
+
+
 def train_predicate(cols: Sequence[str], frac: float, salt: str = "", method: str = "md5"):
     """Column: True for rows that fall in the train part."""
-    cut = int(round(frac * HASH_BUCKETS))
-    return hash_bucket(cols, salt, method) < F.lit(cut)
+    return hash_bucket(cols, salt, method) < F.lit(bucket_cut(frac))
 
 
 def hash_split(df: DataFrame, cols: Sequence[str], frac: float = 0.6,
@@ -28,8 +37,6 @@ def hash_split(df: DataFrame, cols: Sequence[str], frac: float = 0.6,
 
     ``method='md5'`` is reproducible outside Spark; ``'xxhash64'`` is cheaper.
     """
-    if not 0.0 <= frac <= 1.0:
-        raise ValueError("frac must be in [0, 1]")
     pred = train_predicate(cols, frac, salt, method)
     return df.where(pred), df.where(~pred)
 
@@ -72,12 +79,10 @@ def holdout_complement(df: DataFrame, train: DataFrame) -> DataFrame:
     return df.join(right, cond, "left_anti")
 
 
-def union_predictions(parts: Sequence[tuple[int, DataFrame]]) -> DataFrame:
-    """Per-tree prediction frames stacked with a ``tree_id`` column."""
-    out = None
-    for tree_id, part in parts:
-        p = part.withColumn("tree_id", F.lit(int(tree_id)))
-        out = p if out is None else out.unionByName(p)
-    if out is None:
-        raise ValueError("no parts")
-    return out
+def union_predictions(scored: DataFrame, keep: Sequence[str], votes: str = "votes") -> DataFrame:
+    """Per-tree predictions stacked with a ``tree_id`` column, from one pass over ``scored``.
+
+    ``scored`` holds one array of votes per row (by tree id); every row gives
+    one output row per tree, so the table is read once for any number of trees.
+    """
+    return scored.select(*[F.col(c) for c in keep], F.posexplode(F.col(votes)).alias("tree_id", "prediction"))

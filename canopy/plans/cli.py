@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--label", default=None, help="label field name or index (default: last)")
     p.add_argument("--mode", default="FAILFAST", choices=("FAILFAST", "PERMISSIVE", "DROPMALFORMED"))
     p.add_argument("--classes", default=None, help="class names for PMML (index order)")
+    p.add_argument("--key", default=None, help="fields that name a row (bootstrap and split); default: the whole row, equal rows drawn one by one")
     p.add_argument("--train-frac", type=float, default=None)
     p.add_argument("--trees", type=int, default=3)
     p.add_argument("--attributes", type=int, default=0)
@@ -77,15 +78,20 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
         from canopy.functions.metrics import error_rate
         from canopy.operators.splits import hash_split
         from canopy.operators.splitscan import num_classes
-        train, test = hash_split(df, [*feats, "label"], frac or 0.6)
-        nodes = jobs.bagged_forest(train, feats, trees=a.trees, attributes=a.attributes, seed=a.seed or 0)
+        keys = a.key.split(",") if a.key else None
+        train, test = hash_split(df, keys or [*feats, "label"], frac or 0.6)
+        nodes = jobs.bagged_forest(train, feats, key_cols=keys, trees=a.trees, attributes=a.attributes, seed=a.seed or 0)
         pred = predict_classes(test, nodes, num_classes(df))
         res = jobs.JobResult(nodes, pred, error_rate(pred))
     else:
         res = jobs.linear_regression_job(df, feats, train_frac=frac or 0.9, steps=a.steps, step=a.step,
                                          fit_on=a.fit_scaler_on)
     report = [r.asDict() for r in res.report.collect()]
-    print(json.dumps({"job": a.job, "report": report}, default=str))
+    out = {"job": a.job, "report": report}
+    if res.linear is not None:
+        out["weights"] = dict(zip(res.linear.cols, res.linear.weights))
+        out["intercept"], out["dropped"] = res.linear.intercept, res.linear.dropped
+    print(json.dumps(out, default=str))
     if a.report:
         write_report(res.report, a.report)
     if res.nodes is not None and a.describe:
@@ -99,7 +105,7 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
         label_name = names[-1] if label is None else (names[label] if isinstance(label, int) else label)
         write_pmml(forest_to_pmml(res.nodes, ModelMeta(tuple(feats), label_name,
                                                        None if regression else tuple(classes))), a.pmml)
-    return {"job": a.job, "report": report}
+    return out
 
 
 def main() -> None:

@@ -16,19 +16,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopy.functions.columns import hash_unit, md5_unit
-from canopy.functions.metrics import error_rate, pooled_error_rate, regression_metrics
+from canopy.functions.metrics import error_rate, regression_aggregates, regression_metrics, wrong
 from canopy.operators import mltrees
 from canopy.operators.growth import TreeSpec, grow_trees
-from canopy.operators.linear import linear_sgd, predict_linear
-from canopy.operators.nodes import predict_classes, predict_mean, score_nodes
+from canopy.operators.linear import LinearModel, linear_sgd, predict_linear
+from canopy.operators.nodes import predict_classes, predict_mean
 from canopy.operators.scaling import fit_standardizer, standardize
-from canopy.operators.splits import hash_split, holdout_complement, union_predictions
+from canopy.operators.splits import hash_split, holdout_complement
 from canopy.operators.splitscan import num_classes
 
-# Poisson(1) cumulative probabilities P(K <= k) = e^-1 * sum_{i<=k} 1/i!,
-# k = 0..12; beyond 12 the remaining mass is below 1e-10.
+#: Largest bootstrap count of one draw: a 32-bit uniform cannot reach beyond
+#: it (the mass past 12 is below 1e-10), so nothing is cut off.
+MAX_DRAW = 13
+# Poisson(1) cumulative probabilities P(K <= k) = e^-1 * sum_{i<=k} 1/i!
 _POISSON1_CDF = [math.exp(-1.0) * sum(1.0 / math.factorial(i) for i in range(k + 1))
-                 for k in range(13)]
+                 for k in range(MAX_DRAW)]
 
 
 def poisson_weight(u: Column) -> Column:
@@ -51,24 +53,80 @@ def bootstrap_weight(keys: Sequence[str], seed: int, tree: int, method: str = "m
     return poisson_weight(md5_unit(keys, f"{seed}|{tree // 4}", tree % 4))
 
 
+#: Draws of one row of equal training rows at a time.
+DRAW_CHUNK = 1000
+
+
+def with_row_counts(train: DataFrame, cols: Sequence[str], label: str, seed: int, trees: int) -> tuple[DataFrame, list[Column]]:
+    """Rows without a key: (collapsed rows, their bootstrap counts per tree).
+
+    Equal rows are collapsed to one with their number c, and a tree's count is
+    the sum of c Poisson(1) draws, one per occurrence k = 1..c from
+    md5('<seed>|<tree // 4>|<row>|<k>').  A very frequent row is cut into
+    chunks of DRAW_CHUNK occurrences, which are dealt out before drawing.
+    """
+    keys = [*cols, label]
+    counts = train.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__c"))
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__c") - 1) / DRAW_CHUNK)))
+    parts = counts.select("*", chunk.alias("__chunk"))
+    first = F.col("__chunk") * DRAW_CHUNK + 1
+    parts = parts.repartition(*keys, "__chunk").withColumn("__k", F.sequence(first, F.least(F.col("__c"), first + DRAW_CHUNK - 1)))
+
+    def drawn(tree: int) -> Column:
+        def one(k: Column) -> Column:
+            return poisson_weight(md5_unit([*keys, k], f"{seed}|{tree // 4}", tree % 4))
+        return F.aggregate(F.col("__k"), F.lit(0.0), lambda acc, k: acc + one(k))
+
+    names = [f"__draw{t}" for t in range(trees)]
+    rows = parts.select(*keys, *[drawn(t).alias(n) for t, n in enumerate(names)])
+    return rows, [F.col(n) for n in names]
+
+
+def _bootstrap(train: DataFrame, cols: list[str], label: str, key_cols: Sequence[str] | None, seed: int,
+               trees: int, method: str) -> tuple[DataFrame, list[Column], list[str]]:
+    """(rows, count per tree, columns the counts read) of a bootstrap by row key, or by occurrence without one."""
+    if key_cols:
+        carry = [k for k in key_cols if k not in cols and k != label]
+        return train, [bootstrap_weight(list(key_cols), seed, t, method) for t in range(trees)], carry
+    if method != "md5":
+        raise ValueError("rows without a key are drawn by md5")
+    rows, counts = with_row_counts(train, cols, label, seed, trees)
+    return rows, counts, [f"__draw{t}" for t in range(trees)]
+
+
 def bagged_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
                   key_cols: Sequence[str] | None = None, trees: int = 3, attributes: int = 0,
                   seed: int = 0, task: str = "classification", max_depth: int = 5,
                   max_bins: int = 100, hash_method: str = "md5") -> DataFrame:
-    """Forest with Poisson(1) bootstrap weights from a row hash.
+    """Forest with Poisson(1) bootstrap counts from a row hash.
 
-    Tree t weights row r by its bootstrap count (``bootstrap_weight``); its
-    features are the md5-drawn subset of tree t.  All trees grow together,
-    one aggregation per level.  Result does not depend on partitioning.
+    Tree t weights row r by its bootstrap count (``bootstrap_weight``; rows
+    without a key: ``with_row_counts``); its features are the md5-drawn subset
+    of tree t.  All trees grow together, one aggregation per level.  The
+    result does not depend on partitioning.
     """
     cols = list(cols)
-    keys = list(key_cols) if key_cols else [*cols, label]
-    n_t = mltrees.num_trees(trees)
+    n_t = mltrees.forest_size(trees)
     n_a = mltrees.num_attributes(attributes, len(cols))
     subsets = mltrees.draw_features(len(cols), n_t, n_a, seed)
-    specs = [TreeSpec(t, subsets[t], bootstrap_weight(keys, seed, t, hash_method)) for t in range(n_t)]
-    return grow_trees(train, cols, label, task, specs=specs, max_depth=max_depth,
-                      max_bins=max_bins, carry=[k for k in keys if k not in cols and k != label])
+    rows, counts, carry = _bootstrap(train, cols, label, key_cols, seed, n_t, hash_method)
+    specs = [TreeSpec(t, subsets[t], counts[t]) for t in range(n_t)]
+    return grow_trees(rows, cols, label, task, specs=specs, max_depth=max_depth, max_bins=max_bins, carry=carry)
+
+
+def random_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
+                  key_cols: Sequence[str] | None = None, trees: int = 3, seed: int = 0,
+                  task: str = "classification", max_depth: int = 5, max_bins: int = 100) -> DataFrame:
+    """M3 / M4 on the level-wise grower: bootstrap counts by row, and ceil(sqrt(features)) features drawn for every node.
+
+    Draws come from md5, so any SQL engine grows the same forest.
+    """
+    cols = list(cols)
+    n_t = mltrees.forest_size(trees)
+    rows, counts, carry = _bootstrap(train, cols, label, key_cols, seed, n_t, "md5")
+    some = math.isqrt(len(cols) - 1) + 1
+    specs = [TreeSpec(t, list(range(len(cols))), counts[t], some, seed) for t in range(n_t)]
+    return grow_trees(rows, cols, label, task, specs=specs, max_depth=max_depth, max_bins=max_bins, carry=carry)
 
 
 def subspace_forest(train: DataFrame, cols: Sequence[str], label: str = "label",
@@ -91,16 +149,19 @@ class JobResult:
     nodes: DataFrame | None
     predictions: DataFrame
     report: DataFrame
+    linear: LinearModel | None = None
 
 
 def tree_job(df: DataFrame, cols: Sequence[str], label: str = "label", task: str = "classification",
              key_cols: Sequence[str] | None = None, train_frac: float = 0.6, max_depth: int = 5,
              max_bins: int = 100) -> JobResult:
-    """Single tree: train on a hash sample, test on its value complement
-    (rows whose exact value is also in train are not tested)."""
-    keys = list(key_cols) if key_cols else [*cols, label]
-    train, _ = hash_split(df, keys, train_frac)
-    test = holdout_complement(df, train)
+    """Single tree: train on a hash sample, test on the rest.
+
+    Without ``key_cols`` the hash is of the whole row, so rows of equal value
+    fall on one side and no tested value occurs in train; with keys, the test
+    part is the value complement of the train part.
+    """
+    train, test = _split(df, cols, label, key_cols, train_frac)
     if task == "classification":
         model = mltrees.tree_classify(train, cols, label, max_depth, max_bins)
         nodes = mltrees.forest_nodes(model, cols)
@@ -112,6 +173,14 @@ def tree_job(df: DataFrame, cols: Sequence[str], label: str = "label", task: str
     return JobResult(nodes, pred, regression_metrics(pred, "prediction", label))
 
 
+def _split(df: DataFrame, cols: Sequence[str], label: str, key_cols: Sequence[str] | None, frac: float) -> tuple[DataFrame, DataFrame]:
+    """(train, test) whose test values do not occur in train."""
+    if not key_cols:
+        return hash_split(df, df.columns, frac)
+    train, _ = hash_split(df, list(key_cols), frac)
+    return train, holdout_complement(df, train)
+
+
 def forest_classification_job(df: DataFrame, cols: Sequence[str], label: str = "label",
                               key_cols: Sequence[str] | None = None, train_frac: float = 0.6,
                               trees: int = 3, seed: int = mltrees.FOREST_SEED) -> JobResult:
@@ -150,24 +219,31 @@ def subspace_ensemble_job(df: DataFrame, cols: Sequence[str], label: str = "labe
         nodes = mltrees.ensemble_nodes(models, subsets, cols)
     else:
         nodes, subsets = subspace_forest(train, cols, label, task, trees, attributes, seed)
-    scored = score_nodes(test, nodes)
-    n_t = len(subsets)
     if task == "classification":
-        k = num_classes(df, label)
-        per_tree = union_predictions([(t, scored.select(F.col(label).alias("label"),
-                                                        F.col("votes")[t].alias("prediction")))
-                                      for t in range(n_t)])
-        pred = predict_classes(test, nodes, k)
-        # per-tree and pooled error (one ROLLUP) next to the error of the vote
-        pooled = pooled_error_rate(per_tree).select(
-            F.when(F.col("tree_id").isNull(), F.lit("pooled")).otherwise(F.lit("tree")).alias("kind"),
-            "tree_id", "n_pairs", "n_wrong", "error_rate")
-        voted = error_rate(pred, "prediction", label).select(
-            F.lit("voted").alias("kind"), F.lit(None).cast("int").alias("tree_id"),
-            F.col("n_test").alias("n_pairs"), "n_wrong", "error_rate")
-        return JobResult(nodes, pred, pooled.unionByName(voted))
-    pred = predict_mean(test, nodes)
-    return JobResult(nodes, pred, regression_metrics(pred, "prediction", label))
+        pred = predict_classes(test, nodes, num_classes(df, label), keep_votes=True)
+    else:
+        pred = predict_mean(test, nodes, keep_votes=True)
+    return JobResult(nodes, pred.drop("votes"), ensemble_report(pred, label, task))
+
+
+def ensemble_report(scored: DataFrame, label: str = "label", task: str = "classification") -> DataFrame:
+    """Rows kind = tree (one per tree), pooled (all pairs) and voted (the ensemble), from one pass over ``scored`` (label, votes, prediction).
+
+    Classification: n_pairs, n_wrong, error_rate.  Regression: the metrics of
+    ``regression_metrics``.
+    """
+    own = scored.select(F.col(label).alias("label"), F.posexplode(F.concat("votes", F.array("prediction"))).alias("tree_id", "prediction"),
+                        F.size("votes").alias("n_trees"))
+    voted = F.col("tree_id") == F.col("n_trees")
+    # a tree's pairs count for the tree and for the pool; the ensemble's for itself
+    kinds = F.when(voted, F.array(F.lit("voted"))).otherwise(F.array(F.lit("tree"), F.lit("pooled")))
+    pairs = own.select("label", "prediction", "tree_id", F.explode(kinds).alias("kind"))
+    pairs = pairs.withColumn("tree_id", F.when(F.col("kind") == "tree", F.col("tree_id")))
+    groups = pairs.groupBy("kind", "tree_id")
+    if task == "classification":
+        bad = wrong("prediction", "label").cast("long")
+        return groups.agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(bad).alias("n_wrong"), F.avg(bad.cast("double")).alias("error_rate"))
+    return groups.agg(*regression_aggregates("prediction", "label"))
 
 
 def linear_regression_job(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -175,14 +251,11 @@ def linear_regression_job(df: DataFrame, cols: Sequence[str], label: str = "labe
                           steps: int = 100, step: float = 0.1, fit_on: str = "train") -> JobResult:
     """Scaled linear regression: scaler (train or all rows), GD, metrics.
 
-    The hold-out part is the value complement of the train part (a row
-    whose exact value also occurs in train is not tested).
+    The hold-out part holds no value of the train part (see ``tree_job``).
+    ``linear`` of the result is the fitted model on the scaled features.
     """
-    keys = list(key_cols) if key_cols else [*cols, label]
-    train, _ = hash_split(df, keys, train_frac)
-    test = holdout_complement(df, train)
+    train, test = _split(df, cols, label, key_cols, train_frac)
     stats = fit_standardizer(df if fit_on == "all" else train, cols)
     model = linear_sgd(standardize(train, stats), cols, label, steps, step)
     pred = predict_linear(standardize(test, stats), model)
-    return JobResult(None, pred, regression_metrics(pred, "prediction", label))
-
+    return JobResult(None, pred, regression_metrics(pred, "prediction", label), model)

@@ -35,8 +35,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) a fresh folder under the
-    system temp dir is created and registered.
+    used as is; a cluster session without it is refused, because executors
+    could not see each other's files.  Only a local session (one machine)
+    gets a fresh folder under the system temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -44,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="canopy-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
@@ -86,3 +89,12 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh path below the shared checkpoint folder (model saves, tables)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/canopy-{kind}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path of this session (never anything outside the checkpoint folder)."""
+    root = ensure_checkpoint_dir(spark).rstrip("/") + "/"
+    if not path.startswith(root):
+        raise ValueError(f"not below {root}: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

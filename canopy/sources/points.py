@@ -123,6 +123,6 @@ def assemble(df: DataFrame, cols: Sequence[str], output: str = "features") -> Da
                            handleInvalid="keep").transform(df)
 
 
-def features_of(df: DataFrame, output: str = "features") -> DataFrame:
-    """Keep the feature vector only."""
-    return df.select(output)
+def features_of(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (), output: str = "features") -> DataFrame:
+    """``keep`` and the feature vector of ``cols``, nothing else."""
+    return assemble(df, cols, output).select(*keep, output)
