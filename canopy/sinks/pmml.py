@@ -29,17 +29,22 @@ from canopy.session import ship_package
 NS = "http://www.dmg.org/PMML-4_2"
 
 # ---- fixed values --------------------------------------------------------
-MODEL_NAME = "randomForest_Model"
-ALGORITHM = "randomForest"
-DESCRIPTION = "Random Forest Tree Model"
+VERSION = "4.2"
 # ---------------------------------------------------------------------------
 
+#: Nodes of a model that one document may hold (it is one text row).
+MAX_NODES = 500_000
+
 
 @dataclass(frozen=True)
 class ModelMeta:
     features: tuple[str, ...]
     label: str
     classes: tuple[str, ...] | None = None      # None -> regression
+    model_name: str = "canopy"
+    algorithm: str = "tree ensemble"
+    description: str = "Tree ensemble"
+    version: str = VERSION
 
     @property
     def regression(self) -> bool:
@@ -58,8 +63,8 @@ def _header(meta: ModelMeta) -> str:
         values = "".join(f"<Value value={_q(c)}/>" for c in meta.classes)
         label_field = (f"<DataField name={_q(meta.label)} optype=\"categorical\" dataType=\"string\">"
                        f"{values}</DataField>")
-    return (f"<PMML xmlns=\"{NS}\" version=\"4.2\">"
-            f"<Header description={_q(DESCRIPTION)}/>"
+    return (f"<PMML xmlns=\"{NS}\" version={_q(meta.version)}>"
+            f"<Header description={_q(meta.description)}/>"
             f"<DataDictionary numberOfFields=\"{len(meta.features) + 1}\">{label_field}{''.join(fields)}"
             f"</DataDictionary>")
 
@@ -112,11 +117,18 @@ def node_fragments(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
                        _xml_attr(F.element_at(names, F.col("prediction").cast("int") + 1)))
     count = F.when(F.col("row_count").isNotNull(),
                    F.concat(F.lit(" recordCount=\""), F.col("row_count").cast("string"), F.lit("\"")))
+    distribution = F.lit("")
+    if not meta.regression:
+        # one share per class, so the declared probabilities have their values
+        entries = F.transform(F.arrays_zip(names, F.col("class_counts")), lambda e: F.concat(
+            F.lit("<ScoreDistribution value=\""), _xml_attr(e["0"]), F.lit("\" recordCount=\""),
+            F.regexp_replace(e["class_counts"].cast("string"), r"\.0$", ""), F.lit("\"/>")))
+        distribution = F.when(F.size("class_counts") == len(meta.classes), F.array_join(entries, "")).otherwise(F.lit(""))
     # every node carries its score (leaves: the answer; inner nodes: the
     # fallback when no child predicate is true)
     open_tag = F.concat(F.lit("<Node id=\""), F.col("node_id").cast("string"), F.lit("\""),
                         F.coalesce(F.concat(F.lit(" score=\""), score, F.lit("\"")), F.lit("")),
-                        F.coalesce(count, F.lit("")), F.lit(">"), predicate)
+                        F.coalesce(count, F.lit("")), F.lit(">"), predicate, F.coalesce(distribution, F.lit("")))
     return joined.select("tree_id", F.bin(F.col("node_id")).alias("key"), "depth", leaf.alias("leaf"),
                          open_tag.alias("frag"))
 
@@ -131,8 +143,12 @@ def forest_to_pmml(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
 
     The per-tree ``<Segment>`` strings are built in a grouped pandas step
     (one group = one tree = bounded number of nodes) and joined in tree
-    order; the final document is one row.
+    order; the final document is one row, so the model is counted first and
+    refused beyond MAX_NODES.
     """
+    size = nodes.limit(MAX_NODES + 1).count()
+    if size > MAX_NODES:
+        raise ValueError(f"a document holds at most {MAX_NODES} nodes")
     ship_package(nodes.sparkSession)
     frags = node_fragments(nodes, meta)
     function = "regression" if meta.regression else "classification"
@@ -153,14 +169,14 @@ def forest_to_pmml(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
             parts.append("</Node>" * (prev + 1))
         tree = int(pdf["tree_id"].iloc[0])
         body = (f"<Segment id=\"{tree + 1}\"><True/>"
-                f"<TreeModel modelName=\"{MODEL_NAME}\" functionName=\"{function}\" "
-                f"algorithmName=\"{ALGORITHM}\" splitCharacteristic=\"binarySplit\">"
+                f"<TreeModel modelName={_q(meta.model_name)} functionName=\"{function}\" "
+                f"algorithmName={_q(meta.algorithm)} splitCharacteristic=\"binarySplit\">"
                 f"{schema}{''.join(parts)}</TreeModel></Segment>")
         return pd.DataFrame({"tree_id": [tree], "segment": [body]})
 
     segs = frags.groupBy("tree_id").applyInPandas(segment, "tree_id int, segment string")
     head = _header(meta)
-    model_open = (f"<MiningModel modelName=\"{MODEL_NAME}\" functionName=\"{function}\">"
+    model_open = (f"<MiningModel modelName={_q(meta.model_name)} functionName=\"{function}\">"
                   f"{schema}{_output(meta)}<Segmentation multipleModelMethod=\"{method}\">")
     tail = "</Segmentation></MiningModel></PMML>"
     ordered = F.array_sort(F.collect_list(F.struct("tree_id", "segment")))
@@ -172,7 +188,3 @@ def forest_to_pmml(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
 def write_pmml(doc: DataFrame, path: str) -> None:
     """Write the one-row document as a single text file part."""
     doc.coalesce(1).write.mode("overwrite").text(path)
-
-
-def meta_for(cols: Sequence[str], label: str, classes: Sequence[str] | None) -> ModelMeta:
-    return ModelMeta(tuple(cols), label, tuple(classes) if classes is not None else None)

@@ -5,8 +5,11 @@ file) and parsed inside tasks by ``mapInPandas``; many documents are parsed
 in parallel, each by the task that reads it.  Two dialects are accepted:
 
 * ``standard``: every Node carries the predicate that leads to it; the root
-  and segments carry ``<True/>``.  A split is read from the children's
-  predicates (the ``lessOrEqual`` child is the left one).
+  and segments carry ``<True/>``.  The children's predicates must be
+  complements (``lessOrEqual`` and ``greaterThan``, or ``lessThan`` and
+  ``greaterOrEqual``, of one field and value); the smaller side is the left
+  one.  As the node table sends ``x <= threshold`` left, ``lessThan t`` becomes
+  the next double below t.
 * ``legacy``: an inner Node carries its OWN split (its ``operator`` is not
   reliable and is ignored), leaves carry no predicate, first child = left.
 
@@ -16,6 +19,7 @@ Node ids are re-derived from the structure as heap ids (root 1, children
 
 from __future__ import annotations
 
+import math
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
@@ -34,6 +38,11 @@ META_SCHEMA = T.StructType([
     T.StructField("label", T.StringType()),
     T.StructField("classes", T.ArrayType(T.StringType())),
     T.StructField("regression", T.BooleanType()),
+    T.StructField("model_name", T.StringType()),
+    T.StructField("algorithm", T.StringType()),
+    T.StructField("description", T.StringType()),
+    T.StructField("version", T.StringType()),
+    T.StructField("outputs", T.ArrayType(T.StringType())),
 ])
 DOC_SCHEMA = T.StructType([T.StructField("path", T.StringType())] + list(NODE_SCHEMA.fields))
 
@@ -61,7 +70,13 @@ def _meta(root) -> dict:
         label = predicted[0] if predicted else fields[-1][0]
     classes = None if regression else next((f[2] for f in fields if f[0] == label), [])
     features = [f[0] for f in fields if f[0] != label]
-    return {"features": features, "label": label, "classes": classes, "regression": regression}
+    header = next(iter(_kids(root, "Header")), None)
+    trees = [t for t in model.iter() if _local(t.tag) == "TreeModel"]
+    outputs = [o.get("name") for out in _kids(model, "Output") for o in _kids(out, "OutputField")]
+    return {"features": features, "label": label, "classes": classes, "regression": regression,
+            "model_name": model.get("modelName"), "algorithm": trees[0].get("algorithmName") if trees else None,
+            "description": header.get("description") if header is not None else None,
+            "version": root.get("version"), "outputs": outputs}
 
 
 def _trees(root):
@@ -81,6 +96,29 @@ def _pred(el):
     return next((c for c in el if _local(c.tag) == "SimplePredicate"), None)
 
 
+#: Operators of a split's two sides (fixed values).
+SMALLER = {"lessOrEqual": "greaterThan", "lessThan": "greaterOrEqual"}
+
+
+def _split(left, right) -> tuple:
+    """(left, right, field, threshold) of two children in the standard dialect."""
+    a, b = _pred(left), _pred(right)
+    if a is None or b is None:
+        raise ValueError("a child without a split predicate")
+    if b.get("operator") in SMALLER:
+        left, right, a, b = right, left, b, a
+    if SMALLER.get(a.get("operator")) != b.get("operator") or a.get("field") != b.get("field") or float(a.get("value")) != float(b.get("value")):
+        raise ValueError(f"the children's predicates are no complements: {a.attrib} and {b.attrib}")
+    value = float(a.get("value"))
+    return left, right, a.get("field"), value if a.get("operator") == "lessOrEqual" else math.nextafter(value, -math.inf)
+
+
+def _counts(node, classes) -> list[float] | None:
+    """Records per class of a node's ScoreDistribution elements (None: it has none)."""
+    held = {e.get("value"): float(e.get("recordCount")) for e in _kids(node, "ScoreDistribution")}
+    return [held.get(c, 0.0) for c in classes] if held and classes else None
+
+
 def parse_document(text: str, path: str = "") -> tuple[dict, list[tuple]]:
     """One PMML document -> (meta, node rows of ``DOC_SCHEMA``)."""
     root = ET.fromstring(text)
@@ -108,24 +146,20 @@ def parse_document(text: str, path: str = "") -> tuple[dict, list[tuple]]:
             rc = int(float(count)) if count is not None else None
             if not kids:
                 rows.append((path, tree_id, hid, parent, is_left, depth, None, None, None, None, None,
-                             score(node), None, rc, None, None))
+                             score(node), _counts(node, classes), rc, None, None))
                 continue
             if len(kids) != 2:
                 raise ValueError("only binary splits are supported")
             left, right = kids
             if dialect == "standard":
-                p = _pred(left)
-                if p is not None and p.get("operator") in ("greaterThan", "greaterOrEqual"):
-                    left, right = right, left
-                    p = _pred(left)
+                left, right, name, thr = _split(left, right)
             else:
                 p = _pred(node)
-            if p is None:
-                raise ValueError("inner node without a split predicate")
-            name = p.get("field")
-            thr = float(p.get("value"))
+                if p is None:
+                    raise ValueError("inner node without a split predicate")
+                name, thr = p.get("field"), float(p.get("value"))
             rows.append((path, tree_id, hid, parent, is_left, depth, feats.index(name) if name in feats else None,
-                         name, thr, 2 * hid, 2 * hid + 1, score(node), None, rc, None, None))
+                         name, thr, 2 * hid, 2 * hid + 1, score(node), _counts(node, classes), rc, None, None))
             stack.append((right, 2 * hid + 1, hid, False, depth + 1))
             stack.append((left, 2 * hid, hid, True, depth + 1))
     rows.sort(key=lambda r: (r[1], r[2]))
@@ -162,7 +196,7 @@ def pmml_meta(docs: DataFrame, text_col: str = "value") -> DataFrame:
             paths = pdf["path"] if "path" in pdf else [""] * len(pdf)
             for p, text in zip(paths, pdf[text_col]):
                 m = parse_document(text, p)[0]
-                out.append((p, m["features"], m["label"], m["classes"], m["regression"]))
+                out.append((p, *[m[f] for f in META_SCHEMA.fieldNames()[1:]]))
             yield pd.DataFrame(out, columns=META_SCHEMA.fieldNames())
 
     ship_package(docs.sparkSession)
@@ -170,9 +204,16 @@ def pmml_meta(docs: DataFrame, text_col: str = "value") -> DataFrame:
 
 
 def forest_from_pmml(spark: SparkSession, path: str) -> tuple[DataFrame, ModelMeta]:
-    """S3: read ONE document file -> (node table, meta)."""
-    docs = read_documents(spark, path)
-    m = pmml_meta(docs).first()
-    meta = ModelMeta(tuple(m["features"]), m["label"],
-                     None if m["regression"] else tuple(m["classes"]))
-    return pmml_nodes(docs).drop("path"), meta
+    """S3: read ONE document file -> (node table, meta).
+
+    Several documents under ``path`` are refused (``pmml_nodes`` and
+    ``pmml_meta`` keep them apart by path).  A model is bounded by its
+    document, so it is parsed once and becomes a local table.
+    """
+    docs = read_documents(spark, path).where(F.trim("value") != "").limit(2).collect()
+    if len(docs) != 1:
+        raise ValueError(f"{'several' if docs else 'no'} documents under {path}")
+    m, rows = parse_document(docs[0]["value"], docs[0]["path"])
+    meta = ModelMeta(tuple(m["features"]), m["label"], None if m["regression"] else tuple(m["classes"]),
+                     **{k: m[k] for k in ("model_name", "algorithm", "description", "version") if m[k] is not None})
+    return spark.createDataFrame([r[1:] for r in rows], NODE_SCHEMA), meta
