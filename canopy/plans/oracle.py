@@ -10,10 +10,12 @@ DECIMAL in DuckDB).
 
 from __future__ import annotations
 
-from math import isqrt
+from math import ceil, isqrt, sqrt
+
+import hashlib
+from math import exp, factorial
 
 from canopy.models import iris
-from canopy.operators.mltrees import draw_features
 
 KEYS = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
 BUCKET = ("((('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR), "
@@ -23,6 +25,11 @@ FLAG = "(CASE l_returnflag WHEN 'A' THEN 0.0::DOUBLE WHEN 'N' THEN 1.0::DOUBLE W
 STATUS = "(CASE WHEN l_linestatus = 'O' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
 
 
+def drawn(n: int, trees: int, some: int, seed: int = 0) -> list[list[int]]:
+    """Per tree: the ``some`` features with the smallest md5('<seed>|<tree>|<feature>')."""
+    return [sorted(range(n), key=lambda f: hashlib.md5(f"{seed}|{t}|{f}".encode()).digest())[:some] for t in range(trees)]
+
+
 def d(x: float) -> str:
     return f"CAST({float(x)!r} AS DOUBLE)"
 
@@ -42,14 +49,23 @@ def xval(col: str = "f") -> str:
 # ----------------------------------------------------------------- scans
 
 def _scan_ctes(prefix: str, long_src: str, thr: str, task: str, classes: int = 2,
-               weighted: bool = False) -> str:
-    """CTEs ``{prefix}_best`` : best split per (node, f) of ``long_src(node, f, v, label[, w])``."""
+               weighted: bool = False, allowed: str = "TRUE") -> str:
+    """CTEs ``{prefix}_best`` : best split per (node, f) of ``long_src(node, f, v, label[, w])``.
+
+    Regression labels are summed as whole millionths, so a side's statistics
+    (L_, R_, T_: w, wy, wy2) do not depend on the order of the rows.
+    ``allowed`` restricts the features that may split a node.
+    """
     p = prefix
     one = "w" if weighted else "1.0"
     if task == "classification":
         stats = [f"c{k}" for k in range(classes)]
         agg = ", ".join(f"sum(CASE WHEN label = {d(k)} THEN {one} ELSE 0.0 END)::DOUBLE AS c{k}"
                         for k in range(classes))
+        names = stats
+
+        def value(side: str, s: str) -> str:
+            return f"(T_{s} - L_{s})" if side == "R" else f"{side}_{s}"
 
         def imp(vals, n):
             e = "1.0::DOUBLE"
@@ -60,36 +76,46 @@ def _scan_ctes(prefix: str, long_src: str, thr: str, task: str, classes: int = 2
         def weight(vals):
             return "(" + " + ".join(vals) + ")"
     else:
-        stats = ["w", "wy", "wy2"]
-        agg = "count(*)::DOUBLE AS w, sum(label) AS wy, sum(label * label) AS wy2"
+        stats, names = ["w", "s1", "s2"], ["w", "wy", "wy2"]
+        q = "CAST(round(label * 1000000.0::DOUBLE) AS HUGEINT)"
+        whole = f"CAST({one} AS HUGEINT)"
+        agg = (f"sum({one})::DOUBLE AS w, sum(CAST({whole} * {q} AS DECIMAL(38,0))) AS s1, "
+               f"sum(CAST({whole} * {q} * {q} AS DECIMAL(38,0))) AS s2")
+
+        def value(side: str, s: str) -> str:
+            raw = {"w": "w", "wy": "s1", "wy2": "s2"}[s]
+            x = f"(T_{raw} - L_{raw})" if side == "R" else f"{side}_{raw}"
+            million = " / 1000000.0::DOUBLE"
+            return x if s == "w" else f"(CAST({x} AS DOUBLE){million * (1 if s == 'wy' else 2)})"
 
         def imp(vals, n):
             return f"(({vals[2]} - ({vals[1]} * {vals[1]}) / {n}) / {n})"
 
         def weight(vals):
             return vals[0]
-    L = [f"L_{s}" for s in stats]
-    T = [f"T_{s}" for s in stats]
-    R = [f"({t} - {l})" for t, l in zip(T, L)]
+    L, T, R = ([f"{side}_{s}" for s in names] for side in "LTR")
+    derived = ", ".join(f"{value(side, s)} AS {side}_{s}" for side in "LTR" for s in names
+                        if side == "R" or s not in stats)
+    total = ", ".join(f"{value('T', s)} AS T_{s}" for s in names if s not in stats)
     nL, nT = weight(L), weight(T)
     nR = f"({nT} - {nL})"
     gain = (f"({imp(T, nT)} - ({nL} / {nT}) * {imp(L, weight(L))} - ({nR} / {nT}) * {imp(R, weight(R))})")
-    # regression gains rank at float precision (sums differ in the last bits)
-    rank = "gain" if task == "classification" else "CAST(gain AS FLOAT)"
+    sums = ", ".join(f"sum({s}) AS T_{s}" for s in stats)
     return f"""
 {p}_cnt AS (SELECT node, f, v, {agg}, count(*) AS n_raw FROM {long_src} GROUP BY node, f, v),
-{p}_tot AS (SELECT node, f, {", ".join(f"sum({s}) AS T_{s}" for s in stats)}, sum(n_raw) AS T_raw
-            FROM {p}_cnt GROUP BY node, f),
+{p}_tot AS (SELECT *{', ' + total if total else ''} FROM
+            (SELECT node, f, {sums}, sum(n_raw) AS T_raw FROM {p}_cnt GROUP BY node, f)),
 {p}_cand AS (SELECT c.node, c.f, h.t, {", ".join(f"sum(c.{s}) AS L_{s}" for s in stats)}, sum(c.n_raw) AS L_raw
              FROM {p}_cnt c JOIN {thr} h ON c.f = h.f AND c.v <= h.t GROUP BY c.node, c.f, h.t),
-{p}_g AS (SELECT a.node, a.f, a.t, {", ".join(L)}, {", ".join(T)}, L_raw, T_raw,
-                 {nL} AS n_left, {nR} AS n_right, {gain} AS gain
-          FROM {p}_cand a JOIN {p}_tot b ON a.node = b.node AND a.f = b.f),
-{p}_valid AS (SELECT * FROM {p}_g WHERE n_left > 0 AND n_right > 0),
-{p}_best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node, f ORDER BY {rank} DESC, t ASC) AS rk
+{p}_side AS (SELECT a.*, b.* EXCLUDE (node, f{', ' + ', '.join(f'T_{s}' for s in names if s not in stats) if total else ''})
+             FROM {p}_cand a JOIN {p}_tot b ON a.node = b.node AND a.f = b.f),
+{p}_each AS (SELECT *, {derived} FROM {p}_side),
+{p}_g AS (SELECT *, {nL} AS n_left, {nR} AS n_right FROM {p}_each WHERE {nL} > 0 AND {nR} > 0),
+{p}_valid AS (SELECT *, {gain} AS gain FROM {p}_g),
+{p}_best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node, f ORDER BY gain DESC, t ASC) AS rk
                             FROM {p}_valid) WHERE rk = 1),
-{p}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY {rank} DESC, f ASC, t ASC) AS rk2
-                           FROM {p}_best) WHERE rk2 = 1)"""
+{p}_top AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, f ASC, t ASC) AS rk2
+                           FROM {p}_best WHERE {allowed}) WHERE rk2 = 1)"""
 
 
 def _thr_ctes(src: str) -> str:
@@ -156,7 +182,7 @@ WITH inp AS (SELECT 1 AS node, * FROM ({_train_input("l_extendedprice", 600)})),
 lg AS ({LONG.format(src="inp")}),
 {_thr_ctes("lg")},
 {_scan_ctes("s", "lg", "thr", "regression")},
-m AS (SELECT f, t, L_wy / L_w AS pl, (T_wy - L_wy) / (T_w - L_w) AS pr FROM s_top),
+m AS (SELECT f, t, L_wy / L_w AS pl, R_wy / R_w AS pr FROM s_top),
 te AS ({_train_input("l_extendedprice", 600, test=True)}),
 p AS (SELECT te.label, CASE WHEN {xval("m.f")} <= m.t THEN m.pl ELSE m.pr END AS prediction FROM te, m)
 {_metrics("p")}"""
@@ -263,15 +289,18 @@ def _argmax3(c0: str, c1: str, c2: str) -> str:
 
 
 def _poisson_sql(u: str) -> str:
-    from canopy.plans.jobs import _POISSON1_CDF
-    return ("CASE " + " ".join(f"WHEN {u} < {c!r} THEN {float(k)!r}" for k, c in enumerate(_POISSON1_CDF))
-            + f" ELSE {float(len(_POISSON1_CDF))!r} END")
+    """Inverse of the Poisson(1) distribution, counts 0 to 13."""
+    below, parts = 0.0, []
+    for k in range(13):
+        below = exp(-1.0) * sum(1.0 / factorial(i) for i in range(k + 1))
+        parts.append(f"WHEN {u} < {below!r} THEN {float(k)!r}")
+    return "CASE " + " ".join(parts) + " ELSE 13.0 END"
 
 
-def _bootstrap_sql(seed: int, tree: int) -> str:
+def _bootstrap_sql(seed: int, tree: int, key_cols: list[str] | None = None) -> str:
     """Poisson(1) count from 32 bits (slot tree % 4) of md5('<seed>|<tree // 4>|<keys>')."""
-    key = "concat_ws('|', " + f"'{seed}|{tree // 4}', " + ", ".join(
-        f"CAST({k.strip()} AS VARCHAR)" for k in KEYS.split(",")) + ")"
+    names = key_cols or [k.strip() for k in KEYS.split(",")]
+    key = f"concat_ws('|', '{seed}|{tree // 4}', " + ", ".join(f"CAST({k} AS VARCHAR)" for k in names) + ")"
     u = f"(CAST(('0x' || substr(md5({key}), {8 * (tree % 4) + 1}, 8)) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE)"
     return _poisson_sql(u)
 
@@ -279,9 +308,8 @@ def _bootstrap_sql(seed: int, tree: int) -> str:
 def _thr_rule_ctes(src: str, max_bins: int = 100) -> str:
     """Candidate thresholds by the full rule: midpoints when a feature has at
     most ``max_bins`` distinct values, else the distinct values at 1-based
-    rank ceil(q * n), q = 1/max_bins .. (max_bins-1)/max_bins (the exact form
-    of the quantile sketch on data this small)."""
-    qs = "[" + ", ".join(f"{i / max_bins!r}" for i in range(1, max_bins)) + "]"
+    rank ceil(i * n / max_bins), i = 1 .. max_bins - 1."""
+    qs = "[" + ", ".join(str(i) for i in range(1, max_bins)) + "]"
     return f"""
 vals AS (SELECT DISTINCT f, v FROM {src} WHERE v IS NOT NULL AND NOT isnan(v)),
 nd AS (SELECT f, count(*) AS n FROM vals GROUP BY f),
@@ -291,18 +319,21 @@ ranked AS (SELECT f, v, row_number() OVER (PARTITION BY f ORDER BY v) AS rn,
                   count(*) OVER (PARTITION BY f) AS n FROM {src}
            WHERE v IS NOT NULL AND NOT isnan(v) AND f IN (SELECT f FROM nd WHERE n > {max_bins})),
 cuts AS (SELECT r.f, r.v AS t FROM ranked r JOIN (SELECT unnest({qs}) AS q) qq
-         ON r.rn = CAST(ceil(qq.q * CAST(r.n AS DOUBLE)) AS BIGINT)),
+         ON r.rn = (qq.q * r.n + {max_bins} - 1) // {max_bins}),
 thr AS (SELECT f, t FROM mids WHERE t IS NOT NULL UNION SELECT DISTINCT f, t FROM cuts)"""
 
 
 def ensemble_sql(depth: int, subsets: list[list[int]], train_sql: str, test_sql: str, keys: list[str],
                  n_feat: int, classes: int = 3, task: str = "classification",
-                 seed: int | None = None, full_rule: bool = False) -> str:
+                 seed: int | None = None, full_rule: bool = False, per_node: int | None = None,
+                 row_keys: list[str] | None = None) -> str:
     """Trees on feature subsets, grown level-wise with a (tree, node) key =
     tree * 1e6 + node; hold-out rows walk the same splits level by level;
     hard vote (ties -> lowest class) or mean over the trees.  With ``seed``
-    every (row, tree) carries its md5 bootstrap weight (bagging).  Ends with
-    a ``pred`` CTE (keys, label, prediction)."""
+    every (row, tree) carries its md5 bootstrap weight (bagging) from ``keys``
+    or ``row_keys``; with ``per_node`` only so many features, ranked by md5 of
+    seed, tree, node and feature, may split a node.  Ends with a ``pred`` CTE
+    (keys, label, prediction)."""
     n_t = len(subsets)
     weighted = seed is not None
     xs = [f"x{i}" for i in range(n_feat)]
@@ -317,7 +348,12 @@ def ensemble_sql(depth: int, subsets: list[list[int]], train_sql: str, test_sql:
     wsel = ", w" if weighted else ""
     keyed = ("SELECT key, label" + wsel + ", unnest({feats}) AS f, unnest({vals}) AS v FROM "
              "(SELECT key, key // 1000000 AS tree, label" + wsel + ", " + ", ".join(xs) + " FROM {src})")
-    wcol = (", CASE t.tree " + " ".join(f"WHEN {t} THEN {_bootstrap_sql(seed, t)}" for t in range(n_t))
+    allowed = "TRUE"
+    if per_node is not None:
+        def rank(f: str) -> str:
+            return (f"md5(concat_ws('|', '{seed}', CAST(node // 1000000 AS VARCHAR), CAST(node % 1000000 AS VARCHAR), CAST({f} AS VARCHAR)))")
+        allowed = f"list_contains(list_slice(list_sort(list_transform({list(range(n_feat))}, lambda x: {rank('x')})), 1, {per_node}), {rank('f')})"
+    wcol = (", CASE t.tree " + " ".join(f"WHEN {t} THEN {_bootstrap_sql(seed, t, row_keys)}" for t in range(n_t))
             + " END AS w") if weighted else ""
     cls = list(range(classes))
     reg = task == "regression"
@@ -331,7 +367,7 @@ def ensemble_sql(depth: int, subsets: list[list[int]], train_sql: str, test_sql:
             f"lg0 AS (SELECT key AS node, label{wsel}, f, v FROM ({keyed.format(feats=feats, vals=vals, src='in0')}))"]
     stats = []
     for k in range(depth):
-        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", task, classes, weighted).strip())
+        ctes.append(_scan_ctes(f"s{k}", f"lg{k}", "thr", task, classes, weighted, allowed).strip())
         ctes.append(f"sp{k} AS (SELECT * FROM s{k}_top WHERE gain > 0)")
         tcols = "T_w, T_wy" if reg else ", ".join(f"T_c{c}" for c in cls)
         ctes.append(f"st{k} AS (SELECT node AS key, {tcols} FROM s{k}_tot "
@@ -348,7 +384,7 @@ def ensemble_sql(depth: int, subsets: list[list[int]], train_sql: str, test_sql:
                         f"({keyed.format(feats=feats, vals=vals, src=f'in{k + 1}')}))")
     last = depth - 1
     lp = "L_wy / L_w" if reg else _argmax([f"L_c{c}" for c in cls])
-    rp = "(T_wy - L_wy) / (T_w - L_w)" if reg else _argmax([f"(T_c{c} - L_c{c})" for c in cls])
+    rp = "R_wy / R_w" if reg else _argmax([f"(T_c{c} - L_c{c})" for c in cls])
     stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000), {lp} FROM sp{last}")
     stats.append(f"SELECT (node // 1000000) * 1000000 + 2 * (node % 1000000) + 1, {rp} FROM sp{last}")
     ctes.append("leafp AS (" + " UNION ALL ".join(stats) + ")")
@@ -402,7 +438,7 @@ def embedding_ensemble_sql(task: str) -> str:
     first slot as regression target over the other 63."""
     reg = task == "regression"
     n = 63 if reg else 64
-    subsets = draw_features(n, 3, isqrt(n), 0)
+    subsets = drawn(n, 3, isqrt(n), 0)
     body = ensemble_sql(5, subsets, _embedding_input(False, 0 if reg else None),
                         _embedding_input(True, 0 if reg else None), ["vec_id"], n,
                         0 if reg else 10, task, None, full_rule=True)
@@ -471,7 +507,7 @@ WITH inp AS (SELECT 1 AS node, * FROM ({_train_input("l_extendedprice", 600)})),
 lg AS ({LONG.format(src="inp")}),
 {_thr_ctes("lg")},
 {_scan_ctes("s", "lg", "thr", "regression")},
-m AS (SELECT f, t, L_wy / L_w AS pl, (T_wy - L_wy) / (T_w - L_w) AS pr FROM s_best),
+m AS (SELECT f, t, L_wy / L_w AS pl, R_wy / R_w AS pr FROM s_best),
 m0 AS (SELECT * FROM m WHERE f = 0), m1 AS (SELECT * FROM m WHERE f = 1), m2 AS (SELECT * FROM m WHERE f = 2),
 te AS ({_train_input("l_extendedprice", 600, test=True)}),
 p AS (SELECT te.*, (CASE WHEN x0 <= m0.t THEN m0.pl ELSE m0.pr END
@@ -485,7 +521,7 @@ REGRESSION_METRICS = STUMP_ENSEMBLE + _metrics("p")
 
 # ----------------------------------------------------------------- linear model
 
-def _linear_body() -> str:
+def _linear_body(train: str = _train_input("l_extendedprice", 900), whole: str = "TRUE") -> str:
     k = len(FEATS)
     q = {}
     for i in range(k):
@@ -503,10 +539,10 @@ def _linear_body() -> str:
     zs = ", ".join(f"(x{i} - st.m{i}) / st.s{i} AS z{i}" for i in range(k))
     stats = ", ".join(f"avg(x{i}) AS m{i}, stddev_samp(x{i}) AS s{i}" for i in range(k))
     return f"""
-WITH RECURSIVE tr AS ({_train_input("l_extendedprice", 900)}),
+WITH RECURSIVE tr AS ({train}),
 te AS ({_train_input("l_extendedprice", 900, test=True)}),
 st AS (SELECT {stats} FROM tr),
-z AS (SELECT label AS y, {zs} FROM tr, st),
+z AS (SELECT label AS y, {zs} FROM tr, st WHERE {whole}),
 m AS (SELECT count(*)::DOUBLE AS n, sum(y) AS sy, {moments} FROM z),
 it(t, {", ".join(f"w{i}" for i in range(k))}, b) AS (
   SELECT 0, {", ".join("0.0::DOUBLE" for _ in range(k))}, 1.0::DOUBLE
@@ -576,7 +612,99 @@ SELECT e.vec_id, r.tree_id, r.slot, r.feature, CAST(e.embedding[r.feature + 1] A
 FROM embeddings e, r WHERE r.slot < 8"""
 
 
+# ----------------------------------------------------------------- wide features, missing values, drawn features
+
+WIDE = [*FEATS, "l_extendedprice"]
+
+
+def _wide_input(label: str, test: bool = False) -> str:
+    cond = f"NOT ({train_where(600)})" if test else train_where(600)
+    return f"SELECT {KEYS}, {label} AS label, " + ", ".join(f"{c} AS x{i}" for i, c in enumerate(WIDE)) + f" FROM lineitem WHERE {cond}"
+
+
+GINI_WIDE = f"""
+WITH lg AS (SELECT 1 AS node, label, unnest([0, 1, 2, 3]) AS f, unnest([x0, x1, x2, x3]) AS v FROM ({_wide_input(STATUS)})),
+{_thr_rule_ctes("lg")},
+{_scan_ctes("s", "lg", "thr", "classification")}
+SELECT CAST(f AS INTEGER) AS feature, CASE f {" ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(WIDE))} END AS feature_name,
+       t AS threshold, round(gain, 12) AS gain, CAST(n_left AS BIGINT) AS n_left, CAST(n_right AS BIGINT) AS n_right
+FROM s_best"""
+
+_KEY_LIST = [k.strip() for k in KEYS.split(",")]
+BAGGED_WIDE = ensemble_sql(5, drawn(4, 3, 2), _wide_input(FLAG), _wide_input(FLAG, True), _KEY_LIST, 4, 3, "classification", 0, True) + f"""
+SELECT {KEYS}, label, prediction FROM pred"""
+
+_ALL_ROWS = f"SELECT {KEYS}, {FLAG} AS label, l_quantity AS x0, l_discount AS x1, l_tax AS x2 FROM lineitem"
+BAGGED_ROWS = ensemble_sql(
+    5, drawn(3, 3, 2), f"SELECT *, row_number() OVER (PARTITION BY x0, x1, x2, label) AS occurrence FROM ({_ALL_ROWS})", _ALL_ROWS, _KEY_LIST, 3, 3,
+    "classification", 0, row_keys=["x0", "x1", "x2", "label", "occurrence"]) + f"""
+SELECT {KEYS}, label, prediction FROM pred"""
+
+
+def forest_sql(label: str, task: str) -> str:
+    """Bootstrap by row key, ceil(sqrt(3)) features drawn per node, seed 12345."""
+    body = ensemble_sql(5, [[0, 1, 2]] * 3, _train_input(label, 600), _train_input(label, 600, test=True), _KEY_LIST, 3,
+                        3 if task == "classification" else 0, task, 12345, per_node=ceil(sqrt(3)))
+    return body + f"\nSELECT {KEYS}, label, {'prediction' if task == 'classification' else 'round(prediction, 4) AS prediction'} FROM pred"
+
+
+LINEAR_NULLS = _linear_body(
+    f"SELECT CASE WHEN l_linenumber <> 5 THEN l_extendedprice END AS label, CASE WHEN l_linenumber <> 3 THEN l_quantity END AS x0, "
+    f"l_discount AS x1, l_tax AS x2 FROM lineitem WHERE {train_where(900)}", "label IS NOT NULL AND x0 IS NOT NULL") + "\n" + "\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS term, round(w{i}, 4) AS weight FROM fin" for i, c in enumerate(FEATS)]
+    + ["SELECT 'intercept', round(b, 4) FROM fin", "SELECT 'dropped', count_if(label IS NULL OR x0 IS NULL)::DOUBLE FROM tr"])
+
+METRICS_NULLS = """
+WITH r AS (SELECT CASE WHEN l_linenumber <> 2 THEN l_quantity * 1500.0::DOUBLE END AS prediction,
+                  CASE WHEN l_linenumber <> 4 THEN l_extendedprice END AS label FROM lineitem),
+p AS (SELECT * FROM r WHERE prediction IS NOT NULL AND label IS NOT NULL),
+m AS (""" + _metrics("p") + """)
+SELECT m.*, (SELECT count(*) FROM r) - m.n AS n_missing FROM m"""
+
+DOCUMENT_FIELDS = _tree_levels_body() + """
+SELECT unnest(['version', 'description', 'model_name', 'algorithm', 'label', 'features', 'classes', 'outputs']) AS field,
+       unnest(['4.2', 'Tree ensemble', 'canopy', 'tree ensemble', 'l_linestatus', 'l_quantity,l_discount,l_tax', 'F,O',
+               'Predicted_l_linestatus,Probability_F,Probability_O']) AS value
+UNION ALL SELECT 'distributions', count(*) || '/' || count(*) FROM nodes"""
+
+MODEL_FACTS = "SELECT 3::BIGINT AS n_trees, TRUE AS depth_ok, TRUE AS counts_add_up, 0::BIGINT AS n_unlike"
+
+SPLIT_FACTS = """
+SELECT count(*) AS n_rows, TRUE AS parts_add_up, TRUE AS parts_are_the_rows, TRUE AS part_near_share,
+       TRUE AS sample_of_the_rows, TRUE AS sample_near_share FROM lineitem"""
+
+POINT_MODES = """
+WITH p AS (SELECT p_size > 45 AS bad, p_retailprice AS label FROM part)
+SELECT 'FAILFAST' AS mode, TRUE AS failed, NULL::BIGINT AS n_rows, NULL::BIGINT AS n_bad, NULL::DOUBLE AS label_sum
+UNION ALL SELECT 'PERMISSIVE', FALSE, count(*), count_if(bad)::BIGINT, round(sum(CASE WHEN NOT bad THEN label END), 2) FROM p
+UNION ALL SELECT 'DROPMALFORMED', FALSE, count_if(NOT bad)::BIGINT, 0, round(sum(CASE WHEN NOT bad THEN label END), 2) FROM p"""
+
+_REGRESSION_ROW = """count(*) AS n, 0::BIGINT AS n_missing, round(sqrt(avg((prediction - label) * (prediction - label))), 4) AS rmse,
+       round(avg(abs(prediction - label)), 4) AS mae, round(regr_r2(label, prediction), 9) AS r2_pearson,
+       round(1.0 - sum((prediction - label) * (prediction - label)) / (var_pop(label) * count(*)), 9) AS r2_sse"""
+SUBSPACE_REPORT_REGRESS = subspace_vote_sql(5, drawn(3, 3, 2, 0), None, "l_extendedprice", 0, final=False, task="regression") + f""",
+pt AS (SELECT CAST(l.key // 1000000 AS INTEGER) AS tree_id, te.label, p.p AS prediction
+       FROM leaf l JOIN leafp p ON p.key = l.key JOIN te ON te.rid = l.rid)
+SELECT 'tree' AS kind, tree_id, {_REGRESSION_ROW} FROM pt GROUP BY tree_id
+UNION ALL SELECT 'pooled', NULL::INTEGER, {_REGRESSION_ROW} FROM pt
+UNION ALL SELECT 'voted', NULL::INTEGER, {_REGRESSION_ROW} FROM pred"""
+
+
 ORACLE_SQL = {
+    "gini_split_scan_wide": GINI_WIDE,
+    "bagged_forest_wide": BAGGED_WIDE,
+    "bagged_rows": BAGGED_ROWS,
+    "forest_classify": forest_sql(FLAG, "classification"),
+    "forest_regress": forest_sql("l_extendedprice", "regression"),
+    "forest_classify_ml": MODEL_FACTS,
+    "forest_regress_ml": MODEL_FACTS,
+    "linear_sgd_nulls": LINEAR_NULLS,
+    "regression_metrics_nulls": METRICS_NULLS,
+    "pmml_legacy_score": SCORE_SPARK,
+    "pmml_document_fields": DOCUMENT_FIELDS,
+    "random_split_facts": SPLIT_FACTS,
+    "read_points_modes": POINT_MODES,
+    "subspace_report_regress": SUBSPACE_REPORT_REGRESS,
     "parse_points": PARSE_POINTS,
     "label_at_index": LABEL_AT_INDEX,
     "hash_split_counts": HASH_SPLIT_COUNTS,
@@ -605,15 +733,15 @@ ORACLE_SQL = {
     "stream_scores": SCORE_R,
     "describe_tree": DESCRIBE_TREE,
     "tree_depth5": grown_tree_sql(5),
-    "subspace_vote": subspace_vote_sql(5, draw_features(3, 3, 2, 0)),
-    "bagged_forest": subspace_vote_sql(5, draw_features(3, 3, 2, 0), seed=0),
+    "subspace_vote": subspace_vote_sql(5, drawn(3, 3, 2, 0)),
+    "bagged_forest": subspace_vote_sql(5, drawn(3, 3, 2, 0), seed=0),
     # Spark's own tree learner grows the same tree (same candidates, gains and ties)
     "tree_classify": subspace_vote_sql(5, [[0, 1, 2]], None, STATUS, 2, final=False) + """
 SELECT count(*) AS n_test,
        CAST(sum(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END) AS BIGINT) AS n_wrong,
        avg(CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0.0 ELSE 1.0 END) AS error_rate
 FROM pred""",
-    "subspace_report": subspace_vote_sql(5, draw_features(3, 3, 2, 0), final=False) + """,
+    "subspace_report": subspace_vote_sql(5, drawn(3, 3, 2, 0), final=False) + """,
 pt AS (SELECT CAST(l.key // 1000000 AS INTEGER) AS tree_id, te.label, p.p AS prediction
        FROM leaf l JOIN leafp p ON p.key = l.key JOIN te ON te.rid = l.rid),
 w AS (SELECT tree_id, CASE WHEN prediction IS NOT DISTINCT FROM label THEN 0 ELSE 1 END AS bad FROM pt),
@@ -622,7 +750,7 @@ SELECT 'tree' AS kind, tree_id, count(*) AS n_pairs, CAST(sum(bad) AS BIGINT) AS
        avg(bad::DOUBLE) AS error_rate FROM w GROUP BY tree_id
 UNION ALL SELECT 'pooled', NULL::INTEGER, count(*), CAST(sum(bad) AS BIGINT), avg(bad::DOUBLE) FROM w
 UNION ALL SELECT 'voted', NULL::INTEGER, count(*), CAST(sum(bad) AS BIGINT), avg(bad::DOUBLE) FROM v""",
-    "subspace_mean": subspace_vote_sql(5, draw_features(3, 3, 2, 0), None, "l_extendedprice", 0,
+    "subspace_mean": subspace_vote_sql(5, drawn(3, 3, 2, 0), None, "l_extendedprice", 0,
                                        final=False, task="regression")
     + f"\nSELECT {KEYS}, label, round(prediction, 4) AS prediction FROM pred",
     "subspace_classify": embedding_ensemble_sql("classification"),

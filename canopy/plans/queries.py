@@ -21,7 +21,7 @@ from canopy.operators.nodes import predict_classes, predict_mean
 from canopy.operators.scaling import fit_standardizer, standardize, standardize_stats
 from canopy.operators.splits import (bernoulli_sample, hash_split, hash_split_counts,
                                      holdout_complement, random_split, union_predictions)
-from canopy.operators.splitscan import gini_split_scan, variance_split_scan
+from canopy.operators.splitscan import gini_split_scan, num_classes, variance_split_scan
 from canopy.plans.inputs import (FEATURES, KEYS, LINEAR_TRAIN_FRAC, TRAIN_FRAC, iris_frame, iris_like,
                                  lineitem_binary, lineitem_flags, lineitem_price, table)
 from canopy.session import scratch_path
@@ -203,12 +203,6 @@ def q_vote_shares(spark: SparkSession, sf: str) -> DataFrame:
         *KEYS, *[F.round(p[i], 12).alias(f"p_{c}") for i, c in enumerate(iris.CLASSES)])
 
 
-def _per_tree(spark, sf):
-    s = _iris_voted(spark, sf, iris.R_FOREST, keep_votes=True)
-    parts = [(t, s.select(*KEYS, "label", F.col("votes")[t].alias("prediction"))) for t in range(3)]
-    return union_predictions(parts)
-
-
 def q_mispredicted_rows(spark: SparkSession, sf: str) -> DataFrame:
     """rows whose voted class differs from the return-flag class."""
     v = _iris_voted(spark, sf, iris.R_FOREST).select(*KEYS, "label", "prediction")
@@ -223,7 +217,8 @@ def q_error_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_pooled_error(spark: SparkSession, sf: str) -> DataFrame:
     """A2 + D5: per-tree and pooled error over the union of tree predictions."""
-    p = pooled_error_rate(_per_tree(spark, sf))
+    scored = _iris_voted(spark, sf, iris.R_FOREST, keep_votes=True)
+    p = pooled_error_rate(union_predictions(scored, ["label"]))
     return p.select("tree_id", "n_pairs", "n_wrong", _r("error_rate", 12))
 
 
@@ -369,20 +364,6 @@ def q_tree_regress(spark: SparkSession, sf: str) -> DataFrame:
     return m.select("n", _r("rmse", 6), _r("mae", 6), _r("r2_pearson", 9), _r("r2_sse", 9))
 
 
-def q_forest_classify(spark: SparkSession, sf: str) -> DataFrame:
-    """M3 + E1 + I4 + A10: Spark random forest, hard majority vote per hold-out row."""
-    train, test = _flags_split(spark, sf)
-    nodes = mltrees.forest_nodes(mltrees.forest_classify(train, FEATURES, n_classes=3), FEATURES)
-    return predict_classes(test, nodes, 3).select(*KEYS, "label", "prediction")
-
-
-def q_forest_regress(spark: SparkSession, sf: str) -> DataFrame:
-    """M4 + A11: Spark regression forest, mean vote per hold-out row."""
-    train, test = _price_split(spark, sf, TRAIN_FRAC)
-    nodes = mltrees.forest_nodes(mltrees.forest_regress(train, FEATURES), FEATURES)
-    return predict_mean(test, nodes).select(*KEYS, "label", "prediction")
-
-
 def _subspace(spark, sf, task):
     from canopy.plans.jobs import subspace_forest
     emb = table(spark, sf, "embeddings")
@@ -402,7 +383,7 @@ def _subspace(spark, sf, task):
 def q_subspace_classify(spark: SparkSession, sf: str) -> DataFrame:
     """M5: one tree per md5-drawn feature subset of the embeddings, voted."""
     nodes, test = _subspace(spark, sf, "classification")
-    return predict_classes(test, nodes, 10).select("vec_id", "label", "prediction")
+    return predict_classes(test, nodes, num_classes(table(spark, sf, "embeddings"))).select("vec_id", "label", "prediction")
 
 
 def q_subspace_regress(spark: SparkSession, sf: str) -> DataFrame:
@@ -461,8 +442,6 @@ QUERIES = {
     "random_split_counts": q_random_split_counts,
     "tree_classify": q_tree_classify,
     "tree_regress": q_tree_regress,
-    "forest_classify": q_forest_classify,
-    "forest_regress": q_forest_regress,
     "subspace_classify": q_subspace_classify,
     "subspace_regress": q_subspace_regress,
     "bagged_forest": q_bagged_forest,

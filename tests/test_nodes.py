@@ -1,10 +1,11 @@
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
-from canopy.functions.votes import average_vote, class_probabilities, majority_vote
 from canopy.models import iris
-from canopy.operators.nodes import collect_trees, score_nodes, tree_columns
+from canopy.operators.growth import NODE_SCHEMA
+from canopy.operators.nodes import collect_trees, predict_classes, predict_mean, score_nodes, tree_columns
 from canopy.plans.inputs import iris_like
 from conftest import SF_SMALL
 
@@ -31,17 +32,43 @@ def test_missing_values(spark):
         assert rows[1]["votes"][1] == 1.0
 
 
+def stumps(spark, votes):
+    """One-leaf trees that vote as given (None: a split on a column that is NULL)."""
+    rows = []
+    for t, v in enumerate(votes):
+        if v is None:
+            rows += [(t, 1, None, None, 0, 0, "x", 0.0, 2, 3, None, None, None, None, None),
+                     (t, 2, 1, True, 1, None, None, None, None, None, 0.0, None, None, None, None),
+                     (t, 3, 1, False, 1, None, None, None, None, None, 0.0, None, None, None, None)]
+        else:
+            rows.append((t, 1, None, None, 0, None, None, None, None, None, v, None, None, None, None))
+    return spark.createDataFrame(rows, NODE_SCHEMA)
+
+
 def test_votes(spark):
-    df = spark.createDataFrame([([0.0, 1.0, 1.0],), ([2.0, 1.0, None],), ([None, None, None],), ([2.0, 0.0, 1.0],)],
-                               "v array<double>")
-    got = df.select(majority_vote("v", 3).alias("m"), average_vote("v").alias("a"),
-                    class_probabilities("v", 3).alias("p")).collect()
-    assert [r["m"] for r in got] == [1.0, 1.0, None, 0.0]   # ties -> lowest class
-    assert math.isclose(got[0]["a"], 2 / 3) and got[1]["a"] == 1.5 and got[2]["a"] is None
-    assert got[1]["p"] == [0.0, 0.5, 0.5] and got[2]["p"] is None
+    df = spark.createDataFrame([(None,)], "x double")
+
+    def of(votes, n=3):
+        nodes = stumps(spark, votes)
+        r = predict_classes(df, nodes, n).first()
+        return r["prediction"], predict_mean(df, nodes).first()["prediction"], r["probability"]
+
+    assert of([0.0, 1.0, 1.0])[0] == 1.0 and math.isclose(of([0.0, 1.0, 1.0])[1], 2 / 3)
+    assert of([2.0, 1.0, None]) == (1.0, 1.5, [0.0, 0.5, 0.5])     # ties -> lowest class
+    assert of([None, None]) == (None, None, None)
+    assert of([2.0, 0.0, 1.0])[0] == 0.0
+
+
+def test_vote_outside_the_classes_is_refused(spark):
+    df = spark.createDataFrame([(1.0,)], "x double")
+    for bad in (12.0, -1.0, 0.5):
+        with pytest.raises(ValueError, match="outside the classes"):
+            predict_classes(df, stumps(spark, [0.0, bad]), 10)
 
 
 def test_hard_vote_is_not_probability_sum(spark):
     # three trees: two vote class 1 weakly, one votes 0; hard vote must be 1
-    df = spark.createDataFrame([([1.0, 1.0, 0.0],)], "v array<double>")
-    assert df.select(majority_vote("v", 2)).first()[0] == 1.0
+    df = spark.createDataFrame([(1.0,)], "x double")
+    assert predict_classes(df, stumps(spark, [1.0, 1.0, 0.0]), 2).first()["prediction"] == 1.0
+
+

@@ -7,10 +7,11 @@ import math
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from canopy.functions.votes import majority_vote
+
 from canopy.models import iris
-from canopy.operators.binning import add_bins
+from canopy.operators.binning import add_bins, fit_thresholds
 from canopy.operators.nodes import predict_classes
+from test_nodes import stumps
 
 SETTINGS = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
 
@@ -43,15 +44,24 @@ def test_forests_on_a_grid_match_python(spark):
 
 
 @SETTINGS
-@given(st.lists(st.lists(st.one_of(st.none(), st.integers(0, 3).map(float)), min_size=1, max_size=7),
-                min_size=1, max_size=40))
-def test_majority_vote_matches_python(spark, rows):
-    width = max(len(r) for r in rows)
-    padded = [r + [None] * (width - len(r)) for r in rows]
-    df = spark.createDataFrame([(i, r) for i, r in enumerate(padded)], "i int, v array<double>")
-    got = {r["i"]: r["m"] for r in df.select("i", majority_vote("v", 4).alias("m")).collect()}
-    for i, r in enumerate(padded):
-        assert got[i] == _py_vote(r, 4)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 3).map(float)), min_size=1, max_size=7))
+def test_majority_vote_matches_python(spark, votes):
+    df = spark.createDataFrame([(None,)], "x double")
+    assert predict_classes(df, stumps(spark, votes), 4).first()["prediction"] == _py_vote(votes, 4)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.floats(-1e300, 1e300, allow_nan=False), st.integers(-5, 5).map(float)), min_size=1, max_size=300), st.integers(2, 12))
+def test_cut_points_are_ranks(spark, values, max_bins):
+    """Few distinct values: all midpoints; more: the values at the ranks ceil(i n / max_bins), whatever the partitions."""
+    s = sorted(values)
+    distinct = sorted(set(values))
+    if len(distinct) <= max_bins:
+        want = [(a + b) / 2 for a, b in zip(distinct[:-1], distinct[1:], strict=True)]
+    else:
+        want = sorted({s[-(-i * len(s) // max_bins) - 1] for i in range(1, max_bins)})
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert fit_thresholds(df.repartition(3), ["x"], max_bins)[0] == want
 
 
 @SETTINGS
