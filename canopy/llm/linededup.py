@@ -1,6 +1,6 @@
 """Line deduplication by a fixed-depth log-template tree, in DataFrame operations only.
 
-A line's tokens with a digit become a wildcard.  Its place in the tree is
+A line's tokens are what spaces separate; those with a digit become wildcards.  Its place in the tree is
 given by the number of tokens and the leading tokens; a leaf holds all lines
 of one place.  In a leaf of several distinct lines, the most frequent token of
 each position forms the leaf's template; lines that agree with it in most
@@ -29,29 +29,42 @@ WILDCARD = "<*>"
 _VARIABLE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
 
-def masked(line: Column) -> Column:
-    """A line with single spaces between tokens and wildcards for tokens that hold a digit."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, r"\s+", " "), _VARIABLE, WILDCARD))
+def masked_lines(text: Column) -> Column:
+    """The lines of a text with wildcards for tokens that hold a digit, without spaces at their ends."""
+    whole = F.when(text.rlike("[0-9]"), F.regexp_replace(text, _VARIABLE, WILDCARD)).otherwise(text)
+    return F.transform(F.split(whole, "\n"), F.trim)
+
+
+def _size(mask: Column) -> Column:
+    return F.octet_length(mask) - F.octet_length(F.replace(mask, F.lit(" "), F.lit(""))) + 1
 
 
 def leaf(mask: Column) -> Column:
-    """The hash of a masked line's place in the tree."""
-    tokens = F.split(mask, " ")
-    return F.xxhash64(F.size(tokens), F.substring_index(mask, " ", DEPTH))
+    """The hash of a masked line's place in the tree: its number of tokens and the leading ones."""
+    return F.xxhash64(_size(mask), F.substring_index(mask, " ", DEPTH))
+
+
+def constants(mask: Column) -> Column:
+    """Number of tokens that are no wildcard."""
+    wild = (F.octet_length(mask) - F.octet_length(F.replace(mask, F.lit(WILDCARD), F.lit("")))) / len(WILDCARD)
+    return _size(mask) - wild.cast("int")
 
 
-def _lines(rows: DataFrame) -> DataFrame:
-    """(id, mask): the distinct masked lines of each row (id, text)."""
-    each = F.array_distinct(F.transform(F.split("text", "\n"), masked))
-    return rows.select("id", F.explode(each).alias("mask")).where("mask <> ''")
+def line_table(rows: DataFrame) -> DataFrame:
+    """(id, text_hash, lines) of ``rows`` (id, text): per line its hash, leaf and constant tokens; a blank line has none."""
+    def one(mask: Column) -> Column:
+        return F.when(mask != "", F.struct(F.xxhash64(mask).alias("line"), leaf(mask).alias("leaf"), constants(mask).alias("constants")))
 
+    return rows.select("id", F.xxhash64("text").alias("text_hash"), F.transform(masked_lines(F.col("text")), one).alias("lines"))
 
-def templates(rows: DataFrame, similarity: float = SIMILARITY, evidence: int = EVIDENCE) -> DataFrame:
-    """(line, first): hashes of the masked lines in ``rows`` (id, text) whose template recurs, and the smallest id with it."""
-    lines = _lines(rows).select("id", "mask", leaf(F.col("mask")).alias("leaf"))
-    constants = F.size(F.filter(F.split("mask", " "), lambda t: t != WILDCARD))
-    counts = written(lines.select("id", "leaf", F.xxhash64("mask").alias("line"), constants.alias("constants"))
-                     .groupBy("leaf", "line", "constants")
+
+def templates(rows: DataFrame, table: DataFrame, similarity: float = SIMILARITY, evidence: int = EVIDENCE) -> DataFrame:
+    """(line, first): hashes of the masked lines in ``rows`` (id, text) whose template recurs, and the smallest id with it.
+
+    ``table`` is the line table of ``rows``.
+    """
+    lines = table.select("id", F.explode(F.array_distinct("lines")).alias("l")).where("l is not null").select("id", "l.*")
+    counts = written(lines.groupBy("leaf", "line", "constants")
                      .agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"), F.max("id").alias("last")), "lines")
     enough = (F.col("docs") - 1) * (F.col("constants") - DEPTH) >= evidence
     several = F.col("docs") > 1
@@ -61,7 +74,9 @@ def templates(rows: DataFrame, similarity: float = SIMILARITY, evidence: int = E
     wide = (counts.groupBy("leaf").agg(F.count(F.lit(1)).alias("variants"), F.sum("docs").alias("docs"), F.max("constants").alias("constants"))
             .where((F.col("variants") >= MIN_VARIANTS) & enough).select("leaf"))
     wide = written(wide, "leaves")
-    members = (lines.join(small(wide, wide.count()), "leaf", "left_semi").groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs")))
+    spelled = rows.select(F.explode(F.array_distinct(masked_lines(F.col("text")))).alias("mask")).where("mask <> ''")
+    spelled = spelled.select(leaf(F.col("mask")).alias("leaf"), "mask")
+    members = spelled.join(small(wide, wide.count()), "leaf", "left_semi").groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs"))
     members = written(members, "members")
     tokens = members.select("leaf", "docs", F.posexplode(F.split("mask", " ")).alias("pos", "token"))
     heavy = tokens.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("docs"))
@@ -92,23 +107,22 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     with zero lines.  Rows with a null id count as documents, but no template
     is kept for them unless all its ids are null.
     """
-    text = text_or_empty(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"))
-    recurring = written(templates(rows, similarity, evidence), "recurring")
-    # the lines to drop from each document; equal texts under one id share a row
-    held = _lines(rows.withColumn("text_hash", F.xxhash64("text")).select(F.struct("id", "text_hash").alias("id"), "text")).select(
-        "id", F.xxhash64("mask").alias("line"))
-    hits = held.join(small(recurring, recurring.count()), "line").where(~F.col("id.id").eqNullSafe(F.col("first"))).select("id", "line").distinct()
-    drops = hits.groupBy("id").agg(F.collect_set("line").alias("lines"))
-    drops = written(drops.select(F.col("id.id").alias("id"), F.col("id.text_hash").alias("text_hash"), "lines"), "drops")
-    rows = docs.select(F.struct("*").alias("row")).select("row", F.col(f"row.{id_col}").alias("id"), F.xxhash64(text_or_empty(F.col(f"row.{text_col}"))).alias("text_hash"))
-    right = small(drops.select(F.col("id").alias("drop_id"), F.col("text_hash").alias("drop_hash"), "lines"), drops.count())
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    table = written(line_table(rows), "table")
+    recurring = written(templates(rows, table, similarity, evidence), "recurring")
+    # the places of the lines to drop in each document; equal texts under one id share a row
+    held = table.select("id", "text_hash", F.posexplode("lines").alias("place", "l")).select("id", "text_hash", "place", "l.line")
+    hits = held.join(recurring, "line").where(~F.col("id").eqNullSafe(F.col("first")))
+    drops = written(hits.groupBy("id", "text_hash").agg(F.collect_set("place").alias("places")), "drops")
+    rows = docs.select(F.struct("*").alias("row")).select("row", F.col(f"row.{id_col}").alias("id"),
+                                                          F.xxhash64(text_or_empty(F.col(f"row.{text_col}"))).alias("text_hash"))
+    right = drops.select(F.col("id").alias("drop_id"), F.col("text_hash").alias("drop_hash"), "places").hint("merge")
     both = rows.join(right, F.col("id").eqNullSafe(F.col("drop_id")) & (F.col("text_hash") == F.col("drop_hash")), "left")
     old = F.col(f"row.{text_col}")
     lines = F.split(old, "\n")
-    left = F.filter(lines, lambda x: ~F.array_contains(F.col("lines"), F.xxhash64(masked(x))))
-    new = F.when(F.col("lines").isNull(), old).otherwise(F.array_join(left, "\n"))
-    out = both.select("row", new.alias("new"), F.when(old.isNull(), 0).otherwise(F.size(lines)).alias("n"),
-                      F.when(F.col("lines").isNull(), 0).otherwise(F.size(lines) - F.size(left)).alias("dropped"))
+    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("places"), i))
+    new = F.when(F.col("places").isNull(), old).otherwise(F.array_join(left, "\n"))
+    count = F.octet_length(old) - F.octet_length(F.replace(old, F.lit("\n"), F.lit(""))) + 1
+    out = both.select("row", new.alias("new"), F.when(old.isNull(), 0).otherwise(count).alias("n"), F.coalesce(F.size("places"), F.lit(0)).alias("dropped"))
     columns = [F.col("new").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    return out.select(*columns, F.col("n").cast("long").alias("n_lines"), F.col("dropped").cast("long").alias("n_dropped"))
+    return out.select(*columns, F.col("n").cast("long").alias("n_lines"), F.greatest("dropped", F.lit(0)).cast("long").alias("n_dropped"))
