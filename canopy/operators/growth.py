@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.operators.binning import add_bins, fit_bins
+from canopy.operators.nodes import CASE_LIMIT
 from canopy.operators.splitscan import (CLASSIFICATION, LABEL_DIGITS, STATS, best_per, candidates, collapsed, histogram,
                                          num_classes, stat_columns, stat_values)
 
@@ -122,7 +123,6 @@ def route(nodes: dict, tree_id: int, node_id: int = 1) -> Column:
     return F.expr(_route_sql(nodes, tree_id, node_id))
 
 
-ROUTE_CASE_LIMIT = 1024   # nodes per tree up to which routing is a nested CASE
 
 
 def route_walk(nodes: dict, tree_id: int, depth: int, used: Sequence[int]) -> Column:
@@ -233,8 +233,8 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             if depth == max_depth and depth > 0:
                 break  # leaves: statistics already known from the parent's split
             live = sorted({t for t, _ in frontier})
-            size = {t: sum(1 for (tt, _) in nodes if tt == t) for t in live}
-            routes = [(route(nodes, t) if size[t] <= ROUTE_CASE_LIMIT
+            size = {t: sum(1 for (tt, _) in nodes if tt <= t) for t in live}  # with the trees before it
+            routes = [(route(nodes, t) if size[t] <= CASE_LIMIT
                        else route_walk(nodes, t, depth, used_all)).alias(f"__n{t}") for t in live]
             routed = binned.select(*kept, *routes, *[F.col(f"{g}_{k}") for g in sorted({group[t] for t in live}) for k in names], *bins)
 

@@ -91,7 +91,7 @@ def test_walk_routing_equals_case_routing(spark, monkeypatch):
     df = lineitem_flags(spark, SF_SMALL)
     cols = ["tree_id", "node_id", "feature_name", "threshold", "prediction", "row_count"]
     a = G.grow_trees(df, FEATURES, max_depth=4).select(*cols).collect()
-    monkeypatch.setattr(G, "ROUTE_CASE_LIMIT", 0)
+    monkeypatch.setattr(G, "CASE_LIMIT", 0)
     b = G.grow_trees(df, FEATURES, max_depth=4).select(*cols).collect()
     assert sorted(a) == sorted(b) and len(a) > 7
 
