@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,11 +24,11 @@ FAN = 16
 
 def _rows(table: np.ndarray) -> Iterator[pa.RecordBatch]:
     blocks = [(i, table[i * BLOCK:(i + 1) * BLOCK]) for i in range(-(-len(table) // BLOCK))]
-    blocks = [(i, b.astype("<i8")) for i, b in blocks if b.any()]
-    for at in range(0, len(blocks), 64):
-        some = blocks[at:at + 64]
+    blocks = [(i, b) for i, b in blocks if b.any()]
+    for at in range(0, len(blocks), 16):
+        some = blocks[at:at + 16]
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in some], pa.int32()),
-                                          pa.array([b.astype("<u4").tobytes() if b.max() < 1 << 32 else b.tobytes() for _, b in some], pa.binary()),
+                                          pa.array([zstandard.compress(b.astype("<u4" if b.max() < 1 << 32 else "<i8").tobytes(), 1) for _, b in some], pa.binary()),
                                           pa.array([b.max() < 1 << 32 for _, b in some], pa.bool_())], ["block", "data", "short"])
 
 
@@ -35,13 +36,13 @@ def _sum(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[int, np.ndarray] = {}
     for b in batches:
         for block, data, short in zip(b["block"].to_pylist(), b["data"].to_pylist(), b["short"].to_pylist(), strict=True):
-            x = np.frombuffer(data, "<u4" if short else "<i8")
+            x = np.frombuffer(zstandard.decompress(data), "<u4" if short else "<i8")
             if block in total:
                 total[block] += x
             else:
                 total[block] = x.astype(np.int64)
     for block, x in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([x.astype("<i8").tobytes()], pa.binary()),
+        yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([zstandard.compress(x.astype("<i8").tobytes(), 1)], pa.binary()),
                                           pa.array([False])], ["block", "data", "short"])
 
 
@@ -65,6 +66,6 @@ def counted(rows: DataFrame, count: Callable[[Iterator[pa.RecordBatch]], np.ndar
     total = written(some.repartition("block").mapInArrow(_sum, SCHEMA), "table")
     out = np.zeros(slots, np.int64)
     for r in total.toLocalIterator():
-        x = np.frombuffer(r.data, "<i8")
+        x = np.frombuffer(zstandard.decompress(r.data), "<i8")
         out[r.block * BLOCK:r.block * BLOCK + len(x)] = x
     return out
