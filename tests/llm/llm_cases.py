@@ -1,10 +1,7 @@
-import os
-import sys
+"""Documents with every odd case, shared by the tests of this folder."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 SF = "/root/testdata/sf0.001"
 
@@ -13,14 +10,6 @@ LONG = " ".join(f"word{i % 977} of the year {i % 31}" for i in range(12_000))
 CLASHES = ["id", "h", "sha", "word", "row", "ids", "shard", "fp", "rep", "mask", "line", "lines", "base", "spans", "_row", "candidate", "component", "node", "kind", "block"]
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from canopy.session import local_session
-    s = local_session("*", shuffle_partitions=8, app="canopy-tests")
-    yield s
-    s.stop()
-
-
 @pytest.fixture(scope="session")
 def tricky(spark):
     """Documents with nulls in any column, empty, blank, very long and repeated texts, repeated rows and clashing columns."""

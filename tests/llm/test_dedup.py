@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from canopy.llm import exact_dedup, simhash
 from canopy.llm.components import connected_components
+from llm_cases import empty, tricky  # noqa: F401
 
 
 def components(links, nodes):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from canopy.llm import chat, itq, mixing, stages
 from canopy.llm.common import written
-from conftest import CLASHES, SF
+from llm_cases import CLASHES, SF, empty, tricky  # noqa: F401
 
 
 def held(i):

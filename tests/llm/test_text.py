@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 from canopy.llm import bpe, langid, linededup, packing, pii
 from canopy.llm.queries import MULTI_RANKS, PACK_RANKS
+from llm_cases import empty, tricky  # noqa: F401
 
 RANKS, PATTERN = public_tokenizers.path(MULTI_RANKS), public_tokenizers.PATTERN
 
