@@ -39,30 +39,37 @@ def usable(vector: str | Column) -> Column:
     return F.coalesce(v.isNotNull() & finite & F.exists(d, lambda x: x != 0), F.lit(False))
 
 
-def learn_rotations(x: np.ndarray, rotations: int = ROTATIONS, rounds: int = ROUNDS) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(mean, projections): each projection maps centred unit vectors to values whose signs are the code."""
-    mean = x.mean(axis=0)
-    c = x - mean
+def learn_rotations(x: np.ndarray, rotations: int = ROTATIONS, rounds: int = ROUNDS) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(centre, projection) pairs: a code is the signs of (vector - centre) @ projection, for unit vectors.
+
+    Every other code is centred at the mean, which balances its bits; those
+    between are centred at the origin, which holds near vectors together even
+    where most of the table is one group around the mean.  Short vectors give
+    short codes, so they get more of them: the codes have ``rotations`` x 64
+    bits together, or a little more.
+    """
     bits = min(64, x.shape[1]) // 4 * 4 or x.shape[1]
-    _, _, axes = np.linalg.svd(c.T @ c)
-    main = axes[:bits].T
-    v = c @ main
     out = []
-    for seed in range(rotations):
+    for seed in range(-(-rotations * 64 // bits)):
+        centre = x.mean(axis=0) if seed % 2 == 0 else np.zeros(x.shape[1])
+        c = x - centre
+        _, _, axes = np.linalg.svd(c.T @ c)
+        main = axes[:bits].T
+        v = c @ main
         r, _ = np.linalg.qr(np.random.default_rng(seed).normal(size=(bits, bits)))
         for _ in range(rounds):
             signs = np.where(v @ r >= 0, 1.0, -1.0)
             a, _, b = np.linalg.svd(v.T @ signs)
             r = a @ b
-        out.append(main @ r)
-    return mean, out
+        out.append((centre, main @ r))
+    return out
 
 
-def substrings(x: np.ndarray, mean: np.ndarray, projections: list[np.ndarray]) -> np.ndarray:
+def substrings(x: np.ndarray, codes: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Rows of table keys: every TABLE_BITS bits of every code."""
     keys = []
-    for p in projections:
-        bits = ((x - mean) @ p >= 0)
+    for centre, p in codes:
+        bits = ((x - centre) @ p >= 0)
         for at in range(0, bits.shape[1], TABLE_BITS):
             part = bits[:, at:at + TABLE_BITS]
             keys.append(part @ (1 << np.arange(part.shape[1])))
@@ -140,7 +147,7 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector_col: str =
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = substrings(_units(_matrix(b["v"], width)), *model.value)
+            keys = substrings(_units(_matrix(b["v"], width)), model.value)
             flat = pa.array(keys.ravel())
             yield pa.RecordBatch.from_arrays([b["node"], b["group"], pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32) * keys.shape[1]), flat)],
                                              ["node", "group", "keys"])
