@@ -53,11 +53,19 @@ def md5_unit(cols: Sequence[str | Column], salt: str, slot: int) -> Column:
     """Uniform double in [0, 1) from 32 bits (``slot`` 0..3) of
     md5('<salt>|<key>').  Four draws share one md5, and any SQL engine with
     md5 gives the same numbers."""
+    return hex_unit(md5_hex(cols, salt), slot)
+
+
+def md5_hex(cols: Sequence[str | Column], salt: str) -> Column:
+    """md5('<salt>|<key>') as text: the source of four uniform draws."""
+    return F.md5(F.concat_ws("|", F.lit(salt), key_string(cols)))
+
+
+def hex_unit(digest: Column, slot: int) -> Column:
+    """The uniform double of ``slot`` (0..3) of an md5's text."""
     if not 0 <= slot < 4:
         raise ValueError("slot must be 0..3")
-    key = F.concat_ws("|", F.lit(salt), key_string(cols))
-    hex8 = F.substring(F.md5(key), 8 * slot + 1, 8)
-    return F.conv(hex8, 16, 10).cast("bigint").cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(digest, 8 * slot + 1, 8), 16, 10).cast("bigint").cast("double") / F.lit(4294967296.0)
 
 
 def parse_double(field: Column) -> Column:

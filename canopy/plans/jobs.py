@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.functions.columns import hash_unit, md5_unit
+from canopy.functions.columns import hash_unit, hex_unit, md5_hex, md5_unit
 from canopy.functions.metrics import error_rate, regression_aggregates, regression_metrics, wrong
 from canopy.operators import mltrees
 from canopy.operators.growth import TreeSpec, grow_trees
@@ -73,9 +73,8 @@ def with_row_counts(train: DataFrame, cols: Sequence[str], label: str, seed: int
     parts = parts.repartition(*keys, "__chunk").withColumn("__k", F.sequence(first, F.least(F.col("__c"), first + DRAW_CHUNK - 1)))
 
     def drawn(tree: int) -> Column:
-        def one(k: Column) -> Column:
-            return poisson_weight(md5_unit([*keys, k], f"{seed}|{tree // 4}", tree % 4))
-        return F.aggregate(F.col("__k"), F.lit(0.0), lambda acc, k: acc + one(k))
+        units = F.transform(F.col("__k"), lambda k: md5_unit([*keys, k], f"{seed}|{tree // 4}", tree % 4))
+        return F.aggregate(units, F.lit(0.0), lambda acc, u: acc + poisson_weight(u))
 
     names = [f"__draw{t}" for t in range(trees)]
     rows = parts.select(*keys, *[drawn(t).alias(n) for t, n in enumerate(names)])
@@ -85,6 +84,12 @@ def with_row_counts(train: DataFrame, cols: Sequence[str], label: str, seed: int
 def _bootstrap(train: DataFrame, cols: list[str], label: str, key_cols: Sequence[str] | None, seed: int,
                trees: int, method: str) -> tuple[DataFrame, list[Column], list[str]]:
     """(rows, count per tree, columns the counts read) of a bootstrap by row key, or by occurrence without one."""
+    if key_cols and method == "md5":
+        # one md5 per row and four trees, as a column: the count's CASE then reads numbers
+        digests = {f"__md5_{g}": md5_hex(list(key_cols), f"{seed}|{g}") for g in range(-(-trees // 4))}
+        units = {f"__unit{t}": hex_unit(F.col(f"__md5_{t // 4}"), t % 4) for t in range(trees)}
+        rows = train.select(*cols, label, *[c.alias(n) for n, c in digests.items()]).select(*cols, label, *[c.alias(n) for n, c in units.items()])
+        return rows, [poisson_weight(F.col(n)) for n in units], list(units)
     if key_cols:
         carry = [k for k in key_cols if k not in cols and k != label]
         return train, [bootstrap_weight(list(key_cols), seed, t, method) for t in range(trees)], carry
