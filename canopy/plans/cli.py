@@ -16,6 +16,7 @@ import json
 from pyspark.sql import SparkSession
 
 from canopy.plans import jobs
+from canopy.plans.params import EnsembleSettings
 from canopy.session import ensure_checkpoint_dir, ship_package
 from canopy.sinks.pmml import ModelMeta, forest_to_pmml, write_pmml
 from canopy.sinks.reports import describe_forest, write_report
@@ -29,7 +30,9 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="canopy")
     p.add_argument("job", choices=JOBS)
     p.add_argument("--input", required=True, help="file, folder or glob of headerless CSV lines")
-    p.add_argument("--names", required=True, help="comma-separated names of every field, in order")
+    p.add_argument("--names", default=None, help="comma-separated names of every field, in order (default: from --set)")
+    p.add_argument("--set", action="append", default=[], metavar="KEY=VALUE",
+                   help="an ensemble setting by its original key, e.g. NUM_OF_TREES=7 (repeatable)")
     p.add_argument("--label", default=None, help="label field name or index (default: last)")
     p.add_argument("--mode", default="FAILFAST", choices=("FAILFAST", "PERMISSIVE", "DROPMALFORMED"))
     p.add_argument("--classes", default=None, help="class names for PMML (index order)")
@@ -52,7 +55,16 @@ def run(argv: list[str] | None = None, spark: SparkSession | None = None) -> dic
     spark = spark or SparkSession.builder.appName(f"canopy-{a.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     ship_package(spark)
-    names = a.names.split(",")
+    settings = EnsembleSettings.from_mapping(dict(x.split("=", 1) for x in a.set))
+    if a.names is None and settings.attribute_names is None:
+        raise SystemExit("give --names or --set ATTRIBUTE_NAMES=...")
+    names = a.names.split(",") if a.names else settings.field_names(len(settings.attribute_names) + 1)
+    settings.validate(len(names))
+    if a.label is None and settings.label_index is not None:
+        a.label = str(settings.label_index)
+    if a.classes is None and settings.class_values:
+        a.classes = ",".join(settings.class_values)
+    a.trees, a.attributes = settings.num_trees or a.trees, settings.num_attributes or a.attributes
     label = int(a.label) if a.label is not None and a.label.isdigit() else a.label
     df = read_points(spark, a.input, names, label, a.mode)
     feats = [c for c in df.columns if c not in ("label", "_corrupt_record")]

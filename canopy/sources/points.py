@@ -94,20 +94,14 @@ def read_points(spark: SparkSession, path: str, names: Sequence[str],
     return parse_points(read_lines(spark, path), names, label, mode)
 
 
-def label_last(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Last of ``cols`` is the label, the others the features."""
-    cols = list(cols)
-    return df.select(F.col(cols[-1]).cast("double").alias("label"),
-                     *[F.col(c).cast("double").alias(c) for c in cols[:-1]])
-
-
-def label_at(df: DataFrame, cols: Sequence[str], index: int, leak_label: bool = False) -> DataFrame:
-    """Column ``index`` of ``cols`` is the label; the rest the features.
+def label_at(df: DataFrame, cols: Sequence[str], index: int = -1, leak_label: bool = False) -> DataFrame:
+    """Column ``index`` of ``cols`` (default: the last) is the label; the rest the features.
 
     With ``leak_label`` the features are the first n-1 columns, whatever the
     index (old behaviour, label may stay among the features).
     """
     cols = list(cols)
+    index %= len(cols)
     feats = cols[:-1] if leak_label else [c for i, c in enumerate(cols) if i != index]
     return df.select(F.col(cols[index]).cast("double").alias("label"),
                      *[F.col(c).cast("double").alias(c) for c in feats])

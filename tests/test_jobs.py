@@ -86,3 +86,19 @@ def test_cli_jobs_end_to_end(spark):
     assert out["report"][0]["rmse"] > 0
     out = run(["ensemble-classify", "--input", path, "--names", names, "--attributes", "2"], spark)
     assert any(r["tree_id"] is None for r in out["report"])
+
+
+def test_cli_takes_settings_and_prints_the_line(spark):
+    from canopy.plans.cli import run
+    from canopy.session import scratch_path
+    path = scratch_path(spark, "cli-csv")
+    spark.range(400).selectExpr("concat_ws(',', id % 7, id % 5, id % 3, id % 2) AS value").write.text(path)
+    out = run(["ensemble-classify", "--input", path, "--set", "ATTRIBUTE_NAMES=a,b,c", "--set", "NUM_OF_TREES=4",
+               "--set", "NUM_OF_ATTRIBUTES_PER_TREE=2", "--set", "CLASS_LABEL_NAME=y"], spark)
+    assert sum(r["kind"] == "tree" for r in out["report"]) == 4
+    line = run(["linear", "--input", path, "--names", "a,b,c,y"], spark)
+    assert set(line["weights"]) == {"a", "b", "c"} and line["dropped"] == 0
+    regress = run(["ensemble-regress", "--input", path, "--names", "a,b,c,y"], spark)
+    assert {r["kind"] for r in regress["report"]} == {"tree", "pooled", "voted"}
+    bag = run(["bagged-forest", "--input", path, "--names", "a,b,c,y", "--trees", "1"], spark)
+    assert bag["report"][0]["n_test"] > 0

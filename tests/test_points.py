@@ -1,6 +1,6 @@
 import pytest
 
-from canopy.sources.points import assemble, label_at, label_last, parse_points
+from canopy.sources.points import assemble, label_at, parse_points
 
 
 def lines(spark, rows):
@@ -40,7 +40,7 @@ def test_label_at_index_and_leak(spark):
     assert ok.columns == ["label", "f0", "f2", "f3"] and tuple(ok.first()) == (2.0, 1.0, 3.0, 4.0)
     leak = label_at(df, df.columns, 1, leak_label=True)
     assert leak.columns == ["label", "f0", "f1", "f2"]
-    last = label_last(df, df.columns)
+    last = label_at(df, df.columns)
     assert tuple(last.first()) == (4.0, 1.0, 2.0, 3.0)
 
 
