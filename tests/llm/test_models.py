@@ -70,6 +70,26 @@ def test_model_is_a_probability():
     assert np.exp2(-bits).sum() <= 1.0 + 1e-3
 
 
+def scored(docs, texts):
+    """Scores of ``texts`` beside learning documents ``docs`` (text, role), all in one block of one class."""
+    block = mixing.Block.build([(t, r, 0) for t, r in docs] + [(t, 0, 0) for t in texts])
+    learned = np.bincount(block.pair_word, block.counted.astype(np.int64) + block.taught, len(block.lens)).astype(np.int64)
+    code = mixing.Code.of(block.bytes_learned)
+    table = np.zeros(2 * mixing.SLOTS, np.int64)
+    mixing.count_bits(block, code, table)
+    _, _, score = mixing.score_block(block, learned, learned[block.pair_word], int(learned.sum()), int((learned > 0).sum()),
+                                     np.bincount([0], [learned.sum()], mixing.CLASSES).astype(np.int64), code, mixing.quantised(table))
+    return score[len(docs):]
+
+
+def test_long_words_cost_what_they_are_long():
+    """A word without white space has no least probability: twice as long costs about twice as much."""
+    rng = np.random.default_rng(1)
+    word = bytes(rng.integers(97, 123, 40_000).astype(np.uint8))
+    a, b = scored([(b"the cat sat on the mat", 1)] * 8 + [(b"the cat", 2)], [word[:20_000], word])
+    assert a < -10_000 and 1.8 < b / a < 2.2
+
+
 def test_blocks_keep_every_token():
     texts = [b"the cat sat on the mat", b"", b" \n ", b"the", b"a" * 5000, b"caf\xc3\xa9 the cat"]
     block = mixing.Block.build([(t, 1, k % 3) for k, t in enumerate(texts)])
