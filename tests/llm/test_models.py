@@ -77,7 +77,7 @@ def scored(docs, texts):
     code = mixing.Code.of(block.bytes_learned)
     table = np.zeros(2 * mixing.SLOTS, np.int64)
     mixing.count_bits(block, code, table)
-    _, _, score = mixing.score_block(block, learned, learned[block.pair_word], int(learned.sum()), int((learned > 0).sum()),
+    _, _, score = mixing.score_block(block, np.array([r for _, r in docs] + [0] * len(texts)), learned, learned[block.pair_word], int(learned.sum()), int((learned > 0).sum()),
                                      np.bincount([0], [learned.sum()], mixing.CLASSES).astype(np.int64), code, mixing.quantised(table))
     return score[len(docs):]
 
@@ -90,6 +90,13 @@ def test_long_words_cost_what_they_are_long():
     assert a < -10_000 and 1.8 < b / a < 2.2
 
 
+def test_nothing_is_learned_from_scored_texts():
+    """A text's score is the same whatever held-out texts share its block."""
+    docs = [(b"the cat sat on the mat", 1), (b"a dog sat there", 1), (b"the dog and the cat sat", 2)] * 4
+    alone = scored(docs, [b"the cat and a dog"])
+    assert np.isclose(scored(docs, [b"the cat and a dog", b"dog dog mat mat mat dog sat sat sat " * 30])[0], alone[0], rtol=1e-9)
+
+
 def test_blocks_keep_every_token():
     texts = [b"the cat sat on the mat", b"", b" \n ", b"the", b"a" * 5000, b"caf\xc3\xa9 the cat"]
     block = mixing.Block.build([(t, 1, k % 3) for k, t in enumerate(texts)])
