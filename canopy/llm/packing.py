@@ -2,7 +2,8 @@
 
 Documents are encoded once; every window a document fills by itself is cut
 off its front.  What remains (less than one window per document) is dealt to
-shards of about ``shard_documents`` rows.  Each shard keeps a BM25 inverted
+shards of about ``shard_documents`` rows by a lexical key: the heaviest term
+that another remainder has among its heaviest too.  Each shard keeps a BM25 inverted
 index of its remainders, with document frequencies and lengths taken over the
 whole corpus.  A seed document opens a window; the index ranks the unused
 documents of the shard by their BM25 score for the seed's heaviest terms, and
@@ -13,7 +14,8 @@ last tokens go into sequences of power-of-two length, which need no padding.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,9 +33,12 @@ SHARD_DOCUMENTS = 1024
 DF_SLOTS = 1 << 18
 #: Terms of a seed that query the index: those that weigh most.
 QUERY_TERMS = 16
+#: Heaviest terms of a remainder that may become its key.
+KEY_TERMS = 8
 K1, B = 1.2, 0.75
 
 
+@lru_cache(maxsize=2)
 def _word_starts(ranks: str, pattern: str) -> np.ndarray:
     """Which ids open a new word (their bytes begin with white space); the end id does too."""
     enc = encoding(ranks, pattern)
@@ -55,6 +60,13 @@ def terms(ids: np.ndarray, opens: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(30))
 
 
+def weights(term: np.ndarray, tf: np.ndarray, length: np.ndarray | float, df: np.ndarray, n_docs: int, mean_terms: float) -> np.ndarray:
+    """BM25 weight of terms that stand ``tf`` times in documents of ``length`` terms."""
+    seen = np.maximum(df[(term % np.uint64(DF_SLOTS)).astype(np.int64)], 1)
+    idf = np.log1p(np.maximum(n_docs - seen + 0.5, 0.0) / (seen + 0.5))
+    return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(mean_terms, 1e-9)))
+
+
 class Index:
     """BM25 inverted index of one shard."""
 
@@ -70,9 +82,7 @@ class Index:
         at = np.flatnonzero(new)
         tf = np.diff(np.append(at, len(flat)))
         self.term, self.doc = flat[at], owner[at]
-        seen = np.maximum(df[(self.term % np.uint64(DF_SLOTS)).astype(np.int64)], 1)
-        idf = np.log1p(np.maximum(n_docs - seen + 0.5, 0.0) / (seen + 0.5))
-        self.weight = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[self.doc] / max(mean_terms, 1e-9)))
+        self.weight = weights(self.term, tf, length[self.doc], df, n_docs, mean_terms)
         self.begin = np.searchsorted(self.doc, np.arange(len(docs) + 1))
         by_term = np.argsort(self.term, kind="stable")
         self.post_doc, self.post_weight = self.doc[by_term], self.weight[by_term]
@@ -135,6 +145,38 @@ def _encoded(rows: DataFrame, ranks: str, pattern: str, end_id: int) -> DataFram
     return rows.mapInArrow(run, f"row bigint, id {kind}, ids binary")
 
 
+def dealt(encoded: DataFrame, heaviest: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], window: int, shard_documents: int) -> DataFrame:
+    """(row, shard) of ``encoded`` (row, ids): remainders with the same key share a shard.
+
+    ``heaviest`` gives a remainder's heaviest terms and their weights.  A key
+    is counted exactly; only one with more than ``shard_documents`` rows is
+    dealt to shards of its own, by the hash of the row.  Rows without a key
+    (no term that another row proposes) go by the hash of the row as well.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [heaviest(x[len(x) // window * window:]) for x in (np.frombuffer(i.as_py(), "<u2") for i in b["ids"])]
+            row = np.repeat(b["row"].to_numpy(), [len(t) for t, _ in found])
+            term, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+            yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(term.view(np.int64)), pa.array(weight)], ["row", "term", "weight"])
+
+    proposed = written(encoded.select("row", "ids").mapInArrow(run, "row bigint, term bigint, weight double"), "proposed")
+    shared = proposed.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("term")
+    keys = proposed.join(shared, "term").groupBy("row").agg(F.max_by("term", F.struct("weight", "term")).alias("key"))
+    keys = written(encoded.select("row").join(keys, "row", "left"), "keys")
+    shards = max(1, -(-encoded.count() // shard_documents))
+    large, first = [], shards
+    # at most one key in shard_documents rows
+    for r in keys.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard_documents).orderBy("key").toLocalIterator():
+        parts = -(-r.n // shard_documents)
+        large.append((r.key, first, parts))
+        first += parts
+    own = encoded.sparkSession.createDataFrame(large, "key bigint, first bigint, parts bigint")
+    among = F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(shards)))
+    shard = F.when(F.col("first").isNotNull(), F.col("first") + among).when(F.col("key").isNull(), among).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)))
+    return keys.join(F.broadcast(own), "key", "left").select("row", shard.cast("bigint").alias("shard"))
+
+
 def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
          window: int = WINDOW, shard_documents: int = SHARD_DOCUMENTS) -> DataFrame:
     """Pieces: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
@@ -158,7 +200,7 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
         table = np.zeros(DF_SLOTS + 1, np.int64)
         for b in batches:
             for x in b["ids"]:
-                found = terms(np.frombuffer(x.as_py(), "<u2")[-window:], opens)
+                found = terms(np.frombuffer(x.as_py(), "<u2"), opens)
                 table[-1] += len(found)
                 table[np.unique((found % np.uint64(DF_SLOTS)).astype(np.int64))] += 1
         return table
@@ -166,9 +208,17 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
     table = counted(encoded.select("ids"), count, DF_SLOTS + 1)
     mean_terms = table[-1] / max(n_docs, 1)
     df = spark.sparkContext.broadcast(table[:-1].astype(np.float32))
-    shards = max(1, -(-n_docs // shard_documents))
-    dealt = (encoded.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-             .repartition("shard").sortWithinPartitions("shard", "row").select("shard", "id", "ids"))
+
+    def heaviest(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = terms(ids, _word_starts(ranks, pattern))
+        term, tf = np.unique(found, return_counts=True)
+        weight = weights(term, tf, len(found), df.value, n_docs, mean_terms)
+        top = np.lexsort((term, -weight))[:KEY_TERMS]
+        return term[top], weight[top]
+
+    shard_of = dealt(encoded, heaviest, window, shard_documents)
+    rows = (encoded.join(shard_of.hint("shuffle_hash"), "row")
+            .repartition("shard").sortWithinPartitions("shard", "row").select("shard", "id", "ids"))
     kind = encoded.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,4 +274,4 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
         if out:
             yield table()
 
-    return dealt.mapInArrow(run, f"id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
+    return rows.mapInArrow(run, f"id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")

@@ -94,6 +94,24 @@ def test_retrieval_puts_related_documents_together():
     assert (by_hand[[2, 4, 6]] > 0).all() and (by_hand[[1, 3, 5, 7]] == 0).all()
 
 
+@pytest.mark.parametrize("n", [200, 2000])
+def test_related_documents_share_a_shard(spark, n):
+    """Pairs with a few words of their own are dealt to one shard, however many shards there are."""
+    rows = [(2 * k + j, f"the house of {k} is here and there " + " ".join(f"topic{k}x{x}" for x in range(4)) + f" only{2 * k + j}") for k in range(n // 2) for j in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    shard = {r.id: r.sequence_id >> 32 for r in packing.pack(docs, public_tokenizers.path(PACK_RANKS), PATTERN, window=128, shard_documents=20).collect()}
+    assert len(set(shard.values())) > n // 40 and np.mean([shard[2 * k] == shard[2 * k + 1] for k in range(n // 2)]) > 0.9
+
+
+def test_large_keys_get_shards_of_their_own(spark):
+    """Many copies do not overfill a shard."""
+    rows = [(i, "one text that is the same in every row" if i % 2 else f"own text {i}") for i in range(1000)]
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string"), public_tokenizers.path(PACK_RANKS), PATTERN, window=128, shard_documents=50).collect()
+    check_pieces(pieces, rows, 128)
+    copies = Counter(r.sequence_id >> 32 for r in pieces if r.id % 2 and r.start == 0)
+    assert len(copies) >= 10 and max(copies.values()) <= 100
+
+
 def test_cuts():
     assert packing.cuts(5000, 2048) == [2048, 2048, 512, 256, 128, 8] and packing.cuts(0, 8) == []
 
