@@ -8,6 +8,8 @@ positions are instances of it, all others are templates of their own.  A
 template recurs if it stands in two documents or more and what it repeats
 there, beyond the leading tokens that name its place, adds up to enough
 constant tokens; its lines are dropped from every document but the first.
+So are lines that recur exactly and repeat enough characters in all, however
+few their tokens are (texts without spaces are one token).
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ SIMILARITY = 0.7
 MIN_VARIANTS = 3
 #: A template recurs if (documents - 1) x (constant tokens beyond the leading ones) reaches this.
 EVIDENCE = 20
+#: An exact line recurs as well if (documents - 1) x (its characters) reaches this.
+CHARACTERS = 100
 WILDCARD = "<*>"
 _VARIABLE = r"(?<!\S)[^\s0-9]*+[0-9]\S*+"
 
@@ -51,11 +55,13 @@ def constants(mask: Column) -> Column:
 
 
 def line_table(rows: DataFrame) -> DataFrame:
-    """(id, text_hash, lines) of ``rows`` (id, text): per line its hash, leaf and constant tokens; a blank line has none."""
-    def one(mask: Column) -> Column:
-        return F.when(mask != "", F.struct(F.xxhash64(mask).alias("line"), leaf(mask).alias("leaf"), constants(mask).alias("constants")))
+    """(id, text_hash, lines) of ``rows`` (id, text): per line its hash, leaf and constant tokens, and its exact hash and characters; a blank line has none."""
+    def one(mask: Column, exact: Column) -> Column:
+        return F.when(mask != "", F.struct(F.xxhash64(mask).alias("line"), leaf(mask).alias("leaf"), constants(mask).alias("constants"),
+                                           F.xxhash64(exact).alias("exact"), F.length(exact).alias("characters")))
 
-    return rows.select("id", F.xxhash64("text").alias("text_hash"), F.transform(masked_lines(F.col("text")), one).alias("lines"))
+    raw = F.transform(F.split("text", "\n"), F.trim)
+    return rows.select("id", F.xxhash64("text").alias("text_hash"), F.zip_with(masked_lines(F.col("text")), raw, one).alias("lines"))
 
 
 def templates(rows: DataFrame, table: DataFrame, similarity: float = SIMILARITY, evidence: int = EVIDENCE) -> DataFrame:
@@ -63,7 +69,8 @@ def templates(rows: DataFrame, table: DataFrame, similarity: float = SIMILARITY,
 
     ``table`` is the line table of ``rows``.
     """
-    lines = table.select("id", F.explode(F.array_distinct("lines")).alias("l")).where("l is not null").select("id", "l.*")
+    masked = F.transform("lines", lambda x: F.when(x.isNotNull(), F.struct(x["line"], x["leaf"], x["constants"])))
+    lines = table.select("id", F.explode(F.array_distinct(masked)).alias("l")).where("l is not null").select("id", "l.*")
     counts = written(lines.groupBy("leaf", "line", "constants")
                      .agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"), F.max("id").alias("last")), "lines")
     enough = (F.col("docs") - 1) * (F.col("constants") - DEPTH) >= evidence
@@ -97,12 +104,20 @@ def templates(rows: DataFrame, table: DataFrame, similarity: float = SIMILARITY,
     return own.union(of_general).groupBy("line").agg(F.min("first").alias("first"))
 
 
+def exact_repeats(table: DataFrame, characters: int = CHARACTERS) -> DataFrame:
+    """(exact, first): hashes of the lines of a line table that recur as they are, and the smallest id with each."""
+    pairs = F.transform("lines", lambda x: F.when(x.isNotNull(), F.struct(x["exact"], x["characters"])))
+    lines = table.select("id", F.explode(F.array_distinct(pairs)).alias("l")).where("l is not null").select("id", "l.*")
+    counts = lines.groupBy("exact", "characters").agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"))
+    return counts.where((F.col("docs") > 1) & ((F.col("docs") - 1) * F.col("characters") >= characters)).select("exact", "first")
+
+
 def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
-                   evidence: int = EVIDENCE) -> DataFrame:
+                   evidence: int = EVIDENCE, characters: int = CHARACTERS) -> DataFrame:
     """``docs`` with recurring lines dropped from ``text_col``, plus n_lines and n_dropped (existing columns of these names are replaced).
 
     A line stays in the document with the smallest id among those that hold
-    its template; rows that share that id keep it all.  Lines are dropped
+    its template, or the very line if only that recurs; rows that share that id keep it all.  Lines are dropped
     whole, the others stay unchanged, blank ones too.  Null text stays null,
     with zero lines.  Rows with a null id count as documents, but no template
     is kept for them unless all its ids are null.
@@ -111,8 +126,11 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     table = written(line_table(rows), "table")
     recurring = written(templates(rows, table, similarity, evidence), "recurring")
     # the places of the lines to drop in each document; equal texts under one id share a row
-    held = table.select("id", "text_hash", F.posexplode("lines").alias("place", "l")).select("id", "text_hash", "place", "l.line")
-    hits = held.join(recurring, "line").where(~F.col("id").eqNullSafe(F.col("first")))
+    held = table.select("id", "text_hash", F.posexplode("lines").alias("place", "l")).select("id", "text_hash", "place", "l.line", "l.exact")
+    later = ~F.col("id").eqNullSafe(F.col("first"))
+    hits = held.join(recurring, "line").where(later).select("id", "text_hash", "place")
+    repeats = written(exact_repeats(table, characters), "repeats")
+    hits = hits.union(held.join(repeats, "exact").where(later).select("id", "text_hash", "place"))
     drops = written(hits.groupBy("id", "text_hash").agg(F.collect_set("place").alias("places")), "drops")
     rows = docs.select(F.struct("*").alias("row")).select("row", F.col(f"row.{id_col}").alias("id"),
                                                           F.xxhash64(text_or_empty(F.col(f"row.{text_col}"))).alias("text_hash"))

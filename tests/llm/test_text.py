@@ -212,6 +212,16 @@ def test_line_templates(spark):
     assert all("Of." in out[i].text and "own line" in out[i].text for i in range(20))
 
 
+def test_short_lines_and_lines_without_spaces(spark):
+    """Exact repeats count by their characters: menu words, tab-separated lines and a passage without spaces, with a digit too."""
+    passage = "これは空白のない長い段落であり、多くの文書に同じ形で現れる。" * 4
+    rows = [(i, f"Read more\nAdvertisement\na\tb\tc\td\te\tf\tg\th\nown{'x' * i}") for i in range(20)]
+    rows += [(i, f"{passage}\n{passage}3{passage}\nno{'y' * i}") for i in (30, 31)] + [(40, f"{passage}4"), (41, "No")]
+    got = {r.doc_id: r.text for r in linededup.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == f"own{'x' * i}" for i in range(1, 20)) and got[0] == rows[0][1] and got[30] == rows[20][1]
+    assert got[31] == f"no{'y' * 31}" and got[40] == f"{passage}4" and got[41] == "No"
+
+
 def test_line_edges(tricky, empty):
     out = linededup.drop_recurring(tricky)
     assert out.columns == [*tricky.columns, "n_lines", "n_dropped"]
