@@ -6,12 +6,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import bpe, chat, exact_dedup, itq, langid, linededup, mixing, packing, pii, simhash
+from canopy.llm import bpe, chat, exact_dedup, itq, langid, linededup, mixing, packing, pii, simhash, variants, whitening, wordbpe
 from canopy.llm.common import crc_mod, documents
 
 MULTI_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: The same vocabulary as byte_bpe_50k.json, as ranks.
 PACK_RANKS = "byte_bpe_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def _hex(c: str, digits: int) -> Column:
@@ -93,6 +94,27 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable vector on the eight leading components, whitened.
+
+    deviation is null where it is beyond a long (the operator's own is decimal).
+    """
+    white = whitening.whiten(documents(spark, sf_dir, "embeddings"), "vec_id", "embedding", components=8)
+    return white.withColumnRenamed("id", "vec_id").withColumn("deviation", F.col("deviation").try_cast("bigint"))
+
+
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text and the text they decode to, as digests."""
+    path = public_tokenizers.path(WORD_BPE)
+    encoded = wordbpe.encode(documents(spark, sf_dir), path)
+    return wordbpe.digests(wordbpe.decode(encoded, path)).withColumnRenamed("id", "doc_id")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the vocabulary with its near words, form and root."""
+    return variants.spelling_variants(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {
     "op1_context_mixing": op1_context_mixing,
     "op2_simhash": op2_simhash,
@@ -104,6 +126,9 @@ QUERIES = {
     "op8_chat_format": op8_chat_format,
     "op9_language_id": op9_language_id,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_whitening": op11_whitening,
+    "op12_word_bpe": op12_word_bpe,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE_SQL = {
@@ -112,4 +137,41 @@ ORACLE_SQL = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op13_spelling_variants": """
+        WITH RECURSIVE steps AS (
+            SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)),
+                lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END)) AS crc_of),
+        runs AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS times
+            FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+            WHERE length(run) >= 5 GROUP BY ALL),
+        hashed AS (
+            SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+                string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [195::BIGINT, unicode(x)::BIGINT - 64] END))),
+                lambda c, b: xor(c // 256, crc_of[xor(c, b) % 256 + 1]))) AS h
+            FROM runs, steps),
+        words AS (
+            SELECT CASE WHEN h % 97 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word,
+                   sum(times)::BIGINT AS n
+            FROM hashed GROUP BY 1 HAVING length(word) >= 5 AND n >= 3),
+        shorter AS (
+            SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS rest
+            FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+        near AS (
+            SELECT a.word, b.word AS other, b.n AS other_n FROM shorter a JOIN shorter b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+            UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+            UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word),
+        ranked AS (
+            SELECT word, other, other_n, count(*) OVER (PARTITION BY word) AS n_near,
+                   row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place FROM near),
+        forms AS (
+            SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.other_n >= 2 * w.n THEN r.other END AS form,
+                   CASE WHEN r.other_n >= 2 * w.n THEN r.other_n END AS form_n
+            FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1),
+        walk AS (
+            SELECT word, form AS at FROM forms WHERE form IS NOT NULL
+            UNION ALL SELECT walk.word, f.form FROM walk JOIN forms f ON walk.at = f.word WHERE f.form IS NOT NULL),
+        ends AS (SELECT walk.word, walk.at FROM walk JOIN forms f ON walk.at = f.word WHERE f.form IS NULL)
+        SELECT f.word, f.form, coalesce(e.at, f.word) AS root, f.n, f.n_near, f.form_n FROM forms f LEFT JOIN ends e USING (word)""",
 }
