@@ -105,9 +105,7 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, as digests."""
-    path = public_tokenizers.path(WORD_BPE)
-    encoded = wordbpe.encode(documents(spark, sf_dir), path)
-    return wordbpe.digests(wordbpe.decode(encoded, path)).withColumnRenamed("id", "doc_id")
+    return wordbpe.round_trip_digests(documents(spark, sf_dir), public_tokenizers.path(WORD_BPE)).withColumnRenamed("id", "doc_id")
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,12 +24,13 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -41,9 +42,10 @@ SLICE = 1 << 14
 BUFFER = 1 << 12
 #: Ids of a part of a text, about.
 PART = 1 << 16
-#: Pre-tokens whose ids a worker remembers, each of at most this many symbols.
-REMEMBERED, SHORT = 200_000, 64
+#: Pre-tokens whose ids a worker remembers in each of two generations, each of at most this many symbols.
+REMEMBERED, SHORT = 60_000, 64
 BLANKS = " \n\t\r"
+BEYOND = re.compile("[^\\x00-\u02ff]")
 
 
 def sufficient_lookahead(merges: list[tuple[str, str]]) -> int:
@@ -84,7 +86,7 @@ def byte_symbols() -> dict[int, str]:
     """The character each byte is written as: itself where it is visible in Latin-1, else the next from U+0100 on."""
     shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
+    return dict(sorted(({b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}).items()))
 
 
 class Model:
@@ -100,18 +102,30 @@ class Model:
         self.ids: dict[str, int] = model["vocab"]
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
         self.written = {i: t.encode() for t, i in (self.ids | self.added).items()}
-        byte_of = {s: bytes([b]) for b, s in byte_symbols().items()}
-        self.plain = {i: t.encode() for t, i in self.added.items()}
-        for t, i in self.ids.items():
-            word = t.removesuffix(self.end) if self.end else t
-            self.plain[i] = b"".join(byte_of[s] for s in word) + b" " * (word != t)
-        self.merges = [tuple(m) for m in model["merges"]]
-        self.rank = {m: r for r, m in enumerate(self.merges)}
+        self.rank = {tuple(m): r for r, m in enumerate(model["merges"])}
+        self.symbol = list(byte_symbols().values())
+        self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
 
     def pieces(self, text: str) -> tuple[str, list[str]]:
-        """The normal form of ``text`` and its pre-tokens, a symbol a byte."""
+        """The normal form of ``text`` and its pre-tokens."""
+        if not BEYOND.search(text):  # nothing composes or depends on the Unicode version below U+0300
+            normal = text.lower()
+            return normal, self.split.findall(normal)
         normal = self.tokenizer.normalizer.normalize_str(text)
-        return normal, [p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+        return normal, [normal[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)]
+
+    def symbols(self, piece: str) -> list[str]:
+        """A symbol for each byte."""
+        return [self.symbol[b] for b in piece.encode()]
+
+    def plain(self) -> dict[int, bytes]:
+        """The bytes each id stands for, with a space for a word's end."""
+        byte_of = {s: bytes([b]) for b, s in byte_symbols().items()}
+        out = {i: t.encode() for t, i in self.added.items()}
+        for t, i in self.ids.items():
+            word = t.removesuffix(self.end) if self.end else t
+            out[i] = b"".join(byte_of[s] for s in word) + b" " * (word != t)
+        return out
 
     def one_piece(self, two: str) -> bool:
         """Are two characters (of normal form) part of one pre-token?"""
@@ -119,6 +133,22 @@ class Model:
 
     def merged(self, symbols: list[str]) -> list[str]:
         """``symbols`` with all merges done: lowest rank first, leftmost first."""
+        return self._merged_short(symbols) if len(symbols) <= SHORT else self._merged_long(symbols)
+
+    def _merged_short(self, symbols: list[str]) -> list[str]:
+        rank, none = self.rank.get, len(self.rank)
+        ranks = [rank(p, none) for p in pairwise(symbols)]
+        while ranks and (least := min(ranks)) < none:
+            i = ranks.index(least)
+            symbols[i] += symbols.pop(i + 1)
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank((symbols[i - 1], symbols[i]), none)
+            if i < len(ranks):
+                ranks[i] = rank((symbols[i], symbols[i + 1]), none)
+        return symbols
+
+    def _merged_long(self, symbols: list[str]) -> list[str]:
         n = len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i, p) for i, p in enumerate(pairwise(symbols)) if (r := self.rank.get(p)) is not None]
@@ -184,7 +214,8 @@ class Encoder:
 
     def __init__(self, m: Model, lookahead: int, buffer: int = BUFFER):
         self.m, self.lookahead, self.buffer = m, lookahead, buffer
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, list[int]] = {}   # recent words
+        self.before: dict[str, list[int]] = {}  # words of the time before
 
     def _tail(self, symbols: list[str]) -> list[int]:
         """Ids of the rest of a pre-token."""
@@ -192,20 +223,20 @@ class Encoder:
         return [self.m.ids[t] for t in self.m.merged(symbols)]
 
     def _word(self, piece: str) -> list[int]:
-        ids = self.known.get(piece)
+        ids = self.before.get(piece)
         if ids is None:
-            ids = self._tail(list(piece))
-            if len(piece) <= SHORT:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[piece] = ids
+            ids = self._tail(self.m.symbols(piece))
+        if len(piece) <= SHORT:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.before = {}, self.known
+            self.known[piece] = ids
         return ids
 
-    def _stable(self, held: list[str], more: str) -> tuple[list[int], list[str]]:
+    def _stable(self, held: list[str], more: list[str]) -> tuple[list[int], list[str]]:
         """(ids, rest) of an unfinished pre-token: tokens that nothing to come can change, and the symbols after them."""
         ids: list[int] = []
         for at in range(0, len(more), self.buffer):
-            held = held + list(more[at:at + self.buffer])
+            held = held + more[at:at + self.buffer]
             # the last symbol may yet become a word's end, so it belongs to what is to come
             limit, done = len(held) - 1 - self.lookahead, 0
             for t in self.m.merged(held[:-1]) if limit > 0 else []:
@@ -227,15 +258,18 @@ class Encoder:
                 out += self._tail(held)
                 held = []
             for i, piece in enumerate(pieces):
+                ids = None if held else self.known.get(piece)
                 final = closed or i < len(pieces) - 1
-                if final and not held and len(piece) <= self.buffer:
+                if final and ids is not None:
+                    out += ids
+                elif final and not held and len(piece) <= self.buffer:
                     out += self._word(piece)
-                    continue
-                ids, held = self._stable(held, piece)
-                out += ids
-                if final:
-                    out += self._tail(held)
-                    held = []
+                else:
+                    ids, held = self._stable(held, self.m.symbols(piece))
+                    out += ids
+                    if final:
+                        out += self._tail(held)
+                        held = []
             last = normal[-1:]
             yield out
         if held:
@@ -252,7 +286,7 @@ class TextMachine:
 
     def __init__(self, m: Model, plain: bool = False):
         self.between = b"" if plain else b" "
-        self.bytes_of = m.plain if plain else m.written
+        self.bytes_of = m.plain() if plain else m.written
         self.unfinished = codecs.getincrementaldecoder("utf-8")("replace")
         self.begun = False
 
@@ -268,19 +302,31 @@ class TextMachine:
         return self.unfinished.decode(b"", True)
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", added_as_text: bool = True,
-           size: int = SLICE, buffer: int = BUFFER, part: int = PART) -> DataFrame:
-    """(id, last, ids): the ids of every text of ``docs``, in parts of about ``part`` ids.
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    ids are little-endian unsigned 32-bit.  The parts of a document follow
-    each other in its partition and ``last`` marks its last one, so narrow
-    steps read a document's parts in order.  A null text is empty: one part without
-    ids.  Repeated rows are encoded each; other columns are not read.  Added
-    tokens' strings are ordinary text unless ``added_as_text`` is false.
-    """
-    workers_ready(docs.sparkSession)
-    lookahead = sufficient_lookahead(model(path).merges)
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+
+def _out(ids: pa.Array, rows: Iterator[tuple[int, tuple]], names: list[str], types: list[pa.DataType], most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Batches of rows (place of the id, values), each of about ``most`` bytes of the last value at most."""
+    held, weight = [], 0
+
+    def batch() -> pa.RecordBatch:
+        at, values = zip(*held, strict=True)
+        columns = [pa.array(c, t) for c, t in zip(zip(*values, strict=True), types, strict=True)]
+        return pa.RecordBatch.from_arrays([ids.take(pa.array(at)), *columns], ["id", *names])
+
+    for row in rows:
+        held.append(row)
+        weight += len(row[1][-1])
+        if weight >= most:
+            yield batch()
+            held, weight = [], 0
+    if held:
+        yield batch()
+
+
+def _encoding(path: str, added_as_text: bool, size: int, buffer: int, part: int) -> Step:
+    """(id, text) -> (id, last, ids)."""
+    lookahead = sufficient_lookahead(list(model(path).rank))
 
     def lists(text: str, enc: Encoder, added: re.Pattern | None) -> Iterator[list[int]]:
         for i, piece in enumerate(added.split(text) if added else [text]):
@@ -305,33 +351,11 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
             yield from _out(b["id"], ((at, p) for at, t in enumerate(b["text"]) for p in parts(t.as_py(), enc, added)), ["last", "ids"],
                             [pa.bool_(), pa.binary()])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, last boolean, ids binary")
+    return run
 
 
-def _out(ids: pa.Array, rows: Iterator[tuple[int, tuple]], names: list[str], types: list[pa.DataType], most: int = 1 << 23) -> Iterator[pa.RecordBatch]:
-    """Batches of rows (place of the id, values), each of about ``most`` bytes of the last value at most."""
-    held, weight = [], 0
-
-    def batch() -> pa.RecordBatch:
-        at, values = zip(*held, strict=True)
-        columns = [pa.array(c, t) for c, t in zip(zip(*values, strict=True), types, strict=True)]
-        return pa.RecordBatch.from_arrays([ids.take(pa.array(at)), *columns], ["id", *names])
-
-    for row in rows:
-        held.append(row)
-        weight += len(row[1][-1])
-        if weight >= most:
-            yield batch()
-            held, weight = [], 0
-    if held:
-        yield batch()
-
-
-def decode(encoded: DataFrame, path: str, plain: bool = False) -> DataFrame:
-    """(id, last, ids, text): the parts of encode() with the text each adds."""
-    workers_ready(encoded.sparkSession)
-
+def _decoding(path: str, plain: bool) -> Step:
+    """(id, last, ids) -> (id, last, ids, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = TextMachine(model(path), plain)
         for b in batches:
@@ -341,25 +365,59 @@ def decode(encoded: DataFrame, path: str, plain: bool = False) -> DataFrame:
                 texts.append(text + machine.end() if last else text)
             yield pa.RecordBatch.from_arrays([b["id"], b["last"], b["ids"], pa.array(texts, pa.string())], ["id", "last", "ids", "text"])
 
-    kind = encoded.schema["id"].dataType.simpleString()
-    return encoded.select("id", "last", "ids").mapInArrow(run, f"id {kind}, last boolean, ids binary, text string")
+    return run
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """(id, n_tokens, ids_sha256, decoded_sha256) per document of decode(): its decimal ids joined by spaces, and its text, hashed part by part."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
-        for b in batches:
-            out = []
-            for at, (last, raw, text) in enumerate(zip(b["last"].to_pylist(), b["ids"], b["text"], strict=True)):
-                ids = np.frombuffer(raw.as_py(), "<u4").tolist()
-                ids_sha.update(((" " if n and ids else "") + " ".join(map(str, ids))).encode())
-                text_sha.update(text.as_py().encode())
-                n += len(ids)
-                if last:
-                    out.append((at, (n, ids_sha.hexdigest(), text_sha.hexdigest())))
-                    n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
-            yield from _out(b["id"], iter(out), ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.int64(), pa.string(), pa.string()])
-
-    kind = decoded.schema["id"].dataType.simpleString()
-    return decoded.mapInArrow(run, f"id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+def _digesting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, last, ids, text) -> (id, n_tokens, ids_sha256, decoded_sha256)."""
+    n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+    for b in batches:
+        out = []
+        for at, (last, raw, text) in enumerate(zip(b["last"].to_pylist(), b["ids"], b["text"], strict=True)):
+            ids = np.frombuffer(raw.as_py(), "<u4").tolist()
+            ids_sha.update(((" " if n and ids else "") + " ".join(map(str, ids))).encode())
+            text_sha.update(text.as_py().encode())
+            n += len(ids)
+            if last:
+                out.append((at, (n, ids_sha.hexdigest(), text_sha.hexdigest())))
+                n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+        yield from _out(b["id"], iter(out), ["n_tokens", "ids_sha256", "decoded_sha256"], [pa.int64(), pa.string(), pa.string()])
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    workers_ready(docs.sparkSession)
+    return docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+
+
+def _mapped(rows: DataFrame, step: Step, columns: str) -> DataFrame:
+    return rows.mapInArrow(step, f"id {rows.schema['id'].dataType.simpleString()}, {columns}")
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", added_as_text: bool = True,
+           size: int = SLICE, buffer: int = BUFFER, part: int = PART) -> DataFrame:
+    """(id, last, ids): the ids of every text of ``docs``, in parts of about ``part`` ids.
+
+    ids are little-endian unsigned 32-bit.  The parts of a document follow
+    each other in its partition and ``last`` marks its last one, so narrow
+    steps read a document's parts in order.  A null text is empty: one part without
+    ids.  Repeated rows are encoded each; other columns are not read.  Added
+    tokens' strings are ordinary text unless ``added_as_text`` is false.
+    """
+    return _mapped(_rows(docs, id_col, text_col), _encoding(path, added_as_text, size, buffer, part), "last boolean, ids binary")
+
+
+def decode(encoded: DataFrame, path: str, plain: bool = False) -> DataFrame:
+    """(id, last, ids, text): the parts of encode() with the text each adds (``plain``: see TextMachine)."""
+    workers_ready(encoded.sparkSession)
+    return _mapped(encoded.select("id", "last", "ids"), _decoding(path, plain), "last boolean, ids binary, text string")
+
+
+def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
+                       size: int = SLICE, buffer: int = BUFFER, part: int = PART) -> DataFrame:
+    """(id, n_tokens, ids_sha256, decoded_sha256): encode() and decode() of every text in one pass, hashed part by part.
+
+    Hashed are the decimal ids joined by spaces, and the decoded text.  The three steps share a worker.
+    """
+    code, back = _encoding(path, True, size, buffer, part), _decoding(path, False)
+    return _mapped(_rows(docs, id_col, text_col), lambda batches: _digesting(back(code(batches))),
+                   "n_tokens bigint, ids_sha256 string, decoded_sha256 string")

@@ -116,7 +116,7 @@ def library():
 
 def ids_of(text, size=wordbpe.SLICE, buffer=wordbpe.BUFFER):
     m = wordbpe.model(PATH)
-    encoder = wordbpe.Encoder(m, wordbpe.sufficient_lookahead(m.merges), buffer)
+    encoder = wordbpe.Encoder(m, wordbpe.sufficient_lookahead(list(m.rank)), buffer)
     return [i for part in encoder.encode(text, size) for i in part]
 
 
@@ -133,9 +133,29 @@ def test_word_bpe_digests(spark, tricky, empty, size, buffer, part):
             (104, "İstanbul ΑΣΣ Σς ẹ́́ क़ 가각가"), (105, "!?'" * 200 + "s"), (106, "word　word word x")]
     docs = tricky.select("doc_id", F.when(F.length("text") > 5000, F.substring("text", 1, 5000 if size < 100 else 500_000)).otherwise(F.col("text")).alias("text"))
     docs = docs.union(spark.createDataFrame(more, "doc_id long, text string"))
-    got = wordbpe.digests(wordbpe.decode(wordbpe.encode(docs, PATH, size=size, buffer=buffer, part=part), PATH)).collect()
+    got = wordbpe.round_trip_digests(docs, PATH, size=size, buffer=buffer, part=part).collect()
     assert sorted(map(tuple, got), key=repr) == sorted(((r.doc_id, *digest(r.text)) for r in docs.collect()), key=repr)
-    assert wordbpe.digests(wordbpe.decode(wordbpe.encode(empty, PATH), PATH)).count() == 0
+    assert wordbpe.round_trip_digests(empty, PATH).count() == 0
+
+
+def test_word_bpe_parts(spark, tricky):
+    """The parts of encode() and decode() joined per text are what the digests are of."""
+    docs = tricky.where("doc_id < 10 and doc_id <> 6")
+    got = defaultdict(lambda: [b"", ""])
+    for r in wordbpe.decode(wordbpe.encode(docs, PATH, part=100), PATH).collect():
+        got[r.id] = [got[r.id][0] + r.ids, got[r.id][1] + r.text]
+    for r in docs.collect():
+        ids = library().encode(r.text or "", add_special_tokens=False).ids
+        assert np.frombuffer(got[r.doc_id][0], "<u4").tolist() == ids
+        assert got[r.doc_id][1] == library().decode(ids, skip_special_tokens=False)
+
+
+def test_word_bpe_all_characters():
+    """Every code point, between letters and marks, as the library has it."""
+    text = [f"a{chr(c)}b!{chr(c)}?" for c in [*range(0xD800), *range(0xE000, 0x30000, 3), *range(0xE0000, 0xE0200)]]
+    encoder = wordbpe.Encoder(wordbpe.model(PATH), wordbpe.sufficient_lookahead(list(wordbpe.model(PATH).rank)))
+    want = library().encode_batch(text, add_special_tokens=False)
+    assert all([i for part in encoder.encode(t) for i in part] == w.ids for t, w in zip(text, want, strict=True))
 
 
 def test_word_bpe_keeps_clashing_columns_out(tricky):
