@@ -25,7 +25,7 @@ from collections.abc import Sequence
 import math
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Intervals per pass of the refinement.
@@ -33,13 +33,22 @@ INTERVALS = 1024
 _LARGEST = 1.7976931348623157e308
 
 
-def melt(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
-    """Wide feature columns -> rows (feature index, value), NULLs dropped."""
-    pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(c).cast("double").alias("value"))
-                      for i, c in enumerate(cols)])
-    return (df.select(*extra, F.explode(pairs).alias("p"))
-              .select(*extra, "p.feature", "p.value")
-              .where(F.col("value").isNotNull()))
+def melt(df: DataFrame, cols: Sequence[str], label: str | None = None) -> DataFrame:
+    """Wide feature columns -> rows (feature index, value), NULLs dropped; a ``label`` is feature -1."""
+    named = [*enumerate(cols), *([(-1, label)] if label is not None else [])]
+    pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(c).cast("double").alias("value")) for i, c in named])
+    return df.select(F.explode(pairs).alias("p")).select("p.feature", "p.value").where(F.col("value").isNotNull())
+
+
+def odd_labels(label: Column, n_classes: int | None = None) -> Column:
+    """Aggregate: labels that are no class (negative, fractional, or beyond 0..n_classes-1)."""
+    odd = (label < 0) | (label != F.floor(label))
+    return F.count_if(odd if n_classes is None else odd | (label >= n_classes))
+
+
+def refuse_odd_labels(odd: int) -> None:
+    if odd:
+        raise ValueError(f"{odd} labels are no classes: a class is a whole number from 0 to the number of classes less 1")
 
 
 def exact_ranks(vals: DataFrame, wanted: dict[int, list[int]], ends: dict[int, tuple[float, float]]) -> dict[int, dict[int, float]]:
@@ -80,7 +89,7 @@ def exact_ranks(vals: DataFrame, wanted: dict[int, list[int]], ends: dict[int, t
 
 def fit_bins(df: DataFrame, cols: Sequence[str], max_bins: int = 100,
              label: str | None = None) -> tuple[list[list[float]], float | None]:
-    """(sorted thresholds per feature, max label or None).
+    """(sorted thresholds per feature, max label or None); labels that are no classes are refused.
 
     Values are melted to (feature, value) rows (a streaming explode feeding
     the partial aggregate, nothing materialised), so every feature's counts
@@ -89,15 +98,16 @@ def fit_bins(df: DataFrame, cols: Sequence[str], max_bins: int = 100,
     if max_bins < 2:
         raise ValueError("max_bins must be >= 2")
     cols = list(cols)
-    extra = [F.col(label).cast("double").alias("__label")] if label is not None else []
-    vals = melt(df.select(*[F.col(c) for c in cols], *extra), cols,
-                ["__label"] if label is not None else []).where(~F.isnan("value"))
+    # the label rides along as one more value (feature -1), so its facts come from the same pass
+    vals = melt(df, cols, label).where(~F.isnan("value"))
     vals = vals.withColumn("value", F.greatest(F.least("value", F.lit(_LARGEST)), F.lit(-_LARGEST)))
     aggs = [F.approx_count_distinct("value", 0.05).alias("nd"), F.count(F.lit(1)).alias("n"),
-            F.min("value").alias("lo"), F.max("value").alias("hi")]
-    if label is not None:
-        aggs.append(F.max("__label").alias("max_label"))
+            F.min("value").alias("lo"), F.max("value").alias("hi"), odd_labels(F.col("value")).alias("odd")]
     about = {r["feature"]: r for r in vals.groupBy("feature").agg(*aggs).collect()}
+    facts = about.pop(-1, None)
+    if facts is not None:
+        refuse_odd_labels(facts["odd"])
+    vals = vals.where("feature >= 0")
     vals = vals.select("feature", "value")
     low = [f for f, r in about.items() if r["nd"] <= 2 * max_bins]
     exact: dict[int, list[float]] = {}
@@ -115,11 +125,7 @@ def fit_bins(df: DataFrame, cols: Sequence[str], max_bins: int = 100,
         else:
             vs = exact.get(i, [])  # none: all NULL / NaN, no split possible
             out.append([a / 2.0 + b / 2.0 if abs(a + b) == math.inf else (a + b) / 2.0 for a, b in zip(vs[:-1], vs[1:])])
-    max_label = None
-    if label is not None:
-        labels = [r["max_label"] for r in about.values() if r["max_label"] is not None]
-        max_label = max(labels) if labels else None
-    return out, max_label
+    return out, facts["hi"] if facts is not None else None
 
 
 def fit_thresholds(df: DataFrame, cols: Sequence[str], max_bins: int = 100) -> list[list[float]]:

@@ -4,8 +4,12 @@ One level of every tree costs ONE aggregation over the data:
 
 * each row is routed to its current node in every tree by a nested CASE
   built from the splits found so far (rows that reached a leaf drop out);
-* rows are expanded to (tree, node, feature, bin) for the features of that
-  tree and aggregated into histograms (map-side combine first);
+* of the two children of a split only the one with fewer rows is counted: its
+  rows are expanded to (tree, node, feature, bin) for the features of that
+  tree and aggregated into histograms (map-side combine first), and its
+  sibling's histogram is the parent's, kept from the level before, less that
+  (whole-numbered sums, so it is the same to the last bit).  Where rows fell
+  out of a split by a missing value, both children are counted;
 * the split scan of ``splitscan`` picks the best split per (tree, node).
 
 The only thing that comes back to the driver is the best split per frontier
@@ -29,7 +33,7 @@ from pyspark.sql import types as T
 
 from canopy.operators.binning import add_bins, fit_bins
 from canopy.operators.nodes import CASE_LIMIT
-from canopy.operators.splitscan import (CLASSIFICATION, LABEL_DIGITS, STATS, best_per, candidates, collapsed, histogram,
+from canopy.operators.splitscan import (CLASSIFICATION, LABEL_DIGITS, STATS, best_per, candidates, compact, histogram,
                                          num_classes, stat_columns, stat_values)
 
 NODE_SCHEMA = T.StructType([
@@ -103,7 +107,7 @@ def _impurity(task: str, stats: Sequence[float]) -> float | None:
 
 def _route_sql(nodes: dict, tree_id: int, node_id: int) -> str:
     node = nodes.get((tree_id, node_id))
-    if node is None or (node.children is None and not node.extra.get("frontier")):
+    if node is None or (node.children is None and not node.extra.get("counted")):
         return "CAST(NULL AS BIGINT)"
     if node.children is None:
         return f"{node_id}L"
@@ -116,22 +120,20 @@ def _route_sql(nodes: dict, tree_id: int, node_id: int) -> str:
 
 
 def route(nodes: dict, tree_id: int, node_id: int = 1) -> Column:
-    """Nested CASE over bin columns giving a row's current node (NULL = done).
+    """Nested CASE over bin columns giving a row's node to count it in (NULL = none).
 
     Built as SQL text: one expression object per tree, however many nodes.
     """
     return F.expr(_route_sql(nodes, tree_id, node_id))
 
 
-
-
 def route_walk(nodes: dict, tree_id: int, depth: int, used: Sequence[int]) -> Column:
     """Routing for large partial trees: walk ``depth`` steps from the root
     with the splits held in map literals (expression size linear in nodes)."""
     splits = [(nid, n.feature, n.extra["split_bin"]) for (t, nid), n in nodes.items()
               if t == tree_id and n.children is not None]
     live = [nid for (t, nid), n in nodes.items()
-            if t == tree_id and n.children is None and n.extra.get("frontier")]
+            if t == tree_id and n.children is None and n.extra.get("counted")]
     slot = {f: i for i, f in enumerate(used)}
     empty = "CAST(map() AS map<bigint,int>)"
     fmap = F.expr("map(" + ", ".join(f"{nid}L, {slot[f]}" for nid, f, _ in splits) + ")" if splits else empty)
@@ -170,6 +172,27 @@ def drawn_for_node(spec: TreeSpec) -> Column:
     return F.array_contains(F.transform(F.slice(ranked, 1, spec.node_features), lambda x: x["f"]), F.col("feature"))
 
 
+#: Nodes up to which their list is broadcast.
+BROADCAST_NODES = 1_000_000
+
+
+def _siblings(built: DataFrame, known: DataFrame, derived: Sequence[tuple[int, int]], stats: Sequence[str]) -> DataFrame:
+    """The histograms of the nodes ``derived``: those of their parents (``known``) less those of their siblings (``built``).
+
+    Rows may share (tree, node, feature, bin); summed up they are the histogram.
+    """
+    table = known.sparkSession.createDataFrame(list(derived), "tree_id int, child long")
+    table = F.broadcast(table) if len(derived) <= BROADCAST_NODES else table
+    of_parent = known.join(table.withColumn("node_id", F.expr("child DIV 2")), ["tree_id", "node_id"])
+    of_sibling = built.join(table.withColumn("node_id", F.col("child").bitwiseXOR(F.lit(1))), ["tree_id", "node_id"])
+
+    def at_child(df: DataFrame, sign: int) -> DataFrame:
+        return df.select("tree_id", F.col("child").alias("node_id"), "feature", "bin",
+                         *[(F.col(s) if sign > 0 else -F.col(s)).cast(known.schema[s].dataType).alias(s) for s in stats])
+
+    return at_child(of_parent, 1).unionAll(at_child(of_sibling, -1))
+
+
 def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                task: str = CLASSIFICATION, specs: Sequence[TreeSpec] | None = None,
                max_depth: int = 5, max_bins: int = 100, n_classes: int | None = None,
@@ -182,10 +205,12 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
     parent, bottom-up (as Spark's tree learner does); predictions do not
     change.
 
-    The training rows are read and persisted once, binned, and collapsed to
-    the distinct combinations of bins (and class) with their summed
-    statistics -- the compact form every level re-reads.  Rows without a
-    label are left out.
+    The training rows are read and persisted once, binned, and, where a
+    sample of row hashes shows that this saves enough rows, collapsed to the
+    distinct combinations of bins (and class) with their summed statistics;
+    otherwise they stay as they are and no row is shuffled.  Every level
+    re-reads this form.  Rows without a label are left out; a label that is no
+    class (negative, fractional, or beyond ``n_classes``) is refused.
     """
     spark: SparkSession = df.sparkSession
     cols = list(cols)
@@ -196,15 +221,16 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
     keep = list(dict.fromkeys([*cols, label, *carry]))
     # read (and split, where a filter decides the train part) once for all fitting passes
     data = df.select(*[F.col(c) for c in keep]).where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double"))).persist(StorageLevel.MEMORY_AND_DISK)
-    binned = None
+    binned = known = hist = None
     try:
+        given = thresholds is not None or n_classes is not None
         if thresholds is None:
             want_label = label if task == CLASSIFICATION and n_classes is None else None
             thresholds, max_label = fit_bins(data, cols, max_bins, want_label)
             if want_label is not None:
                 n_classes = int(max_label) + 1 if max_label is not None else 1
-        if task == CLASSIFICATION and n_classes is None:
-            n_classes = num_classes(data, label)
+        if task == CLASSIFICATION and (given or n_classes is None):
+            n_classes = num_classes(data, label, n_classes)
         used_all = sorted({f for s in specs for f in s.features})
         bins = [f"__b{f}" for f in used_all]
         # trees without a row weight share one set of statistics
@@ -216,14 +242,14 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             *[weights[g].alias(name) for g, name in weighted.items()],
             *[F.col(cols[f]) for f in used_all])
         rows = add_bins(pre, [cols[f] for f in used_all], [thresholds[f] for f in used_all], bins, ["label", *weighted.values()])
-        binned = collapsed(rows, bins, task, {g: F.col(weighted[g]) if g in weighted else None for g in weights}
-                           ).persist(StorageLevel.MEMORY_AND_DISK)
+        binned = compact(rows, bins, task, {g: F.col(weighted[g]) if g in weighted else None for g in weights},
+                         [thresholds[f] for f in used_all], n_classes).persist(StorageLevel.MEMORY_AND_DISK)
         names = STATS[:2] if task == CLASSIFICATION else STATS
         kept = ["label"] if task == CLASSIFICATION else []
         nodes: dict[tuple[int, int], _Node] = {}
         frontier = {(s.tree_id, 1) for s in specs}
         for s in specs:
-            nodes[(s.tree_id, 1)] = _Node(s.tree_id, 1, 0, [], 0, extra={"frontier": True})
+            nodes[(s.tree_id, 1)] = _Node(s.tree_id, 1, 0, [], 0, extra={"counted": True})
         spec_by_id = {s.tree_id: s for s in specs}
         root_stats = [F.expr(x) for x in stat_values(task, n_classes, "T", LABEL_DIGITS)]
 
@@ -238,22 +264,30 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                        else route_walk(nodes, t, depth, used_all)).alias(f"__n{t}") for t in live]
             routed = binned.select(*kept, *routes, *[F.col(f"{g}_{k}") for g in sorted({group[t] for t in live}) for k in names], *bins)
 
-            # one struct per (tree, feature) plus a totals entry (feature -1)
-            def entry(t, feature, bin_col):
-                return F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"), F.lit(feature).alias("feature"), bin_col.alias("bin"),
-                                *[F.col(f"{group[t]}_{k}").alias(k) for k in names])
-
-            entries = []
-            for t in live:
-                if depth == 0:
-                    entries.append(entry(t, -1, F.lit(0)))
-                if depth < max_depth:
-                    entries += [entry(t, f, F.col(f"__b{f}")) for f in spec_by_id[t].features]
-            # rows that already sit in a finished leaf of every live tree add nothing
-            live_rows = routed.where(F.coalesce(*[F.col(f"__n{t}") for t in live]).isNotNull())
-            long = (live_rows.select(*kept, F.explode(F.array(*entries)).alias("e")).select(*kept, "e.*")
-                    .where(F.col("node_id").isNotNull() & F.col("bin").isNotNull() & (F.col("w") > 0)))
+            # per tree a list of one struct per feature, plus a totals entry (feature -1) for the root
+            def entries(t):
+                stats = [F.col(f"{group[t]}_{k}").alias(k) for k in names]
+                features = ([(-1, F.lit(0))] if depth == 0 else []) + \
+                    ([(f, F.col(f"__b{f}")) for f in spec_by_id[t].features] if depth < max_depth else [])
+                each = F.array(*[F.struct(F.lit(t).alias("tree_id"), F.col(f"__n{t}").alias("node_id"), F.lit(f).alias("feature"),
+                                          b.alias("bin"), *stats) for f, b in features])
+                # rows that are not counted in this tree are not expanded for it
+                return F.when(F.col(f"__n{t}").isNotNull() & (F.col(f"{group[t]}_w") > 0), each).otherwise(F.expr(nothing))
+
+            amounts = "w: double, n: bigint" + ("" if task == CLASSIFICATION else ", s1: decimal(38,0), s2: decimal(38,0)")
+            nothing = f"CAST(array() AS array<struct<tree_id: int, node_id: bigint, feature: int, bin: int, {amounts}>>)"
+            long = (routed.select(*kept, F.explode(F.concat(*[entries(t) for t in live])).alias("e")).select(*kept, "e.*")
+                    .where(F.col("bin").isNotNull()))
             hist = histogram(long, ["tree_id", "node_id"], task, n_classes)
+            sums = [*stat_columns(task, n_classes), "n_raw"]
+            derived = sorted(k for k in frontier if not nodes[k].extra["counted"])
+            if derived:
+                hist = hist.select("tree_id", "node_id", "feature", "bin", *sums).unionAll(_siblings(hist, known, derived, sums))
+            hist = hist.repartition("tree_id", "node_id", "feature")
+            if derived:
+                hist = (hist.groupBy("tree_id", "node_id", "feature", "bin")
+                        .agg(*[F.sum(c).cast(known.schema[c].dataType).alias(c) for c in sums]).where("n_raw > 0"))
+            hist = hist.persist(StorageLevel.MEMORY_AND_DISK)
             parts = []
             if depth < max_depth:
                 # running sums per (tree, node, feature); the best per node then merges partial maxima
@@ -261,8 +295,7 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                 for t in live:
                     if spec_by_id[t].node_features is not None:
                         drawn = drawn.where((F.col("tree_id") != t) | drawn_for_node(spec_by_id[t]))
-                cands = candidates(drawn.repartition("tree_id", "node_id", "feature"),
-                                   ["tree_id", "node_id"], task, n_classes)
+                cands = candidates(drawn, ["tree_id", "node_id"], task, n_classes)
                 parts.append(best_per(cands, ["tree_id", "node_id"])
                              .withColumn("stats", F.lit(None).cast("array<double>"))
                              .withColumn("n_raw", F.lit(None).cast("long")))
@@ -276,6 +309,9 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                              tot.select(*[F.col(c) if c in tot.columns else F.lit(None).cast(t).alias(c)
                                           for c, t in parts[0].dtypes]))
             rows = parts[0].unionByName(parts[1]).collect() if len(parts) == 2 else parts[0].collect()
+            if known is not None:
+                known.unpersist()
+            known = hist
             totals = [r for r in rows if r["stats"] is not None]
             best_rows = [r for r in rows if r["stats"] is None]
             best = {(r["tree_id"], r["node_id"]): r for r in best_rows}
@@ -286,7 +322,7 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
             new_frontier = set()
             for key in frontier:
                 n = nodes[key]
-                n.extra["frontier"] = False
+                n.extra["counted"] = False
                 b = best.get(key)
                 imp = _impurity(task, n.stats) if n.stats else None
                 if b is None or b["gain"] is None or not b["gain"] > min_gain or not imp:
@@ -296,20 +332,22 @@ def grow_trees(df: DataFrame, cols: Sequence[str], label: str = "label",
                 n.extra["split_bin"] = int(b["bin"])
                 lid, rid = 2 * n.node_id, 2 * n.node_id + 1
                 n.children = (lid, rid)
-                for cid, side, raw in ((lid, "left_stats", "raw_left"), (rid, "right_stats", "raw_right")):
-                    nodes[(n.tree_id, cid)] = _Node(n.tree_id, cid, depth + 1, [float(v) for v in b[side]],
-                                                    int(b[raw]),
-                                                    extra={"frontier": True, "is_left": cid == lid,
-                                                           "parent": n.node_id})
+                raws = {lid: int(b["raw_left"]), rid: int(b["raw_right"])}
+                # a sibling is the parent less the smaller child, unless rows with a missing value are in neither
+                smaller = lid if raws[lid] <= raws[rid] else rid
+                whole = sum(raws.values()) == n.row_count
+                for cid, side in ((lid, "left_stats"), (rid, "right_stats")):
+                    nodes[(n.tree_id, cid)] = _Node(n.tree_id, cid, depth + 1, [float(v) for v in b[side]], raws[cid],
+                                                    extra={"counted": cid == smaller or not whole, "is_left": cid == lid, "parent": n.node_id})
                     new_frontier.add((n.tree_id, cid))
             frontier = new_frontier
         if prune:
             _prune(nodes, task)
         return _node_table(spark, nodes, cols, task)
     finally:
-        data.unpersist()
-        if binned is not None:
-            binned.unpersist()
+        for held in (data, binned, known, hist):
+            if held is not None:
+                held.unpersist()
 
 
 def _prune(nodes: dict, task: str) -> None:

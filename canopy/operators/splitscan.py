@@ -26,12 +26,13 @@ lowest feature index, then the lowest threshold.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.operators.binning import add_bins, fit_bins
+from canopy.operators.binning import add_bins, fit_bins, odd_labels, refuse_odd_labels
 
 CLASSIFICATION = "classification"
 REGRESSION = "regression"
@@ -153,13 +154,63 @@ def collapsed(df: DataFrame, bins: Sequence[str], task: str, weights: dict[str,
     aggregation keeps a frequent combination to one row per task.  Rows
     without a label take no part.
     """
-    rows = df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double")))
     keys = [*bins, *([label] if task == CLASSIFICATION else [])]
     aggs = []
     for name, weight in weights.items():
         stats = row_stats(task, weight, F.col(label).cast("double"), label_digits)
         aggs += [s.alias(f"{name}_{k}") for s, k in zip(stats, STATS)]
-    return rows.groupBy(*keys).agg(*aggs)
+    return _labelled(df, label).groupBy(*keys).agg(*aggs)
+
+
+def uncollapsed(df: DataFrame, bins: Sequence[str], task: str, weights: dict[str, Column | None], label: str = "label",
+                label_digits: int = LABEL_DIGITS) -> DataFrame:
+    """The columns of ``collapsed``, one row per row: a projection without a shuffle."""
+    out = [F.col(b) for b in bins] + ([F.col(label)] if task == CLASSIFICATION else [])
+    for name, weight in weights.items():
+        w = F.lit(1).cast("long") if weight is None else weight.cast("long")
+        stats = [w.cast("double"), (w > 0).cast("long")]
+        if task != CLASSIFICATION:
+            q = F.round(F.col(label).cast("double") * F.lit(10.0 ** label_digits)).cast("long")
+            wq = (w * q).cast("decimal(19,0)")
+            stats += [wq.cast("decimal(38,0)"), (wq * q.cast("decimal(19,0)")).cast("decimal(38,0)")]
+        out += [s.alias(f"{name}_{k}") for s, k in zip(stats, STATS)]
+    return _labelled(df, label).select(*out)
+
+
+def _labelled(df: DataFrame, label: str) -> DataFrame:
+    return df.where(F.col(label).isNotNull() & ~F.isnan(F.col(label).cast("double")))
+
+
+#: Combinations of bins (and class) that are always collapsed to: so few rows cost less than finding out.
+FEW_COMBINATIONS = 1 << 16
+#: One in this many row hashes is looked at to foresee what collapsing saves.
+HASHES_ONE_IN = 64
+#: Collapsing must leave at most this share of the rows.
+WORTH = 0.5
+
+
+def worth_collapsing(df: DataFrame, keys: Sequence[str], combinations: int) -> bool:
+    """Does grouping ``df`` by ``keys`` leave few enough rows to pay for shuffling it?
+
+    ``combinations``: how many groups there can be at most.  Beyond
+    FEW_COMBINATIONS the rows of one hash of ``keys`` in HASHES_ONE_IN are
+    counted, and their distinct hashes; only counts are shuffled.  Either
+    answer gives the same histograms.
+    """
+    if combinations <= FEW_COMBINATIONS:
+        return True
+    some = df.select(F.xxhash64(*keys).alias("h")).where(F.pmod("h", F.lit(HASHES_ONE_IN)) == 0)
+    r = some.agg(F.count(F.lit(1)).alias("rows"), F.approx_count_distinct("h", 0.02).alias("groups")).first()
+    return r["groups"] <= WORTH * r["rows"]
+
+
+def compact(df: DataFrame, bins: Sequence[str], task: str, weights: dict[str, Column | None], thresholds: Sequence[Sequence[float]],
+            n_classes: int | None) -> DataFrame:
+    """``df`` (bins, label, weights) collapsed where that saves enough rows, else as it is; the columns are those of ``collapsed``."""
+    keys = [*bins, *(["label"] if task == CLASSIFICATION else [])]
+    combinations = math.prod([len(t) + 2 for t in thresholds]) * (n_classes or 1)  # a bin more than thresholds, or NULL
+    form = collapsed if worth_collapsing(_labelled(df, "label"), keys, combinations) else uncollapsed
+    return form(df, bins, task, weights)
 
 
 #: Names of the statistics of a collapsed row (a classification has the first two).
@@ -174,15 +225,16 @@ def split_scan(df: DataFrame, cols: Sequence[str], label: str = "label", task: s
     Output: feature, feature_name, threshold, gain, n_left, n_right.
     """
     cols = list(cols)
+    if task == CLASSIFICATION and (thresholds is not None or n_classes is not None):
+        n_classes = num_classes(df, label, n_classes)
     if thresholds is None:
         want = label if task == CLASSIFICATION and n_classes is None else None
         thresholds, max_label = fit_bins(df, cols, max_bins, want)
         if want is not None:
             n_classes = int(max_label) + 1 if max_label is not None else 1
-    if task == CLASSIFICATION and n_classes is None:
-        n_classes = num_classes(df, label)
     bins = [f"__b{i}" for i in range(len(cols))]
-    rows = collapsed(add_bins(df.withColumn("label", F.col(label).cast("double")), cols, thresholds, bins, ["label"]), bins, task, {"x": None})
+    binned = add_bins(df.withColumn("label", F.col(label).cast("double")), cols, thresholds, bins, ["label"])
+    rows = compact(binned, bins, task, {"x": None}, thresholds, n_classes)
     stats = STATS[:2] if task == CLASSIFICATION else STATS
     kept = [F.col("label")] if task == CLASSIFICATION else []
     pairs = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(b).alias("bin")) for i, b in enumerate(bins)])
@@ -209,7 +261,10 @@ def variance_split_scan(df: DataFrame, cols: Sequence[str], label: str = "label"
     return split_scan(df, cols, label, REGRESSION, max_bins)
 
 
-def num_classes(df: DataFrame, label: str = "label") -> int:
-    """Classes are 0..max(label); a global max is one cheap aggregate."""
-    m = df.agg(F.max(F.col(label))).first()[0]
-    return int(m) + 1 if m is not None else 1
+def num_classes(df: DataFrame, label: str = "label", n_classes: int | None = None) -> int:
+    """Classes are 0..max(label), or the ``n_classes`` given; labels that are no class are refused.  One cheap aggregate."""
+    y = F.col(label).cast("double")
+    y = F.when(~F.isnan(y), y)
+    r = df.agg(F.max(y).alias("top"), odd_labels(y, n_classes).alias("odd")).first()
+    refuse_odd_labels(r["odd"])
+    return n_classes or (int(r["top"]) + 1 if r["top"] is not None else 1)

@@ -84,7 +84,9 @@ def _model_facts(model, nodes: DataFrame, test: DataFrame) -> DataFrame:
     inner = nodes.where("left_id is not null").join(kids, ["tree_id", "node_id"])
     sums = inner.agg(F.coalesce(F.bool_and(F.col("below") == F.col("row_count")), F.lit(True)).alias("counts_add_up"))
     facts = nodes.agg(F.count_distinct("tree_id").alias("n_trees"), (F.max("depth") <= mltrees.DEFAULT_DEPTH).alias("depth_ok"))
-    return facts.join(sums).join(unlike)
+    whole = facts.unionByName(sums, allowMissingColumns=True).unionByName(unlike, allowMissingColumns=True)
+    return whole.agg(F.max("n_trees").alias("n_trees"), F.bool_and("depth_ok").alias("depth_ok"),
+                     F.bool_and("counts_add_up").alias("counts_add_up"), F.max("n_unlike").alias("n_unlike"))
 
 
 def q_forest_classify_ml(spark: SparkSession, sf: str) -> DataFrame:
