@@ -11,9 +11,10 @@ no shuffle, whole-stage codegen over the scan.
   prediction) walked by ``aggregate`` for ``depth`` steps -- expression size
   stays linear in the node count, for models too large for CASE trees.
 
-The model itself is the only thing collected to the driver, after its size
-is checked (``max_nodes``); its size is set by depth and tree count, not by
-the data.
+* ``join``: the model stays a table (``treejoin``), one join per level; for
+  models of more than LITERAL_NODES nodes, of any size.
+
+For the first two the model is collected to the driver, after its size is checked.
 
 Missing values: a NULL feature gives a NULL vote for that tree; NaN goes
 right (``NaN <= t`` is false).
@@ -26,12 +27,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canopy.operators.treejoin import BROADCAST_NODES, joined_votes
+from canopy.session import stored
+
 #: Nodes of all trees of one projection up to which the CASE form is used.
 #: Measured: three trees of 255 nodes compile and score 300,000 rows in 1.3 s
 #: (walk: 5 s); three of 511 nodes no longer compile.  Both forms give the
 #: same votes.
 CASE_LIMIT = 768
-#: Parameter of every scorer: models with more nodes are refused (they are held on the driver).
+#: Nodes up to which a model is compiled into the plan; larger ones are joined (three trees of
+#: 65,535 nodes as literals take a minute to plan).
+LITERAL_NODES = 20_000
+#: Most nodes that may be asked to be held on the driver (``max_nodes``).
 MAX_NODES = 2_000_000
 
 
@@ -120,6 +127,11 @@ def walk_expr(tree: dict[int, dict]) -> Column:
     return F.when(leaf < 0, F.lit(None).cast("double")).otherwise(pred[leaf])
 
 
+def joins_model(nodes: DataFrame, method: str) -> bool:
+    """Is the model scored as a table: on request, or because it is too large for the plan?"""
+    return method == "join" or (method == "auto" and nodes.limit(LITERAL_NODES + 1).count() > LITERAL_NODES)
+
+
 def tree_columns(trees: dict[int, dict[int, dict]], method: str = "auto") -> list[Column]:
     out, nodes = [], 0
     for t in sorted(trees):
@@ -133,17 +145,27 @@ def tree_columns(trees: dict[int, dict[int, dict]], method: str = "auto") -> lis
 def score_nodes(df: DataFrame, nodes: DataFrame, method: str = "auto",
                 votes: str = "votes", max_nodes: int = MAX_NODES) -> DataFrame:
     """Add ``votes`` = array of per-tree predictions (by tree_id)."""
+    if joins_model(nodes, method):
+        scored, names = joined_votes(df, nodes)
+        return scored.select(*[_c(c) for c in df.columns], F.array(*names).alias(votes))
     trees = collect_trees(nodes, max_nodes)
     return df.withColumn(votes, F.array(*tree_columns(trees, method)))
 
 
-def _tree_frame(df: DataFrame, nodes: DataFrame, method: str, max_nodes: int):
+def _tree_frame(df: DataFrame, nodes: DataFrame, method: str, max_nodes: int, n_classes: int | None = None):
+    """(rows with a vote column per tree, those columns, their names, some votes outside 0..n_classes-1)."""
+    if joins_model(nodes, method):
+        scored, names = joined_votes(df, nodes)
+        p = F.col("prediction")
+        odd = nodes.where(F.col("left_id").isNull() & ((p < 0) | (p >= n_classes) | (p != F.floor(p)))).select(p).distinct().limit(5) if n_classes else None
+        return scored, [F.col(n) for n in names], names, sorted(r[0] for r in odd.collect()) if n_classes else []
     trees = collect_trees(nodes, max_nodes)
     cols = tree_columns(trees, method)
     names = [f"__v{t}" for t in range(len(cols))]
     # the per-tree CASE trees are projected once; the vote below reads them
-    leaves = [n["prediction"] for tree in trees.values() for n in tree.values() if n["left_id"] is None]
-    return df.select("*", *[c.alias(n) for c, n in zip(cols, names)]), [F.col(n) for n in names], names, leaves
+    leaves = {n["prediction"] for tree in trees.values() for n in tree.values() if n["left_id"] is None}
+    odd = sorted(p for p in leaves if p is not None and n_classes and not (0 <= p < n_classes and p == int(p)))
+    return df.select("*", *[c.alias(n) for c, n in zip(cols, names)]), [F.col(n) for n in names], names, odd[:5]
 
 
 def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str = "auto",
@@ -154,10 +176,9 @@ def predict_classes(df: DataFrame, nodes: DataFrame, n_classes: int, method: str
     whole vote stays in whole-stage codegen (no lambda functions).  A model
     that votes for anything but 0..n_classes-1 is refused.
     """
-    scored, v, names, leaves = _tree_frame(df, nodes, method, max_nodes)
-    odd = sorted({p for p in leaves if p is not None and not (0 <= p < n_classes and p == int(p))})
+    scored, v, names, odd = _tree_frame(df, nodes, method, max_nodes, n_classes)
     if odd:
-        raise ValueError(f"the model votes for {odd[:5]}, outside the classes 0..{n_classes - 1}")
+        raise ValueError(f"the model votes for {odd}, outside the classes 0..{n_classes - 1}")
     counts = ["(" + " + ".join(f"CASE WHEN {n} = {float(k)!r}D THEN 1 ELSE 0 END" for n in names) + ")"
               for k in range(n_classes)]
     valid = "(" + " + ".join(f"CASE WHEN {n} IS NOT NULL THEN 1 ELSE 0 END" for n in names) + ")"
@@ -184,3 +205,33 @@ def predict_mean(df: DataFrame, nodes: DataFrame, method: str = "auto",
     if keep_votes:
         cols.append(F.array(*v).alias("votes"))
     return scored.select(*cols)
+
+
+def predict_distribution(df: DataFrame, nodes: DataFrame, n_classes: int, method: str = "auto", max_nodes: int = MAX_NODES) -> DataFrame:
+    """I5, second form: ``probability`` = mean over the trees of the class shares at the leaf a row reaches; ``prediction`` = its largest (ties -> lowest class).
+
+    Every tree gives a row its leaf's node id, which is looked up in the table
+    of leaves (``class_counts``): broadcast when its size is within the limit.
+    A tree without a vote (missing feature) or a leaf without counts takes no part.
+    """
+    if joins_model(nodes, method):
+        at, names = joined_votes(df, nodes, prefix="__leaf", value="node_id")
+    else:
+        trees = collect_trees(nodes.withColumn("prediction", F.col("node_id").cast("double")), max_nodes)
+        names = [f"__leaf{t}" for t in sorted(trees)]
+        at = df.select("*", *[c.alias(n) for c, n in zip(tree_columns(trees, method), names)])
+    total = F.aggregate("class_counts", F.lit(0.0), lambda acc, v: acc + v)
+    leaves = stored(nodes.where(F.col("left_id").isNull()).select("tree_id", "node_id", F.when(
+        total > 0, F.transform("class_counts", lambda v: v / total)).alias("share")), "leaves")
+    sizes = {r["tree_id"]: r["n"] for r in leaves.groupBy("tree_id").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for t, name in zip(sorted(sizes), names):
+        table = leaves.where(F.col("tree_id") == t).select(F.col("node_id").cast("double").alias(f"__at{t}"), F.col("share").alias(f"__share{t}"))
+        table = F.broadcast(table) if sizes[t] <= BROADCAST_NODES else table
+        at = at.join(table, F.col(name) == F.col(f"__at{t}"), "left")
+    shares = [F.col(f"__share{t}") for t in sorted(sizes)]
+    n = sum((F.when(s.isNotNull(), 1).otherwise(0) for s in shares), F.lit(0))
+    mean = [sum((F.coalesce(F.get(s, k), F.lit(0.0)) for s in shares), F.lit(0.0)) / n for k in range(n_classes)]
+    best = F.greatest(*[F.struct(F.get("probability", k).alias("p"), F.lit(-k).alias("k")) for k in range(n_classes)]) if n_classes > 1 else None
+    out = at.select(*[_c(c) for c in df.columns], F.when(n > 0, F.array(*mean)).alias("probability"))
+    top = F.lit(0.0) if best is None else (-best["k"]).cast("double")
+    return out.withColumn("prediction", F.when(F.col("probability").isNotNull(), top))

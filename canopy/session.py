@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -91,6 +92,13 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     return f"{root}/canopy-{kind}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, kind: str, by: Sequence[str] = ()) -> DataFrame:
+    """``df`` written below the shared checkpoint folder (in folders ``by`` columns) and read again: computed once, by any number of readers."""
+    path = scratch_path(df.sparkSession, kind)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Delete a scratch path of this session (never anything outside the checkpoint folder)."""
     root = ensure_checkpoint_dir(spark).rstrip("/") + "/"

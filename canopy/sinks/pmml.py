@@ -1,9 +1,12 @@
 """Node table -> PMML 4.2 document.
 
-The document is assembled as Spark rows: every node becomes one XML
-fragment (a projection), then fragments are grouped per tree and ordered by
-their pre-order key.  A tree is bounded by 2^(depth+1) nodes, so grouping by
-tree never gathers data that grows with the input rows.
+The document is assembled as Spark rows, one line each: every node becomes
+its open tag, predicate and shares, and a leaf also the close tags that follow
+it.  Ids are heap ids, so a leaf closes itself and as many ancestors as its
+path ends in steps to the right: no line needs to know the next one.  Sorted
+by (tree, path), head and tail lines around, the lines are the document.
+``write_forest`` sorts them in ranges and writes one text part per range, for
+models of any size; ``forest_to_pmml`` joins them to one row for small ones.
 
 Standard form (each child carries its parent's split):
   * left child ``<SimplePredicate operator="lessOrEqual" .../>``,
@@ -24,8 +27,6 @@ from xml.sax.saxutils import quoteattr
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.session import ship_package
-
 NS = "http://www.dmg.org/PMML-4_2"
 
 # ---- fixed values --------------------------------------------------------
@@ -91,11 +92,11 @@ def _xml_attr(c: Column) -> Column:
     return c
 
 
-def node_fragments(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
-    """One row per node: open tag + predicate (close tags come from the order).
+def node_lines(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
+    """One row per node (tree_id, key, line): its tags, and the close tags due after a leaf.
 
-    ``key`` is the heap id as a binary path string ('1', '10', '11', ...), so
-    sorting by it gives pre-order; ``depth`` tells how many tags to close.
+    ``key`` is the heap id as a binary path ('1', '10', '11', ...), so
+    sorting by it gives pre-order.
     """
     pid = F.col("parent_id")
     # the child carries its parent's split
@@ -129,60 +130,48 @@ def node_fragments(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
     open_tag = F.concat(F.lit("<Node id=\""), F.col("node_id").cast("string"), F.lit("\""),
                         F.coalesce(F.concat(F.lit(" score=\""), score, F.lit("\"")), F.lit("")),
                         F.coalesce(count, F.lit("")), F.lit(">"), predicate, F.coalesce(distribution, F.lit("")))
-    return joined.select("tree_id", F.bin(F.col("node_id")).alias("key"), "depth", leaf.alias("leaf"),
-                         open_tag.alias("frag"))
+    key = F.bin(F.col("node_id"))
+    rights = F.length(F.regexp_extract(F.substring(key, 2, 64), "1*$", 0))
+    return joined.select("tree_id", key.alias("key"), open_tag.alias("__open"), rights.alias("__rights"), leaf.alias("__leaf")).select(
+        "tree_id", "key", F.concat("__open", F.when(F.col("__leaf"), F.expr("repeat('</Node>', 1 + __rights)")).otherwise(F.lit(""))).alias("line"))
 
 
-def _close_tags(prev_depth: int, depth: int) -> str:
-    # close the previous node and every ancestor at or below `depth`
-    return "</Node>" * max(prev_depth - depth + 1, 0)
+def document_lines(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
+    """The lines of the document (part, tree_id, key, line): in the order of the first three they are the document."""
+    function = "regression" if meta.regression else "classification"
+    method = "average" if meta.regression else "majorityVote"
+    schema = _mining_schema(meta)
+    head = (f"{_header(meta)}<MiningModel modelName={_q(meta.model_name)} functionName=\"{function}\">"
+            f"{schema}{_output(meta)}<Segmentation multipleModelMethod=\"{method}\">")
+    tree_head = (f"<True/><TreeModel modelName={_q(meta.model_name)} functionName=\"{function}\" "
+                 f"algorithmName={_q(meta.algorithm)} splitCharacteristic=\"binarySplit\">{schema}")
+    number = (F.col("tree_id") + 1).cast("string")
+    around = F.array(F.struct(F.lit("0").alias("key"), F.concat(F.lit('<Segment id="'), number, F.lit('">' + tree_head)).alias("line")),
+                     F.struct(F.lit("2").alias("key"), F.lit("</TreeModel></Segment>").alias("line")))
+    trees = nodes.where(F.col("parent_id").isNull()).select("tree_id", F.explode(around).alias("l")).select("tree_id", "l.key", "l.line")
+    body = trees.unionByName(node_lines(nodes, meta)).select(F.lit(1).alias("part"), "tree_id", "key", "line")
+    ends = nodes.sparkSession.createDataFrame([(0, 0, "", head), (2, 0, "", "</Segmentation></MiningModel></PMML>")],
+                                              "part int, tree_id int, key string, line string")
+    return ends.unionByName(body)
 
 
 def forest_to_pmml(nodes: DataFrame, meta: ModelMeta) -> DataFrame:
-    """K1: one row ``pmml`` holding the whole document.
-
-    The per-tree ``<Segment>`` strings are built in a grouped pandas step
-    (one group = one tree = bounded number of nodes) and joined in tree
-    order; the final document is one row, so the model is counted first and
-    refused beyond MAX_NODES.
-    """
+    """K1: one row ``pmml`` holding the whole document, for models of at most MAX_NODES nodes (``write_forest`` has no such limit)."""
     size = nodes.limit(MAX_NODES + 1).count()
     if size > MAX_NODES:
-        raise ValueError(f"a document holds at most {MAX_NODES} nodes")
-    ship_package(nodes.sparkSession)
-    frags = node_fragments(nodes, meta)
-    function = "regression" if meta.regression else "classification"
-    method = "average" if meta.regression else "majorityVote"
-    schema = _mining_schema(meta)
+        raise ValueError(f"a document in one row holds at most {MAX_NODES} nodes: use write_forest")
+    ordered = F.array_sort(F.collect_list(F.struct("part", "tree_id", "key", "line")))
+    return document_lines(nodes, meta).agg(F.array_join(F.transform(ordered, lambda s: s["line"]), "").alias("pmml"))
 
-    def segment(pdf):
-        import pandas as pd
-        pdf = pdf.sort_values("key")
-        parts = []
-        prev = None
-        for r in pdf.itertuples(index=False):
-            if prev is not None:
-                parts.append(_close_tags(prev, int(r.depth)))
-            parts.append(r.frag)
-            prev = int(r.depth)
-        if prev is not None:
-            parts.append("</Node>" * (prev + 1))
-        tree = int(pdf["tree_id"].iloc[0])
-        body = (f"<Segment id=\"{tree + 1}\"><True/>"
-                f"<TreeModel modelName={_q(meta.model_name)} functionName=\"{function}\" "
-                f"algorithmName={_q(meta.algorithm)} splitCharacteristic=\"binarySplit\">"
-                f"{schema}{''.join(parts)}</TreeModel></Segment>")
-        return pd.DataFrame({"tree_id": [tree], "segment": [body]})
-
-    segs = frags.groupBy("tree_id").applyInPandas(segment, "tree_id int, segment string")
-    head = _header(meta)
-    model_open = (f"<MiningModel modelName={_q(meta.model_name)} functionName=\"{function}\">"
-                  f"{schema}{_output(meta)}<Segmentation multipleModelMethod=\"{method}\">")
-    tail = "</Segmentation></MiningModel></PMML>"
-    ordered = F.array_sort(F.collect_list(F.struct("tree_id", "segment")))
-    return segs.agg(F.concat(F.lit(head + model_open),
-                             F.array_join(F.transform(ordered, lambda s: s["segment"]), ""),
-                             F.lit(tail)).alias("pmml"))
+
+def write_forest(nodes: DataFrame, meta: ModelMeta, path: str) -> None:
+    """The document of a model of any size below ``path``, as text parts whose order by name is the order of the text.
+
+    The lines are sorted in ranges, so a part is written by the task that holds
+    its range and nothing is gathered; reading the parts in turn gives the document.
+    """
+    lines = document_lines(nodes, meta)
+    lines.orderBy("part", "tree_id", "key").select("line").write.mode("overwrite").text(path)
 
 
 def write_pmml(doc: DataFrame, path: str) -> None:

@@ -1,8 +1,10 @@
 """PMML documents -> node tables (S3).
 
-Documents are read with ``spark.read.text(wholetext=True)`` (one row per
-file) and parsed inside tasks by ``mapInPandas``; many documents are parsed
-in parallel, each by the task that reads it.  Two dialects are accepted:
+Documents are read as lines, dealt out by document and parsed inside tasks by
+a pull parser that takes the lines in order and emits node rows in batches; it
+holds one path of the open tree, not the document.  Many documents are parsed
+in parallel, and no text reaches the driver.  A document is a file, or a
+folder of parts (``write_forest``).  Two dialects are accepted:
 
 * ``standard``: every Node carries the predicate that leads to it; the root
   and segments carry ``<True/>``.  The children's predicates must be
@@ -29,7 +31,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.operators.growth import NODE_SCHEMA
-from canopy.session import ship_package
+from canopy.operators.treejoin import joined_votes
+from canopy.session import ship_package, stored
 from canopy.sinks.pmml import ModelMeta
 
 META_SCHEMA = T.StructType([
@@ -79,91 +82,180 @@ def _meta(root) -> dict:
             "version": root.get("version"), "outputs": outputs}
 
 
-def _trees(root):
-    model = next(c for c in root if _local(c.tag) in ("MiningModel", "TreeModel"))
-    if _local(model.tag) == "TreeModel":
-        return [model]
-    seg = next(c for c in model if _local(c.tag) == "Segmentation")
-    return [next(c for c in s if _local(c.tag) == "TreeModel") for s in _kids(seg, "Segment")]
+#: Operators of a split's two sides (fixed values).
+SMALLER = {"lessOrEqual": "greaterThan", "lessThan": "greaterOrEqual"}
 
 
-def _dialect(top_node) -> str:
-    first = next((c for c in top_node if _local(c.tag) != "Extension"), None)
-    return "standard" if first is not None and _local(first.tag) == "True" else "legacy"
+class DocumentParser:
+    """Node rows of one document, fed as text in order."""
 
+    def __init__(self, path: str = ""):
+        self.path, self.pull = path, ET.XMLPullParser(("start", "end"))
+        self.stack: list[ET.Element] = []
+        self.open: list[dict] = []          # the Node elements not yet ended, from the root of the tree
+        self.meta: dict | None = None       # known from the first Node on
+        self.tree, self.dialect = -1, None
 
-def _pred(el):
-    return next((c for c in el if _local(c.tag) == "SimplePredicate"), None)
+    def feed(self, text: str) -> Iterator[tuple]:
+        """Rows of ``DOC_SCHEMA`` of the nodes that end in ``text``."""
+        self.pull.feed(text)
+        yield from self._events()
 
+    def close(self) -> Iterator[tuple]:
+        self.pull.close()
+        yield from self._events()
 
-#: Operators of a split's two sides (fixed values).
-SMALLER = {"lessOrEqual": "greaterThan", "lessThan": "greaterOrEqual"}
+    def _events(self) -> Iterator[tuple]:
+        for event, el in self.pull.read_events():
+            name = _local(el.tag)
+            if event == "start":
+                self._start(el, name)
+            else:
+                self.stack.pop()
+                if name == "Node":
+                    yield self._row(self.open.pop(), el)
+                elif self.open and self.stack[-1] is self.open[-1]["el"]:
+                    self._part(self.open[-1], el, name)
+                if self.stack and name in ("Node", "Segment", "SimplePredicate", "ScoreDistribution"):
+                    self.stack[-1].remove(el)  # what has been read is not kept
+
+    def _start(self, el: ET.Element, name: str) -> None:
+        up = self.open[-1] if self.open and self.stack[-1] is self.open[-1]["el"] else None
+        if len(self.open) == 1 and up is not None and self.dialect is None and name != "Extension":
+            self.dialect = "standard" if name == "True" else "legacy"
+        self.stack.append(el)
+        if name == "TreeModel":
+            self.tree += 1
+            self.dialect = None
+        elif name == "Node":
+            if self.meta is None:
+                self.meta = _meta(self.stack[0])
+                self.features = {f: i for i, f in enumerate(self.meta["features"])}
+                self.classes = {c: i for i, c in enumerate(self.meta["classes"] or [])}
+            node = {"el": el, "id": None if up else 1, "split": None, "kids": [], "counts": {}, "up": up["id"] if up else None}
+            if up is not None:
+                if up["id"] is None:
+                    raise ValueError("a child without a split predicate")
+                if self.dialect == "legacy":
+                    node["id"] = 2 * up["id"] + len(up["kids"])
+                up["kids"].append(node)
+            self.open.append(node)
+
+    def _part(self, node: dict, el: ET.Element, name: str) -> None:
+        if name == "SimplePredicate" and node["split"] is None:
+            node["split"] = (el.get("field"), el.get("operator"), float(el.get("value")))
+            if node["id"] is None:
+                op = node["split"][1]
+                if op not in SMALLER and op not in SMALLER.values():
+                    raise ValueError(f"the children's predicates are no complements: {op}")
+                node["id"] = 2 * node["up"] + (op not in SMALLER)
+        elif name == "ScoreDistribution":
+            node["counts"][el.get("value")] = float(el.get("recordCount"))
+
+    def _threshold(self, node: dict) -> tuple[str, float]:
+        """(field, threshold) of an inner node: the larger value that goes left."""
+        if self.dialect != "standard":
+            if node["split"] is None:
+                raise ValueError("inner node without a split predicate")
+            return node["split"][0], node["split"][2]
+        left, right = sorted(node["kids"], key=lambda k: k["id"] or 0)
+        if left["split"] is None or right["split"] is None:
+            raise ValueError("a child without a split predicate")
+        (f, op, value), (g, other, same) = left["split"], right["split"]
+        if SMALLER.get(op) != other or f != g or value != same:
+            raise ValueError(f"the children's predicates are no complements: {left['split']} and {right['split']}")
+        return f, value if op == "lessOrEqual" else math.nextafter(value, -math.inf)
+
+    def _row(self, node: dict, el: ET.Element) -> tuple:
+        i, kids = node["id"], node["kids"]
+        if i is None:
+            raise ValueError("a child without a split predicate")
+        root = i == 1
+        where = (self.path, self.tree, i, None if root else i // 2, None if root else i % 2 == 0, i.bit_length() - 1)
+        count, score = el.get("recordCount"), el.get("score")
+        classes = self.meta["classes"]
+        if score is not None:
+            score = float(self.classes[score]) if not self.meta["regression"] and score in self.classes else float(score)
+        counts = [node["counts"].get(c, 0.0) for c in classes] if node["counts"] and classes else None
+        facts = (score, counts, int(float(count)) if count is not None else None, None, None)
+        if not kids:
+            return (*where, None, None, None, None, None, *facts)
+        if len(kids) != 2:
+            raise ValueError("only binary splits are supported")
+        name, threshold = self._threshold(node)
+        for k in kids:
+            k["el"] = None
+        return (*where, self.features.get(name), name, threshold, 2 * i, 2 * i + 1, *facts)
 
 
-def _split(left, right) -> tuple:
-    """(left, right, field, threshold) of two children in the standard dialect."""
-    a, b = _pred(left), _pred(right)
-    if a is None or b is None:
-        raise ValueError("a child without a split predicate")
-    if b.get("operator") in SMALLER:
-        left, right, a, b = right, left, b, a
-    if SMALLER.get(a.get("operator")) != b.get("operator") or a.get("field") != b.get("field") or float(a.get("value")) != float(b.get("value")):
-        raise ValueError(f"the children's predicates are no complements: {a.attrib} and {b.attrib}")
-    value = float(a.get("value"))
-    return left, right, a.get("field"), value if a.get("operator") == "lessOrEqual" else math.nextafter(value, -math.inf)
+def parse_document(text: str, path: str = "") -> tuple[dict, list[tuple]]:
+    """One PMML document -> (meta, node rows of ``DOC_SCHEMA``)."""
+    parser = DocumentParser(path)
+    rows = [*parser.feed(text), *parser.close()]
+    if parser.meta is None:
+        raise ValueError("a document without a tree")
+    return parser.meta, sorted(rows, key=lambda r: (r[1], r[2]))
 
 
-def _counts(node, classes) -> list[float] | None:
-    """Records per class of a node's ScoreDistribution elements (None: it has none)."""
-    held = {e.get("value"): float(e.get("recordCount")) for e in _kids(node, "ScoreDistribution")}
-    return [held.get(c, 0.0) for c in classes] if held and classes else None
+#: Node rows of one batch of the parser's output.
+BATCH_ROWS = 10_000
 
 
-def parse_document(text: str, path: str = "") -> tuple[dict, list[tuple]]:
-    """One PMML document -> (meta, node rows of ``DOC_SCHEMA``)."""
-    root = ET.fromstring(text)
-    meta = _meta(root)
-    feats = meta["features"]
-    classes = meta["classes"]
-    rows: list[tuple] = []
-
-    def score(node):
-        s = node.get("score")
-        if s is None:
-            return None
-        if meta["regression"]:
-            return float(s)
-        return float(classes.index(s)) if s in classes else float(s)
-
-    for tree_id, tree in enumerate(_trees(root)):
-        top = _kids(tree, "Node")[0]
-        dialect = _dialect(top)
-        stack = [(top, 1, None, None, 0)]
-        while stack:
-            node, hid, parent, is_left, depth = stack.pop()
-            kids = _kids(node, "Node")
-            count = node.get("recordCount")
-            rc = int(float(count)) if count is not None else None
-            if not kids:
-                rows.append((path, tree_id, hid, parent, is_left, depth, None, None, None, None, None,
-                             score(node), _counts(node, classes), rc, None, None))
-                continue
-            if len(kids) != 2:
-                raise ValueError("only binary splits are supported")
-            left, right = kids
-            if dialect == "standard":
-                left, right, name, thr = _split(left, right)
-            else:
-                p = _pred(node)
-                if p is None:
-                    raise ValueError("inner node without a split predicate")
-                name, thr = p.get("field"), float(p.get("value"))
-            rows.append((path, tree_id, hid, parent, is_left, depth, feats.index(name) if name in feats else None,
-                         name, thr, 2 * hid, 2 * hid + 1, score(node), _counts(node, classes), rc, None, None))
-            stack.append((right, 2 * hid + 1, hid, False, depth + 1))
-            stack.append((left, 2 * hid, hid, True, depth + 1))
-    rows.sort(key=lambda r: (r[1], r[2]))
-    return meta, rows
+def document_lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """Lines of the documents under ``path``, in order (document, file, block, no, line).
+
+    A document is a file, or with ``parts`` everything under ``path`` in order of the file names.
+    """
+    rows = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    return rows.select((F.lit(path) if parts else F.col("file_path")).alias("document"), F.col("file_path").alias("file"),
+                       F.col("file_block_start").alias("block"), F.monotonically_increasing_id().alias("no"), F.col("value").alias("line")
+                       ).where(F.trim("line") != "")
+
+
+def _by_document(lines: DataFrame) -> DataFrame:
+    return lines.repartition("document").sortWithinPartitions("document", "file", "block", "no").select("document", "line")
+
+
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Node rows (``path`` + NODE_SCHEMA) of documents given as ``document_lines``; a document is read by one task, as a stream."""
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parser, rows = None, []
+        for pdf in batches:
+            for document, line in zip(pdf["document"], pdf["line"]):
+                if parser is None or parser.path != document:
+                    rows += parser.close() if parser else []
+                    parser = DocumentParser(document)
+                rows += parser.feed(line)
+                if len(rows) >= BATCH_ROWS:
+                    yield pd.DataFrame(rows, columns=DOC_SCHEMA.fieldNames())
+                    rows = []
+        rows += parser.close() if parser else []
+        yield pd.DataFrame(rows, columns=DOC_SCHEMA.fieldNames())
+
+    ship_package(lines.sparkSession)
+    return _by_document(lines).mapInPandas(parse, DOC_SCHEMA)
+
+
+def lines_meta(lines: DataFrame) -> DataFrame:
+    """One meta row (META_SCHEMA) per document given as ``document_lines``."""
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parser, done = None, None
+        for pdf in batches:
+            out = []
+            for document, line in zip(pdf["document"], pdf["line"]):
+                if document == done:
+                    continue
+                if parser is None or parser.path != document:
+                    parser = DocumentParser(document)
+                for _ in parser.feed(line):
+                    pass
+                if parser.meta is not None:
+                    done = document
+                    out.append((document, *[parser.meta[f] for f in META_SCHEMA.fieldNames()[1:]]))
+            yield pd.DataFrame(out, columns=META_SCHEMA.fieldNames())
+
+    ship_package(lines.sparkSession)
+    return _by_document(lines).mapInPandas(parse, META_SCHEMA)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -203,17 +295,56 @@ def pmml_meta(docs: DataFrame, text_col: str = "value") -> DataFrame:
     return docs.select("path", text_col).mapInPandas(parse, META_SCHEMA)
 
 
+def model_meta(m: dict) -> ModelMeta:
+    """A row of META_SCHEMA as the settings of a document."""
+    return ModelMeta(tuple(m["features"]), m["label"], None if m["regression"] else tuple(m["classes"]),
+                     **{k: m[k] for k in ("model_name", "algorithm", "description", "version") if m[k] is not None})
+
+
 def forest_from_pmml(spark: SparkSession, path: str) -> tuple[DataFrame, ModelMeta]:
-    """S3: read ONE document file -> (node table, meta).
+    """S3: ONE document, a file or parts in order under ``path`` -> (node table, meta).
 
-    Several documents under ``path`` are refused (``pmml_nodes`` and
-    ``pmml_meta`` keep them apart by path).  A model is bounded by its
-    document, so it is parsed once and becomes a local table.
+    Several documents under ``path`` are refused (``documents_from_pmml``
+    keeps them apart).  The nodes are parsed once, by a task, into a table.
     """
-    docs = read_documents(spark, path).where(F.trim("value") != "").limit(2).collect()
-    if len(docs) != 1:
-        raise ValueError(f"{'several' if docs else 'no'} documents under {path}")
-    m, rows = parse_document(docs[0]["value"], docs[0]["path"])
-    meta = ModelMeta(tuple(m["features"]), m["label"], None if m["regression"] else tuple(m["classes"]),
-                     **{k: m[k] for k in ("model_name", "algorithm", "description", "version") if m[k] is not None})
-    return spark.createDataFrame([r[1:] for r in rows], NODE_SCHEMA), meta
+    lines = document_lines(spark, path, parts=True)
+    begun = lines.where(F.col("line").rlike("<(\\w+:)?PMML[\\s>]")).count()
+    if begun != 1:
+        raise ValueError(f"{'several' if begun else 'no'} documents under {path}")
+    nodes = stored(parsed_lines(lines).drop("path"), "nodes")
+    return nodes, model_meta(lines_meta(lines).first().asDict())
+
+
+def documents_from_pmml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """S3: every document (file) under ``path`` -> (node rows with ``path``, meta rows), each parsed by a task of its own."""
+    lines = document_lines(spark, path)
+    return stored(parsed_lines(lines), "nodes"), stored(lines_meta(lines), "meta")
+
+
+def score_documents(df: DataFrame, nodes: DataFrame, meta: DataFrame) -> DataFrame:
+    """Every row of ``df`` scored by every document of ``documents_from_pmml``: its columns, ``path`` and ``prediction``.
+
+    The models stay tables (one join per level of a tree); only their names,
+    numbers of trees and class counts reach the driver.  Majority vote (ties ->
+    lowest class) or mean, as the document says.
+    """
+    models = {r["path"]: r for r in meta.collect()}
+    sizes = {r["path"]: r["trees"] for r in nodes.groupBy("path").agg((F.max("tree_id") + 1).alias("trees")).collect()}
+    first, total = {}, 0
+    for p in sorted(sizes):
+        first[p], total = total, total + sizes[p]
+    start = F.coalesce(*[F.when(F.col("path") == p, F.lit(k)) for p, k in first.items()])
+    scored, names = joined_votes(df, nodes.withColumn("tree_id", F.col("tree_id") + start))
+    entries = []
+    for p, k in first.items():
+        votes = F.array_compact(F.array(*names[k:k + sizes[p]]))
+        if models[p]["regression"]:
+            vote = F.aggregate(votes, F.lit(0.0), lambda acc, v: acc + v) / F.nullif(F.size(votes), F.lit(0))
+        else:
+            # a NULL vote counts for none; the first of the largest counts wins
+            counts = F.transform(F.sequence(F.lit(0), F.lit(len(models[p]["classes"]) - 1)),
+                                 lambda c: F.struct(F.size(F.filter(votes, lambda v: v == c)).alias("n"), (-c).alias("k")))
+            vote = F.when(F.size(votes) > 0, (-F.array_max(counts)["k"]).cast("double"))
+        entries.append(F.struct(F.lit(p).alias("path"), vote.alias("prediction")))
+    own = ["`" + c.replace("`", "``") + "`" for c in df.columns]
+    return scored.select(*own, F.explode(F.array(*entries)).alias("__e")).select(*own, "__e.path", "__e.prediction")

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from canopy.plans.checks import CHECKS
+from canopy.plans.large import LARGE, LARGE_SQL
 from canopy.plans.oracle import ORACLE_SQL
 from canopy.plans.queries import QUERIES
 from conftest import SF_SMALL
@@ -33,7 +34,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL | LARGE_SQL))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF_SMALL)
     res = con.execute(E.oracle_sql()[name])
@@ -43,9 +44,9 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_runs(spark):
-    for name in QUERIES | CHECKS:
+    for name in QUERIES | CHECKS | LARGE:
         fn = E.queries()[name]
-        if name in ORACLE_SQL:
+        if name in ORACLE_SQL | LARGE_SQL:
             continue
         assert fn(spark, SF_SMALL).count() >= 0, name
 

@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 from canopy.plans.checks import CHECKS
+from canopy.plans.large import LARGE
 from canopy.plans.queries import QUERIES
 from conftest import SF_SMALL
 
@@ -20,7 +21,7 @@ def plan_of(df, mode="formatted") -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES | CHECKS))
+@pytest.mark.parametrize("name", sorted(QUERIES | CHECKS | LARGE))
 def test_no_cartesian_products(spark, name):
     plan = plan_of(E.queries()[name](spark, SF_SMALL))
     assert not any(b in plan for b in BAD), plan

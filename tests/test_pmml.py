@@ -1,15 +1,16 @@
 import xml.etree.ElementTree as ET
 
 import pytest
+from pyspark.sql import functions as F
 
 from canopy.models import iris
 from canopy.operators.growth import NODE_SCHEMA
-from canopy.operators.nodes import score_nodes
+from canopy.operators.nodes import predict_classes, score_nodes
 from canopy.plans.checks import legacy_document
-from canopy.plans.inputs import iris_like
+from canopy.plans.inputs import KEYS, iris_like
 from canopy.session import scratch_path
-from canopy.sinks.pmml import ModelMeta, forest_to_pmml, write_pmml
-from canopy.sources.pmml import forest_from_pmml, parse_document, read_documents
+from canopy.sinks.pmml import ModelMeta, forest_to_pmml, write_forest, write_pmml
+from canopy.sources.pmml import DocumentParser, documents_from_pmml, forest_from_pmml, parse_document, read_documents, score_documents
 from conftest import SF_SMALL
 
 META = ModelMeta(tuple(iris.FEATURES), iris.LABEL, tuple(iris.CLASSES))
@@ -132,3 +133,58 @@ def test_spark_regression_forest_roundtrip(spark):
     a = predict_mean(df, nodes).select("prediction").collect()
     b = predict_mean(df, back).select("prediction").collect()
     assert a == b
+
+
+def _forest(spark, trees, depth):
+    from test_large_models import complete_forest
+    return complete_forest(spark, trees, depth)
+
+
+def test_parts_are_the_document(spark):
+    """The parts in order of their names are one well-formed document, the same as the one-row form, and read back as the same nodes."""
+    import glob
+    nodes = _forest(spark, 3, 9)
+    meta = ModelMeta(("x",), "y", None)
+    path = scratch_path(spark, "pmml-test")
+    nodes = nodes.union(iris.forest_table(spark, [iris.R_FOREST[2]]).withColumn("tree_id", F.lit(3)).withColumn("feature_name", F.when(F.col("left_id").isNotNull(), F.lit("x"))))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    write_forest(nodes, meta, path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(glob.glob(path.removeprefix("file:") + "/part-*"))
+    text = "".join(open(f, encoding="utf-8").read() for f in files)
+    assert len(files) > 1 and text.replace("\n", "") == forest_to_pmml(nodes, meta).first()["pmml"]
+    ET.fromstring(text)
+    back, found = forest_from_pmml(spark, path)
+    assert found == meta
+    assert sorted(back.select(*COLS).collect()) == sorted(nodes.select(*COLS).collect())
+
+
+def test_parser_takes_any_cut(spark):
+    doc = forest_to_pmml(iris.forest_table(spark, iris.R_FOREST), META).first()["pmml"]
+    whole = parse_document(doc)
+    for size in (1, 7, 1000):
+        parser = DocumentParser()
+        rows = [r for i in range(0, len(doc), size) for r in parser.feed(doc[i:i + size])] + [*parser.close()]
+        assert (parser.meta, sorted(rows, key=lambda r: (r[1], r[2]))) == whole
+    parser = DocumentParser()
+    most = 0
+    for i in range(0, len(doc), 50):
+        for _ in parser.feed(doc[i:i + 50]):
+            pass
+        most = max(most, sum(1 for _ in parser.stack[0].iter()) if parser.stack else 0)
+    assert most < 60 < doc.count("<")  # what has been read is not kept
+
+
+def test_documents_side_by_side(spark):
+    path = scratch_path(spark, "pmml-test")
+    forests = [iris.R_FOREST, iris.SPARK_FOREST]
+    for k, forest in enumerate(forests):
+        write_pmml(forest_to_pmml(iris.forest_table(spark, forest), META), f"{path}/{k}")
+    nodes, meta = documents_from_pmml(spark, f"{path}/*")
+    assert meta.count() == 2 and nodes.select("path").distinct().count() == 2
+    data = iris_like(spark, SF_SMALL)
+    got = score_documents(data, nodes, meta)
+    for k, forest in enumerate(forests):
+        want = predict_classes(data, iris.forest_table(spark, forest), 3).select(*KEYS, "prediction")
+        mine = got.where(F.col("path").contains(f"/{k}/")).select(*KEYS, "prediction")
+        assert mine.exceptAll(want).isEmpty() and want.exceptAll(mine).isEmpty()
