@@ -1,15 +1,20 @@
 """Hold-out metrics as one-row DataFrames.
 
-Every metric of a report is computed in ONE aggregate, so the predictions
+Every metric of a report comes from ONE aggregate, so the predictions
 are produced once and scanned once; partial aggregation runs map-side and
-only one row per partition is shuffled.
+only a few rows per partition are shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from canopy.functions.exact import Term, exact_totals, finished, products, root, with_one_group
+
 
 def predictions(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """The (prediction, label) pair."""
@@ -53,33 +58,38 @@ def pooled_error_rate(df: DataFrame, prediction: str = "prediction", label: str
     )
 
 
-def regression_aggregates(prediction: str = "prediction", label: str = "label") -> list[Column]:
-    """A3-A6 as aggregate columns: n, n_missing, rmse, mae, r2_pearson, r2_sse.
+def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label", keys: Sequence[str] = ()) -> DataFrame:
+    """N, n_missing, rmse, mae, r2_pearson, r2_sse over all rows, or per group of ``keys``, in one pass.
 
     All figures are over the pairs whose prediction and label are both
     present (``n`` counts them); ``n_missing`` counts the other rows.
 
-    * r2_pearson = squared Pearson correlation (``regr_r2``), NULL when the
-      label is constant; ``regr_r2`` needs no ANSI-unsafe division.
-    * r2_sse = 1 - SSE/SST with SST = n * var_pop(label) (Spark's var_pop
-      merges partial moments stably, so no second pass for the mean).
+    * r2_pearson = squared Pearson correlation, NULL when label or prediction is constant;
+    * r2_sse = 1 - SSE/SST, NULL when the label is constant.
+
+    They come from exact sums (of the values, their squares and their
+    product), so they do not depend on the order or partitioning of the rows.
+    A pair that is not finite makes them NaN.
     """
-    both = F.col(prediction).isNotNull() & F.col(label).isNotNull()
-    p = F.when(both, F.col(prediction).cast("double"))
-    y = F.when(both, F.col(label).cast("double"))
-    d = p - y
-    n = F.count(d)
-    sst = F.var_pop(y) * n
-    return [
-        n.alias("n"),
-        F.count_if(~both).alias("n_missing"),
-        F.sqrt(F.avg(d * d)).alias("rmse"),
-        F.avg(F.abs(d)).alias("mae"),
-        F.when(F.min(y) != F.max(y), F.regr_r2(y, p)).alias("r2_pearson"),
-        (F.lit(1.0) - F.try_divide(F.sum(d * d), F.when(sst != 0, sst))).alias("r2_sse"),
-    ]
-
-
-def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
-    """K2 for a regression: ``regression_aggregates`` over all rows, in one pass."""
-    return df.agg(*regression_aggregates(prediction, label))
+    rows = df.select(*keys, F.col(prediction).cast("double").alias("__p"), F.col(label).cast("double").alias("__y"))
+
+    def terms(p: np.ndarray, y: np.ndarray, missing: list[np.ndarray]) -> list[Term]:
+        gone = missing[0] | missing[1]
+        own = [("n", np.ones(len(p))), ("p", p), ("y", y), ("mae", np.abs(p - y)), *products("pp", p, p), *products("yy", y, y), *products("py", p, y)]
+        return [("rows", np.ones(len(p))), *[(name, np.ma.array(x, mask=gone)) for name, x in own]]
+
+    totals = exact_totals(rows, keys, ["__p", "__y"], terms)
+    totals = totals if keys else with_one_group(totals)
+
+    def finish(v: dict) -> tuple:
+        n, rows = int(v.get("n", 0)), int(v.get("rows", 0))
+        if not n:
+            return 0, rows, None, None, None, None
+        if any(isinstance(x, float) for x in v.values()):
+            return n, rows - n, *[float("nan")] * 4
+        sse = v["pp"] - 2 * v["py"] + v["yy"]
+        vary, varp, cov = n * v["yy"] - v["y"] ** 2, n * v["pp"] - v["p"] ** 2, n * v["py"] - v["p"] * v["y"]
+        return (n, rows - n, root(sse / n), float(v["mae"] / n), float(cov ** 2 / (vary * varp)) if vary and varp else None,
+                float(1 - sse * n / vary) if vary else None)
+
+    return finished(totals, "n long, n_missing long, rmse double, mae double, r2_pearson double, r2_sse double", finish)

@@ -13,9 +13,8 @@ from pyspark.sql import functions as F
 from canopy.functions.metrics import regression_metrics
 from canopy.models import iris
 from canopy.operators import mltrees
-from canopy.operators.linear import describe_linear, linear_sgd
+from canopy.operators.linear import describe_linear, scaled_linear_sgd
 from canopy.operators.nodes import predict_classes, predict_mean
-from canopy.operators.scaling import fit_standardizer, standardize
 from canopy.operators.splits import bernoulli_sample, hash_split, random_split
 from canopy.operators.splitscan import gini_split_scan
 from canopy.plans import jobs
@@ -109,7 +108,7 @@ def q_linear_sgd_nulls(spark: SparkSession, sf: str) -> DataFrame:
     line = F.col("l_linenumber")
     rows = rows.withColumn("l_quantity", F.when(line != 3, F.col("l_quantity"))).withColumn("label", F.when(line != 5, F.col("label")))
     train, _ = hash_split(rows, KEYS, LINEAR_TRAIN_FRAC)
-    model = linear_sgd(standardize(train, fit_standardizer(train, FEATURES)), FEATURES, "label", steps=100, step=0.1)
+    _, model = scaled_linear_sgd(train, FEATURES, "label", steps=100, step=0.1)
     dropped = spark.createDataFrame([("dropped", float(model.dropped))], "term string, weight double")
     return describe_linear(spark, model).union(dropped).select("term", _r("weight", 4))
 

@@ -16,10 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopy.functions.columns import hash_unit, hex_unit, md5_hex, md5_unit
-from canopy.functions.metrics import error_rate, regression_aggregates, regression_metrics, wrong
+from canopy.functions.metrics import error_rate, regression_metrics, wrong
 from canopy.operators import mltrees
 from canopy.operators.growth import TreeSpec, grow_trees
-from canopy.operators.linear import LinearModel, linear_sgd, predict_linear
+from canopy.operators.linear import LinearModel, linear_sgd, predict_linear, scaled_linear_sgd
 from canopy.operators.nodes import predict_classes, predict_mean
 from canopy.operators.scaling import fit_standardizer, standardize
 from canopy.operators.splits import hash_split, holdout_complement
@@ -186,13 +186,25 @@ def _split(df: DataFrame, cols: Sequence[str], label: str, key_cols: Sequence[st
     return train, holdout_complement(df, train)
 
 
+def _forest(train: DataFrame, cols: Sequence[str], label: str, key_cols: Sequence[str] | None, task: str, trees: int, seed: int, engine: str) -> DataFrame:
+    """Node table of a forest: ``engine='level'`` is the reproducible one (the same on any partitioning), ``'ml'`` Spark's learner."""
+    if engine == "level":
+        return random_forest(train, cols, label, key_cols, trees, seed, task)
+    fit = mltrees.forest_classify if task == "classification" else mltrees.forest_regress
+    return mltrees.forest_nodes(fit(train, cols, label, trees=trees, seed=seed), cols)
+
+
 def forest_classification_job(df: DataFrame, cols: Sequence[str], label: str = "label",
                               key_cols: Sequence[str] | None = None, train_frac: float = 0.6,
-                              trees: int = 3, seed: int = mltrees.FOREST_SEED) -> JobResult:
-    """Forest classification: split, fit, export nodes, hard vote, error."""
+                              trees: int = 3, seed: int = mltrees.FOREST_SEED, engine: str = "level") -> JobResult:
+    """Forest classification: split, fit, export nodes, hard vote, error.
+
+    The forest does not depend on how the rows are partitioned (without
+    ``key_cols`` equal rows are drawn by occurrence).
+    """
     keys = list(key_cols) if key_cols else [*cols, label]
     train, test = hash_split(df, keys, train_frac)
-    nodes = mltrees.forest_nodes(mltrees.forest_classify(train, cols, label, trees=trees, seed=seed), cols)
+    nodes = _forest(train, cols, label, key_cols, "classification", trees, seed, engine)
     k = num_classes(df, label)
     pred = predict_classes(test.withColumnRenamed(label, "label") if label != "label" else test, nodes, k)
     return JobResult(nodes, pred, error_rate(pred))
@@ -200,10 +212,11 @@ def forest_classification_job(df: DataFrame, cols: Sequence[str], label: str = "
 
 def forest_regression_job(df: DataFrame, cols: Sequence[str], label: str = "label",
                           key_cols: Sequence[str] | None = None, train_frac: float = 0.6,
-                          trees: int = 3, seed: int = mltrees.FOREST_SEED) -> JobResult:
+                          trees: int = 3, seed: int = mltrees.FOREST_SEED, engine: str = "level") -> JobResult:
+    """Forest regression: split, fit, export nodes, mean vote, metrics; the forest as in ``forest_classification_job``."""
     keys = list(key_cols) if key_cols else [*cols, label]
     train, test = hash_split(df, keys, train_frac)
-    nodes = mltrees.forest_nodes(mltrees.forest_regress(train, cols, label, trees=trees, seed=seed), cols)
+    nodes = _forest(train, cols, label, key_cols, "regression", trees, seed, engine)
     pred = predict_mean(test, nodes)
     return JobResult(nodes, pred, regression_metrics(pred, "prediction", label))
 
@@ -244,11 +257,10 @@ def ensemble_report(scored: DataFrame, label: str = "label", task: str = "classi
     kinds = F.when(voted, F.array(F.lit("voted"))).otherwise(F.array(F.lit("tree"), F.lit("pooled")))
     pairs = own.select("label", "prediction", "tree_id", F.explode(kinds).alias("kind"))
     pairs = pairs.withColumn("tree_id", F.when(F.col("kind") == "tree", F.col("tree_id")))
-    groups = pairs.groupBy("kind", "tree_id")
     if task == "classification":
         bad = wrong("prediction", "label").cast("long")
-        return groups.agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(bad).alias("n_wrong"), F.avg(bad.cast("double")).alias("error_rate"))
-    return groups.agg(*regression_aggregates("prediction", "label"))
+        return pairs.groupBy("kind", "tree_id").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(bad).alias("n_wrong"), F.avg(bad.cast("double")).alias("error_rate"))
+    return regression_metrics(pairs, keys=["kind", "tree_id"])
 
 
 def linear_regression_job(df: DataFrame, cols: Sequence[str], label: str = "label",
@@ -260,7 +272,10 @@ def linear_regression_job(df: DataFrame, cols: Sequence[str], label: str = "labe
     ``linear`` of the result is the fitted model on the scaled features.
     """
     train, test = _split(df, cols, label, key_cols, train_frac)
-    stats = fit_standardizer(df if fit_on == "all" else train, cols)
-    model = linear_sgd(standardize(train, stats), cols, label, steps, step)
+    if fit_on == "all":
+        stats = fit_standardizer(df, cols)
+        model = linear_sgd(standardize(train, stats), cols, label, steps, step)
+    else:
+        stats, model = scaled_linear_sgd(train, cols, label, steps, step)
     pred = predict_linear(standardize(test, stats), model)
     return JobResult(None, pred, regression_metrics(pred, "prediction", label), model)

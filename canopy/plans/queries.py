@@ -16,7 +16,7 @@ from canopy.functions.metrics import error_rate, mispredicted, pooled_error_rate
 from canopy.models import iris
 from canopy.operators import mltrees
 from canopy.operators.growth import TreeSpec, grow_trees
-from canopy.operators.linear import describe_linear, linear_sgd, predict_linear
+from canopy.operators.linear import describe_linear, predict_linear, scaled_linear_sgd
 from canopy.operators.nodes import predict_classes, predict_mean
 from canopy.operators.scaling import fit_standardizer, standardize, standardize_stats
 from canopy.operators.splits import (bernoulli_sample, hash_split, hash_split_counts,
@@ -247,8 +247,7 @@ def q_regression_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 def _linear(spark, sf):
     train, test = _price_split(spark, sf, LINEAR_TRAIN_FRAC)
-    stats = fit_standardizer(train, FEATURES)
-    model = linear_sgd(standardize(train, stats), FEATURES, "label", steps=100, step=0.1)
+    stats, model = scaled_linear_sgd(train, FEATURES, "label", steps=100, step=0.1)
     return model, standardize(test, stats)
 
 

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from canopy.models import iris
 from canopy.plans.inputs import FEATURES, KEYS, lineitem_flags, lineitem_price, table
+from canopy.plans import jobs
 from canopy.plans.jobs import (forest_classification_job, linear_regression_job, poisson_weight,
                                subspace_ensemble_job)
 from canopy.sinks.reports import describe_forest
@@ -102,3 +103,16 @@ def test_cli_takes_settings_and_prints_the_line(spark):
     assert {r["kind"] for r in regress["report"]} == {"tree", "pooled", "voted"}
     bag = run(["bagged-forest", "--input", path, "--names", "a,b,c,y", "--trees", "1"], spark)
     assert bag["report"][0]["n_test"] > 0
+
+
+def test_forest_jobs_do_not_depend_on_partitions(spark):
+    """SURVEY T5: the same rows dealt otherwise grow the same forest and give the same report, with row keys and without."""
+    from canopy.plans.inputs import FEATURES, KEYS, lineitem_flags, lineitem_price
+    for job, rows in ((jobs.forest_classification_job, lineitem_flags(spark, SF_SMALL)), (jobs.forest_regression_job, lineitem_price(spark, SF_SMALL))):
+        for keys in (KEYS, None):
+            data = rows if keys else rows.select("label", *FEATURES)
+            seen = set()
+            for dealt in (data.coalesce(1), data.repartition(7, "l_tax")):
+                r = job(dealt, FEATURES, key_cols=keys)
+                seen.add(str(sorted(map(str, r.nodes.collect()))) + str(r.report.collect()))
+            assert len(seen) == 1
