@@ -690,7 +690,23 @@ UNION ALL SELECT 'pooled', NULL::INTEGER, {_REGRESSION_ROW} FROM pt
 UNION ALL SELECT 'voted', NULL::INTEGER, {_REGRESSION_ROW} FROM pred"""
 
 
+def _ranked_rows(seed: int) -> str:
+    """Rows of lineitem by md5 of seed, row and occurrence: ``place`` from 1, ``n`` rows."""
+    cols = ", ".join([*FEATS, "l_linestatus"])
+    row = ", ".join(f"CAST({c} AS VARCHAR)" for c in [*FEATS, "l_linestatus"])
+    return f"""SELECT *, row_number() OVER (ORDER BY md5(concat_ws('|', '{seed}', {row}, CAST(k AS VARCHAR)))) AS place, count(*) OVER () AS n
+       FROM (SELECT {cols}, row_number() OVER (PARTITION BY {cols}) AS k FROM lineitem)"""
+
+
+RANDOM_SPLIT = f"""
+WITH parts AS (
+  SELECT CASE WHEN place <= floor(0.6 * n + 0.5) THEN 'split_train' ELSE 'split_test' END AS part, * FROM ({_ranked_rows(42)})
+  UNION ALL SELECT 'sample', * FROM ({_ranked_rows(7)}) WHERE place <= floor(0.25 * n + 0.5))
+SELECT part, l_linestatus, count(*) AS n_rows, round(sum(l_quantity), 2) AS quantity, round(sum(l_discount), 4) AS discount
+FROM parts GROUP BY ALL"""
+
 ORACLE_SQL = {
+    "random_split_counts": RANDOM_SPLIT,
     "gini_split_scan_wide": GINI_WIDE,
     "bagged_forest_wide": BAGGED_WIDE,
     "bagged_rows": BAGGED_ROWS,

@@ -19,8 +19,8 @@ from canopy.operators.growth import TreeSpec, grow_trees
 from canopy.operators.linear import describe_linear, predict_linear, scaled_linear_sgd
 from canopy.operators.nodes import predict_classes, predict_mean
 from canopy.operators.scaling import fit_standardizer, standardize, standardize_stats
-from canopy.operators.splits import (bernoulli_sample, hash_split, hash_split_counts,
-                                     holdout_complement, random_split, union_predictions)
+from canopy.operators.splits import (exact_sample, exact_split, hash_split, hash_split_counts,
+                                     holdout_complement, union_predictions)
 from canopy.operators.splitscan import gini_split_scan, num_classes, variance_split_scan
 from canopy.plans.inputs import (FEATURES, KEYS, LINEAR_TRAIN_FRAC, TRAIN_FRAC, iris_frame, iris_like,
                                  lineitem_binary, lineitem_flags, lineitem_price, table)
@@ -80,14 +80,14 @@ def q_holdout_complement(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_random_split_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """D1 + D2: Spark's seeded random split and Bernoulli sample, counted."""
-    li = table(spark, sf, "lineitem").select(*KEYS)
-    a, b = random_split(li, [0.6, 0.4], seed=42)
-    s = bernoulli_sample(li, 0.6, seed=42)
-    return (a.select(F.lit("split_train").alias("part"))
-             .unionByName(b.select(F.lit("split_test").alias("part")))
-             .unionByName(s.select(F.lit("sample").alias("part")))
-             .groupBy("part").agg(F.count(F.lit(1)).alias("n_rows")))
+    """D1 + D2 with exact shares: rows and sums of each part of a random split and of a sample; equal rows may fall on both sides."""
+    li = table(spark, sf, "lineitem").select(*FEATURES, "l_linestatus")
+    a, b = exact_split(li, [0.6, 0.4], seed=42)
+    s = exact_sample(li, 0.25, seed=7)
+    parts = [p.withColumn("part", F.lit(n)) for n, p in (("split_train", a), ("split_test", b), ("sample", s))]
+    return (parts[0].unionByName(parts[1]).unionByName(parts[2])
+            .groupBy("part", "l_linestatus").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("l_quantity"), 2).alias("quantity"),
+                                                 F.round(F.sum("l_discount"), 4).alias("discount")))
 
 
 # ------------------------------------------------------------ scaling
@@ -437,7 +437,6 @@ QUERIES = {
     "tree_depth5": q_tree_depth5,
     "subspace_vote": q_subspace_vote,
     "subspace_mean": q_subspace_mean,
-    # no SQL form: rows-only
     "random_split_counts": q_random_split_counts,
     "tree_classify": q_tree_classify,
     "tree_regress": q_tree_regress,

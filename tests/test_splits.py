@@ -1,5 +1,7 @@
+import pytest
 
-from canopy.operators.splits import hash_split, hash_split_counts, holdout_complement
+
+from canopy.operators.splits import exact_sample, exact_split, hash_split, hash_split_counts, holdout_complement
 from canopy.plans.inputs import KEYS, table
 from conftest import SF_SMALL
 
@@ -42,3 +44,27 @@ def test_xxhash_split_partition_independent(spark):
     b, _ = hash_split(li.repartition(5), KEYS, 0.3, method="xxhash64")
     assert sorted(a.collect()) == sorted(b.collect())
     assert abs(a.count() / li.count() - 0.3) < 0.05
+
+
+def test_exact_shares(spark):
+    """Parts have exactly their share, are the rows together, and are the same on any partitioning; equal rows are split too."""
+    rows = [(1, "a")] * 5000 + [(None, "b"), (None, None), (2, None)] * 3 + [(i, "c") for i in range(991)]
+    df = spark.createDataFrame(rows, "x int, y string")
+    parts = exact_split(df, [1, 2, 0, 1], seed=3)
+    assert [p.count() for p in parts] == [1500, 3000, 0, 1500]
+    whole = parts[0].unionAll(parts[1]).unionAll(parts[3])
+    assert whole.exceptAll(df).isEmpty() and df.exceptAll(whole).isEmpty()
+    assert all(0.7 < p.where("x = 1").count() / (5000 * p.count() / 6000) < 1.3 for p in (parts[0], parts[1], parts[3]))
+    again = exact_split(df.repartition(7), [1, 2, 0, 1], seed=3)
+    assert all(a.exceptAll(b).isEmpty() for a, b in zip(parts, again))
+    assert not exact_split(df, [1, 3], seed=4)[0].exceptAll(parts[0]).isEmpty()
+
+
+def test_exact_sample_edges(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    assert [exact_sample(df, f).count() for f in (0.0, 0.1, 0.5, 1.0)] == [0, 0, 2, 3]
+    assert exact_sample(df.limit(0), 0.5).count() == 0
+    with pytest.raises(ValueError):
+        exact_split(df, [])
+    with pytest.raises(ValueError):
+        exact_sample(df, 1.5)
