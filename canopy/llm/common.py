@@ -23,10 +23,15 @@ def written(df: DataFrame, kind: str, row_group_mb: int = 0) -> DataFrame:
     stages do not compute ``df`` again.  ``row_group_mb`` bounds what the
     writer buffers (for rows of several megabytes).
     """
+    return written_at(df, kind, row_group_mb)[0]
+
+
+def written_at(df: DataFrame, kind: str, row_group_mb: int = 0) -> tuple[DataFrame, str]:
+    """As ``written``, with the path, for a table that is dropped (``drop_scratch``) once it has been read for the last time."""
     spark = df.sparkSession
     path = scratch_path(spark, kind)
     (df.write.option("parquet.block.size", row_group_mb << 20) if row_group_mb else df.write).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def text_or_empty(column: str | Column) -> Column:

@@ -1,8 +1,8 @@
 """Packing documents into fixed windows by lexical retrieval.
 
 Documents are encoded once; every window a document fills by itself is cut
-off its front.  What remains (less than one window per document) is dealt to
-shards of about ``shard_documents`` rows by a lexical key: the heaviest term
+off its front where it is read and takes no part in any shuffle.  What remains
+(less than one window per document) is dealt to shards of about ``shard_documents`` rows by a lexical key: the heaviest term
 that another remainder has among its heaviest too.  Each shard keeps a BM25 inverted
 index of its remainders, with document frequencies and lengths taken over the
 whole corpus.  A seed document opens a window; the index ranks the unused
@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.llm.bpe import encode_ids, encoding
-from canopy.llm.common import text_or_empty, workers_ready, written
+from canopy.llm.common import text_or_empty, workers_ready, written, written_at
 from canopy.llm.tables import counted
+from canopy.session import drop_scratch
 
 WINDOW = 2048
 #: Remainders in one shard of the index, on average.
@@ -145,8 +146,8 @@ def _encoded(rows: DataFrame, ranks: str, pattern: str, end_id: int) -> DataFram
     return rows.mapInArrow(run, f"row bigint, id {kind}, ids binary")
 
 
-def dealt(encoded: DataFrame, heaviest: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], window: int, shard_documents: int) -> DataFrame:
-    """(row, shard) of ``encoded`` (row, ids): remainders with the same key share a shard.
+def dealt(rests: DataFrame, heaviest: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], shard_documents: int) -> DataFrame:
+    """(row, shard) of the remainders ``rests`` (row, ids): those with the same key share a shard.
 
     ``heaviest`` gives a remainder's heaviest terms and their weights.  A key
     is counted exactly; only one with more than ``shard_documents`` rows is
@@ -155,28 +156,37 @@ def dealt(encoded: DataFrame, heaviest: Callable[[np.ndarray], tuple[np.ndarray,
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [heaviest(x[len(x) // window * window:]) for x in (np.frombuffer(i.as_py(), "<u2") for i in b["ids"])]
+            found = [heaviest(np.frombuffer(i.as_py(), "<u2")) for i in b["ids"]]
             row = np.repeat(b["row"].to_numpy(), [len(t) for t, _ in found])
             term, weight = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(term.view(np.int64)), pa.array(weight)], ["row", "term", "weight"])
 
-    proposed = written(encoded.select("row", "ids").mapInArrow(run, "row bigint, term bigint, weight double"), "proposed")
+    proposed, path = written_at(rests.select("row", "ids").mapInArrow(run, "row bigint, term bigint, weight double"), "proposed")
     shared = proposed.groupBy("term").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("term")
     keys = proposed.join(shared, "term").groupBy("row").agg(F.max_by("term", F.struct("weight", "term")).alias("key"))
-    keys = written(encoded.select("row").join(keys, "row", "left"), "keys")
-    shards = max(1, -(-encoded.count() // shard_documents))
+    keys = written(rests.select("row").join(keys, "row", "left"), "keys")
+    drop_scratch(rests.sparkSession, path)
+    shards = max(1, -(-keys.count() // shard_documents))
     large, first = [], shards
     # at most one key in shard_documents rows
     for r in keys.where("key is not null").groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > shard_documents).orderBy("key").toLocalIterator():
         parts = -(-r.n // shard_documents)
         large.append((r.key, first, parts))
         first += parts
-    own = encoded.sparkSession.createDataFrame(large, "key bigint, first bigint, parts bigint")
+    own = rests.sparkSession.createDataFrame(large, "key bigint, first bigint, parts bigint")
     among = F.pmod(F.xxhash64("row"), F.coalesce("parts", F.lit(shards)))
     shard = F.when(F.col("first").isNotNull(), F.col("first") + among).when(F.col("key").isNull(), among).otherwise(F.pmod(F.xxhash64("key"), F.lit(shards)))
     return keys.join(F.broadcast(own), "key", "left").select("row", shard.cast("bigint").alias("shard"))
 
 
+def _pieces(rows: list[tuple], id_type: pa.DataType) -> pa.RecordBatch:
+    """Rows (id, start, length, ids, doc_tokens, sequence_id, offset) as a batch."""
+    cols = list(zip(*rows, strict=True))
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([x.as_py() for x in cols[0]], id_type), *[pa.array(c, t) for c, t in zip(cols[1:], types, strict=True)]],
+                                      ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+
+
 def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 1,
          window: int = WINDOW, shard_documents: int = SHARD_DOCUMENTS) -> DataFrame:
     """Pieces: id, start, length, ids (little-endian unsigned 32-bit), doc_tokens, sequence_id, offset.
@@ -216,24 +226,35 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
         top = np.lexsort((term, -weight))[:KEY_TERMS]
         return term[top], weight[top]
 
-    shard_of = dealt(encoded, heaviest, window, shard_documents)
-    rows = (encoded.join(shard_of.hint("shuffle_hash"), "row")
-            .repartition("shard").sortWithinPartitions("shard", "row").select("shard", "id", "ids"))
+    whole = F.floor(F.length("ids") / (2 * window)).cast("int") * window  # tokens in windows of their own
+    rests = encoded.withColumn("start", whole).select("row", "id", "start", F.col("ids").substr(2 * F.col("start") + 1, F.length("ids")).alias("ids")).where(F.length("ids") > 0)
+    shard_of = dealt(rests, heaviest, shard_documents)
+    rows = (rests.join(shard_of.hint("shuffle_hash"), "row")
+            .repartition("shard").sortWithinPartitions("shard", "row").select("shard", "id", "start", "ids"))
     kind = encoded.schema["id"].dataType.simpleString()
 
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows that documents fill by themselves, numbered downwards from -1 in each partition's range."""
+        count = 0
+        for b in batches:
+            out: list[tuple] = []
+            for part, doc, raw in zip(b["part"].to_pylist(), b["id"], b["ids"], strict=True):
+                ids = np.frombuffer(raw.as_py(), "<u2")
+                for at in range(0, len(ids) // window * window, window):
+                    out.append((doc, at, window, ids[at:at + window].astype("<u4").tobytes(), len(ids), -1 - (part << 40) - count, 0))
+                    count += 1
+                    if len(out) >= 4096:
+                        yield _pieces(out, b["id"].type)
+                        out = []
+            if out:
+                yield _pieces(out, b["id"].type)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opens = _word_starts(ranks, pattern)
         id_type, shard, count = None, None, 0
         rests: list[tuple[pa.Scalar, np.ndarray, int]] = []
         out: list[tuple] = []
 
-        def table() -> pa.RecordBatch:
-            cols = list(zip(*out, strict=True))
-            out.clear()
-            types = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays([pa.array([x.as_py() for x in cols[0]], id_type), *[pa.array(c, t) for c, t in zip(cols[1:], types, strict=True)]],
-                                              ["id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-
         def close() -> None:
             """Lays out the remainders of the shard that ended."""
             nonlocal count
@@ -255,23 +276,20 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
 
         for b in batches:
             id_type = b["id"].type
-            for s, doc, raw in zip(b["shard"].to_pylist(), b["id"], b["ids"], strict=True):
+            for s, doc, start, raw in zip(b["shard"].to_pylist(), b["id"], b["start"].to_pylist(), b["ids"], strict=True):
                 if s != shard:
                     if rests:
                         close()
                     shard, count = s, 0
-                ids = np.frombuffer(raw.as_py(), "<u2")
-                full = len(ids) // window * window
-                for at in range(0, full, window):
-                    out.append((doc, at, window, ids[at:at + window].astype("<u4").tobytes(), len(ids), (shard << 32) + count, 0))
-                    count += 1
-                if full < len(ids):
-                    rests.append((doc, ids[full:], full))
+                rests.append((doc, np.frombuffer(raw.as_py(), "<u2"), start))
                 if len(out) >= 4096:
-                    yield table()
+                    yield _pieces(out, id_type)
+                    out.clear()
         if rests:
             close()
         if out:
-            yield table()
+            yield _pieces(out, id_type)
 
-    return rows.mapInArrow(run, f"id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint")
+    columns = f"id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
+    long = encoded.where(F.length("ids") >= 2 * window).select("id", F.spark_partition_id().cast("long").alias("part"), "ids")
+    return long.mapInArrow(windows, columns).union(rows.mapInArrow(run, columns))
