@@ -41,23 +41,44 @@ K1, B = 1.2, 0.75
 
 @lru_cache(maxsize=2)
 def _word_starts(ranks: str, pattern: str) -> np.ndarray:
-    """Which ids open a new word (their bytes begin with white space); the end id does too."""
+    """Which ids open a new word (their bytes begin with white space); the end id, and any beyond the vocabulary, do too."""
     enc = encoding(ranks, pattern)
-    return np.array([enc.decode_single_token_bytes(i)[:1].isspace() for i in range(enc.n_vocab)] + [True])
+    return np.array([i >= enc.n_vocab or enc.decode_single_token_bytes(i)[:1].isspace() for i in range(1 << 16)])
+
+
+#: Ids hashed at a time: the powers below reach so far.
+SPAN = 1 << 16
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
+
+
+@lru_cache(maxsize=1)
+def _powers() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a random number per id, powers of the base, powers of its inverse), modulo 2^64."""
+    numbers = np.random.default_rng(1).integers(0, 1 << 63, SPAN, np.uint64) * np.uint64(2) + np.uint64(1)
+    with np.errstate(over="ignore"):
+        up, down = (np.cumprod(np.append(np.uint64(1), np.full(SPAN - 1, base % (1 << 64), np.uint64))) for base in (_BASE, pow(_BASE, -1, 1 << 64)))
+    return numbers, up, down
 
 
 def terms(ids: np.ndarray, opens: np.ndarray) -> np.ndarray:
-    """One 64-bit hash per word of ``ids``: a word is the run of ids up to the next one that opens a word."""
-    if not len(ids):
+    """One 64-bit hash per word of ``ids`` (unsigned 16-bit): a word is the run of ids up to the next one that opens a word.
+
+    A word's hash is a polynomial of its ids: the powers go by place in the
+    text, and the inverse power of the word's start takes the place out again.
+    """
+    n = len(ids)
+    if not n:
         return np.zeros(0, np.uint64)
-    at = np.flatnonzero(opens[np.minimum(ids, len(opens) - 1)])
-    at = at if len(at) and at[0] == 0 else np.concatenate([[0], at])
-    place = np.arange(len(ids)) - np.repeat(at, np.diff(np.append(at, len(ids))))
-    with np.errstate(over="ignore"):
-        x = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(29))) * (np.uint64(2) * place.astype(np.uint64) + np.uint64(0xBF58476D1CE4E5B9))
-        h = np.add.reduceat(x, at)
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
+    if n > SPAN:  # cut at a word's start; a word longer than this counts as several
+        starts = np.flatnonzero(opens[ids[1:SPAN]])
+        cut = int(starts[-1]) + 1 if len(starts) else SPAN
+        return np.concatenate([terms(ids[:cut], opens), terms(ids[cut:], opens)])
+    numbers, up, down = _powers()
+    at = np.flatnonzero(opens[ids])
+    if not len(at) or at[0]:
+        at = np.concatenate([[0], at])
+    h = np.add.reduceat(numbers[ids] * up[:n], at) * down[at]
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(30))
 
 
@@ -72,12 +93,10 @@ class Index:
     """BM25 inverted index of one shard."""
 
     def __init__(self, docs: list[np.ndarray], opens: np.ndarray, df: np.ndarray, n_docs: int, mean_terms: float) -> None:
-        found = [terms(d, opens) for d in docs]
+        found = [np.sort(terms(d, opens)) for d in docs]
         length = np.array([len(t) for t in found], np.float64)
         owner = np.repeat(np.arange(len(docs)), length.astype(np.int64))
         flat = np.concatenate(found) if found else np.zeros(0, np.uint64)
-        order = np.lexsort((flat, owner))
-        flat, owner = flat[order], owner[order]
         new = np.ones(len(flat), bool)
         new[1:] = (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1])
         at = np.flatnonzero(new)
@@ -85,9 +104,11 @@ class Index:
         self.term, self.doc = flat[at], owner[at]
         self.weight = weights(self.term, tf, length[self.doc], df, n_docs, mean_terms)
         self.begin = np.searchsorted(self.doc, np.arange(len(docs) + 1))
-        by_term = np.argsort(self.term, kind="stable")
+        by_term = np.argsort(self.term)  # a document stands once under a term, so the order among equals does not matter
         self.post_doc, self.post_weight = self.doc[by_term], self.weight[by_term]
-        self.slot, self.first = np.unique(self.term[by_term], return_index=True)
+        term = self.term[by_term]
+        self.first = np.flatnonzero(np.append(True, term[1:] != term[:-1])) if len(term) else np.zeros(0, np.int64)
+        self.slot = term[self.first]
         self.first = np.append(self.first, len(by_term))
         self.n = len(docs)
 
@@ -212,7 +233,7 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
             for x in b["ids"]:
                 found = terms(np.frombuffer(x.as_py(), "<u2"), opens)
                 table[-1] += len(found)
-                table[np.unique((found % np.uint64(DF_SLOTS)).astype(np.int64))] += 1
+                table[(found % np.uint64(DF_SLOTS)).astype(np.int64)] += 1  # a slot named twice counts once
         return table
 
     table = counted(encoded.select("ids"), count, DF_SLOTS + 1)
@@ -223,6 +244,9 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
         found = terms(ids, _word_starts(ranks, pattern))
         term, tf = np.unique(found, return_counts=True)
         weight = weights(term, tf, len(found), df.value, n_docs, mean_terms)
+        if len(term) > KEY_TERMS:
+            some = weight >= np.partition(weight, -KEY_TERMS)[-KEY_TERMS]
+            term, weight = term[some], weight[some]
         top = np.lexsort((term, -weight))[:KEY_TERMS]
         return term[top], weight[top]
 
