@@ -15,7 +15,7 @@ last tokens go into sequences of power-of-two length, which need no padding.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -82,9 +82,21 @@ def terms(ids: np.ndarray, opens: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(30))
 
 
+def slots(term: np.ndarray) -> np.ndarray:
+    """Places of hashed terms in the table of document frequencies (its size is a power of two)."""
+    return (term & np.uint64(DF_SLOTS - 1)).view(np.int64)
+
+
+def distinct(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct terms in order, how often each stands) of a document."""
+    found = np.sort(found)
+    at = np.flatnonzero(np.append(True, found[1:] != found[:-1])) if len(found) else np.zeros(0, np.int64)
+    return found[at], np.diff(np.append(at, len(found)))
+
+
 def weights(term: np.ndarray, tf: np.ndarray, length: np.ndarray | float, df: np.ndarray, n_docs: int, mean_terms: float) -> np.ndarray:
     """BM25 weight of terms that stand ``tf`` times in documents of ``length`` terms."""
-    seen = np.maximum(df[(term % np.uint64(DF_SLOTS)).astype(np.int64)], 1)
+    seen = np.maximum(df[slots(term)], 1)
     idf = np.log1p(np.maximum(n_docs - seen + 0.5, 0.0) / (seen + 0.5))
     return idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / max(mean_terms, 1e-9)))
 
@@ -167,17 +179,18 @@ def _encoded(rows: DataFrame, ranks: str, pattern: str, end_id: int) -> DataFram
     return rows.mapInArrow(run, f"row bigint, id {kind}, ids binary")
 
 
-def dealt(rests: DataFrame, heaviest: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], shard_documents: int) -> DataFrame:
+def dealt(rests: DataFrame, heaviest: Callable[[], Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]], shard_documents: int) -> DataFrame:
     """(row, shard) of the remainders ``rests`` (row, ids): those with the same key share a shard.
 
-    ``heaviest`` gives a remainder's heaviest terms and their weights.  A key
+    ``heaviest`` makes, in a task, the function that gives a remainder's heaviest terms and their weights.  A key
     is counted exactly; only one with more than ``shard_documents`` rows is
     dealt to shards of its own, by the hash of the row.  Rows without a key
     (no term that another row proposes) go by the hash of the row as well.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keyed = heaviest()
         for b in batches:
-            found = [heaviest(np.frombuffer(i.as_py(), "<u2")) for i in b["ids"]]
+            found = [keyed(np.frombuffer(i.as_py(), "<u2")) for i in b["ids"]]
             row = np.repeat(b["row"].to_numpy(), [len(t) for t, _ in found])
             term, weight = (np.concatenate(x) for x in zip(*found, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(row), pa.array(term.view(np.int64)), pa.array(weight)], ["row", "term", "weight"])
@@ -233,17 +246,17 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
             for x in b["ids"]:
                 found = terms(np.frombuffer(x.as_py(), "<u2"), opens)
                 table[-1] += len(found)
-                table[(found % np.uint64(DF_SLOTS)).astype(np.int64)] += 1  # a slot named twice counts once
+                table[slots(found)] += 1  # a slot named twice counts once
         return table
 
     table = counted(encoded.select("ids"), count, DF_SLOTS + 1)
     mean_terms = table[-1] / max(n_docs, 1)
     df = spark.sparkContext.broadcast(table[:-1].astype(np.float32))
 
-    def heaviest(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        found = terms(ids, _word_starts(ranks, pattern))
-        term, tf = np.unique(found, return_counts=True)
-        weight = weights(term, tf, len(found), df.value, n_docs, mean_terms)
+    def heaviest(ids: np.ndarray, opens: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = terms(ids, opens)
+        term, tf = distinct(found)
+        weight = weights(term, tf, len(found), table, n_docs, mean_terms)
         if len(term) > KEY_TERMS:
             some = weight >= np.partition(weight, -KEY_TERMS)[-KEY_TERMS]
             term, weight = term[some], weight[some]
@@ -252,7 +265,7 @@ def pack(docs: DataFrame, ranks: str, pattern: str, id_col: str = "doc_id", text
 
     whole = F.floor(F.length("ids") / (2 * window)).cast("int") * window  # tokens in windows of their own
     rests = encoded.withColumn("start", whole).select("row", "id", "start", F.col("ids").substr(2 * F.col("start") + 1, F.length("ids")).alias("ids")).where(F.length("ids") > 0)
-    shard_of = dealt(rests, heaviest, shard_documents)
+    shard_of = dealt(rests, lambda: partial(heaviest, opens=_word_starts(ranks, pattern), table=df.value), shard_documents)
     rows = (rests.join(shard_of.hint("shuffle_hash"), "row")
             .repartition("shard").sortWithinPartitions("shard", "row").select("shard", "id", "start", "ids"))
     kind = encoded.schema["id"].dataType.simpleString()
