@@ -43,7 +43,7 @@ BUFFER = 1 << 12
 #: Ids of a part of a text, about.
 PART = 1 << 16
 #: Pre-tokens whose ids a worker remembers in each of two generations, each of at most this many symbols.
-REMEMBERED, SHORT = 60_000, 64
+REMEMBERED, SHORT = 200_000, 64
 BLANKS = " \n\t\r"
 BEYOND = re.compile("[^\\x00-\u02ff]")
 
@@ -101,7 +101,10 @@ class Model:
         self.end = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
         self.added = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        self.written = {i: t.encode() for t, i in (self.ids | self.added).items()}
+        places = range(max([*self.ids.values(), *self.added.values()]) + 1)
+        tokens = {i: t.encode() for t, i in (self.ids | self.added).items()}
+        self.written = [tokens.get(i, b"") for i in places]
+        self.decimal = [str(i) for i in places]
         self.rank = {tuple(m): r for r, m in enumerate(model["merges"])}
         self.symbol = list(byte_symbols().values())
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
@@ -118,10 +121,10 @@ class Model:
         """A symbol for each byte."""
         return [self.symbol[b] for b in piece.encode()]
 
-    def plain(self) -> dict[int, bytes]:
+    def plain(self) -> list[bytes]:
         """The bytes each id stands for, with a space for a word's end."""
         byte_of = {s: bytes([b]) for b, s in byte_symbols().items()}
-        out = {i: t.encode() for t, i in self.added.items()}
+        out = list(self.written)
         for t, i in self.ids.items():
             word = t.removesuffix(self.end) if self.end else t
             out[i] = b"".join(byte_of[s] for s in word) + b" " * (word != t)
@@ -223,9 +226,11 @@ class Encoder:
         return [self.m.ids[t] for t in self.m.merged(symbols)]
 
     def _word(self, piece: str) -> list[int]:
+        """Ids of a whole pre-token."""
         ids = self.before.get(piece)
         if ids is None:
-            ids = self._tail(self.m.symbols(piece))
+            ids, held = self._stable([], self.m.symbols(piece)) if len(piece) > self.buffer else ([], self.m.symbols(piece))
+            ids = ids + self._tail(held)
         if len(piece) <= SHORT:
             if len(self.known) >= REMEMBERED:
                 self.known, self.before = {}, self.known
@@ -257,25 +262,33 @@ class Encoder:
             if held and not self.m.one_piece(last + normal[:1]):
                 out += self._tail(held)
                 held = []
-            for i, piece in enumerate(pieces):
-                ids = None if held else self.known.get(piece)
-                final = closed or i < len(pieces) - 1
-                if final and ids is not None:
-                    out += ids
-                elif final and not held and len(piece) <= self.buffer:
-                    out += self._word(piece)
-                else:
-                    ids, held = self._stable(held, self.m.symbols(piece))
-                    out += ids
-                    if final:
-                        out += self._tail(held)
-                        held = []
+            whole = pieces if closed else pieces[:-1]
+            if held and whole:
+                ids, held = self._stable(held, self.m.symbols(whole[0]))
+                out += ids + self._tail(held)
+                held, whole = [], whole[1:]
+            known = self.known
+            for piece in whole:
+                ids = known.get(piece)
+                if ids is None:
+                    ids = self._word(piece)
+                    known = self.known
+                out += ids
+            if not closed and pieces:
+                ids, held = self._stable(held, self.m.symbols(pieces[-1]))
+                out += ids
             last = normal[-1:]
             yield out
         if held:
             yield self._tail(held)
 
 
+@lru_cache(maxsize=2)
+def encoder(path: str, lookahead: int, buffer: int) -> Encoder:
+    """The encoder of a worker, which its tasks share: what it remembers changes no result."""
+    return Encoder(model(path), lookahead, buffer)
+
+
 class TextMachine:
     """Text of ids, given in parts: bytes of an unfinished character wait for the rest.
 
@@ -345,7 +358,7 @@ def _encoding(path: str, added_as_text: bool, size: int, buffer: int, part: int)
         yield True, np.array(held, "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = Encoder(model(path), lookahead, buffer)
+        enc = encoder(path, lookahead, buffer)
         added = None if added_as_text or not enc.m.added else re.compile("(" + "|".join(map(re.escape, enc.m.added)) + ")")
         for b in batches:
             yield from _out(b["id"], ((at, p) for at, t in enumerate(b["text"]) for p in parts(t.as_py(), enc, added)), ["last", "ids"],
@@ -368,14 +381,14 @@ def _decoding(path: str, plain: bool) -> Step:
     return run
 
 
-def _digesting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _digesting(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     """(id, last, ids, text) -> (id, n_tokens, ids_sha256, decoded_sha256)."""
-    n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
+    n, ids_sha, text_sha, decimal = 0, hashlib.sha256(), hashlib.sha256(), model(path).decimal
     for b in batches:
         out = []
         for at, (last, raw, text) in enumerate(zip(b["last"].to_pylist(), b["ids"], b["text"], strict=True)):
             ids = np.frombuffer(raw.as_py(), "<u4").tolist()
-            ids_sha.update(((" " if n and ids else "") + " ".join(map(str, ids))).encode())
+            ids_sha.update(((" " if n and ids else "") + " ".join([decimal[i] for i in ids])).encode())
             text_sha.update(text.as_py().encode())
             n += len(ids)
             if last:
@@ -419,5 +432,5 @@ def round_trip_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_
     Hashed are the decimal ids joined by spaces, and the decoded text.  The three steps share a worker.
     """
     code, back = _encoding(path, True, size, buffer, part), _decoding(path, False)
-    return _mapped(_rows(docs, id_col, text_col), lambda batches: _digesting(back(code(batches))),
+    return _mapped(_rows(docs, id_col, text_col), lambda batches: _digesting(back(code(batches)), path),
                    "n_tokens bigint, ids_sha256 string, decoded_sha256 string")
