@@ -33,7 +33,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go, but for the first document that holds them; n_chars follows the text."""
+    """Recurring lines go, but for the first document that holds them; n_chars follows the text.
+
+    Every row stays, also one whose lines all go (an empty text); null text stays null.
+    """
     out = linededup.drop_recurring(docs.select(COLUMNS))
     return out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
@@ -51,7 +54,10 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is replaced by its kind in angle brackets; n_chars follows the text."""
+    """Personal data is replaced by its kind in angle brackets; n_chars follows the text.
+
+    Every row stays; null, empty and clean texts are unchanged, and equal texts have equal results.
+    """
     found = pii_op.find(docs, keep=COLUMNS)
     clean = pii_op.redacted(F.col("text"), F.col("spans"))
     out = found.select("doc_id", clean.alias("text"), "lang", "source", "n_chars", F.size("spans").alias("n"))
@@ -59,5 +65,9 @@ def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The packed sequences' pieces, with their token ids."""
+    """The packed sequences' pieces, with their token ids.
+
+    Every row has a piece: null and empty texts are one token, the end id.
+    Repeated rows and ties are packed each.  No document gives no pieces.
+    """
     return packing_op.pack(docs, public_tokenizers.path(PACK_RANKS), public_tokenizers.PATTERN).withColumnRenamed("id", "doc_id")
