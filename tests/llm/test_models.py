@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,20 +71,100 @@ def test_model_is_a_probability():
     assert np.exp2(-bits).sum() <= 1.0 + 1e-3
 
 
+def by_hand(docs):
+    """Scores of documents (text, role, class) without Spark: all words in one bucket, counts of words and sequences by Counter."""
+    block = mixing.Block.build(docs)
+    pairs = np.argsort(block.pair_hashes())
+    word, cls, none = block.pair_word[pairs], block.pair_class[pairs], np.zeros(0, np.int64)
+    ends = np.cumsum(block.lens.astype(int))
+    spelled = [block.text[e - n:e] for e, n in zip(ends, block.lens.astype(int), strict=True)]
+    texts = [(t.split() + [b""], r, c) for t, r, c in docs]
+    of = Counter((w, c, r) for ws, r, c in texts for w in ws)
+    counted, taught = (np.array([of[spelled[w], c, r] for w, c in zip(word, cls.tolist(), strict=True)]) for r in (1, 2))
+    everywhere = Counter(w for ws, r, _ in texts if r for w in ws)
+    n = np.array([everywhere[spelled[w]] for w in word])
+    words = mixing.Block(np.arange(len(pairs)), cls, counted, taught, none, none, b"".join(spelled[w] for w in word), block.lens[word], none, none)
+    v = mixing.Vocabulary(block.pair_hashes()[pairs], words, n)
+    by_class = Counter(c for ws, r, c in texts if r for _ in ws)
+    corpus = mixing.Corpus(sum(everywhere.values()), len(everywhere), np.array([by_class[c] for c in range(mixing.CLASSES)]))
+    code, table = mixing.Code.of(block.bytes_learned), np.zeros(2 * mixing.SLOTS, np.int64)
+    mixing.count_bits(words, code, table)
+    logits = mixing.quantised(table)
+    lessons = mixing.Vocabulary.joined(pa.table([pa.array([d], pa.binary()) for d in v.row(np.flatnonzero(taught))], mixing._ROW)) if taught.any() else None
+    mixer, learner = mixing.Mixer(code, logits), mixing.Mixer(code, logits)
+    share = np.full(mixing.CLASSES, 0.5)
+    if lessons:
+        for some in mixing.batches_of(lessons.words):
+            learner.bits(lessons.words, some)
+        mixer.take_weights(learner.weights_table())
+        for some in mixing.batches_of(lessons.words):
+            mixer.bits(lessons.words, some, weigh=False)
+        share = mixing.fitted(mixing.share_ratios(lessons, mixer, corpus), share)
+    log_p, alone = (x[np.argsort(pairs)] for x in mixing.priced(v, mixer, corpus, share))
+    both = np.stack(mixing.grams(block))
+    tokens = [(i, w) for i, (ws, _, _) in enumerate(texts) for w in [None, None, *ws]]
+    place = [k for k in range(2, len(tokens)) if tokens[k][1] is not None]
+    keys = [[(2, *[tokens[k - j][1] for j in range(2)]) for k in place], [(3, *[tokens[k - j][1] for j in range(3)]) for k in place]]
+    seen = Counter(key for some in keys for k, key in zip(place, some, strict=True) if texts[tokens[k][0]][1])
+    times = {h: seen[key] for hs, some in zip(both.tolist(), keys, strict=True) for h, key in zip(hs, some, strict=True)}
+    sequences = np.array([times[h] for h in np.unique(both).tolist()])
+    n = n[np.argsort(pairs)]
+    learns = np.repeat([r == 2 for _, r, _ in docs], block.doc_tokens.astype(int))
+    e, weights = mixing.Evidence(block, n, alone, sequences, less=1), []
+    loo = np.float32(e.log_p).astype(float)
+    for own, gate, start in zip(e.own, e.gates, (mixing.START_OWN, mixing.START_CONTEXT, mixing.START_CONTEXT), strict=True):
+        own = np.float32(own)
+        weights.append(mixing.fitted(mixing.tally(gate[learns], (own - loo)[learns], mixing.GATES), start))
+        loo = mixing.mixed_in(loo, own, weights[-1][gate])
+    return mixing.Evidence(block, n, log_p, sequences).score(weights) - math.log10(mixing.CLASSES)
+
+
 def scored(docs, texts):
     """Scores of ``texts`` beside learning documents ``docs`` (text, role), all in one block of one class."""
-    block = mixing.Block.build([(t, r, 0) for t, r in docs] + [(t, 0, 0) for t in texts])
-    learned = np.bincount(block.pair_word, block.counted.astype(np.int64) + block.taught, len(block.lens)).astype(np.int64)
-    code = mixing.Code.of(block.bytes_learned)
-    table = np.zeros(2 * mixing.SLOTS, np.int64)
-    mixing.count_bits(block, code, table)
-    roles = np.array([r for _, r in docs] + [0] * len(texts))
-    learns = np.repeat(roles > 0, block.doc_tokens.astype(np.int64))
-    both = np.concatenate(mixing.grams(block))
-    sequences = np.bincount(np.unique(both, return_inverse=True)[1], np.tile(learns, 2)).astype(np.int64)
-    _, _, score = mixing.score_block(block, roles, learned, learned[block.pair_word], sequences, int(learned.sum()), int((learned > 0).sum()),
-                                     np.bincount([0], [learned.sum()], mixing.CLASSES).astype(np.int64), code, mixing.quantised(table))
-    return score[len(docs):]
+    return by_hand([(t, r, 0) for t, r in docs] + [(t, 0, 0) for t in texts])[len(docs):]
+
+
+@pytest.fixture(scope="module")
+def prose(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{x}{'abc'[x % 3] * (x % 5)}" for x in np.minimum(rng.geometric(0.01, rng.integers(0, 60)), 400))) for i in range(400)]
+    return spark.createDataFrame([*rows, (400, None), (401, ""), (402, rows[7][1]), (402, rows[7][1])], "doc_id long, text string")
+
+
+def test_scores_equal_those_without_spark(spark, prose):
+    rows = sorted((r.id, r.role, bytes(r.text)) for r in prose.select(F.col("doc_id").alias("id"), mixing._roles("doc_id").alias("role"),
+                                                                      F.coalesce("text", F.lit("")).cast("binary").alias("text")).collect())
+    centres = mixing.centres(np.array(sorted((mixing.pair_profile(t) for _, r, t in rows if r), key=bytes)))
+    want = by_hand([(t, r, int(np.argmax(centres @ mixing.pair_profile(t)))) for _, r, t in rows])
+    got = sorted((r.id, r.score) for r in mixing.scores(prose).collect())
+    assert [i for i, _ in got] == [i for i, _, _ in rows]
+    assert np.allclose([s for _, s in got], want, rtol=1e-6)
+
+
+def test_scores_do_not_depend_on_partitions_or_blocks(spark, prose, monkeypatch):
+    want = sorted((r.id, r.score) for r in mixing.scores(prose.repartition(1)).collect())
+    assert sorted((r.id, r.score) for r in mixing.scores(prose.repartition(4)).collect()) == want
+    monkeypatch.setattr(mixing, "BLOCK_DOCUMENTS", 9)
+    assert sorted((r.id, r.score) for r in mixing.scores(prose.repartition(7)).collect()) == want
+
+
+def test_weights_of_buckets_are_averaged_by_the_bits_they_saw():
+    code = mixing.Code.of(np.ones(256, np.int64))
+    a, b, both = (mixing.Mixer(code, np.zeros(mixing.SLOTS, np.int8)) for _ in range(3))
+    a.weights[:], b.weights[:] = 0.02, -0.04
+    a.seen[3, 0], b.seen[3, 1] = 30, 10
+    both.take_weights(a.weights_table() + b.weights_table())
+    assert np.allclose(both.weights[:, 3], 0.005, atol=1e-5) and np.allclose(np.delete(both.weights, 3, axis=1), mixing.FIRST_WEIGHT)
+
+
+def test_fitted_weights_are_the_likeliest():
+    """Against a fine grid: the fitted weight of a mixture has the least cost over tokens and prior."""
+    rng = np.random.default_rng(2)
+    p, q = rng.random(3000) * 0.2, np.where(rng.random(3000) < 0.4, 0.0, rng.random(3000) * 0.5)
+    got = mixing.fitted(mixing.tally(np.zeros(3000, int), mixing._log(q) - np.log(p), 1), np.array([0.3]))[0]
+    grid = np.linspace(0.01, 0.98, 971)
+    gain = [np.log(w * q + (1 - w) * p).sum() + mixing.WEIGHT_TOKENS * (0.3 * math.log(w) + 0.7 * math.log(1 - w)) for w in grid]
+    assert abs(grid[int(np.argmax(gain))] - got) < 0.005
 
 
 def test_long_words_cost_what_they_are_long():
@@ -109,8 +190,9 @@ def test_word_order_counts(spark):
 def test_words_in_context_are_a_probability():
     """Over every word that can follow, the mixed shares of a context sum to one."""
     seen, p = np.array([5, 3, 0, 2, 0, 0]), np.array([0.1, 0.2, 0.3, 0.1, 0.2, 0.1])
-    got, _ = mixing._in_context(np.log(p), np.log(p[:3]), np.array([True, False] * 3), seen, np.full(6, seen.sum()))
-    assert math.isclose(np.exp(got).sum(), 1.0)
+    for weight in mixing.START_CONTEXT[mixing.sizes(np.full(6, seen.sum()))], np.full(6, 0.3):
+        got = mixing.mixed_in(np.log(p), mixing._log(seen / seen.sum()), weight)
+        assert math.isclose(np.exp(got).sum(), 1.0)
 
 
 def test_nothing_is_learned_from_scored_texts():
