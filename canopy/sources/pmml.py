@@ -1,10 +1,11 @@
 """PMML documents -> node tables (S3).
 
-Documents are read as lines, dealt out by document and parsed inside tasks by
-a pull parser that takes the lines in order and emits node rows in batches; it
-holds one path of the open tree, not the document.  Many documents are parsed
-in parallel, and no text reaches the driver.  A document is a file, or a
-folder of parts (``write_forest``).  Two dialects are accepted:
+Documents are read as lines and cut into chunks of some ten thousand lines.
+Every chunk leaves an outline, what it ends and what it leaves open; put
+together in order, the outlines tell each chunk where in the tree it begins.
+So the chunks are parsed in parallel, by a pull parser that emits node rows in
+batches and holds one path of the open tree, and no text reaches the driver.
+A document is a file, or a folder of parts (``write_forest``).  Two dialects are accepted:
 
 * ``standard``: every Node carries the predicate that leads to it; the root
   and segments carry ``<True/>``.  The children's predicates must be
@@ -22,6 +23,7 @@ Node ids are re-derived from the structure as heap ids (root 1, children
 from __future__ import annotations
 
 import math
+import re
 import xml.etree.ElementTree as ET
 from collections.abc import Iterator
 
@@ -199,63 +201,205 @@ def parse_document(text: str, path: str = "") -> tuple[dict, list[tuple]]:
 
 #: Node rows of one batch of the parser's output.
 BATCH_ROWS = 10_000
+#: A chunk of a document, which a task parses by itself, ends at this many lines or characters.
+CHUNK_LINES, CHUNK_CHARS = 50_000, 8 << 20
+#: Characters that the parser is fed at a time.
+FEED = 1 << 16
+
+_REST = r"""(?:[^<>"']|"[^"<]*"|'[^'<]*')*"""
+#: A line of text and whole tags; one with a cut tag, a comment or a declaration is none.
+_WHOLE = re.compile(rf"""(?:[^<]|<[^<>"'!?\s]{_REST}>|<\?xml\s[^?<]*\?>)*""")
+_TAG = re.compile(rf"""<(/?)([^<>"'!?\s/]+)({_REST})>""")
+
+CHUNK_SCHEMA = "document string, file string, block long, chunk int, whole boolean, outline string, ended long, nodes boolean, text string"
+START_SCHEMA = "document string, file string, block long, chunk int, start string, before long, first boolean, last boolean"
 
 
 def document_lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
-    """Lines of the documents under ``path``, in order (document, file, block, no, line).
+    """Lines of the documents under ``path`` (document, file, block, line), in order inside a file's block.
 
     A document is a file, or with ``parts`` everything under ``path`` in order of the file names.
     """
     rows = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
     return rows.select((F.lit(path) if parts else F.col("file_path")).alias("document"), F.col("file_path").alias("file"),
-                       F.col("file_block_start").alias("block"), F.monotonically_increasing_id().alias("no"), F.col("value").alias("line")
-                       ).where(F.trim("line") != "")
+                       F.col("file_block_start").alias("block"), F.col("value").alias("line")).where(F.trim("line") != "")
 
 
-def _by_document(lines: DataFrame) -> DataFrame:
-    return lines.repartition("document").sortWithinPartitions("document", "file", "block", "no").select("document", "line")
+class _Element:
+    """An element that is not ended: its start tag, its ended parts (name, text), and the trees that ended in it."""
 
+    def __init__(self, name: str = "", tag: str = "", full: str = ""):
+        self.name, self.tag, self.full, self.parts, self.trees = name, tag, full, [], 0
 
-def parsed_lines(lines: DataFrame) -> DataFrame:
-    """Node rows (``path`` + NODE_SCHEMA) of documents given as ``document_lines``; a document is read by one task, as a stream."""
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parser, rows = None, []
+
+def outline(text: str) -> tuple[str, int]:
+    """What a text of whole tags leaves open: (end tags of elements begun before it and start tags of those not ended, trees in ended segments).
+
+    Both with the ended parts of the open elements; of an ended node only its
+    own parts are kept, of a tree nothing.  So the outline has the size of a
+    path of the tree, and that of two texts in turn is the outline of both outlines.
+    """
+    open_, ended = [_Element()], 0
+    for m in _TAG.finditer(text):
+        end, full, rest = m[1], m[2], m[3]
+        name = full.rsplit(":", 1)[-1]
+        if end and len(open_) == 1:
+            open_[0].parts.append(("", m[0]))
+            continue
+        if not end:
+            open_.append(_Element(name, m[0], full))
+            if not rest.endswith("/"):
+                continue
+        el = open_.pop()
+        up = open_[-1]
+        if el.name == "Segment":
+            ended += el.trees
+            continue
+        up.trees += el.trees + (el.name == "TreeModel")
+        if el.name == "Node" and up.name not in ("", "Node"):
+            continue  # the root of a tree
+        own = "".join(t for n, t in el.parts if n != "Node" or el.name != "Node")
+        up.parts.append((el.name, el.tag if not end else f"{el.tag}{own}</{el.full}>"))
+    return "".join(el.tag + "".join(t for _, t in el.parts) for el in open_), ended
+
+
+def document_chunks(lines: DataFrame, chunk_lines: int = CHUNK_LINES) -> DataFrame:
+    """Chunks (document, file, block, chunk, start, before, first, last, text) of documents given as ``document_lines``.
+
+    ``start`` is the outline of all that precedes a chunk, so a parser fed with
+    it goes on as if it had read the document up to there; ``before`` counts the
+    trees that the outline leaves out.  The chunk of the first node is marked
+    ``first``.  Where a line is not made of whole tags, the document has no
+    starts and is read by one task.
+    """
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        place, chunk, held, size = None, 0, [], 0
+
+        def row() -> pd.DataFrame:
+            whole, text = all(_WHOLE.fullmatch(x) for x in held), "".join(held)
+            left, ended = outline(text) if whole else ("", 0)
+            return pd.DataFrame([(*place, chunk, whole, left, ended, re.search(r"<(\w+:)?Node[\s/>]", text) is not None, text)],
+                                columns=[c.split()[0] for c in CHUNK_SCHEMA.split(", ")])
+
+        for pdf in batches:
+            for *here, line in zip(pdf["document"], pdf["file"], pdf["block"], pdf["line"]):
+                if held and (here != place or len(held) >= chunk_lines or size >= CHUNK_CHARS):
+                    yield row()
+                    chunk, held, size = chunk + 1, [], 0
+                if here != place:
+                    place, chunk = here, 0
+                held.append(line)
+                size += len(line)
+        if held:
+            yield row()
+
+    def starts(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["file", "block", "chunk"])
+        out, left, before, whole, seen = [], "", 0, bool(pdf["whole"].all()), False
+        for i, r in enumerate(pdf.itertuples(index=False)):
+            out.append((r.document, r.file, r.block, r.chunk, left if whole else None, before, bool(r.nodes) and not seen, i == len(pdf) - 1))
+            seen = seen or r.nodes
+            if whole:
+                left, ended = outline(left + r.outline)
+                before += r.ended + ended
+        return pd.DataFrame(out, columns=[c.split()[0] for c in START_SCHEMA.split(", ")])
+
+    ship_package(lines.sparkSession)
+    chunks = stored(lines.mapInPandas(cut, CHUNK_SCHEMA), "chunks")
+    begun = stored(chunks.drop("text").groupBy("document").applyInPandas(starts, START_SCHEMA), "starts")
+    return chunks.select("document", "file", "block", "chunk", "text").join(F.broadcast(begun), ["document", "file", "block", "chunk"])
+
+
+def _whole_documents(chunks: DataFrame) -> DataFrame:
+    """The chunks of documents without starts, each document in one task and in order."""
+    return (chunks.where("start IS NULL").repartition("document").sortWithinPartitions("document", "file", "block", "chunk")
+            .select("document", "last", "text"))
+
+
+def _begun(document: str, start: str, before: int) -> DocumentParser:
+    """A parser that has read a document up to a chunk."""
+    parser = DocumentParser(document)
+    parser.tree = before - 1
+    for _ in parser.feed(start):
+        pass
+    return parser
+
+
+def _fed(parser: DocumentParser, text: str) -> Iterator[tuple]:
+    for at in range(0, len(text), FEED):
+        yield from parser.feed(text[at:at + FEED])
+
+
+def parsed_chunks(chunks: DataFrame) -> DataFrame:
+    """Node rows (``path`` + NODE_SCHEMA) of documents given as ``document_chunks``, every chunk parsed on its own; a node belongs to the chunk that ends it."""
+    def batched(rows: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        some = []
+        for r in rows:
+            some.append(r)
+            if len(some) >= BATCH_ROWS:
+                yield pd.DataFrame(some, columns=DOC_SCHEMA.fieldNames())
+                some = []
+        yield pd.DataFrame(some, columns=DOC_SCHEMA.fieldNames())
+
+    def some(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
         for pdf in batches:
-            for document, line in zip(pdf["document"], pdf["line"]):
+            for document, start, before, last, text in zip(pdf["document"], pdf["start"], pdf["before"], pdf["last"], pdf["text"]):
+                parser = _begun(document, start, before)
+                yield from _fed(parser, text)
+                if last:
+                    yield from parser.close()
+
+    def all_(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        parser = None
+        for pdf in batches:
+            for document, last, text in zip(pdf["document"], pdf["last"], pdf["text"]):
                 if parser is None or parser.path != document:
-                    rows += parser.close() if parser else []
                     parser = DocumentParser(document)
-                rows += parser.feed(line)
-                if len(rows) >= BATCH_ROWS:
-                    yield pd.DataFrame(rows, columns=DOC_SCHEMA.fieldNames())
-                    rows = []
-        rows += parser.close() if parser else []
-        yield pd.DataFrame(rows, columns=DOC_SCHEMA.fieldNames())
+                yield from _fed(parser, text)
+                if last:
+                    yield from parser.close()
 
-    ship_package(lines.sparkSession)
-    return _by_document(lines).mapInPandas(parse, DOC_SCHEMA)
+    ship_package(chunks.sparkSession)
+    cut = chunks.where("start IS NOT NULL").select("document", "start", "before", "last", "text")
+    return cut.mapInPandas(lambda b: batched(some(b)), DOC_SCHEMA).unionByName(_whole_documents(chunks).mapInPandas(lambda b: batched(all_(b)), DOC_SCHEMA))
 
 
-def lines_meta(lines: DataFrame) -> DataFrame:
-    """One meta row (META_SCHEMA) per document given as ``document_lines``."""
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def chunks_meta(chunks: DataFrame) -> DataFrame:
+    """One meta row (META_SCHEMA) per document given as ``document_chunks``: from the chunk of its first node."""
+    def found(parser: DocumentParser) -> tuple:
+        return (parser.path, *[parser.meta[f] for f in META_SCHEMA.fieldNames()[1:]])
+
+    def some(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for document, start, before, text in zip(pdf["document"], pdf["start"], pdf["before"], pdf["text"]):
+                parser = _begun(document, start, before)
+                for at in range(0, len(text), FEED):
+                    if parser.meta is None:
+                        for _ in parser.feed(text[at:at + FEED]):
+                            pass
+                out += [found(parser)] if parser.meta is not None else []
+            yield pd.DataFrame(out, columns=META_SCHEMA.fieldNames())
+
+    def all_(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         parser, done = None, None
         for pdf in batches:
             out = []
-            for document, line in zip(pdf["document"], pdf["line"]):
+            for document, text in zip(pdf["document"], pdf["text"]):
                 if document == done:
                     continue
                 if parser is None or parser.path != document:
                     parser = DocumentParser(document)
-                for _ in parser.feed(line):
+                for _ in _fed(parser, text):
                     pass
                 if parser.meta is not None:
                     done = document
-                    out.append((document, *[parser.meta[f] for f in META_SCHEMA.fieldNames()[1:]]))
+                    out.append(found(parser))
             yield pd.DataFrame(out, columns=META_SCHEMA.fieldNames())
 
-    ship_package(lines.sparkSession)
-    return _by_document(lines).mapInPandas(parse, META_SCHEMA)
+    ship_package(chunks.sparkSession)
+    first = chunks.where("start IS NOT NULL AND first").select("document", "start", "before", "text")
+    return first.mapInPandas(some, META_SCHEMA).unionByName(_whole_documents(chunks).mapInPandas(all_, META_SCHEMA))
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -305,20 +449,21 @@ def forest_from_pmml(spark: SparkSession, path: str) -> tuple[DataFrame, ModelMe
     """S3: ONE document, a file or parts in order under ``path`` -> (node table, meta).
 
     Several documents under ``path`` are refused (``documents_from_pmml``
-    keeps them apart).  The nodes are parsed once, by a task, into a table.
+    keeps them apart).  The nodes are parsed once, chunk by chunk, into a table.
     """
     lines = document_lines(spark, path, parts=True)
     begun = lines.where(F.col("line").rlike("<(\\w+:)?PMML[\\s>]")).count()
     if begun != 1:
         raise ValueError(f"{'several' if begun else 'no'} documents under {path}")
-    nodes = stored(parsed_lines(lines).drop("path"), "nodes")
-    return nodes, model_meta(lines_meta(lines).first().asDict())
+    chunks = document_chunks(lines)
+    nodes = stored(parsed_chunks(chunks).drop("path"), "nodes")
+    return nodes, model_meta(chunks_meta(chunks).first().asDict())
 
 
 def documents_from_pmml(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """S3: every document (file) under ``path`` -> (node rows with ``path``, meta rows), each parsed by a task of its own."""
-    lines = document_lines(spark, path)
-    return stored(parsed_lines(lines), "nodes"), stored(lines_meta(lines), "meta")
+    """S3: every document (file) under ``path`` -> (node rows with ``path``, meta rows)."""
+    chunks = document_chunks(document_lines(spark, path))
+    return stored(parsed_chunks(chunks), "nodes"), stored(chunks_meta(chunks), "meta")
 
 
 def score_documents(df: DataFrame, nodes: DataFrame, meta: DataFrame) -> DataFrame:

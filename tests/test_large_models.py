@@ -11,6 +11,8 @@ from canopy.operators.growth import NODE_SCHEMA
 from canopy.operators.nodes import predict_classes, predict_distribution, predict_mean, score_nodes
 from canopy.operators.treejoin import joined_votes
 from canopy.plans.inputs import FEATURES, lineitem_flags
+from canopy.sinks.pmml import ModelMeta, forest_to_pmml, write_forest
+from canopy.sources.pmml import chunks_meta, document_chunks, document_lines, parsed_chunks
 from conftest import SF_SMALL
 
 
@@ -120,3 +122,30 @@ def test_a_million_nodes_are_scored(spark):
     df = spark.range(20_000).select("id", (F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / F.lit(1 << 30)).alias("x"))
     wrong = predict_mean(df, nodes).where(F.col("prediction") != F.ceil(F.col("x") * (1 << 18)) - F.when(F.col("x") > 0, 1).otherwise(0))
     assert nodes.count() > 1_000_000 and wrong.count() == 0
+
+
+def test_one_document_is_parsed_by_many_tasks(spark, tmp_path):
+    """A document in parts is cut into chunks, which are parsed apart; wherever it is cut, the nodes are the same."""
+    nodes = complete_forest(spark, 3, 5)
+    meta = ModelMeta(("x",), "place", None)
+    write_forest(nodes.repartition(3), meta, str(tmp_path / "doc"))
+    kept = ["tree_id", "node_id", "parent_id", "is_left", "depth", "feature_name", "threshold", "left_id", "right_id", "prediction"]
+    want = sorted(map(str, nodes.select(*kept).collect()))
+    lines = document_lines(spark, str(tmp_path / "doc"), parts=True)
+    for size in (1, 2, 7, 50_000):
+        chunks = document_chunks(lines, size)
+        assert chunks.where("start IS NULL").count() == 0 and (size > 7 or chunks.count() >= 3 * 63 // size)
+        assert sorted(map(str, parsed_chunks(chunks).select(*kept).collect())) == want
+        assert [tuple(r["features"]) for r in chunks_meta(chunks).collect()] == [("x",)]
+
+
+def test_cut_tags_are_read_as_a_stream(spark, tmp_path):
+    """A document whose lines end inside a tag has no chunk of its own to begin with."""
+    text = forest_to_pmml(complete_forest(spark, 2, 3), ModelMeta(("x",), "place", None)).first()[0]
+    (tmp_path / "cut.pmml").write_text(text.replace("<Node ", "<Node\n "))
+    (tmp_path / "whole.pmml").write_text(text.replace("><", ">\n<"))
+    chunks = document_chunks(document_lines(spark, str(tmp_path)), 3)
+    assert {r["document"].rsplit("/", 1)[1] for r in chunks.where("start IS NULL").collect()} == {"cut.pmml"}
+    got = parsed_chunks(chunks).groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.sum("prediction").alias("p")).collect()
+    assert sorted((r["path"].rsplit("/", 1)[1], r["n"], r["p"]) for r in got) == [("cut.pmml", 30, 56.0), ("whole.pmml", 30, 56.0)]
+    assert chunks_meta(chunks).count() == 2
