@@ -69,6 +69,21 @@ def test_joined_votes_equal_the_walk(forest, top, broadcast):
         assert got[r["id"]] == want
 
 
+def test_large_levels_move_the_rows_once(forest):
+    """Levels that are not broadcast are joined together: one join per eight levels of a tree, also below leaves and missing values."""
+    nodes, df, rows = forest
+    scored, names = joined_votes(df, nodes, top_nodes=20, broadcast_nodes=0)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") <= 3 * 2  # levels 2 to 11
+    got = {r["id"]: [r[n] for n in names] for r in scored.collect()}
+    leaves, _ = joined_votes(df, nodes, top_nodes=20, broadcast_nodes=0, value="node_id")
+    ids = {r["id"]: [r[n] for n in names] for r in leaves.collect()}
+    for r in df.collect():
+        reached = walk(rows, df.columns[1:], r[1:])
+        assert got[r["id"]] == [None if leaf is None else leaf[10] for leaf in reached]
+        assert ids[r["id"]] == [None if leaf is None else leaf[1] for leaf in reached]
+
+
 def test_forms_of_scoring_agree(forest):
     nodes, df, _ = forest
     assert str(sorted(score_nodes(df, nodes, "join").collect())) == str(sorted(score_nodes(df, nodes, "walk").collect()))
