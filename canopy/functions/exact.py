@@ -45,6 +45,9 @@ def halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def products(name: str, a: np.ndarray, b: np.ndarray) -> list[Term]:
     """Terms whose total is exactly that of a * b, for values of size 2^-450 to 2^500."""
+    if a is b:
+        ah, al = halves(a)
+        return [(name, ah * ah), (name, 2 * ah * al), (name, al * al)]
     (ah, al), (bh, bl) = halves(a), halves(b)
     return [(name, ah * bh), (name, ah * bl), (name, al * bh), (name, al * bl)]
 
@@ -53,7 +56,8 @@ def places(values: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
     """[group, place] whole numbers: the sum of finite ``values`` of each group, in units of the places (at most 2^20 values)."""
     m, e = np.frexp(values)
     whole = (m * 9007199254740992.0).astype(np.int64)  # 53 bits
-    place, shift = np.divmod(e.astype(np.int64) - 53, 32)
+    e = e.astype(np.int64) - 53
+    place, shift = e >> 5, e & 31
     low, high = (whole & _MASK) << shift, (whole >> 32) << shift
     at = group * _PLACES + place + _FIRST
     total = np.zeros(groups * _PLACES + 2)
@@ -62,6 +66,18 @@ def places(values: np.ndarray, group: np.ndarray, groups: int) -> np.ndarray:
     return total[:-2].reshape(groups, _PLACES).astype(np.int64)
 
 
+def _groups(keys: list[pa.Array]) -> tuple[np.ndarray, list[tuple]]:
+    """(group of every row, the groups' keys): equal keys are one group, NULL like NaN."""
+    codes = [k.dictionary_encode("encode") if k.type != pa.null() else k.cast(pa.int32()).dictionary_encode("encode") for k in keys]
+    frame = pd.DataFrame({i: c.indices.to_numpy(zero_copy_only=False) for i, c in enumerate(codes)})
+    group = frame.groupby(list(frame.columns), sort=False).ngroup().to_numpy()
+    values = [c.dictionary.to_pylist() for c in codes]
+    merged: dict[tuple, int] = {}
+    rows = [tuple(None if pd.isna(x := v[i]) else x for v, i in zip(values, r)) for r in frame.drop_duplicates().itertuples(index=False)]
+    number = np.array([merged.setdefault(r, len(merged)) for r in rows])
+    return number[group], list(merged)
+
+
 def exact_totals(df: DataFrame, keys: Sequence[str], inputs: Sequence[str], terms: Callable[..., list[Term]]) -> DataFrame:
     """(keys, totals): per group the exact parts of every sum, for ``exact_values``.
 
@@ -81,9 +97,7 @@ def exact_totals(df: DataFrame, keys: Sequence[str], inputs: Sequence[str], term
                 b = batch.slice(begin, 1 << 16)
                 arrow = {k: b[k].type for k in keys}
                 if keys:
-                    frame = pd.DataFrame({k: pd.Series(b[k].to_pylist(), dtype=object) for k in keys})
-                    grouped = frame.groupby(list(keys), dropna=False, sort=False)
-                    group, names = grouped.ngroup().to_numpy(), [tuple(None if pd.isna(x) else x for x in r) for r in frame.drop_duplicates().itertuples(index=False)]
+                    group, names = _groups([b[k] for k in keys])
                 else:
                     group, names = np.zeros(b.num_rows, np.int64), [()]
                 columns = [b[c].to_numpy(zero_copy_only=False) for c in inputs]

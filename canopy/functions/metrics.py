@@ -71,6 +71,12 @@ def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str
     product), so they do not depend on the order or partitioning of the rows.
     A pair that is not finite makes them NaN.
     """
+    totals = metric_totals(df, prediction, label, keys)
+    return metrics_of(totals if keys else with_one_group(totals))
+
+
+def metric_totals(df: DataFrame, prediction: str = "prediction", label: str = "label", keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, totals): the exact sums that ``metrics_of`` reads; those of several groups, put together, are the sums of all their rows."""
     rows = df.select(*keys, F.col(prediction).cast("double").alias("__p"), F.col(label).cast("double").alias("__y"))
 
     def terms(p: np.ndarray, y: np.ndarray, missing: list[np.ndarray]) -> list[Term]:
@@ -78,9 +84,11 @@ def regression_metrics(df: DataFrame, prediction: str = "prediction", label: str
         own = [("n", np.ones(len(p))), ("p", p), ("y", y), ("mae", np.abs(p - y)), *products("pp", p, p), *products("yy", y, y), *products("py", p, y)]
         return [("rows", np.ones(len(p))), *[(name, np.ma.array(x, mask=gone)) for name, x in own]]
 
-    totals = exact_totals(rows, keys, ["__p", "__y"], terms)
-    totals = totals if keys else with_one_group(totals)
+    return exact_totals(rows, keys, ["__p", "__y"], terms)
+
 
+def metrics_of(totals: DataFrame) -> DataFrame:
+    """The figures of ``regression_metrics`` per row of ``metric_totals``."""
     def finish(v: dict) -> tuple:
         n, rows = int(v.get("n", 0)), int(v.get("rows", 0))
         if not n:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopy.functions.columns import hash_unit, hex_unit, md5_hex, md5_unit
-from canopy.functions.metrics import error_rate, regression_metrics, wrong
+from canopy.functions.metrics import error_rate, metric_totals, metrics_of, regression_metrics, wrong
 from canopy.operators import mltrees
 from canopy.operators.growth import TreeSpec, grow_trees
 from canopy.operators.linear import LinearModel, linear_sgd, predict_linear, scaled_linear_sgd
@@ -253,14 +253,19 @@ def ensemble_report(scored: DataFrame, label: str = "label", task: str = "classi
     own = scored.select(F.col(label).alias("label"), F.posexplode(F.concat("votes", F.array("prediction"))).alias("tree_id", "prediction"),
                         F.size("votes").alias("n_trees"))
     voted = F.col("tree_id") == F.col("n_trees")
+    if task != "classification":
+        # every pair is added up once, for its tree or the ensemble; the pool's sums are those of the trees
+        totals = metric_totals(own.withColumn("voted", voted), keys=["tree_id", "voted"])
+        kinds = F.when(F.col("voted"), F.array(F.lit("voted"))).otherwise(F.array(F.lit("tree"), F.lit("pooled")))
+        sums = totals.select("tree_id", "totals", F.explode(kinds).alias("kind"))
+        sums = sums.groupBy("kind", F.when(F.col("kind") == "tree", F.col("tree_id")).alias("tree_id")).agg(F.flatten(F.collect_list("totals")).alias("totals"))
+        return metrics_of(sums)
     # a tree's pairs count for the tree and for the pool; the ensemble's for itself
     kinds = F.when(voted, F.array(F.lit("voted"))).otherwise(F.array(F.lit("tree"), F.lit("pooled")))
     pairs = own.select("label", "prediction", "tree_id", F.explode(kinds).alias("kind"))
     pairs = pairs.withColumn("tree_id", F.when(F.col("kind") == "tree", F.col("tree_id")))
-    if task == "classification":
-        bad = wrong("prediction", "label").cast("long")
-        return pairs.groupBy("kind", "tree_id").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(bad).alias("n_wrong"), F.avg(bad.cast("double")).alias("error_rate"))
-    return regression_metrics(pairs, keys=["kind", "tree_id"])
+    bad = wrong("prediction", "label").cast("long")
+    return pairs.groupBy("kind", "tree_id").agg(F.count(F.lit(1)).alias("n_pairs"), F.sum(bad).alias("n_wrong"), F.avg(bad.cast("double")).alias("error_rate"))
 
 
 def linear_regression_job(df: DataFrame, cols: Sequence[str], label: str = "label",

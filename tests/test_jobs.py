@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from canopy.functions.metrics import metric_totals, regression_metrics
 from canopy.models import iris
 from canopy.plans.inputs import FEATURES, KEYS, lineitem_flags, lineitem_price, table
 from canopy.plans import jobs
@@ -116,3 +117,18 @@ def test_forest_jobs_do_not_depend_on_partitions(spark):
                 r = job(dealt, FEATURES, key_cols=keys)
                 seen.add(str(sorted(map(str, r.nodes.collect()))) + str(r.report.collect()))
             assert len(seen) == 1
+
+
+def test_regression_report_adds_up_every_pair_once(spark, monkeypatch):
+    """The pool's sums are put together from those of the trees, with the figures of all pairs."""
+    rows = [(float(i % 7), [float(i % 5), None if i % 11 == 0 else float(i % 3)], float(i % 4)) for i in range(90)]
+    scored = spark.createDataFrame(rows, "label double, votes array<double>, prediction double").repartition(3)
+    read = []
+    monkeypatch.setattr(jobs, "metric_totals", lambda df, **kw: read.append(df.count()) or metric_totals(df, **kw))
+    got = {(r["kind"], r["tree_id"]): tuple(r)[2:] for r in jobs.ensemble_report(scored, task="regression").collect()}
+    assert read == [90 * 3]
+    pairs = {("tree", 0): [(v[0], y) for y, v, _ in rows], ("tree", 1): [(v[1], y) for y, v, _ in rows], ("voted", None): [(p, y) for y, _, p in rows]}
+    pairs["pooled", None] = pairs["tree", 0] + pairs["tree", 1]
+    for key, some in pairs.items():
+        assert got.pop(key) == tuple(regression_metrics(spark.createDataFrame(some, "prediction double, label double")).first())
+    assert not got
