@@ -345,3 +345,18 @@ def test_pipeline_runs_stage_after_stage(spark):
     assert tokens(by_hand) == tokens([(r.doc_id, r.start, bytes(r.ids)) for r in got])
     for r in got:
         assert r.length * 4 == len(r.ids) and r.offset + r.length <= 2048
+
+
+def test_every_learning_document_moves_the_classes(spark, monkeypatch):
+    """With more learning documents than are points by themselves, each still counts, on any partitioning."""
+    monkeypatch.setattr(mixing, "CLASS_POINTS", 8)
+    texts = [f"{'der die das und ' if i % 3 else 'the of and to '}{chr(97 + i % 26) * 4} {i}" for i in range(60)]
+
+    def classes(some, parts=2):
+        rows = spark.createDataFrame([(i, 1, t.encode()) for i, t in enumerate(some)], "id long, role int, text binary").repartition(parts)
+        return mixing.document_classes(rows)
+
+    whole = classes(texts)
+    assert whole.shape == (mixing.CLASSES, mixing.PAIR_SLOTS) and np.array_equal(whole, classes(texts, 5))
+    for i in (3, 22, 41):
+        assert not np.array_equal(whole, classes([*texts[:i], "xyzzy " * 9, *texts[i + 1:]]))
