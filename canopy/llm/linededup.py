@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm.common import small, text_or_empty, written
+from canopy.llm.common import small, text_or_empty, written, written_at
+from canopy.session import drop_scratch
 
 #: Tokens after the count that lead to a leaf.
 DEPTH = 2
@@ -64,15 +65,23 @@ def line_table(rows: DataFrame) -> DataFrame:
     return rows.select("id", F.xxhash64("text").alias("text_hash"), F.zip_with(masked_lines(F.col("text")), raw, one).alias("lines"))
 
 
-def templates(rows: DataFrame, table: DataFrame, similarity: float = SIMILARITY, evidence: int = EVIDENCE) -> DataFrame:
+def _kept(df: DataFrame, kind: str, paths: list[str]) -> DataFrame:
+    """``df`` written, its path added to ``paths``."""
+    table, path = written_at(df, kind)
+    paths.append(path)
+    return table
+
+
+def templates(rows: DataFrame, table: DataFrame, similarity: float = SIMILARITY, evidence: int = EVIDENCE, paths: list[str] | None = None) -> DataFrame:
     """(line, first): hashes of the masked lines in ``rows`` (id, text) whose template recurs, and the smallest id with it.
 
-    ``table`` is the line table of ``rows``.
+    ``table`` is the line table of ``rows``.  The paths of what the result reads are added to ``paths``.
     """
+    paths = [] if paths is None else paths
     masked = F.transform("lines", lambda x: F.when(x.isNotNull(), F.struct(x["line"], x["leaf"], x["constants"])))
     lines = table.select("id", F.explode(F.array_distinct(masked)).alias("l")).where("l is not null").select("id", "l.*")
-    counts = written(lines.groupBy("leaf", "line", "constants")
-                     .agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"), F.max("id").alias("last")), "lines")
+    counts = _kept(lines.groupBy("leaf", "line", "constants")
+                   .agg(F.count(F.lit(1)).alias("docs"), F.min("id").alias("first"), F.max("id").alias("last")), "lines", paths)
     enough = (F.col("docs") - 1) * (F.col("constants") - DEPTH) >= evidence
     several = F.col("docs") > 1
     own = counts.where(several & enough).select("line", "first")
@@ -80,22 +89,22 @@ def templates(rows: DataFrame, table: DataFrame, similarity: float = SIMILARITY,
     # leaves of several distinct lines: the most frequent token of each position
     wide = (counts.groupBy("leaf").agg(F.count(F.lit(1)).alias("variants"), F.sum("docs").alias("docs"), F.max("constants").alias("constants"))
             .where((F.col("variants") >= MIN_VARIANTS) & enough).select("leaf"))
-    wide = written(wide, "leaves")
+    wide = _kept(wide, "leaves", paths)
     spelled = rows.select(F.explode(F.array_distinct(masked_lines(F.col("text")))).alias("mask")).where("mask <> ''")
     spelled = spelled.select(leaf(F.col("mask")).alias("leaf"), "mask")
     members = spelled.join(small(wide, wide.count()), "leaf", "left_semi").groupBy("leaf", "mask").agg(F.count(F.lit(1)).alias("docs"))
-    members = written(members, "members")
+    members = _kept(members, "members", paths)
     tokens = members.select("leaf", "docs", F.posexplode(F.split("mask", " ")).alias("pos", "token"))
     heavy = tokens.groupBy("leaf", "pos", "token").agg(F.sum("docs").alias("docs"))
     best = heavy.groupBy("leaf", "pos").agg(F.max_by("token", F.struct("docs", "token")).alias("token"))
     template = best.groupBy("leaf").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("template"))
-    template = written(template, "template")
+    template = _kept(template, "template", paths)
     same = F.zip_with(F.split("mask", " "), "template", lambda a, b: (a == b).cast("int"))
     held = F.aggregate(same, F.lit(0), lambda acc, x: acc + x)
     instance = (members.join(template, "leaf").withColumn("held", held)
                 .where(F.col("held") >= similarity * F.size("template"))
                 .select("leaf", F.xxhash64("mask").alias("line"), "held"))
-    instance = written(instance, "instances")
+    instance = _kept(instance, "instances", paths)
     joined = instance.join(counts.select("leaf", "line", "docs", "constants", "first", "last"), ["leaf", "line"])
     general = (joined.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.min(F.least("held", "constants")).alias("constants"),
                                           F.min("first").alias("first"), F.max("last").alias("last"), F.count(F.lit(1)).alias("lines"))
@@ -123,15 +132,21 @@ def drop_recurring(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     is kept for them unless all its ids are null.
     """
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    table = written(line_table(rows), "table")
-    recurring = written(templates(rows, table, similarity, evidence), "recurring")
+    table, table_path = written_at(line_table(rows), "table")
+    paths: list[str] = []
+    recurring, recurring_path = written_at(templates(rows, table, similarity, evidence, paths), "recurring")
+    for path in paths:
+        drop_scratch(docs.sparkSession, path)
     # the places of the lines to drop in each document; equal texts under one id share a row
     held = table.select("id", "text_hash", F.posexplode("lines").alias("place", "l")).select("id", "text_hash", "place", "l.line", "l.exact")
     later = ~F.col("id").eqNullSafe(F.col("first"))
     hits = held.join(recurring, "line").where(later).select("id", "text_hash", "place")
-    repeats = written(exact_repeats(table, characters), "repeats")
+    repeats, repeats_path = written_at(exact_repeats(table, characters), "repeats")
     hits = hits.union(held.join(repeats, "exact").where(later).select("id", "text_hash", "place"))
     drops = written(hits.groupBy("id", "text_hash").agg(F.collect_set("place").alias("places")), "drops")
+    # the texts are moved next, while only the places are kept
+    for path in (table_path, recurring_path, repeats_path):
+        drop_scratch(docs.sparkSession, path)
     rows = docs.select(F.struct("*").alias("row")).select("row", F.col(f"row.{id_col}").alias("id"),
                                                           F.xxhash64(text_or_empty(F.col(f"row.{text_col}"))).alias("text_hash"))
     right = drops.select(F.col("id").alias("drop_id"), F.col("text_hash").alias("drop_hash"), "places").hint("merge")

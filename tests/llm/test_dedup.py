@@ -134,3 +134,23 @@ def test_large_near_group_stays_linear(spark):
     edges = simhash.linked(spark.createDataFrame([(signed(f),) for f in fps], "fp long"), 2)
     assert edges.count() <= 65 * len(fps)
     assert connected_components(edges).select("component").distinct().count() == 1
+
+
+def test_only_the_places_of_dropped_lines_are_kept(spark):
+    """When the texts are moved, the line table and what was made of it are gone from the disk."""
+    from canopy.llm import linededup
+    from canopy.session import ensure_checkpoint_dir
+
+    line = "a line of twelve words that every document of this table has again " * 2
+    docs = spark.createDataFrame([(i, f"own words {i}\n{line}\nend {i}") for i in range(12)], "doc_id long, text string")
+    jvm, root = spark._jvm, ensure_checkpoint_dir(spark)
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+
+    def kinds():
+        files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)
+        return {f.getPath().getName() for f in files}
+
+    before = kinds()
+    out = linededup.drop_recurring(docs)
+    assert {name.split("-")[1] for name in kinds() - before} == {"drops"}
+    assert sorted((r["doc_id"], r["n_dropped"]) for r in out.collect()) == [(i, int(i > 0)) for i in range(12)]
