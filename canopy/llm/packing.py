@@ -22,8 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.llm.bpe import encode_ids, encoding
+from canopy.llm.bpe import encoding
 from canopy.llm.common import text_or_empty, workers_ready, written, written_at
+from canopy.llm.latin import encoder
 from canopy.llm.tables import counted
 from canopy.session import drop_scratch
 
@@ -172,8 +173,9 @@ def _encoded(rows: DataFrame, ranks: str, pattern: str, end_id: int) -> DataFram
     kind = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(ranks, pattern, end_id).encode
         for b in batches:
-            ids = pa.array([np.append(encode_ids(t.as_py(), ranks, pattern), end_id).astype("<u2").tobytes() for t in b["text"]], pa.binary())
+            ids = pa.array([i.tobytes() for i in encode(t.as_py() for t in b["text"].cast(pa.binary()))], pa.binary())
             yield pa.RecordBatch.from_arrays([b["row"], b["id"], ids], ["row", "id", "ids"])
 
     return rows.mapInArrow(run, f"row bigint, id {kind}, ids binary")

@@ -1,6 +1,7 @@
 """BPE, packing, PII, line templates and language ID against brute force."""
 
 import hashlib
+import random
 import re
 import zlib
 from array import array
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from canopy.llm import bpe, langid, linededup, packing, pii
+from canopy.llm import bpe, langid, latin, linededup, packing, pii
 from canopy.llm.queries import MULTI_RANKS, PACK_RANKS
 from llm_cases import empty, tricky  # noqa: F401
 
@@ -43,6 +44,47 @@ def test_bpe_empty(empty):
     assert bpe.digests(bpe.encode(empty, RANKS, PATTERN), RANKS, PATTERN).count() == 0
 
 
+def latin_texts():
+    """Every character up to U+02FF beside the others' kinds, then random texts of those that decide where words start."""
+    every = [f"a{c}b {c}{c} 1{c}  {c}\n{c} '{c}s" for c in map(chr, range(0x300))] + [chr(c) for c in range(0x300)]
+    rng = random.Random(3)
+    return [*every, "", "", "can't we'll they've I'm he'd you're 'second ''s a''t", *("".join(rng.choices("'" * 3 + " \n\t\x85\xa0\0stmdrevlaéß12½².,-\x1c", k=rng.randrange(60))) for _ in range(5000))]
+
+
+def test_latin_words_are_the_patterns():
+    assert latin.PATTERN == PATTERN
+    for text in latin_texts():
+        raw = np.frombuffer(text.encode() + bytes([latin.STOP]) + bytes(16), np.uint8)
+        at, blank = latin.words(raw)
+        found = [m.group() for m in bpe._compiled(PATTERN).finditer(text)]
+        assert [raw[a:b].tobytes().decode() for a, b in zip(at[:-1], at[1:], strict=True)] == found
+        assert blank.tolist() == [*(w.isspace() and not w.strip("\t\n\v\f\r \x85\xa0") for w in found), True]
+
+
+@pytest.mark.parametrize("bits", [latin.BITS, 4])
+def test_latin_encoder_gives_the_encodings_ids(monkeypatch, bits):
+    """Also when words push each other out of the table, and for texts that go to the encoding whole."""
+    monkeypatch.setattr(latin, "BITS", bits)
+    monkeypatch.setattr(latin, "LONG", 3000)
+    texts = [*latin_texts(), "日本語 a b", "x" * 4000, "many of " * 200, "ab" * 40 + " antidisestablishmentarianism " + "é" * 30, "\n" * 50 + " " * 50, "z\u0300"]
+    ranks = public_tokenizers.path(PACK_RANKS)
+    got = list(latin.Encoder(ranks, PATTERN, 1).encode(t.encode() for t in texts))
+    want = [[*bpe.encode_ids(t, ranks, PATTERN).tolist(), 1] for t in texts]
+    assert [g.tolist() for g in got] == want
+    assert [g.tolist() for g in latin.Encoder(ranks, r"\w+|\W", 1).encode([b"it's 2 of them"])] == [[*bpe.encode_ids("it's 2 of them", ranks, r"\w+|\W").tolist(), 1]]
+
+
+def test_latin_encoder_remembers_words(monkeypatch):
+    """Only words that are new go to the encoding, however many texts hold them."""
+    sent = []
+    new = latin.Encoder._new
+    monkeypatch.setattr(latin.Encoder, "_new", lambda self, buffer, at, *rest: (sent.append(len(at)), new(self, buffer, at, *rest))[1])
+    encoder = latin.Encoder(public_tokenizers.path(PACK_RANKS), PATTERN, 1)
+    for k in range(3):
+        assert len(list(encoder.encode([b"the house and the garden of the house"] * 100 + [b"word%d" % k]))) == 101
+    assert sent[1:] == [1, 1]  # the number alone
+
+
 def check_pieces(pieces, rows, window):
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     tok.encode_special_tokens = True
