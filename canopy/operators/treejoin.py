@@ -29,6 +29,8 @@ BROADCAST_NODES = 1_000_000
 PACKED = 8
 #: Joins of one plan; beyond, the rows are written and read again.
 JOINS_PER_PLAN = 48
+#: Joins that are generated as one method: the JVM only interprets a method of more than 8000 bytes.
+JOINS_PER_METHOD = 3
 
 _NODE = ["tree_id", "node_id", "depth", "feature_name", "threshold", "left_id", "right_id", "prediction"]
 
@@ -87,11 +89,13 @@ def joined_votes(df: DataFrame, nodes: DataFrame, prefix: str = "__v", value: st
     for t in trees:
         node, vote = f"__n{t}", f"{prefix}{t}"
         state = state.select("*", F.expr(_top_sql(compiled[t], roots[t][0], False, value)).alias(node), F.expr(_top_sql(compiled[t], roots[t][0], True, value)).alias(vote))
-        depth = top
+        depth, since = top, 0
         while (t, depth) in sizes:
             if joins and joins % JOINS_PER_PLAN == 0:
                 state = stored(state, "votes")
-            joins += 1
+            if since % JOINS_PER_METHOD == 0:
+                state = _apart(state)
+            joins, since = joins + 1, since + 1
             small = sizes[t, depth] <= broadcast_nodes
             levels = 1
             while heap.get(t) and not small and levels < PACKED and sizes.get((t, depth + levels), 0) > broadcast_nodes:
@@ -128,6 +132,11 @@ def _dealt(node: str, x: list[Column]) -> Column:
     return F.coalesce(F.col(node), -1 - F.pmod(F.xxhash64(*x, F.lit(0)), F.lit(1 << 30)))
 
 
+def _apart(state: DataFrame) -> DataFrame:
+    """The same rows in the same partitions; what follows is generated as a method of its own."""
+    return state.coalesce((1 << 31) - 1)
+
+
 def _step(state: DataFrame, level: DataFrame, node: str, vote: str, x: list[Column], slots: Column | None, value: str, small: bool) -> DataFrame:
     """Rows that are at a node of ``level`` (one tree's) go one step down, or get their vote."""
     table = level.select(F.col("node_id").alias("__at"), _slot(slots).alias("__slot"), F.col("threshold").alias("__t"),
@@ -153,7 +162,7 @@ def _steps(state: DataFrame, nodes: DataFrame, depth: int, levels: int, node: st
     root = F.expr(f"shiftright(node_id, cast(depth - {depth} as int))")
     packed = nodes.select(root.alias("__at"), (F.col("node_id") - root * up + up).cast("int").alias("rel"), _slot(slots).alias("slot"), F.col("threshold").alias("t"),
                           F.col(value).cast("double").alias("p"))
-    packed = packed.groupBy("__at").agg(F.array_sort(F.collect_list(F.struct("rel", "slot", "t", "p"))).alias("__all"))
+    packed = packed.groupBy("__at").agg(F.sort_array(F.collect_list(F.struct("rel", "slot", "t", "p"))).alias("__all"))
     packed = packed.select("__at", F.expr("transform(__all, e -> e.slot)").alias("__slot"), F.expr("transform(__all, e -> e.t)").alias("__t"),
                            F.expr("transform(__all, e -> e.p)").alias("__p"),
                            F.expr("transform(__all, e -> if(e.slot is null, 0, cast(array_position(__all.rel, 2 * e.rel) as int)))").alias("__l"))

@@ -84,6 +84,17 @@ def test_large_levels_move_the_rows_once(forest):
         assert ids[r["id"]] == [None if leaf is None else leaf[1] for leaf in reached]
 
 
+def test_joins_are_generated_as_several_methods(forest):
+    """A JVM only interprets the method of a dozen joins."""
+    nodes, df, _ = forest
+    scored, _ = joined_votes(df, nodes, top_nodes=5)
+    joins = most = 0
+    for line in scored._jdf.queryExecution().optimizedPlan().toString().splitlines():
+        joins = 0 if "Repartition" in line else joins + ("Join LeftOuter" in line)
+        most = max(most, joins)
+    assert most == 3
+
+
 def test_forms_of_scoring_agree(forest):
     nodes, df, _ = forest
     assert str(sorted(score_nodes(df, nodes, "join").collect())) == str(sorted(score_nodes(df, nodes, "walk").collect()))
