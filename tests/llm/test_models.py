@@ -360,3 +360,18 @@ def test_every_learning_document_moves_the_classes(spark, monkeypatch):
     assert whole.shape == (mixing.CLASSES, mixing.PAIR_SLOTS) and np.array_equal(whole, classes(texts, 5))
     for i in (3, 22, 41):
         assert not np.array_equal(whole, classes([*texts[:i], "xyzzy " * 9, *texts[i + 1:]]))
+
+
+def test_each_learning_document_is_a_point_of_its_class(spark, monkeypatch):
+    """More documents than are held on the driver: a centre is the mean of the documents that are nearest to it, not of groups of them."""
+    monkeypatch.setattr(mixing, "CLASS_POINTS", 8)
+    monkeypatch.setattr(mixing, "CLASS_BITS", 4)
+    texts = [f"{['der die das und', 'the of and to', 'le la les des', 'el los las y'][i % 4]} {chr(97 + i % 7) * 5} {i % 3}".encode() for i in range(120)]
+    rows = spark.createDataFrame([(i, 1, t) for i, t in enumerate(texts)], "id long, role int, text binary").repartition(3)
+    found = mixing.document_classes(rows).astype(float)
+    profiles = np.array([mixing.pair_profile(t) for t in texts]).astype(float)
+    own = np.argmax(profiles @ found.T, axis=1)
+    assert len(set(own)) > 4
+    for k in set(own):
+        mean = profiles[own == k].mean(axis=0)
+        assert np.allclose(found[k], mean / np.linalg.norm(mean), atol=1e-4)
