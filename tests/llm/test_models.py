@@ -375,3 +375,17 @@ def test_each_learning_document_is_a_point_of_its_class(spark, monkeypatch):
     for k in set(own):
         mean = profiles[own == k].mean(axis=0)
         assert np.allclose(found[k], mean / np.linalg.norm(mean), atol=1e-4)
+
+
+def test_nearest_centres_are_exact():
+    """Near ties are told apart by whole numbers, in any batch."""
+    rng = np.random.default_rng(3)
+    c = rng.random((6, mixing.PAIR_SLOTS)).astype(np.float32)
+    c /= np.linalg.norm(c, axis=1)[:, None]
+    c[4], c[5] = c[1], c[0] + np.float32(1e-6)
+    p = rng.random((90, mixing.PAIR_SLOTS))
+    p = np.rint(p / np.linalg.norm(p, axis=1)[:, None] * mixing.PROFILE_STEPS).astype(np.float32)
+    steps = [[int(x) for x in np.rint(row.astype(float) * mixing.CENTRE_STEPS)] for row in c]
+    want = [max(range(6), key=lambda k: (sum(int(a) * b for a, b in zip(row, steps[k])), -k)) for row in p]
+    assert mixing.nearest(p, c).tolist() == want
+    assert [int(mixing.nearest(p[i:i + 1], c)[0]) for i in range(90)] == want
